@@ -106,28 +106,31 @@ def classify(raw: DataFrame, value_col: str = "value") -> DataFrame:
                                     ("nonnegative", F.col("_latency") >= 0)])
         + field_rules("message", [is_str("message")])
     )
-    violations = F.when(~F.col("_obj"), F.array(F.lit("root:object"))).otherwise(
-        F.filter(F.array(*rules), lambda x: x.isNotNull()))
+    # concat_ws skips nulls, so only failed rules remain (and the projection stays in codegen).
+    violations = F.when(~F.col("_obj"), F.lit("root:object")).otherwise(F.concat_ws(", ", *rules))
 
     reason = (F.when(F.col("_len") == 0, F.lit(REASON_EMPTY))
               .when(~F.col("_ok"), F.lit(REASON_BAD_JSON))
-              .when(F.size("_violations") > 0,
-                    F.concat(F.lit(REASON_SCHEMA + ": "), F.array_join("_violations", ", "))))
+              .when(F.length("_violations") > 0,
+                    F.concat(F.lit(REASON_SCHEMA + ": "), F.col("_violations"))))
     stage4 = stage3.select(
         *passthrough, "payload", "_len", "_ok",
         violations.alias("_violations"),
         ts_value.alias("_ts"), "_level", "_service", "_host", "_trace", "_status", "_latency", "_message",
     )
-    valid = F.col("reason").isNull()
+    valid = F.col("_reason").isNull()
     out = stage4.select(
         *passthrough,
         F.when(F.col("_len") > 0, F.col("payload")).alias("payload"),
-        reason.alias("reason"),
+        reason.alias("_reason"),
         "_ts", "_level", "_service", "_host", "_trace", "_status", "_latency", "_message",
     )
-    return out.select(
-        *passthrough, "payload", "reason",
-        F.when(valid, F.lit(None)).otherwise(F.split_part("reason", F.lit(":"), F.lit(1))).alias("reason_code"),
+    # The outcome is emitted through a one-row generator.  Filters on it (valid / rejected) then
+    # stay above the generator instead of being pushed down and re-evaluating every rule.
+    outcome = F.struct(
+        F.col("payload"),
+        F.col("_reason").alias("reason"),
+        F.when(valid, F.lit(None)).otherwise(F.split_part("_reason", F.lit(":"), F.lit(1))).alias("reason_code"),
         F.when(valid, F.col("_ts")).alias("timestamp"),
         F.when(valid, F.col("_level")).alias("level"),
         F.when(valid, F.col("_service")).alias("service"),
@@ -137,6 +140,7 @@ def classify(raw: DataFrame, value_col: str = "value") -> DataFrame:
         F.when(valid, F.col("_latency").cast("bigint")).alias("latency_ms"),
         F.when(valid, F.col("_message")).alias("message"),
     )
+    return out.select(*passthrough, F.inline(F.array(outcome)))
 
 
 def valid_rows(classified: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from logroll.plans import reports
+from logroll.plans import ingest, reports
 
 QUERIES = {}
 SQL = {}
-for _mod in (reports,):
+for _mod in (reports, ingest):
     QUERIES.update(_mod.QUERIES)
     SQL.update(_mod.SQL)
