@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from logroll.plans import ingest, reports
+from logroll.plans import ingest, lifecycle, reports
 
 QUERIES = {}
 SQL = {}
-for _mod in (reports, ingest):
+for _mod in (reports, ingest, lifecycle):
     QUERIES.update(_mod.QUERIES)
     SQL.update(_mod.SQL)
