@@ -6,7 +6,7 @@ offset to read (max consumed + 1); a partition head is the next offset to be wri
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def max_offsets(messages: DataFrame, keys=("topic", "partition")) -> DataFrame:
@@ -41,3 +41,17 @@ def caught_up(heads: DataFrame, committed: DataFrame, keys=("topic", "partition"
 def count_by(df: DataFrame, key: str, out: str = "messages") -> DataFrame:
     """Counter keyed by one label (messages per topic, rejections per reason code, ...)."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(out))
+
+
+def lag_series(messages: DataFrame, step: str = "1 hour", keys=("topic", "partition")) -> DataFrame:
+    """Lag per partition over time for a consumer that commits once per ``step``, one step
+    behind: ``head`` is the partition head at the end of each step, ``lag`` the head minus the
+    head of the previous step.  Messages are aggregated per (partition, step) first, so the ordered
+    window runs over one row per step, not per message."""
+    per = (messages.groupBy(*keys, F.window("timestamp", step).start.alias("time"))
+           .agg((F.max(F.col("offset").cast("bigint")) + 1).alias("_head_in")))
+    w = Window.partitionBy(*keys).orderBy("time")
+    head = F.max("_head_in").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return (per.withColumn("head", head)
+            .withColumn("lag", F.col("head") - F.coalesce(F.lag("head").over(w), F.lit(0)))
+            .drop("_head_in"))
