@@ -49,8 +49,21 @@ class LogStore:
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({cols}) USING parquet "
                            f"PARTITIONED BY ({', '.join(parts)}) LOCATION '{self.path(name)}'")
 
-    def truncate(self, name: str, database: str = "log_pipeline") -> None:
-        self.spark.sql(f"TRUNCATE TABLE {database}.{name}")
+    def sync_catalog(self, database: str = "log_pipeline") -> None:
+        """Make catalog tables see partitions written by path (``MSCK REPAIR TABLE``).  Readers in
+        this package read by path and do not need it; run it for SQL users after ingest."""
+        for name, (_, parts) in TABLE_DDL.items():
+            if parts and self.spark.catalog.tableExists(f"{database}.{name}") and self.exists(name):
+                self.spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+
+    def truncate(self, name: str, database: str | None = "log_pipeline") -> None:
+        """Remove every row of a table (the tables are external, so the files are deleted)."""
+        p, fs = _hadoop_fs(self.spark, self.path(name))
+        if fs.exists(p):
+            fs.delete(p, True)
+        fs.mkdirs(p)
+        if database and self.spark.catalog.tableExists(f"{database}.{name}"):
+            self.spark.catalog.refreshTable(f"{database}.{name}")
 
     # -- writers -----------------------------------------------------------------------------
     def _write(self, df: DataFrame, name: str, partition_by: list[str], sort_by: list[str] | None = None):
