@@ -17,6 +17,8 @@ keys are ignored.  A reason never depends on wall-clock or on other rows.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logroll.functions.strict_json import (
@@ -37,38 +39,29 @@ def _fail(cond: Column, label: str) -> Column:
 
 
 def _timestamp_value(text: Column) -> Column:
-    """Parse accepted ISO text to a millisecond timestamp; null when the calendar/time is invalid."""
-    head = F.regexp_extract(text, _ISO_UTC, 1)
-    secs = F.regexp_extract(text, _ISO_UTC, 2)
-    frac = F.substring(F.regexp_extract(text, _ISO_UTC, 3), 1, 7)  # '.' + up to 6 digits
-    norm = F.concat(head, F.when(secs == "", F.lit(":00")).otherwise(secs), frac, F.lit("Z"))
+    """Parse accepted ISO text to a millisecond timestamp; null when the calendar/time is invalid.
+
+    The regex fixes every position, so normalising is plain slicing: ``HH:MMZ`` gains ``:00`` and
+    a fraction longer than microseconds is cut (the value is truncated to milliseconds anyway)."""
+    n = F.length(text)
+    norm = (F.when(n == 17, F.concat(F.substring(text, 1, 16), F.lit(":00Z")))
+            .when(n > 27, F.concat(F.substring(text, 1, 26), F.lit("Z")))
+            .otherwise(text))
     return F.date_trunc("millisecond", F.try_to_timestamp(F.when(text.rlike(_ISO_UTC), norm)))
 
 
-def classify(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Add ``payload`` (decoded text), ``reason`` (null when valid), ``reason_code`` and the eight
-    log columns (null unless valid).  Other input columns (topic, partition, offset, ...) pass
-    through, so lineage survives for idempotent writes."""
-    spark = raw.sparkSession
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    passthrough = [c for c in raw.columns if c != value_col and c not in LOG_COLUMNS]
-
-    text = decode_payload(F.col(value_col))
-    stage1 = raw.select(*passthrough, text.alias("payload"))
+@functools.lru_cache(maxsize=8)
+def _stages(value_col: str) -> tuple[list[Column], ...]:
+    """The classifier's projections, built once per process: constructing these expressions costs
+    driver time, and a stream builds a new plan for every micro-batch."""
+    s1 = [decode_payload(F.col(value_col)).alias("payload")]
     ok, parsed = parse_strict(F.col("payload"))
-    stage2 = stage1.select(
-        *passthrough, "payload",
-        F.coalesce(F.length("payload"), F.lit(0)).alias("_len"),
-        ok.alias("_ok"), parsed.alias("_p"),
-        starts_object(F.col("payload")).alias("_obj"),
-    )
+    s2 = [F.col("payload"), F.coalesce(F.length("payload"), F.lit(0)).alias("_len"),
+          ok.alias("_ok"), parsed.alias("_p"), starts_object(F.col("payload")).alias("_obj")]
 
     p = F.col("_p")
-    types = {f: json_type(p, f) for f in
-             ("timestamp", "level", "service", "host", "traceId", "statusCode", "latencyMs", "message")}
-    stage3 = stage2.select(
-        *passthrough, "payload", "_len", "_ok", "_obj",
-        *[t.alias(f"_t_{f}") for f, t in types.items()],
+    fields = ("timestamp", "level", "service", "host", "traceId", "statusCode", "latencyMs", "message")
+    s3 = [F.col(c) for c in ("payload", "_len", "_ok", "_obj")] + [json_type(p, f).alias(f"_t_{f}") for f in fields] + [
         F.try_variant_get(p, "$.timestamp", "string").alias("_ts_text"),
         F.try_variant_get(p, "$.level", "string").alias("_level"),
         F.try_variant_get(p, "$.service", "string").alias("_service"),
@@ -77,7 +70,7 @@ def classify(raw: DataFrame, value_col: str = "value") -> DataFrame:
         F.try_variant_get(p, "$.statusCode", "double").alias("_status"),
         F.try_variant_get(p, "$.latencyMs", "double").alias("_latency"),
         F.try_variant_get(p, "$.message", "string").alias("_message"),
-    )
+    ]
 
     def t(f):
         return F.col(f"_t_{f}")
@@ -108,25 +101,20 @@ def classify(raw: DataFrame, value_col: str = "value") -> DataFrame:
     )
     # concat_ws skips nulls, so only failed rules remain (and the projection stays in codegen).
     violations = F.when(~F.col("_obj"), F.lit("root:object")).otherwise(F.concat_ws(", ", *rules))
+    typed = ["_level", "_service", "_host", "_trace", "_status", "_latency", "_message"]
+    s4 = [F.col(c) for c in ("payload", "_len", "_ok")] + [violations.alias("_violations"), ts_value.alias("_ts")] + [
+        F.col(c) for c in typed]
 
     reason = (F.when(F.col("_len") == 0, F.lit(REASON_EMPTY))
               .when(~F.col("_ok"), F.lit(REASON_BAD_JSON))
               .when(F.length("_violations") > 0,
                     F.concat(F.lit(REASON_SCHEMA + ": "), F.col("_violations"))))
-    stage4 = stage3.select(
-        *passthrough, "payload", "_len", "_ok",
-        violations.alias("_violations"),
-        ts_value.alias("_ts"), "_level", "_service", "_host", "_trace", "_status", "_latency", "_message",
-    )
-    valid = F.col("_reason").isNull()
-    out = stage4.select(
-        *passthrough,
-        F.when(F.col("_len") > 0, F.col("payload")).alias("payload"),
-        reason.alias("_reason"),
-        "_ts", "_level", "_service", "_host", "_trace", "_status", "_latency", "_message",
-    )
+    s5 = [F.when(F.col("_len") > 0, F.col("payload")).alias("payload"), reason.alias("_reason"), F.col("_ts")] + [
+        F.col(c) for c in typed]
+
     # The outcome is emitted through a one-row generator.  Filters on it (valid / rejected) then
     # stay above the generator instead of being pushed down and re-evaluating every rule.
+    valid = F.col("_reason").isNull()
     outcome = F.struct(
         F.col("payload"),
         F.col("_reason").alias("reason"),
@@ -140,7 +128,20 @@ def classify(raw: DataFrame, value_col: str = "value") -> DataFrame:
         F.when(valid, F.col("_latency").cast("bigint")).alias("latency_ms"),
         F.when(valid, F.col("_message")).alias("message"),
     )
-    return out.select(*passthrough, F.inline(F.array(outcome)))
+    s6 = [F.inline(F.array(outcome))]
+    return s1, s2, s3, s4, s5, s6
+
+
+def classify(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """Add ``payload`` (decoded text), ``reason`` (null when valid), ``reason_code`` and the eight
+    log columns (null unless valid).  Other input columns (topic, partition, offset, ...) pass
+    through, so lineage survives for idempotent writes."""
+    raw.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    keep = [c for c in raw.columns if c != value_col and c not in LOG_COLUMNS]
+    df = raw
+    for stage in _stages(value_col):
+        df = df.select(*keep, *stage)
+    return df
 
 
 def valid_rows(classified: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -17,7 +17,11 @@ minute's partial rows, never dropped.  An all-rejected batch still commits and t
 
 from __future__ import annotations
 
+import math
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
+from pyspark.util import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -39,11 +43,13 @@ def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str = LOG_TOPIC,
                  starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None,
-                 min_offsets_per_trigger: int | None = None, max_trigger_delay: str | None = None) -> DataFrame:
+                 min_offsets_per_trigger: int | None = None, max_trigger_delay: str | None = None,
+                 min_partitions: int | None = None) -> DataFrame:
     """Topic subscription.  A new query starts at the latest offset; a restarted one resumes from
     its checkpoint.  ``max_offsets_per_trigger`` bounds a batch (back-pressure); with
     ``min_offsets_per_trigger`` + ``max_trigger_delay`` a batch waits for size or time, whichever
-    comes first.  Needs the Kafka connector on the classpath (not available offline)."""
+    comes first.  ``min_partitions`` splits offset ranges so a batch uses every core even when the
+    topic has few partitions.  Needs the Kafka connector on the classpath (not available offline)."""
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
               .option("subscribe", topic)
@@ -55,6 +61,8 @@ def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str = LOG_T
         reader = reader.option("minOffsetsPerTrigger", str(min_offsets_per_trigger))
     if max_trigger_delay:
         reader = reader.option("maxTriggerDelay", max_trigger_delay)
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
     return reader.load().select("key", "value", "topic", "partition", "offset", "timestamp")
 
 
@@ -66,25 +74,29 @@ def kafka_sink_options(df: DataFrame, bootstrap_servers: str, topic: str):
             .option("kafka.acks", "all").option("kafka.compression.type", "gzip"))
 
 
-def batch_metrics(classified: DataFrame) -> DataFrame:
-    """Counters of one batch as metric samples: messages per topic, rejections per reason code,
-    valid rows, and the committed offset (max + 1) per partition."""
-    now = F.current_timestamp()
-    consumed = classified.groupBy("topic").agg(F.count(F.lit(1)).cast("double").alias("value")) \
-        .select(F.lit("pipeline_messages_consumed").alias("metric"),
-                F.create_map(F.lit("topic"), F.col("topic")).alias("labels"), "value")
-    rejected = classified.where(F.col("reason").isNotNull()).groupBy("reason_code") \
-        .agg(F.count(F.lit(1)).cast("double").alias("value")) \
-        .select(F.lit("pipeline_messages_dlq").alias("metric"),
-                F.create_map(F.lit("reason"), F.col("reason_code")).alias("labels"), "value")
-    size = classified.agg(F.count_if(F.col("reason").isNull()).cast("double").alias("value")) \
-        .select(F.lit("pipeline_batch_size_records").alias("metric"),
-                F.create_map().cast("map<string,string>").alias("labels"), "value")
-    committed = classified.groupBy("partition").agg((F.max("offset") + 1).cast("double").alias("value")) \
-        .select(F.lit("pipeline_committed_offset").alias("metric"),
-                F.create_map(F.lit("partition"), F.col("partition").cast("string")).alias("labels"), "value")
-    return consumed.unionByName(rejected).unionByName(size).unionByName(committed) \
-        .select(now.alias("ts"), "metric", "labels", "value")
+def batch_counts(classified: DataFrame) -> DataFrame:
+    """One aggregation over the batch: messages and max offset per (topic, partition, reason code).
+    Its size is bounded by topics × partitions × reason codes, not by rows."""
+    return (classified.groupBy("topic", "partition", "reason_code")
+            .agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("max_offset")))
+
+
+def metric_samples(counts: list) -> list[tuple]:
+    """Batch counters as metric samples ``(metric, labels, value)`` from ``batch_counts`` rows:
+    messages per topic, rejections per reason code, valid rows, committed offset per partition."""
+    consumed, dlq, committed, valid = {}, {}, {}, 0
+    for r in counts:
+        consumed[r["topic"]] = consumed.get(r["topic"], 0) + r["n"]
+        if r["reason_code"] is None:
+            valid += r["n"]
+        else:
+            dlq[r["reason_code"]] = dlq.get(r["reason_code"], 0) + r["n"]
+        key = str(r["partition"])
+        committed[key] = max(committed.get(key, -1), r["max_offset"] + 1)
+    return ([("pipeline_messages_consumed", {"topic": t}, float(v)) for t, v in consumed.items()]
+            + [("pipeline_messages_dlq", {"reason": k}, float(v)) for k, v in dlq.items()]
+            + [("pipeline_batch_size_records", {}, float(valid))]
+            + [("pipeline_committed_offset", {"partition": k}, float(v)) for k, v in committed.items()])
 
 
 class InjectedFailure(RuntimeError):
@@ -92,30 +104,63 @@ class InjectedFailure(RuntimeError):
 
 
 class IngestJob:
-    """The ``foreachBatch`` function.  ``fail_after=(sink, batch_id)`` raises once right after that
-    sink has been written, to exercise replay."""
+    """The ``foreachBatch`` function.
 
-    def __init__(self, store: LogStore, sketch_k: int | None = None, fail_after: tuple[str, int] | None = None):
+    The classified batch is cached once; the batch counters (one small aggregation) materialise it,
+    then the sinks run as concurrent Spark jobs (they are independent, and each replaces only its own
+    partitions).  If any sink fails the batch fails and is replayed whole.
+    ``fail_after=(sink, batch_id)`` raises once right after that sink has been written, to
+    exercise replay."""
+
+    SINKS = ("logs", "logs_1m", "logs_1m_freq", "dlq")
+
+    def __init__(self, store: LogStore, sketch_k: int | None = None, fail_after: tuple[str, int] | None = None,
+                 parallel: bool = True, rows_per_file: int = 1_000_000):
         self.store = store
         self.sketch_k = sketch_k
         self.fail_after = fail_after
+        self.parallel = parallel
+        self.rows_per_file = rows_per_file
 
     def _maybe_fail(self, sink: str, batch_id: int) -> None:
         if self.fail_after and self.fail_after == (sink, batch_id):
             self.fail_after = None
             raise InjectedFailure(f"injected failure after {sink} in batch {batch_id}")
 
+    def _files(self, rows: float) -> int:
+        return max(1, math.ceil(rows / self.rows_per_file))
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         classified = classify(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            # A few dozen rows (topics × partitions × reasons): computing them fills the cache,
+            # and their counts size the raw-row writes so a batch writes few, large files.
+            samples = metric_samples(batch_counts(classified).collect())
+            n_valid = sum(v for m, _, v in samples if m == "pipeline_batch_size_records")
+            n_rejected = sum(v for m, _, v in samples if m == "pipeline_messages_dlq")
+            metrics = spark.createDataFrame(samples, "metric string, labels map<string,string>, value double") \
+                .select(F.current_timestamp().alias("ts"), "metric", "labels", "value")
             valid = valid_rows(classified, keep=LINEAGE)
-            self.store.write_logs(valid, batch_id)
-            self._maybe_fail("logs", batch_id)
-            self.store.write_rollup(rollup_1m(valid, k=self.sketch_k), batch_id)
-            self._maybe_fail("logs_1m", batch_id)
-            self.store.write_frequencies(latency_frequencies(valid), batch_id)
-            self.store.write_dlq(dlq_envelopes(rejections(classified, keep=LINEAGE)), batch_id)
-            self.store.write_metrics(batch_metrics(classified), batch_id)
+            rejected = rejections(classified, keep=LINEAGE)
+            writes = {
+                "pipeline_metrics": lambda: self.store.write_metrics(metrics, batch_id),
+                "logs": lambda: self.store.write_logs(valid.coalesce(self._files(n_valid)), batch_id),
+                "logs_1m": lambda: self.store.write_rollup(rollup_1m(valid, k=self.sketch_k), batch_id),
+                "logs_1m_freq": lambda: self.store.write_frequencies(latency_frequencies(valid), batch_id),
+                "dlq": lambda: self.store.write_dlq(dlq_envelopes(rejected.coalesce(self._files(n_rejected))),
+                                                    batch_id),
+            }
+            if self.parallel:
+                with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+                    futures = [pool.submit(inheritable_thread_target(fn)) for fn in writes.values()]
+                    for fut in futures:
+                        fut.result()
+            else:
+                for fn in writes.values():
+                    fn()
+            for name in self.SINKS:
+                self._maybe_fail(name, batch_id)
         finally:
             classified.unpersist()
 
