@@ -55,9 +55,16 @@ def q_rollup_compacted(spark, sf_dir):
     return ntz(store.rollup(merged=True).select(*COUNTERS))
 
 
-def _run_stream(spark, sf_dir, fail_after=None):
+def _run_stream(spark, sf_dir, fail_after=None, arrivals=None):
+    """``arrivals``: optional list of row predicates; each becomes one file, written (and so
+    read) in that order.  By default the messages are spread over four files."""
     base = scratch_dir(spark, "stream")
-    wire_messages(events(spark, sf_dir)).repartition(SOURCE_FILES).write.parquet(f"{base}/source")
+    msgs = wire_messages(events(spark, sf_dir))
+    if arrivals:
+        for cond in arrivals:
+            msgs.where(cond).coalesce(1).write.mode("append").parquet(f"{base}/source")
+    else:
+        msgs.repartition(SOURCE_FILES).write.parquet(f"{base}/source")
     store = LogStore(spark, f"{base}/tables")
     job = IngestJob(store, fail_after=fail_after)
     src = file_source(spark, f"{base}/source", max_files_per_trigger=1)
@@ -80,6 +87,25 @@ def q_stream_rollup(spark, sf_dir):
     return ntz(store.rollup(merged=True).select(*COUNTERS))
 
 
+def q_stream_late(spark, sf_dir):
+    """The second half of the month arrives first, then the first half: with no watermark every
+    late row still lands in its own minute."""
+    mid = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    store = _run_stream(spark, sf_dir, arrivals=[F.col("timestamp") >= mid, F.col("timestamp") < mid])
+    return ntz(store.rollup(merged=True).select(*COUNTERS))
+
+
+def q_stream_all_rejected(spark, sf_dir):
+    """A first micro-batch holding only rejected messages still commits; the next batch follows.
+    Result: messages and valid rows per batch, from the batch counters."""
+    bad = F.col("offset") % 100 < 4
+    store = _run_stream(spark, sf_dir, arrivals=[bad, ~bad])
+    m = store.metrics()
+    return (m.groupBy("batch_id")
+            .agg(F.sum(F.when(F.col("metric") == "pipeline_messages_consumed", F.col("value"))).alias("consumed"),
+                 F.sum(F.when(F.col("metric") == "pipeline_batch_size_records", F.col("value"))).alias("valid")))
+
+
 def q_stream_replay(spark, sf_dir):
     """Batch 1 fails after its raw rows are written; the restarted query replays it."""
     store = _run_stream(spark, sf_dir, fail_after=("logs_1m", 1))
@@ -122,6 +148,12 @@ SQL = {
     "rollup_compacted": f"WITH logs AS ({LOGS_SQL}), rollup AS ({ROLLUP_SQL}) SELECT * FROM rollup",
     "stream_rollup": _VALID_ROLLUP,
     "stream_replay": _VALID,
+    "stream_late": _VALID_ROLLUP,
+    "stream_all_rejected": """
+        SELECT CAST(CASE WHEN event_id % 100 < 4 THEN 0 ELSE 1 END AS BIGINT) AS batch_id,
+               CAST(count(*) AS DOUBLE) AS consumed,
+               CAST(count(*) FILTER (WHERE event_id % 100 >= 4) AS DOUBLE) AS valid
+        FROM events GROUP BY 1""",
     "stream_dlq": f"SELECT partition, \"offset\", reason_code, reason, payload FROM ({_REJECTED})",
     "stream_metrics": f"""
         SELECT 'pipeline_messages_consumed' AS metric, '{LOG_TOPIC}' AS label, CAST(count(*) AS DOUBLE) AS value
@@ -140,6 +172,8 @@ QUERIES = {
     "rollup_compacted": q_rollup_compacted,
     "stream_rollup": q_stream_rollup,
     "stream_replay": q_stream_replay,
+    "stream_late": q_stream_late,
+    "stream_all_rejected": q_stream_all_rejected,
     "stream_dlq": q_stream_dlq,
     "stream_metrics": q_stream_metrics,
     "dedup_offsets": q_dedup_offsets,

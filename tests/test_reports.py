@@ -105,3 +105,11 @@ def test_report_scan_prunes_sketch_column(spark, scratch):
     assert "latency_quantiles" not in plan.split("ReadSchema")[1].split("\n")[0]
     assert "PushedFilters: [IsNotNull(minute), GreaterThanOrEqual(minute" in plan
     assert F is not None
+
+
+def test_report_rows_as_json(seeded):
+    import json
+    from logroll.sources.sinks import json_rows
+    r, _ = seeded
+    rows = [json.loads(x["value"]) for x in json_rows(R.top_services(r, 15, NOW)).collect()]
+    assert rows[0] == {"service": "auth-service", "volume": 5}
