@@ -1,10 +1,12 @@
 """Strict JSON on Spark's VARIANT type.
 
 ``try_parse_json`` stops after the first complete value and ignores what follows, so
-``{"a":1} x`` would pass.  A message is accepted only if it parses as the single element of a
-JSON array *and* as the value of an object member: after the first value the next character must
-then be legal before both ``]`` and ``}``, which leaves only ``,`` — and the element count removes
-that case.  Both wraps are needed; each alone lets some trailing garbage through.
+``{"a":1} x`` would pass.  The message is therefore parsed as the first element of an array that
+ends with a sentinel string on a new line: ``[<text>\n,"<sentinel>"]``.  It is exactly one JSON
+value only if that array has two elements and the second is the sentinel — trailing text after
+the value either breaks the parse, adds elements, or ends the array early (and the parser then
+ignores the sentinel).  A string or escape left open by the text cannot swallow the sentinel,
+because a raw newline is illegal inside a JSON string.  One parse per message.
 """
 
 from __future__ import annotations
@@ -17,19 +19,33 @@ def decode_payload(value: Column) -> Column:
     return F.make_valid_utf8(value.cast("string"))
 
 
-def parse_strict(text: Column) -> tuple[Column, Column]:
-    """Return ``(ok, parsed)``: ``ok`` is true only for exactly one complete JSON value (with
-    surrounding JSON whitespace); ``parsed`` is that value as VARIANT.  Never raises."""
-    as_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    as_member = F.try_parse_json(F.concat(F.lit('{"w":'), text, F.lit("}")))
-    ok = F.coalesce(
-        as_array.isNotNull()
-        & as_member.isNotNull()
-        & (F.size(F.try_variant_get(as_array, "$", "array<variant>")) == 1),
+_SENTINEL = "\u0000end"
+
+
+def parse_wrapped(text: Column) -> Column:
+    """The single parse: ``[<text>\n,"<sentinel>"]`` as VARIANT (null if it is not JSON)."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit('\n,"\\u0000end"]')))
+
+
+def strict_ok(wrapped: Column) -> Column:
+    """True only if the wrapped array is exactly ``[value, sentinel]``.  Never null."""
+    return F.coalesce(
+        (F.try_variant_get(wrapped, "$[1]", "string") == F.lit(_SENTINEL))
+        & F.try_variant_get(wrapped, "$[2]", "variant").isNull(),
         F.lit(False),
     )
-    parsed = F.try_variant_get(as_array, "$[0]", "variant")
-    return ok, parsed
+
+
+def strict_value(wrapped: Column) -> Column:
+    return F.try_variant_get(wrapped, "$[0]", "variant")
+
+
+def parse_strict(text: Column) -> tuple[Column, Column]:
+    """Return ``(ok, parsed)``: ``ok`` is true only for exactly one complete JSON value (with
+    surrounding JSON whitespace); ``parsed`` is that value as VARIANT.  Never raises.  (Stage
+    ``parse_wrapped`` as its own column when both are needed, so the text is parsed once.)"""
+    wrapped = parse_wrapped(text)
+    return strict_ok(wrapped), strict_value(wrapped)
 
 
 def json_type(parsed: Column, field: str) -> Column:

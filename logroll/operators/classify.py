@@ -22,7 +22,7 @@ import functools
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logroll.functions.strict_json import (
-    decode_payload, is_number_type, json_type, parse_strict, starts_object,
+    decode_payload, is_number_type, json_type, parse_wrapped, starts_object, strict_ok, strict_value,
 )
 from logroll.schemas import (
     LEVELS, LOG_COLUMNS, MAX_SAFE_INTEGER, REASON_BAD_JSON, REASON_EMPTY, REASON_SCHEMA,
@@ -55,22 +55,25 @@ def _stages(value_col: str) -> tuple[list[Column], ...]:
     """The classifier's projections, built once per process: constructing these expressions costs
     driver time, and a stream builds a new plan for every micro-batch."""
     s1 = [decode_payload(F.col(value_col)).alias("payload")]
-    ok, parsed = parse_strict(F.col("payload"))
+    s1b = [F.col("payload"), parse_wrapped(F.col("payload")).alias("_w")]
     s2 = [F.col("payload"), F.coalesce(F.length("payload"), F.lit(0)).alias("_len"),
-          ok.alias("_ok"), parsed.alias("_p"), starts_object(F.col("payload")).alias("_obj")]
+          strict_ok(F.col("_w")).alias("_ok"), strict_value(F.col("_w")).alias("_p"),
+          starts_object(F.col("payload")).alias("_obj")]
 
-    p = F.col("_p")
     fields = ("timestamp", "level", "service", "host", "traceId", "statusCode", "latencyMs", "message")
-    s3 = [F.col(c) for c in ("payload", "_len", "_ok", "_obj")] + [json_type(p, f).alias(f"_t_{f}") for f in fields] + [
-        F.try_variant_get(p, "$.timestamp", "string").alias("_ts_text"),
-        F.try_variant_get(p, "$.level", "string").alias("_level"),
-        F.try_variant_get(p, "$.service", "string").alias("_service"),
-        F.try_variant_get(p, "$.host", "string").alias("_host"),
-        F.try_variant_get(p, "$.traceId", "string").alias("_trace"),
-        F.try_variant_get(p, "$.statusCode", "double").alias("_status"),
-        F.try_variant_get(p, "$.latencyMs", "double").alias("_latency"),
-        F.try_variant_get(p, "$.message", "string").alias("_message"),
-    ]
+    # Each member is looked up once; its type name and typed value are read from that.
+    s3a = [F.col(c) for c in ("payload", "_len", "_ok", "_obj")] + [
+        F.try_variant_get("_p", f"$.{f}", "variant").alias(f"_v_{f}") for f in fields]
+    as_type = {"timestamp": "string", "level": "string", "service": "string", "host": "string",
+               "traceId": "string", "statusCode": "double", "latencyMs": "double", "message": "string"}
+    short = {"timestamp": "_ts_text", "level": "_level", "service": "_service", "host": "_host",
+             "traceId": "_trace", "statusCode": "_status", "latencyMs": "_latency", "message": "_message"}
+    s3b = [F.col(c) for c in ("payload", "_len", "_ok", "_obj")] + [
+        F.schema_of_variant(f"_v_{f}").alias(f"_t_{f}") for f in fields] + [
+        F.try_variant_get(f"_v_{f}", "$", as_type[f]).alias(short[f]) for f in fields]
+    typed = ["_level", "_service", "_host", "_trace", "_status", "_latency", "_message"]
+    s3 = [F.col(c) for c in ("payload", "_len", "_ok", "_obj")] + [F.col(f"_t_{f}") for f in fields] + [
+        F.col(c) for c in typed] + [_timestamp_value(F.col("_ts_text")).alias("_ts")]
 
     def t(f):
         return F.col(f"_t_{f}")
@@ -82,7 +85,7 @@ def _stages(value_col: str) -> tuple[list[Column], ...]:
             F.when(t(f).isNotNull() & ~checks[0], F.lit(f"{f}:type")),
         ] + [F.when(t(f).isNotNull() & checks[0], _fail(c, f"{f}:{name}")) for name, c in checks[1:]]
 
-    ts_value = _timestamp_value(F.col("_ts_text"))
+    ts_value = F.col("_ts")
     is_str = lambda f: t(f) == "STRING"
     integral = lambda c: (c == F.floor(c)) & (F.abs(c) <= F.lit(MAX_SAFE_INTEGER))
     rules = (
@@ -101,8 +104,7 @@ def _stages(value_col: str) -> tuple[list[Column], ...]:
     )
     # concat_ws skips nulls, so only failed rules remain (and the projection stays in codegen).
     violations = F.when(~F.col("_obj"), F.lit("root:object")).otherwise(F.concat_ws(", ", *rules))
-    typed = ["_level", "_service", "_host", "_trace", "_status", "_latency", "_message"]
-    s4 = [F.col(c) for c in ("payload", "_len", "_ok")] + [violations.alias("_violations"), ts_value.alias("_ts")] + [
+    s4 = [F.col(c) for c in ("payload", "_len", "_ok")] + [violations.alias("_violations"), F.col("_ts")] + [
         F.col(c) for c in typed]
 
     reason = (F.when(F.col("_len") == 0, F.lit(REASON_EMPTY))
@@ -129,7 +131,7 @@ def _stages(value_col: str) -> tuple[list[Column], ...]:
         F.when(valid, F.col("_message")).alias("message"),
     )
     s6 = [F.inline(F.array(outcome))]
-    return s1, s2, s3, s4, s5, s6
+    return s1, s1b, s2, s3a, s3b, s3, s4, s5, s6
 
 
 def classify(raw: DataFrame, value_col: str = "value") -> DataFrame:

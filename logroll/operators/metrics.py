@@ -26,7 +26,7 @@ def series_key(labels: str = "labels") -> Column:
     return F.array_sort(F.map_entries(F.col(labels)))
 
 
-def counter_increase(samples: DataFrame, slice_unit: str = "hour") -> DataFrame:
+def counter_increase(samples: DataFrame, slice_unit: str = "minute") -> DataFrame:
     """Add ``increase``: 0 for a series' first sample, the value itself after a reset (value went
     down), else the difference to the previous sample."""
     df = samples.withColumn("_series", series_key())

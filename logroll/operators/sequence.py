@@ -34,7 +34,7 @@ def running_count(df: DataFrame, series: list[str], order: list[str], ts: str,
 
 
 def previous_value(df: DataFrame, series: list[str], ts: str, value: str,
-                   out: str = "prev_value", slice_unit: str = "hour") -> DataFrame:
+                   out: str = "prev_value", slice_unit: str = "minute") -> DataFrame:
     """Value of the previous sample (by ``ts``) in the same series; null for the first sample.
 
     Inside a slice this is ``lag``; for the first sample of a slice it is the last value of the

@@ -111,7 +111,8 @@ def test_timestamp_vectors(spark, ts, ok, expect):
 LEGAL_JSON = ['{"a":1}', ' {"a":1}\n', '\r\n{"a":1}\t', '{"a":1} ', "null", "1e400", '{"a":1,"a":2}']
 ILLEGAL_JSON = ["  ", '{"a":1} x', '{"a":1}],[2', '{"a":1}},{"b":2', '{"a":1},{"b":2}', "1,2", '{"a":1}}',
                 '{"a":1}]', '{"a":1} // c', '"x" "y"', '{"a":1} ', "{'a':1}", '{"a":1,}', '{"a":01}',
-                '{"a":NaN}', '{"a":"\t"}', "﻿{\"a\":1}", "MALFORMED_RAW_STREAM_GARBAGE_CRASH_TEST_12345"]
+                '{"a":NaN}', '{"a":"\t"}', "﻿{\"a\":1}", "MALFORMED_RAW_STREAM_GARBAGE_CRASH_TEST_12345",
+                '"abc', '{"a":"', '{"a":1}\\', '1\n,"\\u0000end"', '{"a":1}\n,"\\u0000end"', "[1", "{", '1\n,"\\u0000end",null']
 
 
 def test_strict_json_legal_is_not_a_json_error(spark):
