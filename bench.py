@@ -27,7 +27,7 @@ def main() -> None:
 
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("logroll-bench")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-             .config("spark.sql.shuffle.partitions", str(int(cpus) * 2))
+             .config("spark.sql.shuffle.partitions", str(int(cpus)))
              .config("spark.driver.memory", "8g")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

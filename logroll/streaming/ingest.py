@@ -106,9 +106,9 @@ class InjectedFailure(RuntimeError):
 class IngestJob:
     """The ``foreachBatch`` function.
 
-    The classified batch is cached once; the batch counters (one small aggregation) materialise it,
-    then the sinks run as concurrent Spark jobs (they are independent, and each replaces only its own
-    partitions).  If any sink fails the batch fails and is replayed whole.
+    The classified batch is cached once and the sinks run as concurrent Spark jobs over it (they
+    are independent, and each replaces only its own partitions); the raw-row writes wait for the
+    batch counters, which size their output files.  If any sink fails the batch fails and is replayed whole.
     ``fail_after=(sink, batch_id)`` raises once right after that sink has been written, to
     exercise replay."""
 
@@ -133,35 +133,45 @@ class IngestJob:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         classified = classify(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        valid = valid_rows(classified, keep=LINEAGE)
+        rejected = rejections(classified, keep=LINEAGE)
+        # Concurrent jobs share the cached batch: each partition is classified once (the block
+        # being computed is locked; other readers wait for it and then read it).
+        pool = ThreadPoolExecutor(max_workers=5) if self.parallel else None
+
+        def submit(fn):
+            if pool is None:
+                fn()
+                return None
+            return pool.submit(inheritable_thread_target(fn))
+
         try:
-            # A few dozen rows (topics × partitions × reasons): computing them fills the cache,
-            # and their counts size the raw-row writes so a batch writes few, large files.
+            # The aggregated sinks do not depend on the batch counters: start them first.
+            futures = [
+                submit(lambda: self.store.write_rollup(rollup_1m(valid, k=self.sketch_k), batch_id)),
+                submit(lambda: self.store.write_frequencies(latency_frequencies(valid), batch_id)),
+            ]
+            # A few dozen rows (topics × partitions × reasons); their counts size the raw-row
+            # writes so a batch writes few, large files.
             samples = metric_samples(batch_counts(classified).collect())
             n_valid = sum(v for m, _, v in samples if m == "pipeline_batch_size_records")
             n_rejected = sum(v for m, _, v in samples if m == "pipeline_messages_dlq")
             metrics = spark.createDataFrame(samples, "metric string, labels map<string,string>, value double") \
                 .select(F.current_timestamp().alias("ts"), "metric", "labels", "value")
-            valid = valid_rows(classified, keep=LINEAGE)
-            rejected = rejections(classified, keep=LINEAGE)
-            writes = {
-                "pipeline_metrics": lambda: self.store.write_metrics(metrics, batch_id),
-                "logs": lambda: self.store.write_logs(valid.coalesce(self._files(n_valid)), batch_id),
-                "logs_1m": lambda: self.store.write_rollup(rollup_1m(valid, k=self.sketch_k), batch_id),
-                "logs_1m_freq": lambda: self.store.write_frequencies(latency_frequencies(valid), batch_id),
-                "dlq": lambda: self.store.write_dlq(dlq_envelopes(rejected.coalesce(self._files(n_rejected))),
-                                                    batch_id),
-            }
-            if self.parallel:
-                with ThreadPoolExecutor(max_workers=len(writes)) as pool:
-                    futures = [pool.submit(inheritable_thread_target(fn)) for fn in writes.values()]
-                    for fut in futures:
-                        fut.result()
-            else:
-                for fn in writes.values():
-                    fn()
+            futures += [
+                submit(lambda: self.store.write_logs(valid.coalesce(self._files(n_valid)), batch_id)),
+                submit(lambda: self.store.write_dlq(dlq_envelopes(rejected.coalesce(self._files(n_rejected))),
+                                                    batch_id)),
+                submit(lambda: self.store.write_metrics(metrics, batch_id)),
+            ]
+            for fut in futures:
+                if fut is not None:
+                    fut.result()
             for name in self.SINKS:
                 self._maybe_fail(name, batch_id)
         finally:
+            if pool is not None:
+                pool.shutdown(wait=True)
             classified.unpersist()
 
 
