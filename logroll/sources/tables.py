@@ -16,7 +16,10 @@ so replaying a micro-batch after a failure replaces instead of duplicating.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.util import inheritable_thread_target
 
 from logroll.functions.timefn import as_timestamp
 from logroll.operators.rollup import merge_frequencies, merge_rollup
@@ -157,28 +160,32 @@ class LogStore:
         per key.  Late rows that arrive after compaction stay live and are merged at read time.
 
         The compacted rows carry ``through_batch_id`` (the newest batch folded in), written in
-        the same files, so readers never see a day counted twice.  Totals do not change."""
+        the same files, so readers never see a day counted twice.  Totals do not change.  The
+        tables are compacted as concurrent jobs."""
+        names = [n for n in tables if self.exists(n)]
+        with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
+            for fut in [pool.submit(inheritable_thread_target(self.spark)(self._compact_one), n, before)
+                        for n in names]:
+                fut.result()
+
+    def _compact_one(self, name: str, before) -> None:
         cutoff = F.to_date(as_timestamp(before))
-        for name in tables:
-            if not self.exists(name):
-                continue
-            live = self._read(name)
-            if self.exists(name + "_compacted"):
-                old = self._read(name + "_compacted")
-                done = old.groupBy("event_date").agg(F.max("through_batch_id").alias("_through"))
-                live = (live.join(done, "event_date", "left")
-                        .where(F.col("_through").isNull() | (F.col("batch_id") > F.col("_through")))
-                        .drop("_through"))
-                old = old.withColumnRenamed("through_batch_id", "batch_id")
-                live = live.unionByName(old)
-            live = live.where(F.col("event_date") < cutoff)
-            keys = ["event_date", *ROLLUP_KEY]
-            merged = (merge_frequencies(live, keys) if name.endswith("_freq") else merge_rollup(live, keys))
-            through = live.groupBy("event_date").agg(F.max("batch_id").alias("through_batch_id"))
-            # The new compacted rows read the old ones: materialise them in the shared checkpoint
-            # folder first, so the overwrite does not read the files it replaces.
-            out = merged.join(through, "event_date", "inner").checkpoint(eager=True)
-            self._write(out, name + "_compacted", ["event_date"], ROLLUP_KEY)
+        live = self._read(name)
+        if self.exists(name + "_compacted"):
+            old = self._read(name + "_compacted")
+            done = old.groupBy("event_date").agg(F.max("through_batch_id").alias("_through"))
+            live = (live.join(done, "event_date", "left")
+                    .where(F.col("_through").isNull() | (F.col("batch_id") > F.col("_through")))
+                    .drop("_through"))
+            live = live.unionByName(old.withColumnRenamed("through_batch_id", "batch_id"))
+        live = live.where(F.col("event_date") < cutoff)
+        keys = ["event_date", *ROLLUP_KEY]
+        merged = merge_frequencies(live, keys) if name.endswith("_freq") else merge_rollup(live, keys)
+        through = live.groupBy("event_date").agg(F.max("batch_id").alias("through_batch_id"))
+        # The new compacted rows read the old ones: materialise them in the shared checkpoint
+        # folder first, so the overwrite does not read the files it replaces.
+        out = merged.join(through, "event_date", "inner").checkpoint(eager=True)
+        self._write(out, name + "_compacted", ["event_date"], ROLLUP_KEY)
 
     def vacuum(self, tables=("logs_1m", "logs_1m_freq")) -> list[str]:
         """Delete live rollup partitions already folded into the compacted table.  Safe at any

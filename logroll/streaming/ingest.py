@@ -143,7 +143,7 @@ class IngestJob:
             if pool is None:
                 fn()
                 return None
-            return pool.submit(inheritable_thread_target(fn))
+            return pool.submit(inheritable_thread_target(spark)(fn))
 
         try:
             # The aggregated sinks do not depend on the batch counters: start them first.
