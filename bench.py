@@ -97,7 +97,29 @@ def main() -> None:
     run("raw_throughput", sink(R.throughput(rollup_1m(logs, sketch=False), ALL_MINUTES, as_of)))
     run("raw_latency_percentiles", sink(R.latency_percentiles(latency_frequencies(logs), ALL_MINUTES, as_of)))
 
+    def footprint(name):
+        from logroll.sources.tables import _hadoop_fs
+        path, fs = _hadoop_fs(spark, store.path(name))
+        if not fs.exists(path):
+            return 0, 0
+        files = fs.listFiles(path, True)
+        n = size = 0
+        while files.hasNext():
+            st = files.next()
+            if st.getPath().getName().endswith(".parquet"):
+                n += 1
+                size += st.getLen()
+        return n, size
+
+    extra["rollup_files_live"], extra["rollup_bytes_live"] = footprint("logs_1m")
+    # Sketch versus exact percentiles per service (relative error of each level).
+    exact = {r["service"]: r["percentiles"] for r in R.latency_percentiles(freq, ALL_MINUTES, as_of).collect()}
+    sketch = {r["service"]: r["percentiles"] for r in R.latency_percentiles_sketch(rollup, ALL_MINUTES, as_of).collect()}
+    extra["sketch_max_rel_error"] = round(max(abs(s - e) / max(e, 1.0) for svc in exact
+                                              for s, e in zip(sketch[svc], exact[svc])), 4)
+
     run("compact", lambda: store.compact(as_of))
+    extra["rollup_files_compacted"], extra["rollup_bytes_compacted"] = footprint("logs_1m_compacted")
     run("report_throughput_compacted", sink(R.throughput(store.rollup(), ALL_MINUTES, as_of)))
 
     lg = logs_from_events(ev)

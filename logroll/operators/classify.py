@@ -22,7 +22,7 @@ import functools
 from pyspark.sql import Column, DataFrame, functions as F
 
 from logroll.functions.strict_json import (
-    decode_payload, is_number_type, json_type, parse_wrapped, starts_object, strict_ok, strict_value,
+    decode_payload, is_number_type, parse_wrapped, starts_object, strict_ok, strict_value,
 )
 from logroll.schemas import (
     LEVELS, LOG_COLUMNS, MAX_SAFE_INTEGER, REASON_BAD_JSON, REASON_EMPTY, REASON_SCHEMA,
