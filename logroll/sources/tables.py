@@ -16,9 +16,10 @@ so replaying a micro-batch after a failure replaces instead of duplicating.
 
 from __future__ import annotations
 
+import datetime as _dt
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.util import inheritable_thread_target
 
 from logroll.functions.timefn import as_timestamp
@@ -34,6 +35,20 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _literal_date(since) -> str | None:
+    """``YYYY-MM-DD`` of a literal bound (text, date or datetime); None for a Column or None."""
+    if since is None or isinstance(since, Column):
+        return None
+    if isinstance(since, _dt.datetime):
+        return since.date().isoformat()
+    if isinstance(since, _dt.date):
+        return since.isoformat()
+    try:
+        return _dt.datetime.fromisoformat(str(since).strip().replace("Z", "+00:00")).date().isoformat()
+    except ValueError:
+        return None
+
+
 class LogStore:
     """Paths, writers and readers of the pipeline's tables below ``root``."""
 
@@ -101,8 +116,24 @@ class LogStore:
                     ["batch_id"])
 
     # -- readers -----------------------------------------------------------------------------
-    def _read(self, name: str) -> DataFrame:
-        return self.spark.read.option("basePath", self.path(name)).parquet(self.path(name))
+    def _read(self, name: str, since=None) -> DataFrame:
+        """Read a table.  With a literal ``since``, only the day directories from that date on are
+        handed to the reader (one listing of the table root), so reports over a recent window do
+        not discover every partition of a table that never expires."""
+        day = _literal_date(since)
+        if day is None:
+            return self.spark.read.option("basePath", self.path(name)).parquet(self.path(name))
+        root, fs = _hadoop_fs(self.spark, self.path(name))
+        paths = [st.getPath().toString() for st in fs.listStatus(root)
+                 if st.isDirectory() and st.getPath().getName().startswith("event_date=")
+                 and st.getPath().getName().split("=", 1)[1] >= day]
+        if not paths:
+            base = name.removesuffix("_compacted")
+            cols, _ = TABLE_DDL[base]
+            if name.endswith("_compacted"):
+                cols = cols.replace(", batch_id BIGINT", ", through_batch_id BIGINT")
+            return self.spark.createDataFrame([], cols)
+        return self.spark.read.option("basePath", self.path(name)).parquet(*paths)
 
     def exists(self, name: str) -> bool:
         p, fs = _hadoop_fs(self.spark, self.path(name))
@@ -111,17 +142,17 @@ class LogStore:
     def logs(self, since=None, public: bool = True) -> DataFrame:
         """Raw rows, optionally from ``since`` on.  The bound is stated on both ``event_date`` (so
         whole day directories are pruned at planning time) and ``timestamp`` (row filter)."""
-        df = self._read("logs")
+        df = self._read("logs", since)
         if since is not None:
             lo = as_timestamp(since)
             df = df.where((F.col("event_date") >= F.to_date(lo)) & (F.col("timestamp") >= lo))
         return df.select(*LOG_COLUMNS) if public else df
 
-    def _live_after_compaction(self, name: str) -> DataFrame:
-        live = self._read(name)
+    def _live_after_compaction(self, name: str, since=None) -> DataFrame:
+        live = self._read(name, since)
         if not self.exists(name + "_compacted"):
             return live.drop("batch_id")
-        done = (self._read(name + "_compacted").groupBy("event_date")
+        done = (self._read(name + "_compacted", since).groupBy("event_date")
                 .agg(F.max("through_batch_id").alias("_through")))
         # ``done`` has one row per compacted day; AQE broadcasts it once its size is measured.
         return (live.join(done, "event_date", "left")
@@ -129,9 +160,9 @@ class LogStore:
                 .drop("batch_id", "_through"))
 
     def _rollup_view(self, name: str, since) -> DataFrame:
-        rows = self._live_after_compaction(name)
+        rows = self._live_after_compaction(name, since)
         if self.exists(name + "_compacted"):
-            rows = rows.unionByName(self._read(name + "_compacted").drop("through_batch_id"))
+            rows = rows.unionByName(self._read(name + "_compacted", since).drop("through_batch_id"))
         if since is not None:
             # Day directories before the window are pruned at planning time.
             rows = rows.where(F.col("event_date") >= F.to_date(as_timestamp(since)))

@@ -73,3 +73,16 @@ def test_create_and_verify_tables(spark, scratch):
     assert spark.table("lp_test.logs").count() == 3
     store.truncate("logs", "lp_test")
     assert spark.table("lp_test.logs").count() == 0
+
+
+def test_report_reader_lists_only_recent_days(spark, scratch):
+    store = LogStore(spark, scratch("recent"))
+    logs = logs_over_days(spark)
+    store.write_logs(logs, 0)
+    store.write_rollup(rollup_1m(logs), 0)
+    since = T0 + dt.timedelta(days=8)
+    files = store.rollup(since=since).inputFiles()
+    assert files and all("event_date=2026-07-09" in f or "event_date=2026-07-10" in f for f in files)
+    assert store.rollup(since=since).agg(F.sum("total_count")).first()[0] == 6
+    assert store.rollup(since=T0 + dt.timedelta(days=30)).count() == 0
+    assert store.logs(since=since).count() == 6
