@@ -154,8 +154,9 @@ class LogStore:
             return live.drop("batch_id")
         done = (self._read(name + "_compacted", since).groupBy("event_date")
                 .agg(F.max("through_batch_id").alias("_through")))
-        # ``done`` has one row per compacted day; AQE broadcasts it once its size is measured.
-        return (live.join(done, "event_date", "left")
+        # ``done`` has one row per compacted day (bounded by the days kept, ~40 bytes each), so it
+        # is broadcast: a shuffle join on event_date would send all of today's rows to one task.
+        return (live.join(F.broadcast(done), "event_date", "left")
                 .where(F.col("_through").isNull() | (F.col("batch_id") > F.col("_through")))
                 .drop("batch_id", "_through"))
 
@@ -205,7 +206,7 @@ class LogStore:
         if self.exists(name + "_compacted"):
             old = self._read(name + "_compacted")
             done = old.groupBy("event_date").agg(F.max("through_batch_id").alias("_through"))
-            live = (live.join(done, "event_date", "left")
+            live = (live.join(F.broadcast(done), "event_date", "left")  # one row per day: bounded
                     .where(F.col("_through").isNull() | (F.col("batch_id") > F.col("_through")))
                     .drop("_through"))
             live = live.unionByName(old.withColumnRenamed("through_batch_id", "batch_id"))
@@ -215,7 +216,7 @@ class LogStore:
         through = live.groupBy("event_date").agg(F.max("batch_id").alias("through_batch_id"))
         # The new compacted rows read the old ones: materialise them in the shared checkpoint
         # folder first, so the overwrite does not read the files it replaces.
-        out = merged.join(through, "event_date", "inner").checkpoint(eager=True)
+        out = merged.join(F.broadcast(through), "event_date", "inner").checkpoint(eager=True)  # per day
         self._write(out, name + "_compacted", ["event_date"], ROLLUP_KEY)
 
     def vacuum(self, tables=("logs_1m", "logs_1m_freq")) -> list[str]:
