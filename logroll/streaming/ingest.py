@@ -17,6 +17,7 @@ minute's partial rows, never dropped.  An all-rejected batch still commits and t
 
 from __future__ import annotations
 
+import json
 import math
 from concurrent.futures import ThreadPoolExecutor
 
@@ -115,7 +116,10 @@ class IngestJob:
     SINKS = ("logs", "logs_1m", "logs_1m_freq", "dlq")
 
     def __init__(self, store: LogStore, sketch_k: int | None = None, fail_after: tuple[str, int] | None = None,
-                 parallel: bool = True, rows_per_file: int = 1_000_000):
+                 parallel: bool = True, rows_per_file: int = 1_000_000, dlq_topic: dict | None = None):
+        """``dlq_topic={"bootstrap_servers": ..., "topic": ...}`` also publishes each envelope to a
+        dead-letter topic (batch write, acks=all, gzip)."""
+        self.dlq_topic = dlq_topic
         self.store = store
         self.sketch_k = sketch_k
         self.fail_after = fail_after
@@ -164,6 +168,9 @@ class IngestJob:
                                                     batch_id)),
                 submit(lambda: self.store.write_metrics(metrics, batch_id)),
             ]
+            if self.dlq_topic and n_rejected:
+                futures.append(submit(lambda: kafka_sink_options(
+                    dlq_envelopes(rejected), self.dlq_topic["bootstrap_servers"], self.dlq_topic["topic"]).save()))
             for fut in futures:
                 if fut is not None:
                     fut.result()
@@ -175,6 +182,43 @@ class IngestJob:
             classified.unpersist()
 
 
+def lag_samples(progress: dict) -> list[tuple]:
+    """Consumer lag per topic partition from one ``StreamingQueryProgress`` (as a dict): the
+    source's latest available offset minus the offset the query has processed up to.  Returns
+    ``(metric, labels, value)`` samples; sources without per-partition offsets give none."""
+    out = []
+    for src in progress.get("sources", []):
+        latest, end = src.get("latestOffset"), src.get("endOffset")
+        if isinstance(latest, str):
+            latest = json.loads(latest)
+        if isinstance(end, str):
+            end = json.loads(end)
+        if not isinstance(latest, dict) or not isinstance(end, dict):
+            continue
+        for topic, parts in latest.items():
+            if not isinstance(parts, dict):
+                continue
+            for part, head in parts.items():
+                done = (end.get(topic) or {}).get(part)
+                if done is not None:
+                    out.append(("pipeline_consumer_lag_records", {"topic": topic, "partition": str(part)},
+                                float(int(head) - int(done))))
+    return out
+
+
+def record_lag(store: LogStore, query: StreamingQuery, batch_id: int | None = None) -> int:
+    """Write the query's current lag samples to ``pipeline_metrics`` (call every few seconds,
+    e.g. from the loop that watches the query).  Returns the number of samples written."""
+    progress = query.lastProgress
+    samples = lag_samples(progress) if progress else []
+    if samples:
+        spark = query.sparkSession
+        df = spark.createDataFrame(samples, "metric string, labels map<string,string>, value double") \
+            .select(F.current_timestamp().alias("ts"), "metric", "labels", "value")
+        store.write_metrics(df, progress.get("batchId", 0) if batch_id is None else batch_id)
+    return len(samples)
+
+
 def start_ingest(source: DataFrame, job: IngestJob, checkpoint: str, available_now: bool = False,
                  processing_time: str = "1 second", name: str | None = None) -> StreamingQuery:
     """Start the pipeline.  Default trigger: a micro-batch every second (flush by time); the

@@ -137,3 +137,14 @@ def test_graceful_drain(spark, scratch):
                      processing_time="10 seconds")
     drain(q)
     assert store.logs().where("service = 'drain-service'").count() == 5
+
+
+def test_lag_from_progress():
+    from logroll.streaming.ingest import lag_samples
+    progress = {"batchId": 3, "sources": [{
+        "startOffset": '{"log-events":{"0":90,"1":40}}',
+        "endOffset": '{"log-events":{"0":100,"1":50}}',
+        "latestOffset": '{"log-events":{"0":120,"1":50,"2":10}}'}]}
+    got = {s[1]["partition"]: s[2] for s in lag_samples(progress)}
+    assert got == {"0": 20.0, "1": 0.0}
+    assert lag_samples({"sources": [{"endOffset": '{"logOffset":1}', "latestOffset": '{"logOffset":2}'}]}) == []
