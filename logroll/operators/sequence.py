@@ -41,12 +41,15 @@ def previous_value(df: DataFrame, series: list[str], ts: str, value: str,
     nearest earlier non-empty slice, found in the (series × slice) summary.  Timestamps within a
     series are assumed distinct (ties are broken arbitrarily, as any ordering would)."""
     sliced = df.withColumn("_slice", _slice(ts, slice_unit))
-    edges = (sliced.groupBy(*series, "_slice")
-             .agg(F.max_by(F.col(value), F.col(ts)).alias("_last"))
+    w = Window.partitionBy(*series, "_slice").orderBy(ts)
+    # One ordered pass per (series, slice): the previous value inside the slice, and whether the
+    # row is the slice's last.  The slice summary is taken from that same pass, so the input is
+    # shuffled and sorted once.
+    ranked = (sliced.withColumn("_lag", F.lag(F.col(value)).over(w))
+              .withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull()))
+    edges = (ranked.where("_is_last").select(*series, "_slice", F.col(value).alias("_last"))
              .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*series).orderBy("_slice")))
              .drop("_last"))
-    inside = F.lag(F.col(value)).over(Window.partitionBy(*series, "_slice").orderBy(ts))
-    return (sliced.withColumn("_lag", inside)
-            .join(edges, [*series, "_slice"], "inner")
+    return (ranked.join(edges, [*series, "_slice"], "inner")
             .withColumn(out, F.coalesce(F.col("_lag"), F.col("_carry")))
-            .drop("_slice", "_lag", "_carry"))
+            .drop("_slice", "_lag", "_carry", "_is_last"))
