@@ -97,13 +97,13 @@ def q_stream_late(spark, sf_dir):
 
 def q_stream_all_rejected(spark, sf_dir):
     """A first micro-batch holding only rejected messages still commits; the next batch follows.
-    Result: messages and valid rows per batch, from the batch counters."""
+    Result: after each batch, the cumulative messages consumed and valid rows written."""
     bad = F.col("offset") % 100 < 4
     store = _run_stream(spark, sf_dir, arrivals=[bad, ~bad])
     m = store.metrics()
     return (m.groupBy("batch_id")
-            .agg(F.sum(F.when(F.col("metric") == "pipeline_messages_consumed", F.col("value"))).alias("consumed"),
-                 F.sum(F.when(F.col("metric") == "pipeline_batch_size_records", F.col("value"))).alias("valid")))
+            .agg(F.max(F.when(F.col("metric") == "pipeline_messages_consumed_total", F.col("value"))).alias("consumed"),
+                 F.max(F.when(F.col("metric") == "pipeline_batch_size_records_sum", F.col("value"))).alias("valid")))
 
 
 def q_stream_replay(spark, sf_dir):
@@ -118,12 +118,12 @@ def q_stream_dlq(spark, sf_dir):
 
 
 def q_stream_metrics(spark, sf_dir):
-    """Batch counters written by the stream, summed over batches (committed offsets: max)."""
-    m = _run_stream(spark, sf_dir).metrics()
-    label = F.coalesce(F.try_element_at(F.map_values("labels"), F.lit(1)), F.lit(""))
-    return (m.groupBy("metric", label.alias("label"))
-            .agg(F.when(F.col("metric") == "pipeline_committed_offset", F.max("value"))
-                 .otherwise(F.sum("value")).alias("value")))
+    """The pipeline's own counters after the stream: newest value of each series."""
+    m = _run_stream(spark, sf_dir).metrics().where(F.col("metric").isin(
+        "pipeline_messages_consumed_total", "pipeline_messages_dlq_total", "pipeline_committed_offset",
+        "pipeline_batch_size_records_sum"))
+    label = F.coalesce(F.col("labels")["reason"], F.col("labels")["partition"], F.col("labels")["topic"], F.lit(""))
+    return m.groupBy("metric", label.alias("label")).agg(F.max_by("value", "batch_id").alias("value"))
 
 
 def q_dedup_offsets(spark, sf_dir):
@@ -150,16 +150,18 @@ SQL = {
     "stream_replay": _VALID,
     "stream_late": _VALID_ROLLUP,
     "stream_all_rejected": """
-        SELECT CAST(CASE WHEN event_id % 100 < 4 THEN 0 ELSE 1 END AS BIGINT) AS batch_id,
-               CAST(count(*) AS DOUBLE) AS consumed,
-               CAST(count(*) FILTER (WHERE event_id % 100 >= 4) AS DOUBLE) AS valid
-        FROM events GROUP BY 1""",
+        SELECT CAST(0 AS BIGINT) AS batch_id, CAST(count(*) AS DOUBLE) AS consumed, CAST(0 AS DOUBLE) AS valid
+        FROM events WHERE event_id % 100 < 4
+        UNION ALL
+        SELECT CAST(1 AS BIGINT), CAST(count(*) AS DOUBLE), CAST(count(*) FILTER (WHERE event_id % 100 >= 4) AS DOUBLE)
+        FROM events""",
     "stream_dlq": f"SELECT partition, \"offset\", reason_code, reason, payload FROM ({_REJECTED})",
     "stream_metrics": f"""
-        SELECT 'pipeline_messages_consumed' AS metric, '{LOG_TOPIC}' AS label, CAST(count(*) AS DOUBLE) AS value
+        SELECT 'pipeline_messages_consumed_total' AS metric, '{LOG_TOPIC}' AS label, CAST(count(*) AS DOUBLE) AS value
         FROM events
-        UNION ALL SELECT 'pipeline_messages_dlq', reason_code, CAST(count(*) AS DOUBLE) FROM ({_REJECTED}) GROUP BY 2
-        UNION ALL SELECT 'pipeline_batch_size_records', '', CAST(count(*) AS DOUBLE) FROM events
+        UNION ALL SELECT 'pipeline_messages_dlq_total', reason_code, CAST(count(*) AS DOUBLE) FROM ({_REJECTED})
+                  GROUP BY 2
+        UNION ALL SELECT 'pipeline_batch_size_records_sum', '', CAST(count(*) AS DOUBLE) FROM events
                   WHERE event_id % 100 >= 4
         UNION ALL SELECT 'pipeline_committed_offset', CAST(user_id % 4 AS VARCHAR), CAST(max(event_id) + 1 AS DOUBLE)
                   FROM events GROUP BY 2""",

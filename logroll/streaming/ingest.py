@@ -17,8 +17,10 @@ minute's partial rows, never dropped.  An all-rejected batch still commits and t
 
 from __future__ import annotations
 
+import copy
 import json
 import math
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -28,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from logroll.operators.classify import classify, dlq_envelopes, rejections, valid_rows
 from logroll.operators.rollup import latency_frequencies, rollup_1m
-from logroll.schemas import LOG_TOPIC, RAW_MESSAGE
+from logroll.schemas import BATCH_SIZE_BOUNDS, INSERT_DURATION_BOUNDS, LOG_TOPIC, RAW_MESSAGE
 from logroll.sources.tables import LogStore
 
 LINEAGE = ["topic", "partition", "offset"]
@@ -82,22 +84,70 @@ def batch_counts(classified: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("max_offset")))
 
 
-def metric_samples(counts: list) -> list[tuple]:
-    """Batch counters as metric samples ``(metric, labels, value)`` from ``batch_counts`` rows:
-    messages per topic, rejections per reason code, valid rows, committed offset per partition."""
-    consumed, dlq, committed, valid = {}, {}, {}, 0
-    for r in counts:
-        consumed[r["topic"]] = consumed.get(r["topic"], 0) + r["n"]
-        if r["reason_code"] is None:
-            valid += r["n"]
-        else:
-            dlq[r["reason_code"]] = dlq.get(r["reason_code"], 0) + r["n"]
-        key = str(r["partition"])
-        committed[key] = max(committed.get(key, -1), r["max_offset"] + 1)
-    return ([("pipeline_messages_consumed", {"topic": t}, float(v)) for t, v in consumed.items()]
-            + [("pipeline_messages_dlq", {"reason": k}, float(v)) for k, v in dlq.items()]
-            + [("pipeline_batch_size_records", {}, float(valid))]
-            + [("pipeline_committed_offset", {"partition": k}, float(v)) for k, v in committed.items()])
+class PipelineCounters:
+    """The pipeline's own telemetry as cumulative series, one set of samples per batch:
+
+    * ``pipeline_messages_consumed_total{topic}`` and ``pipeline_messages_dlq_total{reason}``
+      (reason code, so the label set stays bounded) — counters;
+    * ``pipeline_batch_size_records`` and ``pipeline_insert_duration_seconds`` — histograms
+      (``_bucket{le}``, ``_sum``, ``_count``); a batch's sink duration is reported with the next
+      batch, once it is known;
+    * ``pipeline_committed_offset{topic,partition}`` — gauge, the next offset to read.
+
+    Totals live in the driver and start at zero when the job starts, like a process's counters,
+    so rate operators see a counter reset after a restart.  A batch replayed in the same process
+    gets the same samples again (state is kept per batch id), so its metrics partition is
+    replaced, never double counted."""
+
+    def __init__(self):
+        self._after: dict[int, dict] = {}
+
+    @staticmethod
+    def _empty() -> dict:
+        return {"consumed": {}, "dlq": {}, "committed": {},
+                "size": [0] * (len(BATCH_SIZE_BOUNDS) + 1), "size_sum": 0.0,
+                "dur": [0] * (len(INSERT_DURATION_BOUNDS) + 1), "dur_sum": 0.0}
+
+    def update(self, batch_id: int, counts: list, last_duration: float | None) -> list[tuple]:
+        before = [b for b in self._after if b < batch_id]
+        state = copy.deepcopy(self._after[max(before)]) if before else self._empty()
+        valid = 0
+        for r in counts:
+            state["consumed"][r["topic"]] = state["consumed"].get(r["topic"], 0) + r["n"]
+            if r["reason_code"] is None:
+                valid += r["n"]
+            else:
+                state["dlq"][r["reason_code"]] = state["dlq"].get(r["reason_code"], 0) + r["n"]
+            key = (r["topic"], str(r["partition"]))
+            state["committed"][key] = max(state["committed"].get(key, 0), r["max_offset"] + 1)
+        _observe(state["size"], BATCH_SIZE_BOUNDS, valid)
+        state["size_sum"] += valid
+        if last_duration is not None:
+            _observe(state["dur"], INSERT_DURATION_BOUNDS, last_duration)
+            state["dur_sum"] += last_duration
+        self._after = {b: v for b, v in self._after.items() if b < batch_id and b >= batch_id - 1}
+        self._after[batch_id] = state
+        out = [("pipeline_messages_consumed_total", {"topic": t}, float(v)) for t, v in state["consumed"].items()]
+        out += [("pipeline_messages_dlq_total", {"reason": k}, float(v)) for k, v in state["dlq"].items()]
+        out += [("pipeline_committed_offset", {"topic": t, "partition": p}, float(v))
+                for (t, p), v in state["committed"].items()]
+        out += _histogram("pipeline_batch_size_records", BATCH_SIZE_BOUNDS, state["size"], state["size_sum"])
+        out += _histogram("pipeline_insert_duration_seconds", INSERT_DURATION_BOUNDS, state["dur"], state["dur_sum"])
+        return out
+
+
+def _observe(buckets: list, bounds, v: float) -> None:
+    """Add one observation to cumulative buckets (last slot is +Inf)."""
+    for i, b in enumerate(bounds):
+        if v <= b:
+            buckets[i] += 1
+    buckets[-1] += 1
+
+
+def _histogram(name: str, bounds, buckets: list, total: float) -> list[tuple]:
+    les = [format(float(b), "g") for b in bounds] + ["+Inf"]
+    return ([(f"{name}_bucket", {"le": le}, float(c)) for le, c in zip(les, buckets)]
+            + [(f"{name}_sum", {}, float(total)), (f"{name}_count", {}, float(buckets[-1]))])
 
 
 class InjectedFailure(RuntimeError):
@@ -120,6 +170,8 @@ class IngestJob:
         """``dlq_topic={"bootstrap_servers": ..., "topic": ...}`` also publishes each envelope to a
         dead-letter topic (batch write, acks=all, gzip)."""
         self.dlq_topic = dlq_topic
+        self.counters = PipelineCounters()
+        self._last_duration: float | None = None
         self.store = store
         self.sketch_k = sketch_k
         self.fail_after = fail_after
@@ -157,9 +209,11 @@ class IngestJob:
             ]
             # A few dozen rows (topics × partitions × reasons); their counts size the raw-row
             # writes so a batch writes few, large files.
-            samples = metric_samples(batch_counts(classified).collect())
-            n_valid = sum(v for m, _, v in samples if m == "pipeline_batch_size_records")
-            n_rejected = sum(v for m, _, v in samples if m == "pipeline_messages_dlq")
+            started = time.perf_counter()
+            counts = batch_counts(classified).collect()
+            n_valid = sum(r["n"] for r in counts if r["reason_code"] is None)
+            n_rejected = sum(r["n"] for r in counts if r["reason_code"] is not None)
+            samples = self.counters.update(batch_id, counts, self._last_duration)
             metrics = spark.createDataFrame(samples, "metric string, labels map<string,string>, value double") \
                 .select(F.current_timestamp().alias("ts"), "metric", "labels", "value")
             futures += [
@@ -174,6 +228,7 @@ class IngestJob:
             for fut in futures:
                 if fut is not None:
                     fut.result()
+            self._last_duration = time.perf_counter() - started
             for name in self.SINKS:
                 self._maybe_fail(name, batch_id)
         finally:

@@ -83,13 +83,39 @@ def test_dead_letters(ingested):
     assert json.loads(d["SCHEMA_VIOLATION"]["value"])["payload"] == GARBAGE_SCHEMA
 
 
-def test_batch_metrics(ingested):
+def test_pipeline_counters(ingested):
     m = ingested.metrics()
-    s = {r["metric"]: r["v"] for r in m.groupBy("metric").agg(F.sum("value").alias("v")).collect()}
-    assert s["pipeline_messages_consumed"] == 12 and s["pipeline_messages_dlq"] == 2
-    assert s["pipeline_batch_size_records"] == 10
-    committed = m.where("metric = 'pipeline_committed_offset'").agg(F.max("value")).first()[0]
-    assert committed == 12
+    last = {(r["metric"], tuple(sorted(r["labels"].items()))): r["v"]
+            for r in m.groupBy("metric", "labels").agg(F.max_by("value", "batch_id").alias("v")).collect()}
+    assert last[("pipeline_messages_consumed_total", (("topic", "log-events"),))] == 12
+    assert last[("pipeline_messages_dlq_total", (("reason", "INVALID_JSON_STRING_FORMAT"),))] == 1
+    assert last[("pipeline_messages_dlq_total", (("reason", "SCHEMA_VIOLATION"),))] == 1
+    assert last[("pipeline_batch_size_records_sum", ())] == 10
+    assert last[("pipeline_batch_size_records_count", ())] == 2
+    assert last[("pipeline_batch_size_records_bucket", (("le", "100"),))] == 2
+    assert last[("pipeline_committed_offset", (("partition", "0"), ("topic", "log-events")))] == 12
+    # the first batch's sink duration is reported with the second batch
+    assert last[("pipeline_insert_duration_seconds_count", ())] == 1
+
+
+def test_counters_are_cumulative_and_replay_safe():
+    from logroll.streaming.ingest import PipelineCounters
+    c = PipelineCounters()
+    row = lambda n, code=None: {"topic": "t", "partition": 0, "reason_code": code, "n": n, "max_offset": n}
+    first = dict(((m, tuple(l.items())), v) for m, l, v in c.update(0, [row(5), row(1, "X")], None))
+    again = dict(((m, tuple(l.items())), v) for m, l, v in c.update(0, [row(5), row(1, "X")], None))
+    assert first == again
+    second = dict(((m, tuple(l.items())), v) for m, l, v in c.update(1, [row(3)], 0.2))
+    assert second[("pipeline_messages_consumed_total", (("topic", "t"),))] == 9
+    assert second[("pipeline_insert_duration_seconds_bucket", (("le", "0.25"),))] == 1
+    assert second[("pipeline_insert_duration_seconds_bucket", (("le", "0.1"),))] == 0
+
+
+def test_rate_over_pipeline_counters(ingested):
+    from logroll.operators import metrics as M
+    rates = M.counter_rate(ingested.metrics().where("metric = 'pipeline_messages_consumed_total'"), "1 hour")
+    # increase over the run = last - first sample (the first sample counts as the start)
+    assert rates.agg(F.sum("rate")).first()[0] * 3600 == 6
 
 
 def test_all_rejected_batch_still_commits(spark, scratch):
@@ -101,6 +127,9 @@ def test_all_rejected_batch_still_commits(spark, scratch):
     assert store.logs().count() == 1
     assert store.dlq().count() == 3
     assert sorted(r[0] for r in store.dlq().select("batch_id").distinct().collect()) == [0]
+    consumed = {r["batch_id"]: r["value"] for r in store.metrics()
+                .where("metric = 'pipeline_messages_consumed_total'").collect()}
+    assert consumed == {0: 3, 1: 4}
 
 
 @pytest.mark.parametrize("sink", ["logs", "logs_1m"])
