@@ -68,9 +68,9 @@ TABLE_DDL = {
              "`offset` BIGINT, event_date DATE, batch_id BIGINT", ["event_date", "batch_id"]),
     "logs_1m": ("minute TIMESTAMP, service STRING, level STRING, total_count BIGINT, error_count BIGINT, "
                 "latency_sum BIGINT, latency_quantiles BINARY, event_date DATE, batch_id BIGINT",
-                ["event_date", "batch_id"]),
+                ["batch_id"]),
     "logs_1m_freq": ("minute TIMESTAMP, service STRING, level STRING, latency_ms BIGINT, cnt BIGINT, "
-                     "event_date DATE, batch_id BIGINT", ["event_date", "batch_id"]),
+                     "event_date DATE, batch_id BIGINT", ["batch_id"]),
     "dlq": ("rejected_at TIMESTAMP, reason STRING, payload STRING, reason_code STRING, topic STRING, "
             "`partition` INT, `offset` BIGINT, batch_id BIGINT", ["batch_id"]),
     "pipeline_metrics": ("ts TIMESTAMP, metric STRING, labels MAP<STRING, STRING>, value DOUBLE, batch_id BIGINT",

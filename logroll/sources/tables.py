@@ -3,8 +3,10 @@
 Tables live under one root (shared storage on a cluster):
 
 * ``logs``            raw rows, partitioned by ``event_date`` and ``batch_id``; 7-day retention.
-* ``logs_1m``         partial rollup rows (one set per micro-batch), same partitioning; no expiry.
-* ``logs_1m_freq``    exact latency frequencies, same partitioning.
+* ``logs_1m``         partial rollup rows, one directory (one file) per micro-batch, partitioned by
+  ``batch_id`` with ``event_date`` as a sorted column; no expiry.  Late rows do not multiply
+  files: a batch writes one file however many days it touches.
+* ``logs_1m_freq``    exact latency frequencies, same layout.
 * ``logs_1m_compacted`` merged rollup of closed days, partitioned by ``event_date``; each row
   carries ``through_batch_id``: live rows of that day up to this batch are already inside.
 * ``dlq``             rejections, partitioned by ``batch_id``.
@@ -99,14 +101,16 @@ class LogStore:
         self._write(df, "logs", ["event_date", "batch_id"], ["service", "level", "timestamp"])
 
     def write_rollup(self, partial: DataFrame, batch_id: int) -> None:
+        """Partial rollup of one batch.  It is small (keys touched by the batch), so it is written
+        as one file, sorted by (event_date, minute, service, level) for min/max skipping."""
         df = partial.select("*", F.to_date("minute").alias("event_date"),
                             F.lit(batch_id).cast("bigint").alias("batch_id"))
-        self._write(df, "logs_1m", ["event_date", "batch_id"], ROLLUP_KEY)
+        self._write(df.coalesce(1), "logs_1m", ["batch_id"], ["event_date", *ROLLUP_KEY])
 
     def write_frequencies(self, freq: DataFrame, batch_id: int) -> None:
         df = freq.select("*", F.to_date("minute").alias("event_date"),
                          F.lit(batch_id).cast("bigint").alias("batch_id"))
-        self._write(df, "logs_1m_freq", ["event_date", "batch_id"], ROLLUP_KEY)
+        self._write(df.coalesce(1), "logs_1m_freq", ["batch_id"], ["event_date", *ROLLUP_KEY])
 
     def write_dlq(self, envelopes: DataFrame, batch_id: int) -> None:
         self._write(envelopes.withColumn("batch_id", F.lit(batch_id).cast("bigint")), "dlq", ["batch_id"])
@@ -121,14 +125,15 @@ class LogStore:
         handed to the reader (one listing of the table root), so reports over a recent window do
         not discover every partition of a table that never expires."""
         day = _literal_date(since)
-        if day is None:
+        base = name.removesuffix("_compacted")
+        by_day = name.endswith("_compacted") or "event_date" in TABLE_DDL[base][1]
+        if day is None or not by_day:
             return self.spark.read.option("basePath", self.path(name)).parquet(self.path(name))
         root, fs = _hadoop_fs(self.spark, self.path(name))
         paths = [st.getPath().toString() for st in fs.listStatus(root)
                  if st.isDirectory() and st.getPath().getName().startswith("event_date=")
                  and st.getPath().getName().split("=", 1)[1] >= day]
         if not paths:
-            base = name.removesuffix("_compacted")
             cols, _ = TABLE_DDL[base]
             if name.endswith("_compacted"):
                 cols = cols.replace(", batch_id BIGINT", ", through_batch_id BIGINT")
@@ -165,7 +170,8 @@ class LogStore:
         if self.exists(name + "_compacted"):
             rows = rows.unionByName(self._read(name + "_compacted", since).drop("through_batch_id"))
         if since is not None:
-            # Day directories before the window are pruned at planning time.
+            # Compacted day directories before the window are never listed; live rows are
+            # skipped by the pushed-down event_date predicate (files are sorted by it).
             rows = rows.where(F.col("event_date") >= F.to_date(as_timestamp(since)))
         return rows.drop("event_date")
 
@@ -220,25 +226,26 @@ class LogStore:
         self._write(out, name + "_compacted", ["event_date"], ROLLUP_KEY)
 
     def vacuum(self, tables=("logs_1m", "logs_1m_freq")) -> list[str]:
-        """Delete live rollup partitions already folded into the compacted table.  Safe at any
-        point: readers ignore live batches at or below ``through_batch_id`` anyway."""
+        """Delete live batch directories whose every row is already folded into the compacted table
+        (each day the batch touches is compacted through that batch or later).  Safe at any point:
+        readers ignore live rows at or below ``through_batch_id`` anyway."""
         removed = []
         for name in tables:
             if not (self.exists(name) and self.exists(name + "_compacted")):
                 continue
-            # One row per compacted day: bounded by the number of days kept.
-            through = {str(r[0]): r[1] for r in self._read(name + "_compacted").groupBy("event_date")
-                       .agg(F.max("through_batch_id")).collect()}
+            through = (self._read(name + "_compacted").groupBy("event_date")
+                       .agg(F.max("through_batch_id").alias("_through")))
+            # One row per live batch (bounded by the batches since the last vacuum).
+            done = (self._read(name).join(F.broadcast(through), "event_date", "left")
+                    .groupBy("batch_id")
+                    .agg(F.bool_and(F.coalesce(F.col("batch_id") <= F.col("_through"), F.lit(False))).alias("ok"))
+                    .where("ok").collect())
             root, fs = _hadoop_fs(self.spark, self.path(name))
-            for day in fs.listStatus(root):
-                d = day.getPath().getName()
-                if not d.startswith("event_date=") or d.split("=", 1)[1] not in through:
-                    continue
-                for b in fs.listStatus(day.getPath()):
-                    bn = b.getPath().getName()
-                    if bn.startswith("batch_id=") and int(bn.split("=", 1)[1]) <= through[d.split("=", 1)[1]]:
-                        fs.delete(b.getPath(), True)
-                        removed.append(f"{name}/{d}/{bn}")
+            jvm = self.spark.sparkContext._jvm
+            for r in done:
+                part = jvm.org.apache.hadoop.fs.Path(root, f"batch_id={r['batch_id']}")
+                if fs.delete(part, True):
+                    removed.append(f"{name}/batch_id={r['batch_id']}")
         return removed
 
     def drop_expired(self, as_of=None, days: int = RETENTION_DAYS) -> list[str]:

@@ -57,7 +57,8 @@ def test_compaction_keeps_totals_and_late_rows(spark, scratch):
     assert store.rollup(merged=True).agg(F.sum("total_count")).first()[0] == before[0] + 2
     # second compaction folds them in; vacuum removes covered live partitions; totals unchanged
     store.compact(T0 + dt.timedelta(days=3))
-    store.vacuum()
+    # batches 0-2 still hold rows of the open day 4; the late batch 3 is fully compacted
+    assert store.vacuum() == ["logs_1m/batch_id=3"]
     assert store.rollup(merged=True).agg(F.sum("total_count")).first()[0] == before[0] + 2
     q = store.rollup(merged=True).where("service = 's1'").select(
         F.kll_sketch_get_n_bigint(F.kll_merge_agg_bigint("latency_quantiles"))).first()[0]
@@ -80,9 +81,20 @@ def test_report_reader_lists_only_recent_days(spark, scratch):
     logs = logs_over_days(spark)
     store.write_logs(logs, 0)
     store.write_rollup(rollup_1m(logs), 0)
+    store.compact(T0 + dt.timedelta(days=9))           # days 1..9 compacted, day 10 live
     since = T0 + dt.timedelta(days=8)
     files = store.rollup(since=since).inputFiles()
-    assert files and all("event_date=2026-07-09" in f or "event_date=2026-07-10" in f for f in files)
+    compacted = [f for f in files if "_compacted" in f]
+    assert compacted and all("event_date=2026-07-09" in f for f in compacted)
     assert store.rollup(since=since).agg(F.sum("total_count")).first()[0] == 6
     assert store.rollup(since=T0 + dt.timedelta(days=30)).count() == 0
     assert store.logs(since=since).count() == 6
+    assert all("event_date=2026-07-09" in f or "event_date=2026-07-10" in f
+               for f in store.logs(since=since).inputFiles())
+
+
+def test_live_rollup_is_one_file_per_batch(spark, scratch):
+    store = LogStore(spark, scratch("onefile"))
+    store.write_rollup(rollup_1m(logs_over_days(spark)), 7)
+    files = [f for f in store.rollup().inputFiles()]
+    assert len(files) == 1 and "batch_id=7" in files[0]
