@@ -65,11 +65,12 @@ def _checkpoint_root(spark: SparkSession) -> str:
             root = None
     if not root:
         root = tempfile.mkdtemp(prefix="logroll-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:
-            pass
+        for set_dir in (lambda: spark.conf.set("spark.checkpoint.dir", root),
+                        lambda: spark.sparkContext.setCheckpointDir(root)):
+            try:
+                set_dir()
+            except Exception:  # a core option may be read-only in this session
+                pass
     return root
 
 
