@@ -58,11 +58,14 @@ def _checkpoint_root(spark: SparkSession) -> str:
     folder under the system temp directory created and registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # Spark Connect has no SparkContext
-            root = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect has no SparkContext
+        sc = None
+    if root and sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)            # so DataFrame.checkpoint() writes there too
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="logroll-")
         for set_dir in (lambda: spark.conf.set("spark.checkpoint.dir", root),
