@@ -5,6 +5,7 @@ Dashboard panels are re-expressed as DataFrame work:
 * ``counter_rate``      — ``sum(rate(c[step]))``, optionally ``by`` a label (counter resets handled).
 * ``histogram_buckets`` — cumulative ``le`` buckets of observed values (one aggregation pass).
 * ``histogram_quantile``— quantile from cumulative buckets with linear interpolation.
+* ``histogram_rate_quantile`` — the same over the rates of cumulative bucket counters per step.
 * ``latest``            — instant value of each series (gauges, lag per partition).
 * ``metric_total``      — sum over every series whose name has a prefix (latest values).
 
@@ -106,6 +107,14 @@ def histogram_quantile(buckets: DataFrame, q: float, group: list[str] | None = N
     return first.select(*group, val.alias(out))
 
 
+def histogram_rate_quantile(samples: DataFrame, bucket_metric: str, q: float, step: str = "5 minutes",
+                            by: list[str] | None = None, out: str = "quantile") -> DataFrame:
+    """``histogram_quantile(q, sum(rate(<bucket_metric>[step])) by (le))``: per-``le`` rates of the
+    cumulative bucket counters per step, then the quantile of each step's buckets."""
+    rates = counter_rate(samples.where(F.col("metric") == bucket_metric), step, by=["le", *(by or [])])
+    return histogram_quantile(rates, q, ["time", *(by or [])], le="le", count="rate", out=out)
+
+
 def latest(samples: DataFrame, keys: list[str], value: str = "value", ts: str = "ts",
            out: str = "value") -> DataFrame:
     """Instant value: the newest sample's value per key (gauge panels, lag per partition)."""

@@ -13,7 +13,7 @@ from logroll.operators import metrics as M
 from logroll.operators.offsets import lag_series
 from logroll.plans.common import LOGS_SQL, events, ntz
 from logroll.schemas import LOG_TOPIC
-from logroll.sources.events import dlq_counter_samples, logs_from_events, wire_messages
+from logroll.sources.events import dlq_counter_samples, latency_bucket_samples, logs_from_events, wire_messages
 
 LATENCY_BOUNDS = [50, 100, 250, 500, 1000, 2500, 5000]   # ms
 DLQ_PREFIX = "pipeline_messages_dlq"
@@ -51,6 +51,15 @@ def q_histogram_quantile(spark, sf_dir):
     return p50.join(p95, "service")
 
 
+def q_histogram_rate_quantile(spark, sf_dir):
+    """Dashboard panel: p50 and p95 of latency per hour from the rates of cumulative bucket
+    counters (scraped hourly)."""
+    samples = latency_bucket_samples(events(spark, sf_dir), LATENCY_BOUNDS)
+    p50 = M.histogram_rate_quantile(samples, "latency_ms_bucket", 0.5, "1 hour", out="p50")
+    p95 = M.histogram_rate_quantile(samples, "latency_ms_bucket", 0.95, "1 hour", out="p95")
+    return ntz(p50.join(p95, "time"))
+
+
 def q_gauge_latest(spark, sf_dir):
     lg = logs_from_events(events(spark, sf_dir), keep=[F.col("ts").cast("timestamp").alias("ts")])
     samples = lg.select("ts", F.lit("latency_ms").alias("metric"),
@@ -78,22 +87,35 @@ h AS (SELECT service, le, bound, count(*) FILTER (WHERE latency_ms <= bound) AS
       GROUP BY service, le, bound)"""
 
 
-def _quantile_sql(q: float, name: str) -> str:
+def _quantile_sql(q: float, name: str, group: str = "service", src: str = "h") -> str:
     return f"""
-    (SELECT service, CASE WHEN le = '+Inf' THEN top
+    (SELECT {group}, CASE WHEN le = '+Inf' THEN top
                      ELSE prev_le + (bound - prev_le) * coalesce(({q} * total - prev_cnt) / nullif(count - prev_cnt, 0), 0)
                      END AS {name}
-     FROM (SELECT *, row_number() OVER (PARTITION BY service ORDER BY bound) AS rn
-           FROM (SELECT service, le, bound, CAST(count AS DOUBLE) AS count,
-                        coalesce(lag(bound) OVER (PARTITION BY service ORDER BY bound), 0) AS prev_le,
-                        coalesce(lag(CAST(count AS DOUBLE)) OVER (PARTITION BY service ORDER BY bound), 0) AS prev_cnt,
-                        max(CASE WHEN le = '+Inf' THEN CAST(count AS DOUBLE) END) OVER (PARTITION BY service) AS total,
-                        max(CASE WHEN le <> '+Inf' THEN bound END) OVER (PARTITION BY service) AS top
-                 FROM h) w
+     FROM (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY bound) AS rn
+           FROM (SELECT {group}, le, bound, CAST(count AS DOUBLE) AS count,
+                        coalesce(lag(bound) OVER (PARTITION BY {group} ORDER BY bound), 0) AS prev_le,
+                        coalesce(lag(CAST(count AS DOUBLE)) OVER (PARTITION BY {group} ORDER BY bound), 0) AS prev_cnt,
+                        max(CASE WHEN le = '+Inf' THEN CAST(count AS DOUBLE) END) OVER (PARTITION BY {group}) AS total,
+                        max(CASE WHEN le <> '+Inf' THEN bound END) OVER (PARTITION BY {group}) AS top
+                 FROM {src}) w
            WHERE count >= {q} * total) f
      WHERE rn = 1)"""
 
 
+_RATE_BUCKETS = f"""
+WITH logs AS ({LOGS_SQL}), b(le, bound) AS (VALUES {_BOUNDS}),
+hb AS (SELECT date_trunc('hour', timestamp) + INTERVAL 1 HOUR AS ts, le, bound,
+              count(*) FILTER (WHERE latency_ms <= bound) AS n
+       FROM logs, b GROUP BY 1, 2, 3),
+c AS (SELECT ts, le, bound, CAST(sum(n) OVER (PARTITION BY le ORDER BY ts ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS value
+      FROM hb),
+p AS (SELECT *, lag(value) OVER (PARTITION BY le ORDER BY ts) AS prev FROM c),
+r AS (SELECT date_trunc('hour', ts) AS time, le, bound,
+             sum(CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END) / 3600.0 AS count
+      FROM p GROUP BY 1, 2, 3)"""
+
+
 SQL = {
     "counter_rate": f"{_SAMPLES} SELECT date_trunc('hour', ts) AS time, sum(inc) / 3600.0 AS rate FROM i GROUP BY 1",
     "dlq_rate": f"""{_SAMPLES} SELECT date_trunc('hour', ts) AS time, reason, sum(inc) / 3600.0 AS rate
@@ -103,6 +125,9 @@ SQL = {
     "histogram_buckets": f"{_BUCKETS} SELECT service, le, count FROM h",
     "histogram_quantile": f"""{_BUCKETS} SELECT a.service, a.p50, b.p95 FROM {_quantile_sql(0.5, 'p50')} a
                               JOIN {_quantile_sql(0.95, 'p95')} b ON a.service = b.service""",
+    "histogram_rate_quantile": f"""{_RATE_BUCKETS}
+        SELECT a.time, a.p50, b.p95 FROM {_quantile_sql(0.5, 'p50', 'time', 'r')} a
+        JOIN {_quantile_sql(0.95, 'p95', 'time', 'r')} b ON a.time = b.time""",
     "gauge_latest": f"""SELECT concat('svc-', CAST(user_id % 4 AS VARCHAR)) AS service,
                                arg_max(CAST(floor(value * 10) AS DOUBLE), ts) AS value
                         FROM events GROUP BY 1""",
@@ -123,6 +148,7 @@ QUERIES = {
     "metric_total": q_metric_total,
     "histogram_buckets": q_histogram_buckets,
     "histogram_quantile": q_histogram_quantile,
+    "histogram_rate_quantile": q_histogram_rate_quantile,
     "gauge_latest": q_gauge_latest,
     "lag_series": q_lag_series,
 }

@@ -154,3 +154,18 @@ def dlq_counter_samples(events: DataFrame) -> DataFrame:
         F.create_map(F.lit("reason"), F.col("event_type")).alias("labels"),
         F.col("_n").cast("double").alias("value"),
     )
+
+
+def latency_bucket_samples(events: DataFrame, bounds, metric: str = "latency_ms_bucket") -> DataFrame:
+    """Cumulative histogram counters of log latency, scraped at the end of every hour that has
+    events: one sample per ``le`` with the number of events so far whose latency is ≤ ``le``.
+    Counts are aggregated per hour first; the running sum runs over (hours × buckets) rows."""
+    from pyspark.sql import Window
+    from logroll.operators.metrics import histogram_buckets
+
+    lg = logs_from_events(events).withColumn("ts", F.date_trunc("hour", "timestamp") + F.expr("INTERVAL 1 HOUR"))
+    per_hour = histogram_buckets(lg, "latency_ms", bounds, group=["ts"])
+    running = F.sum("count").over(Window.partitionBy("le").orderBy("ts")
+                                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return per_hour.select("ts", F.lit(metric).alias("metric"), F.create_map(F.lit("le"), F.col("le")).alias("labels"),
+                           running.cast("double").alias("value"))
