@@ -113,3 +113,11 @@ def test_report_rows_as_json(seeded):
     r, _ = seeded
     rows = [json.loads(x["value"]) for x in json_rows(R.top_services(r, 15, NOW)).collect()]
     assert rows[0] == {"service": "auth-service", "volume": 5}
+
+
+def test_rollup_plan_aggregates_before_the_shuffle(spark):
+    rows = [(NOW, "INFO", "s", "h", "t", 200, 1, "m")]
+    plan = rollup_1m(spark.createDataFrame(rows, LOGS))._jdf.queryExecution().executedPlan().toString()
+    # partial aggregation (map side) for the counters and the sketch, before the exchange
+    assert "partial_count" in plan and "partial_kll_sketch_agg_bigint" in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
