@@ -157,9 +157,9 @@ class InjectedFailure(RuntimeError):
 class IngestJob:
     """The ``foreachBatch`` function.
 
-    The classified batch is cached once and the sinks run as concurrent Spark jobs over it (they
-    are independent, and each replaces only its own partitions); the raw-row writes wait for the
-    batch counters, which size their output files.  If any sink fails the batch fails and is replayed whole.
+    The classified batch is cached once (filled by the batch-counter job), then the five sinks run
+    as concurrent Spark jobs over it: they are independent, and each replaces only its own
+    partitions.  If any sink fails the batch fails and is replayed whole.
     ``fail_after=(sink, batch_id)`` raises once right after that sink has been written, to
     exercise replay."""
 
@@ -191,9 +191,7 @@ class IngestJob:
         classified = classify(batch).persist(StorageLevel.MEMORY_AND_DISK)
         valid = valid_rows(classified, keep=LINEAGE)
         rejected = rejections(classified, keep=LINEAGE)
-        # Concurrent jobs share the cached batch: each partition is classified once (the block
-        # being computed is locked; other readers wait for it and then read it).
-        pool = ThreadPoolExecutor(max_workers=5) if self.parallel else None
+        pool = ThreadPoolExecutor(max_workers=6) if self.parallel else None
 
         def submit(fn):
             if pool is None:
@@ -202,21 +200,20 @@ class IngestJob:
             return pool.submit(inheritable_thread_target(spark)(fn))
 
         try:
-            # The aggregated sinks do not depend on the batch counters: start them first.
-            futures = [
-                submit(lambda: self.store.write_rollup(rollup_1m(valid, k=self.sketch_k), batch_id)),
-                submit(lambda: self.store.write_frequencies(latency_frequencies(valid), batch_id)),
-            ]
-            # A few dozen rows (topics × partitions × reasons); their counts size the raw-row
-            # writes so a batch writes few, large files.
             started = time.perf_counter()
+            # First job: the batch counters (a few dozen rows: topics × partitions × reasons).  It
+            # fills the cache, so the sinks below read classified rows instead of classifying again
+            # (on a cluster, concurrent first readers of an uncached partition would each compute
+            # it), and its counts size the raw-row writes so a batch writes few, large files.
             counts = batch_counts(classified).collect()
             n_valid = sum(r["n"] for r in counts if r["reason_code"] is None)
             n_rejected = sum(r["n"] for r in counts if r["reason_code"] is not None)
             samples = self.counters.update(batch_id, counts, self._last_duration)
             metrics = spark.createDataFrame(samples, "metric string, labels map<string,string>, value double") \
                 .select(F.current_timestamp().alias("ts"), "metric", "labels", "value")
-            futures += [
+            futures = [
+                submit(lambda: self.store.write_rollup(rollup_1m(valid, k=self.sketch_k), batch_id)),
+                submit(lambda: self.store.write_frequencies(latency_frequencies(valid), batch_id)),
                 submit(lambda: self.store.write_logs(valid.coalesce(self._files(n_valid)), batch_id)),
                 submit(lambda: self.store.write_dlq(dlq_envelopes(rejected.coalesce(self._files(n_rejected))),
                                                     batch_id)),
