@@ -76,11 +76,16 @@ def service_percentiles(freq: DataFrame, service: str, quantiles=REPORT_QUANTILE
             .agg(F.percentile("latency_ms", qs, F.col("cnt")).alias("percentiles")))
 
 
-def split_percentiles(df: DataFrame, quantiles=REPORT_QUANTILES, col: str = "percentiles") -> DataFrame:
-    """Array column → one double column per level (``p50``, ``p90``, ``p99``)."""
+def split_percentiles(df: DataFrame, quantiles=REPORT_QUANTILES, col: str = "percentiles",
+                      decimals: int | None = None) -> DataFrame:
+    """Array column → one double column per level (``p50``, ``p90``, ``p99``), optionally rounded
+    (interpolation is ``lo + (hi - lo) * d``; engines differ in the last bits of that product)."""
     names = ["p" + format(q * 100, "g").replace(".", "_") for q in quantiles]
     others = [c for c in df.columns if c != col]
-    return df.select(*others, *[F.col(col)[i].cast("double").alias(n) for i, n in enumerate(names)])
+    vals = [F.col(col)[i].cast("double") for i in range(len(names))]
+    if decimals is not None:
+        vals = [F.round(v, decimals) for v in vals]
+    return df.select(*others, *[v.alias(n) for v, n in zip(vals, names)])
 
 
 def service_totals(rollup: DataFrame) -> DataFrame:

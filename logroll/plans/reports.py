@@ -17,6 +17,7 @@ from logroll.sources.events import logs_from_events
 ALL_MINUTES = 525_600   # a year: the window spans every row of the test data
 DAY_MINUTES = 1_440
 SERVICE = "svc-1"
+DECIMALS = 6            # percentiles of millisecond latencies, reported to the nanosecond
 
 
 def logs(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
@@ -65,12 +66,12 @@ def q_top_services(spark, sf_dir):
 
 def q_latency_percentiles(spark, sf_dir):
     lg = logs(spark, sf_dir)
-    return R.split_percentiles(R.latency_percentiles(latency_frequencies(lg), ALL_MINUTES, as_of(lg)))
+    return R.split_percentiles(R.latency_percentiles(latency_frequencies(lg), ALL_MINUTES, as_of(lg)), decimals=DECIMALS)
 
 
 def q_latency_percentiles_1d(spark, sf_dir):
     lg = logs(spark, sf_dir)
-    return R.split_percentiles(R.latency_percentiles(latency_frequencies(lg), DAY_MINUTES, as_of(lg)))
+    return R.split_percentiles(R.latency_percentiles(latency_frequencies(lg), DAY_MINUTES, as_of(lg)), decimals=DECIMALS)
 
 
 def q_latency_percentiles_sketch(spark, sf_dir):
@@ -79,7 +80,8 @@ def q_latency_percentiles_sketch(spark, sf_dir):
 
 
 def q_service_filter(spark, sf_dir):
-    return R.split_percentiles(R.service_percentiles(latency_frequencies(logs(spark, sf_dir)), SERVICE))
+    return R.split_percentiles(R.service_percentiles(latency_frequencies(logs(spark, sf_dir)), SERVICE),
+                               decimals=DECIMALS)
 
 
 def q_service_totals(spark, sf_dir):
@@ -105,8 +107,8 @@ def q_latest_minutes(spark, sf_dir):
 
 
 _W = "(SELECT max(timestamp) FROM logs) - INTERVAL {m} MINUTE"
-_PCT = ("quantile_cont(latency_ms, 0.5) AS p50, quantile_cont(latency_ms, 0.9) AS p90, "
-        "quantile_cont(latency_ms, 0.99) AS p99")
+_PCT = ", ".join(f"round(quantile_cont(latency_ms, {q}), {DECIMALS}) AS {n}"
+                 for q, n in [(0.5, "p50"), (0.9, "p90"), (0.99, "p99")])
 
 SQL = {
     "rollup_1m": f"WITH logs AS ({LOGS_SQL}), rollup AS ({ROLLUP_SQL}) SELECT * FROM rollup",
