@@ -119,8 +119,8 @@ SQL = {
     "valid_rows": f"WITH logs AS ({LOGS_SQL}) SELECT {LOG_COLS_SQL} FROM logs WHERE event_id % 100 >= 4",
     "dlq_envelopes": f"""
         SELECT partition, "offset", reason_code, TIMESTAMP '{REJECTED_AT}' AS rejected_at, reason, payload,
-               to_json({{'rejectedAt': '{REJECTED_AT.replace(' ', 'T')}.000Z', 'reason': reason,
-                         'payload': payload}}) AS value
+               CAST(to_json({{'rejectedAt': '{REJECTED_AT.replace(' ', 'T')}.000Z', 'reason': reason,
+                              'payload': payload}}) AS VARCHAR) AS value
         FROM ({_REJECTED})""",
     "dlq_by_reason": f"""SELECT reason_code, count(*) AS rejected FROM ({_REJECTED}) GROUP BY 1""",
     "max_offset": f"""SELECT '{LOG_TOPIC}' AS topic, CAST(user_id % 4 AS INTEGER) AS partition,
