@@ -51,6 +51,11 @@ def _literal_date(since) -> str | None:
         return None
 
 
+def _typed(df: DataFrame) -> DataFrame:
+    """Partition discovery infers small batch ids as INT; the tables declare BIGINT."""
+    return df.withColumn("batch_id", F.col("batch_id").cast("bigint")) if "batch_id" in df.columns else df
+
+
 class LogStore:
     """Paths, writers and readers of the pipeline's tables below ``root``."""
 
@@ -128,7 +133,7 @@ class LogStore:
         base = name.removesuffix("_compacted")
         by_day = name.endswith("_compacted") or "event_date" in TABLE_DDL[base][1]
         if day is None or not by_day:
-            return self.spark.read.option("basePath", self.path(name)).parquet(self.path(name))
+            return _typed(self.spark.read.option("basePath", self.path(name)).parquet(self.path(name)))
         root, fs = _hadoop_fs(self.spark, self.path(name))
         paths = [st.getPath().toString() for st in fs.listStatus(root)
                  if st.isDirectory() and st.getPath().getName().startswith("event_date=")
@@ -138,7 +143,7 @@ class LogStore:
             if name.endswith("_compacted"):
                 cols = cols.replace(", batch_id BIGINT", ", through_batch_id BIGINT")
             return self.spark.createDataFrame([], cols)
-        return self.spark.read.option("basePath", self.path(name)).parquet(*paths)
+        return _typed(self.spark.read.option("basePath", self.path(name)).parquet(*paths))
 
     def exists(self, name: str) -> bool:
         p, fs = _hadoop_fs(self.spark, self.path(name))
