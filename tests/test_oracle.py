@@ -39,6 +39,10 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    types = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+    otypes = dict(con.execute(f"SELECT column_name, column_type FROM (DESCRIBE {entry.oracle_sql()[name]})").fetchall())
+    assert {f.name: types.get(f.dataType.simpleString()) for f in df.schema.fields} == otypes
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
 
