@@ -55,30 +55,41 @@ def q_rollup_compacted(spark, sf_dir):
     return ntz(store.rollup(merged=True).select(*COUNTERS))
 
 
+def _drain(spark, base, job, max_files=None):
+    """Run the ingest stream over what is in ``source`` (availableNow) until it stops.  After an
+    injected failure, restart from the checkpoint: the failed batch replays with its batch_id."""
+    def run():
+        start_ingest(file_source(spark, f"{base}/source", max_files_per_trigger=max_files), job,
+                     f"{base}/checkpoint", available_now=True).awaitTermination()
+    try:
+        run()
+    except Exception as e:  # noqa: BLE001 - the injected failure surfaces as a query exception
+        if InjectedFailure.__name__ not in str(e):
+            raise
+        run()
+
+
 def _run_stream(spark, sf_dir, fail_after=None, arrivals=None):
-    """``arrivals``: optional list of row predicates; each becomes one file, written (and so
-    read) in that order.  By default the messages are spread over four files."""
+    """Feed the messages derived from ``events`` to the ingest stream through a file source.
+
+    By default they are spread round-robin over files (a multiple of four that follows
+    ``spark.sql.shuffle.partitions``, so file sizes stay bounded as the data grows) and read in
+    four micro-batches, each spanning the whole month.  With ``arrivals`` (row predicates), each
+    group of messages is written and drained in turn, so it forms its own micro-batch."""
     base = scratch_dir(spark, "stream")
     msgs = wire_messages(events(spark, sf_dir))
-    if arrivals:
-        for cond in arrivals:
-            msgs.where(cond).coalesce(1).write.mode("append").parquet(f"{base}/source")
-    else:
-        msgs.repartition(SOURCE_FILES).write.parquet(f"{base}/source")
     store = LogStore(spark, f"{base}/tables")
+    # One job object for the whole run (one "process"): its counters continue across restarts of
+    # the query; an injected failure fires once.
     job = IngestJob(store, fail_after=fail_after)
-    src = file_source(spark, f"{base}/source", max_files_per_trigger=1)
-    q = start_ingest(src, job, f"{base}/checkpoint", available_now=True)
-    try:
-        q.awaitTermination()
-    except Exception as e:  # noqa: BLE001 - the injected failure surfaces as a query exception
-        if fail_after is None or InjectedFailure.__name__ not in str(e):
-            raise
-        # Restart from the checkpoint: the failed batch replays with the same batch_id.
-        job = IngestJob(store)
-        q = start_ingest(file_source(spark, f"{base}/source", max_files_per_trigger=1), job,
-                         f"{base}/checkpoint", available_now=True)
-        q.awaitTermination()
+    if arrivals:
+        for cond in arrivals:
+            msgs.where(cond).write.mode("append").parquet(f"{base}/source")
+            _drain(spark, base, job)
+        return store
+    per_batch = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")) // SOURCE_FILES)
+    msgs.repartition(per_batch * SOURCE_FILES).write.parquet(f"{base}/source")
+    _drain(spark, base, job, max_files=per_batch)
     return store
 
 

@@ -160,10 +160,8 @@ class IngestJob:
     The classified batch is cached once (filled by the batch-counter job), then the five sinks run
     as concurrent Spark jobs over it: they are independent, and each replaces only its own
     partitions.  If any sink fails the batch fails and is replayed whole.
-    ``fail_after=(sink, batch_id)`` raises once right after that sink has been written, to
-    exercise replay."""
-
-    SINKS = ("logs", "logs_1m", "logs_1m_freq", "dlq")
+    ``fail_after=(sink, batch_id)`` raises once right after that sink has been written (the other
+    concurrent sinks may or may not have landed), to exercise replay."""
 
     def __init__(self, store: LogStore, sketch_k: int | None = None, fail_after: tuple[str, int] | None = None,
                  parallel: bool = True, rows_per_file: int = 1_000_000, dlq_topic: dict | None = None):
@@ -211,14 +209,22 @@ class IngestJob:
             samples = self.counters.update(batch_id, counts, self._last_duration)
             metrics = spark.createDataFrame(samples, "metric string, labels map<string,string>, value double") \
                 .select(F.current_timestamp().alias("ts"), "metric", "labels", "value")
-            futures = [
-                submit(lambda: self.store.write_rollup(rollup_1m(valid, k=self.sketch_k), batch_id)),
-                submit(lambda: self.store.write_frequencies(latency_frequencies(valid), batch_id)),
-                submit(lambda: self.store.write_logs(valid.coalesce(self._files(n_valid)), batch_id)),
-                submit(lambda: self.store.write_dlq(dlq_envelopes(rejected.coalesce(self._files(n_rejected))),
-                                                    batch_id)),
-                submit(lambda: self.store.write_metrics(metrics, batch_id)),
-            ]
+            writes = {
+                "logs_1m": lambda: self.store.write_rollup(rollup_1m(valid, k=self.sketch_k), batch_id),
+                "logs_1m_freq": lambda: self.store.write_frequencies(latency_frequencies(valid), batch_id),
+                "logs": lambda: self.store.write_logs(valid.coalesce(self._files(n_valid)), batch_id),
+                "dlq": lambda: self.store.write_dlq(dlq_envelopes(rejected.coalesce(self._files(n_rejected))),
+                                                    batch_id),
+                "pipeline_metrics": lambda: self.store.write_metrics(metrics, batch_id),
+            }
+
+            def sink(name, write):
+                def go():
+                    write()
+                    self._maybe_fail(name, batch_id)   # a failure between sinks: the rest may or may not land
+                return go
+
+            futures = [submit(sink(name, write)) for name, write in writes.items()]
             if self.dlq_topic and n_rejected:
                 futures.append(submit(lambda: kafka_sink_options(
                     dlq_envelopes(rejected), self.dlq_topic["bootstrap_servers"], self.dlq_topic["topic"]).save()))
@@ -226,8 +232,6 @@ class IngestJob:
                 if fut is not None:
                     fut.result()
             self._last_duration = time.perf_counter() - started
-            for name in self.SINKS:
-                self._maybe_fail(name, batch_id)
         finally:
             if pool is not None:
                 pool.shutdown(wait=True)

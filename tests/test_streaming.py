@@ -132,7 +132,7 @@ def test_all_rejected_batch_still_commits(spark, scratch):
     assert consumed == {0: 3, 1: 4}
 
 
-@pytest.mark.parametrize("sink", ["logs", "logs_1m"])
+@pytest.mark.parametrize("sink", ["logs", "logs_1m", "logs_1m_freq", "dlq", "pipeline_metrics"])
 def test_crash_replay_leaves_no_duplicates(spark, scratch, sink):
     base = scratch("replay")
     write_files(spark, base, [INGEST_SET[:6], INGEST_SET[6:]])
