@@ -210,8 +210,11 @@ class IngestJob:
             metrics = spark.createDataFrame(samples, "metric string, labels map<string,string>, value double") \
                 .select(F.current_timestamp().alias("ts"), "metric", "labels", "value")
             writes = {
-                "logs_1m": lambda: self.store.write_rollup(rollup_1m(valid, k=self.sketch_k), batch_id),
-                "logs_1m_freq": lambda: self.store.write_frequencies(latency_frequencies(valid), batch_id),
+                # Rollup rows ≤ valid rows: the same bound sizes their files (no single-task write).
+                "logs_1m": lambda: self.store.write_rollup(rollup_1m(valid, k=self.sketch_k), batch_id,
+                                                           self._files(n_valid)),
+                "logs_1m_freq": lambda: self.store.write_frequencies(latency_frequencies(valid), batch_id,
+                                                                     self._files(n_valid)),
                 "logs": lambda: self.store.write_logs(valid.coalesce(self._files(n_valid)), batch_id),
                 "dlq": lambda: self.store.write_dlq(dlq_envelopes(rejected.coalesce(self._files(n_rejected))),
                                                     batch_id),
