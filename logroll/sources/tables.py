@@ -105,18 +105,20 @@ class LogStore:
                          F.to_date("timestamp").alias("event_date"), F.lit(batch_id).cast("bigint").alias("batch_id"))
         self._write(df, "logs", ["event_date", "batch_id"], ["service", "level", "timestamp"])
 
-    def write_rollup(self, partial: DataFrame, batch_id: int, files: int = 1) -> None:
-        """Partial rollup of one batch (one row per key the batch touched), written as ``files``
-        files — the ingest job sizes it from the batch's row count, an upper bound of the keys —
-        sorted by (event_date, minute, service, level) for min/max skipping."""
+    def write_rollup(self, partial: DataFrame, batch_id: int, files: int | None = None) -> None:
+        """Partial rollup of one batch (one row per key the batch touched), sorted by (event_date,
+        minute, service, level) for min/max skipping.  ``files`` caps the file count (the ingest
+        job sizes it from the batch's row count, an upper bound of the keys); by default the
+        aggregation's own partitions are kept."""
         df = partial.select("*", F.to_date("minute").alias("event_date"),
                             F.lit(batch_id).cast("bigint").alias("batch_id"))
-        self._write(df.coalesce(files), "logs_1m", ["batch_id"], ["event_date", *ROLLUP_KEY])
+        self._write(df.coalesce(files) if files else df, "logs_1m", ["batch_id"], ["event_date", *ROLLUP_KEY])
 
-    def write_frequencies(self, freq: DataFrame, batch_id: int, files: int = 1) -> None:
+    def write_frequencies(self, freq: DataFrame, batch_id: int, files: int | None = None) -> None:
         df = freq.select("*", F.to_date("minute").alias("event_date"),
                          F.lit(batch_id).cast("bigint").alias("batch_id"))
-        self._write(df.coalesce(files), "logs_1m_freq", ["batch_id"], ["event_date", *ROLLUP_KEY])
+        self._write(df.coalesce(files) if files else df, "logs_1m_freq", ["batch_id"],
+                    ["event_date", *ROLLUP_KEY])
 
     def write_dlq(self, envelopes: DataFrame, batch_id: int) -> None:
         self._write(envelopes.withColumn("batch_id", F.lit(batch_id).cast("bigint")), "dlq", ["batch_id"])

@@ -95,6 +95,6 @@ def test_report_reader_lists_only_recent_days(spark, scratch):
 
 def test_live_rollup_is_one_file_per_batch(spark, scratch):
     store = LogStore(spark, scratch("onefile"))
-    store.write_rollup(rollup_1m(logs_over_days(spark)), 7)
+    store.write_rollup(rollup_1m(logs_over_days(spark)), 7, files=1)
     files = [f for f in store.rollup().inputFiles()]
     assert len(files) == 1 and "batch_id=7" in files[0]
