@@ -24,7 +24,7 @@ from logroll.operators.sequence import previous_value
 
 def series_key(labels: str = "labels") -> Column:
     """Groupable identity of a label map (maps cannot be grouping keys): sorted entries."""
-    return F.array_sort(F.map_entries(F.col(labels)))
+    return F.sort_array(F.map_entries(F.col(labels)))
 
 
 def counter_increase(samples: DataFrame, slice_unit: str = "minute") -> DataFrame:
