@@ -227,7 +227,10 @@ class IngestJob:
                     self._maybe_fail(name, batch_id)   # a failure between sinks: the rest may or may not land
                 return go
 
-            futures = [submit(sink(name, write)) for name, write in writes.items()]
+            # A sink with no rows in this batch has nothing to replace: skip its job (a replay of
+            # the batch makes the same decision, since classification is deterministic).
+            empty = ({"logs", "logs_1m", "logs_1m_freq"} if n_valid == 0 else set()) | ({"dlq"} if n_rejected == 0 else set())
+            futures = [submit(sink(name, write)) for name, write in writes.items() if name not in empty]
             if self.dlq_topic and n_rejected:
                 futures.append(submit(lambda: kafka_sink_options(
                     dlq_envelopes(rejected), self.dlq_topic["bootstrap_servers"], self.dlq_topic["topic"]).save()))

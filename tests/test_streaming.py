@@ -132,13 +132,15 @@ def test_all_rejected_batch_still_commits(spark, scratch):
     assert consumed == {0: 3, 1: 4}
 
 
-@pytest.mark.parametrize("sink", ["logs", "logs_1m", "logs_1m_freq", "dlq", "pipeline_metrics"])
-def test_crash_replay_leaves_no_duplicates(spark, scratch, sink):
+@pytest.mark.parametrize("sink,batch", [("logs", 0), ("logs_1m", 0), ("logs_1m_freq", 1), ("dlq", 1),
+                                        ("pipeline_metrics", 1)])
+def test_crash_replay_leaves_no_duplicates(spark, scratch, sink, batch):
+    """Fail right after one sink of one batch (batch 1 holds the two rejected messages), restart."""
     base = scratch("replay")
     write_files(spark, base, [INGEST_SET[:6], INGEST_SET[6:]])
     store = LogStore(spark, f"{base}/tables")
     with pytest.raises(Exception):
-        run(spark, base, IngestJob(store, fail_after=(sink, 0)))
+        run(spark, base, IngestJob(store, fail_after=(sink, batch)))
     run(spark, base, IngestJob(store))
     assert store.logs().count() == 10
     assert store.rollup().agg(F.sum("total_count")).first()[0] == 10
