@@ -121,3 +121,11 @@ def test_rollup_plan_aggregates_before_the_shuffle(spark):
     # partial aggregation (map side) for the counters and the sketch, before the exchange
     assert "partial_count" in plan and "partial_kll_sketch_agg_bigint" in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_window_argument_edge_forms():
+    assert window_minutes(True) == 1            # Number(true) is 1
+    assert window_minutes("0x10") == 16         # hexadecimal text is a number
+    assert window_minutes("inf") == 15          # not a JavaScript number literal
+    with pytest.raises(ValueError):
+        window_minutes("Infinity")              # a number, but no whole-minute interval
