@@ -20,6 +20,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.checkpoint.dir", ckpt)
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="logroll-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     configure(s)
