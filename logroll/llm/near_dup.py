@@ -1,10 +1,10 @@
 """Near-duplicate classes by b-bit MinHash.
 
-Per document 128 minima over its distinct word shingles: 24 bands of 5 full minima give the
-candidates; of every minimum only 4 (mixed) low bits are kept, 16 to a ``long``, and the
-similarity of a candidate pair is read from the bit count of the XOR, corrected for chance
-collisions of 4-bit values.  What may reach the threshold within more than five standard
-errors is confirmed on the full sets, so no estimate decides a link.
+Per document 24 bands of 5 full minima over its distinct word shingles give the candidates.  Of
+512 more minima only 4 (mixed) low bits are kept, 16 to a ``long``; the similarity of a candidate
+pair is read from the bit count of the XOR, corrected for chance collisions of 4-bit values.  What
+may reach the threshold within about five standard errors is confirmed on the full sets, so no
+estimate decides a link.
 
 Cost under hot groups: equal sets are collapsed first; a bucket sends each member to four
 leaders chosen by map-side minima (no pairs within a bucket); only members that are still in a
@@ -25,9 +25,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from logroll.llm.common import connected_components, freeze, small
 
-HASHES, BANDS, ROWS, BITS = 128, 24, 5, 4
+BANDS, ROWS = 24, 5
+HASHES, BITS = 512, 4
 LONGS = HASHES * BITS // 64
-MARGIN = 0.17
+MARGIN = 0.09
 _MULT = 0x9E3779B97F4A7C15
 _CACHE: dict[bytes, int] = {}
 _CACHE_WORDS = 400_000
@@ -63,16 +64,12 @@ def shingle_set(text: bytes | None, k: int = 5) -> np.ndarray:
     return np.unique(_mix64(h))
 
 
-def _coefficients(seed: int = 20250611) -> tuple[np.ndarray, np.ndarray]:
+def minima(sets: list[np.ndarray], count: int, seed: int) -> np.ndarray:
+    """(documents, count) uint32 minima of non-empty sets."""
     rng = np.random.default_rng(seed)
-    return (rng.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1),
-            rng.integers(0, 2**32, HASHES, dtype=np.uint32))
-
-
-def minima(sets: list[np.ndarray]) -> np.ndarray:
-    """(documents, HASHES) uint32 minima of non-empty sets."""
-    a, b = _coefficients()
-    out = np.empty((HASHES, len(sets)), np.uint32)
+    a = rng.integers(0, 2**32, count, dtype=np.uint32) | np.uint32(1)
+    b = rng.integers(0, 2**32, count, dtype=np.uint32)
+    out = np.empty((count, len(sets)), np.uint32)
     lo = 0
     while lo < len(sets):                      # chunks that stay in the CPU cache
         hi, total = lo, 0
@@ -82,7 +79,7 @@ def minima(sets: list[np.ndarray]) -> np.ndarray:
         g = (np.concatenate(sets[lo:hi]) >> np.uint64(17)).astype(np.uint32)
         at = np.concatenate([[0], np.cumsum([len(s) for s in sets[lo:hi - 1]])]).astype(np.int64)
         v = np.empty_like(g)
-        for i in range(HASHES):
+        for i in range(count):
             np.multiply(g, a[i], out=v)
             v += b[i]
             out[i, lo:hi] = np.minimum.reduceat(v, at)
@@ -96,17 +93,11 @@ def _signature_batches(batches, k):
         sets = [shingle_set(t, k) for t in batch.column(1).to_pylist()]
         full = [i for i, s in enumerate(sets) if len(s)]
         n = len(sets)
-        words = np.zeros((n, LONGS), np.uint64)
         bands = np.zeros((n, BANDS), np.uint64)
         if full:
-            m = minima([sets[i] for i in full])
-            low = m ^ (m >> np.uint32(16))
-            low = (low * np.uint32(0x85EBCA6B)) >> np.uint32(32 - BITS)      # mixed before bits are kept
-            nib = low.astype(np.uint64).reshape(len(full), LONGS, 64 // BITS)
-            words[full] = (nib << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS))).sum(
-                axis=2, dtype=np.uint64)
+            m = minima([sets[i] for i in full], BANDS * ROWS, 20250611)
             key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(full), BANDS)).copy()
-            rows = m[:, :BANDS * ROWS].reshape(len(full), BANDS, ROWS).astype(np.uint64)
+            rows = m.reshape(len(full), BANDS, ROWS).astype(np.uint64)
             for r in range(ROWS):
                 key = _mix64(key * np.uint64(_MULT) + rows[:, :, r])
             bands[full] = key
@@ -114,9 +105,8 @@ def _signature_batches(batches, k):
         digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
             [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()),
-             pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32)), flat)]
-            + [pa.array(words[:, j].view(np.int64)) for j in range(LONGS)],
-            names=["doc_id", "n_shingles", "digest", "bands"] + [f"w{j}" for j in range(LONGS)])
+             pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32)), flat)],
+            names=["doc_id", "n_shingles", "digest", "bands"])
 
 
 def _set_batches(batches, k):
@@ -124,20 +114,30 @@ def _set_batches(batches, k):
         sets = [shingle_set(t, k) for t in batch.column(1).to_pylist()]
         at = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
         flat = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))],
-                                         names=["id", "shingles"])
+        words = np.zeros((len(sets), LONGS), np.uint64)
+        full = [i for i, s in enumerate(sets) if len(s)]
+        if full:
+            m = minima([sets[i] for i in full], HASHES, 77)
+            low = m ^ (m >> np.uint32(16))
+            low = (low * np.uint32(0x85EBCA6B)) >> np.uint32(32 - BITS)      # mixed before bits are kept
+            nib = low.astype(np.uint64).reshape(len(full), LONGS, 64 // BITS)
+            words[full] = (nib << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS))).sum(
+                axis=2, dtype=np.uint64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))]
+            + [pa.array(words[:, j].view(np.int64)) for j in range(LONGS)],
+            names=["id", "shingles"] + [f"w{j}" for j in range(LONGS)])
 
 
 def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
-    """One row per row of ``docs``: set size, 128-bit digest of the set, band keys, packed low bits."""
-    cols = "doc_id long, n_shingles long, digest binary, bands array<long>, " + ", ".join(
-        f"w{j} long" for j in range(LONGS))
+    """One row per row of ``docs``: set size, 128-bit digest of the set, band keys."""
+    cols = "doc_id long, n_shingles long, digest binary, bands array<long>"
     return (docs.select(F.col("doc_id").cast("long"), F.encode("text", "UTF-8").alias("t"))
             .mapInArrow(lambda it: _signature_batches(it, k), cols))
 
 
 def mismatches(left: str, right: str) -> Column:
-    """Number of the 128 positions whose 4-bit values differ."""
+    """Number of the 512 positions whose 4-bit values differ."""
     total = F.lit(0)
     for j in range(LONGS):
         x = F.col(f"{left}.w{j}").bitwiseXOR(F.col(f"{right}.w{j}"))
@@ -179,9 +179,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
     sig = freeze(signatures(docs.select("doc_id", "text"), k), "sig")
     words = [f"w{j}" for j in range(LONGS)]
     classes = freeze(sig.where("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), *[F.first(w).alias(w) for w in words]),
+        F.min("doc_id").alias("rep"), F.first("bands").alias("bands")),
         "classes")
-    reps = classes.where("rep is not null").select("rep", *words)
 
     keyed = classes.where("rep is not null").select("rep", F.explode("bands").alias("key"))
     salted = lambda s: F.min(F.struct(F.xxhash64("rep", F.lit(s)).alias("h"), "rep"))["rep"]
@@ -193,7 +192,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
     sets = freeze(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                   .join(small(ids), F.col("doc_id") == ids["id"], "left_semi")
                   .select("doc_id", F.encode("text", "UTF-8").alias("t"))
-                  .mapInArrow(lambda it: _set_batches(it, k), "id long, shingles array<long>"), "sets")
+                  .mapInArrow(lambda it: _set_batches(it, k), "id long, shingles array<long>, " + ", ".join(f"{w} long" for w in words)), "sets")
+    reps = sets.select(F.col("id").alias("rep"), *words)
 
     limit = max_mismatches(percent / 100)
     star = (members.select("rep", F.explode("heads").alias("head")).where("rep != head")
@@ -210,11 +210,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
              .agg(F.max(F.struct("n", "c"))["c"].alias("top"), F.count(F.lit(1)).alias("cs")).where("cs > 1")
              .select("key", "top"))
     apart = freeze(placed.join(split, "key").join(reps, "rep")
-                   .select("key", "rep", "c", "top", F.struct(*words).alias("w")), "apart")
+                   .join(classes.where("rep is not null").select("rep", "bands"), "rep")
+                   .select("key", "rep", "c", "top", "bands", F.struct(*words).alias("w")), "apart")
     x, y = apart.where("c != top").alias("x"), apart.alias("y")
     same = (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & (
         (F.col("y.c") == F.col("y.top")) | (F.col("x.rep") < F.col("y.rep")))
-    rest = (x.join(y, same & (mismatches("x.w", "y.w") <= limit))
+    once = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")     # of all buckets they share
+    rest = (x.join(y, same & (mismatches("x.w", "y.w") <= limit) & once)
             .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
             .join(tested, ["a", "b"], "left_anti"))
     more = freeze(_confirm(rest, sets, percent), "more")
