@@ -13,9 +13,10 @@ Memory per task: the open windows.  Only leftovers are shuffled.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -23,39 +24,64 @@ from pyspark.sql import DataFrame, functions as F
 from logroll.llm.common import freeze
 
 LENGTH, WINDOWS, MAX_GAP, MERGE, END_ID = 4096, 32, 32, 64, 2
-_CACHE_WORDS = 200_000
+_CACHE_WORDS, _CACHE_RUNS = 300_000, 500_000
+_LOT_BYTES = 1 << 20            # text tokenized at once
 _COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 _KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 _PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
            "ids binary")
 
 
+# Words of these letters and ASCII punctuation (no apostrophe, "<" or digit) are split by the tokenizer
+# exactly into runs of letters and runs of punctuation, whatever the case of the letters.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(rf"[{_LETTERS}!-&(-/:;=-@\[-`{{-~]+")
+_RUNS = re.compile(rf"[{_LETTERS}]+|[^{_LETTERS}]+")
+
+
 class WordTokens:
     """Token ids, as little-endian 32-bit bytes, by white-space-separated word.
 
     The tokenizer drops white space and never joins across it, so a text's ids are its words' ids
-    in order; each distinct word is encoded once per worker (bounded cache).
+    in order.  Words, and the lower-cased runs plain words consist of, are kept in bounded caches;
+    a full cache keeps what it has (frequent words come early) and the rest is encoded each time.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.encode = Tokenizer.from_file(path).encode_batch
-        self.known: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+
+    def _encoded(self, strings: list[str]) -> dict[str, bytes]:
+        out = {}
+        for i in range(0, len(strings), 4096):
+            lot = strings[i:i + 4096]
+            for s, e in zip(lot, self.encode(lot, add_special_tokens=False)):
+                ids = e.ids
+                out[s] = struct.pack(f"<{len(ids)}I", *ids)
+        return out
+
+    def _resolve(self, new: set[bytes]) -> dict[bytes, bytes]:
+        split, runs = {}, self.runs
+        for w in new:
+            s = w.decode()
+            split[w] = [r.lower() for r in _RUNS.findall(s)] if _PLAIN.fullmatch(s) else [s]
+        fresh = self._encoded(list({r for parts in split.values() for r in parts if r not in runs}))
+        got = {w: b"".join([fresh[r] if r in fresh else runs[r] for r in parts]) for w, parts in split.items()}
+        for kept, more, room in ((runs, fresh, _CACHE_RUNS), (self.words, got, _CACHE_WORDS)):
+            if len(kept) < room:
+                kept.update(more)
+        return got
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) > _CACHE_WORDS:
-            self.known.clear()
-        known, out = self.known, []
-        for text in texts:
-            words = text.split()
-            new = list({w for w in words if w not in known})
-            for i in range(0, len(new), 4096):
-                lot = new[i:i + 4096]
-                for w, e in zip(lot, self.encode([w.decode() for w in lot], add_special_tokens=False)):
-                    known[w] = np.array(e.ids, "<u4").tobytes()
-            out.append(b"".join([known[w] for w in words]) + np.uint32(END_ID).astype("<u4").tobytes())
-        return out
+        split = [t.split() for t in texts]
+        known = self.words
+        new = {w for words in split for w in words if w not in known}
+        got = self._resolve(new) if new else {}
+        end = struct.pack("<I", END_ID)
+        return [b"".join([known[w] if w in known else got[w] for w in words]) + end for words in split]
 
 
 class Packer:
@@ -136,11 +162,17 @@ def _pack_partition(batches, path, with_ids):
     names, kinds = [*_COLUMNS, "part"], [*_KINDS, pa.int64()]
     for batch in batches:
         docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for doc, text in zip(docs, texts):
-            ids = tokens([text or b""])[0]
-            packer.add(doc, 0, len(ids) // 4, len(ids) // 4, ids)
-        yield _arrow([(*r, None) for r in _rows(packer.done, with_ids)], kinds, names)
-        packer.done = []
+        at = 0
+        while at < len(docs):
+            lot, size = [], 0
+            while at + len(lot) < len(docs) and (not lot or size < _LOT_BYTES):
+                lot.append(texts[at + len(lot)] or b"")
+                size += len(lot[-1])
+            for doc, ids in zip(docs[at:], tokens(lot)):
+                packer.add(doc, 0, len(ids) // 4, len(ids) // 4, ids)
+            at += len(lot)
+            yield _arrow([(*r, None) for r in _rows(packer.done, with_ids)], kinds, names)
+            packer.done = []
     left = [(doc, start, n, zlib.crc32(ids), total, None, None, ids, part)
             for w in packer.open for doc, start, n, total, ids in w[1]]
     yield _arrow(left, kinds, names)
