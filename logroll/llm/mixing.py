@@ -117,7 +117,8 @@ def mix(docs: DataFrame, seed: int = 20250611, block: int = BLOCK) -> tuple[Data
                                                                      F.lit(CHUNK).cast("long"))).alias("lo"))
               .repartition("key", "lo"))
     slots = chunks.mapInArrow(lambda it: _slots(it, seed), "key string, block long, epoch int, shard long, slot int")
-    return rows, plan, slots.join(cut, ["key", "block"]).drop("key", "block")
+    # Slots come out of few chunks, so the optimizer takes them for a small table: no broadcast.
+    return rows, plan, slots.hint("merge").join(cut.hint("merge"), ["key", "block"]).drop("key", "block")
 
 
 def taken(docs: DataFrame) -> DataFrame:
