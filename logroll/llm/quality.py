@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from logroll.llm.common import freeze, table
 
-LABELLED, POOL, ROUNDS, SURE, PER_ROUND = 10_000, 10_000, 4, 0.95, 500
+LABELLED, POOL, ROUNDS, SURE, PER_ROUND = 4_000, 4_000, 4, 0.95, 500
 REJECT_BELOW = 0.5
 
 # Character classes of bytes: lower, upper, digit, blank, line end, stop or comma, other punctuation, beyond ASCII.
