@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import math
+import re
 
 from pyspark.sql import Column, functions as F
 
@@ -20,6 +21,11 @@ def iso_millis(ts: Column | str) -> Column:
     return F.date_format(F.col(ts) if isinstance(ts, str) else ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
+# Numerals of a request argument: ASCII digits, no separators.
+_BASED = re.compile(r"0[xX][0-9a-fA-F]+|0[oO][0-7]+|0[bB][01]+")
+_DECIMAL = re.compile(r"[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|Infinity)")
+
+
 def window_minutes(minutes=None) -> int:
     """Trailing-window length from a request argument.
 
@@ -36,13 +42,7 @@ def window_minutes(minutes=None) -> int:
         if text == "":
             value = 0.0
         else:
-            try:
-                value = float(int(text, 0)) if text[:2].lower() in ("0x", "0o", "0b") else float(text)
-            except ValueError:
-                value = math.nan
-            if text.lower() in ("nan", "inf", "+inf", "-inf", "infinity", "-infinity") and \
-                    text not in ("Infinity", "+Infinity", "-Infinity"):
-                value = math.nan
+            value = float(int(text, 0)) if _BASED.fullmatch(text) else float(text) if _DECIMAL.fullmatch(text) else math.nan
     if math.isnan(value) or value <= 0:
         return DEFAULT_WINDOW_MINUTES
     if math.isinf(value) or value != math.floor(value):

@@ -29,8 +29,8 @@ from logroll.schemas import (
     STATUS_MAX, STATUS_MIN,
 )
 
-# ISO-8601 UTC: date, 'T', hours:minutes, optional seconds and fraction, then 'Z'.
-_ISO_UTC = r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2})(:\d{2})?(\.\d+)?Z$"
+# ISO-8601 UTC: date, 'T', hours:minutes, optional seconds and fraction, then 'Z' as the very last character.
+_ISO_UTC = r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2})(:\d{2})?(\.\d+)?Z\z"
 
 
 def _fail(cond: Column, label: str) -> Column:

@@ -8,6 +8,9 @@ summary table whose size is (series × slices), not rows.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -38,10 +41,11 @@ def previous_value(df: DataFrame, series: list[str], ts: str, value: str,
     """Value of the previous sample (by ``ts``) in the same series; null for the first sample.
 
     Inside a slice this is ``lag``; for the first sample of a slice it is the last value of the
-    nearest earlier non-empty slice, found in the (series × slice) summary.  Timestamps within a
-    series are assumed distinct (ties are broken arbitrarily, as any ordering would)."""
+    nearest earlier non-empty slice, found in the (series × slice) summary.  Equal timestamps are
+    ordered by value, so a counter sampled twice at one instant does not seem reset.  Null series
+    or ``ts`` values form groups of their own; no row is lost."""
     sliced = df.withColumn("_slice", _slice(ts, slice_unit))
-    w = Window.partitionBy(*series, "_slice").orderBy(ts)
+    w = Window.partitionBy(*series, "_slice").orderBy(ts, value)
     # One ordered pass per (series, slice): the previous value inside the slice, and whether the
     # row is the slice's last.  The slice summary is taken from that same pass, so the input is
     # shuffled and sorted once.
@@ -50,6 +54,9 @@ def previous_value(df: DataFrame, series: list[str], ts: str, value: str,
     edges = (ranked.where("_is_last").select(*series, "_slice", F.col(value).alias("_last"))
              .withColumn("_carry", F.lag("_last").over(Window.partitionBy(*series).orderBy("_slice")))
              .drop("_last"))
-    return (ranked.join(edges, [*series, "_slice"], "inner")
+    keys = [*series, "_slice"]
+    edges = edges.select(*[F.col(c).alias(f"_e{i}") for i, c in enumerate(keys)], "_carry")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_e{i}")) for i, c in enumerate(keys)])
+    return (ranked.join(edges, same, "inner")
             .withColumn(out, F.coalesce(F.col("_lag"), F.col("_carry")))
-            .drop("_slice", "_lag", "_carry", "_is_last"))
+            .drop("_slice", "_lag", "_carry", "_is_last", *[f"_e{i}" for i in range(len(keys))]))

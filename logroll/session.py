@@ -6,7 +6,6 @@ sizing (executors, memory, shuffle partitions) is left to whoever launches the j
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -54,8 +53,8 @@ def _checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names storage every executor can reach, so tables, stream
-    checkpoints and lineage cuts go there.  Only when it is unset (local tests) is a fresh
-    folder under the system temp directory created and registered.
+    checkpoints and lineage cuts go there.  Unset, it is an error on a cluster; a local session gets
+    a fresh folder under the system temp directory.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -67,6 +66,8 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if sc is not None and sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         root = tempfile.mkdtemp(prefix="logroll-")
         for set_dir in (lambda: spark.conf.set("spark.checkpoint.dir", root),
                         lambda: spark.sparkContext.setCheckpointDir(root)):
@@ -81,6 +82,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared checkpoint root, for one run of one job."""
     root = _checkpoint_root(spark).rstrip("/")
     path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(hadoop)
     return path

@@ -56,6 +56,24 @@ def _typed(df: DataFrame) -> DataFrame:
     return df.withColumn("batch_id", F.col("batch_id").cast("bigint")) if "batch_id" in df.columns else df
 
 
+#: A stored batch id holds the ingest's number above this many bits, the stream's batch id below.
+INGEST_SHIFT = 40
+
+
+def ingest_of(batch_id: Column) -> Column:
+    return F.shiftright(batch_id, INGEST_SHIFT)
+
+
+def _compacted_columns(cols: str) -> str:
+    return cols.replace(", batch_id BIGINT", ", through_batch_ids ARRAY<BIGINT>")
+
+
+def _through(compacted: DataFrame) -> DataFrame:
+    """(event_date, _ingest, _through): newest batch of each ingest folded into a compacted day."""
+    return (compacted.groupBy("event_date").agg(F.first("through_batch_ids").alias("t"))
+            .select("event_date", F.explode("t").alias("_through")).withColumn("_ingest", ingest_of(F.col("_through"))))
+
+
 class LogStore:
     """Paths, writers and readers of the pipeline's tables below ``root``."""
 
@@ -82,10 +100,13 @@ class LogStore:
                 self.spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
 
     def truncate(self, name: str, database: str | None = "log_pipeline") -> None:
-        """Remove every row of a table (the tables are external, so the files are deleted)."""
+        """Remove every row of a table (the tables are external, so the files are deleted), its
+        compacted copy included."""
         p, fs = _hadoop_fs(self.spark, self.path(name))
-        if fs.exists(p):
-            fs.delete(p, True)
+        compacted, _ = _hadoop_fs(self.spark, self.path(name + "_compacted"))
+        for old in (p, compacted):
+            if fs.exists(old):
+                fs.delete(old, True)
         fs.mkdirs(p)
         if database and self.spark.catalog.tableExists(f"{database}.{name}"):
             self.spark.catalog.refreshTable(f"{database}.{name}")
@@ -135,6 +156,9 @@ class LogStore:
         day = _literal_date(since)
         base = name.removesuffix("_compacted")
         by_day = name.endswith("_compacted") or "event_date" in TABLE_DDL[base][1]
+        if not self._has_files(name):                # a quiet stream, or everything vacuumed
+            cols = TABLE_DDL[base][0]
+            return self.spark.createDataFrame([], _compacted_columns(cols) if name.endswith("_compacted") else cols)
         if day is None or not by_day:
             return _typed(self.spark.read.option("basePath", self.path(name)).parquet(self.path(name)))
         root, fs = _hadoop_fs(self.spark, self.path(name))
@@ -144,10 +168,16 @@ class LogStore:
         if not paths:
             cols, _ = TABLE_DDL[base]
             if name.endswith("_compacted"):
-                cols = cols.replace(", batch_id BIGINT", ", through_batch_id BIGINT")
+                cols = _compacted_columns(cols)
             return self.spark.createDataFrame([], cols)
         return _typed(self.spark.read.option("basePath", self.path(name)).parquet(*paths))
 
+    def _has_files(self, name: str) -> bool:
+        """Whether the table has any partition directory or file (one listing of its root)."""
+        root, fs = _hadoop_fs(self.spark, self.path(name))
+        return bool(fs.exists(root)) and any(not st.getPath().getName().startswith(("_", "."))
+                                             for st in fs.listStatus(root))
+
     def exists(self, name: str) -> bool:
         p, fs = _hadoop_fs(self.spark, self.path(name))
         return bool(fs.exists(p))
@@ -165,18 +195,22 @@ class LogStore:
         live = self._read(name, since)
         if not self.exists(name + "_compacted"):
             return live.drop("batch_id")
-        done = (self._read(name + "_compacted", since).groupBy("event_date")
-                .agg(F.max("through_batch_id").alias("_through")))
-        # ``done`` has one row per compacted day (bounded by the days kept, ~40 bytes each), so it
-        # is broadcast: a shuffle join on event_date would send all of today's rows to one task.
-        return (live.join(F.broadcast(done), "event_date", "left")
+        return self._not_folded(live, _through(self._read(name + "_compacted", since))).drop("batch_id")
+
+    @staticmethod
+    def _not_folded(live: DataFrame, done: DataFrame) -> DataFrame:
+        """Live rows of batches that the compacted day does not contain yet."""
+        # ``done`` has one row per compacted day and ingest (bounded by the days kept, ~40 bytes
+        # each), so it is broadcast: a shuffle join would send all of today's rows to one task.
+        return (live.withColumn("_ingest", ingest_of(F.col("batch_id")))
+                .join(F.broadcast(done), ["event_date", "_ingest"], "left")
                 .where(F.col("_through").isNull() | (F.col("batch_id") > F.col("_through")))
-                .drop("batch_id", "_through"))
+                .drop("_through", "_ingest"))
 
     def _rollup_view(self, name: str, since) -> DataFrame:
         rows = self._live_after_compaction(name, since)
         if self.exists(name + "_compacted"):
-            rows = rows.unionByName(self._read(name + "_compacted", since).drop("through_batch_id"))
+            rows = rows.unionByName(self._read(name + "_compacted", since).drop("through_batch_ids"))
         if since is not None:
             # Compacted day directories before the window are never listed; live rows are
             # skipped by the pushed-down event_date predicate (files are sorted by it).
@@ -200,14 +234,41 @@ class LogStore:
     def metrics(self) -> DataFrame:
         return self._read("pipeline_metrics")
 
+    def ingest_number(self, checkpoint: str) -> int:
+        """Number of the ingest that owns ``checkpoint``: allocated once in the store (exclusive
+        file creation) and kept in the checkpoint folder.  Batch ids of a new or reset checkpoint
+        thus never meet those of an earlier one."""
+        mark, fs = _hadoop_fs(self.spark, f"{checkpoint.rstrip('/')}/ingest_number")
+        if fs.exists(mark):
+            stream = fs.open(mark)
+            try:
+                return int(stream.readLong())
+            finally:
+                stream.close()
+        n = 0
+        while True:
+            own, store_fs = _hadoop_fs(self.spark, self.path(f"_ingests/{n}"))
+            try:
+                if store_fs.createNewFile(own):
+                    break
+            except Exception:
+                if not store_fs.exists(own):
+                    raise
+            n += 1
+        out = fs.create(mark, True)
+        out.writeLong(n)
+        out.close()
+        return n
+
     # -- maintenance -------------------------------------------------------------------------
     def compact(self, before, tables=("logs_1m", "logs_1m_freq")) -> None:
         """Merge every rollup day earlier than ``before`` (a date or timestamp) into one set of rows
         per key.  Late rows that arrive after compaction stay live and are merged at read time.
 
-        The compacted rows carry ``through_batch_id`` (the newest batch folded in), written in
-        the same files, so readers never see a day counted twice.  Totals do not change.  The
-        tables are compacted as concurrent jobs."""
+        The compacted rows carry ``through_batch_ids`` (the newest batch folded in, of each
+        ingest), written in the same files, so readers never see a day counted twice.  Only days
+        with batches not folded in yet are read and rewritten.  Totals do not change.  The tables
+        are compacted as concurrent jobs."""
         names = [n for n in tables if self.exists(n)]
         with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
             for fut in [pool.submit(inheritable_thread_target(self.spark)(self._compact_one), n, before)
@@ -216,18 +277,22 @@ class LogStore:
 
     def _compact_one(self, name: str, before) -> None:
         cutoff = F.to_date(as_timestamp(before))
-        live = self._read(name)
+        live = self._read(name).where(F.col("event_date") < cutoff)
+        keys = ["event_date", *ROLLUP_KEY]
+        folded = live.select("event_date", "batch_id")
         if self.exists(name + "_compacted"):
             old = self._read(name + "_compacted")
-            done = old.groupBy("event_date").agg(F.max("through_batch_id").alias("_through"))
-            live = (live.join(F.broadcast(done), "event_date", "left")  # one row per day: bounded
-                    .where(F.col("_through").isNull() | (F.col("batch_id") > F.col("_through")))
-                    .drop("_through"))
-            live = live.unionByName(old.withColumnRenamed("through_batch_id", "batch_id"))
-        live = live.where(F.col("event_date") < cutoff)
-        keys = ["event_date", *ROLLUP_KEY]
+            done = _through(old)
+            live = self._not_folded(live, done)
+            folded = live.select("event_date", "batch_id")
+            days = F.broadcast(folded.select("event_date").distinct())        # one row per day
+            live = live.drop("batch_id").unionByName(old.drop("through_batch_ids").join(days, "event_date", "left_semi"))
+            folded = folded.union(done.join(days, "event_date", "left_semi").select("event_date", "_through"))
+        else:
+            live = live.drop("batch_id")
         merged = merge_frequencies(live, keys) if name.endswith("_freq") else merge_rollup(live, keys)
-        through = live.groupBy("event_date").agg(F.max("batch_id").alias("through_batch_id"))
+        through = (folded.groupBy("event_date", ingest_of(F.col("batch_id")).alias("i")).agg(F.max("batch_id").alias("b"))
+                   .groupBy("event_date").agg(F.sort_array(F.collect_list("b")).alias("through_batch_ids")))
         # The new compacted rows read the old ones: materialise them in the shared checkpoint
         # folder first, so the overwrite does not read the files it replaces.
         out = merged.join(F.broadcast(through), "event_date", "inner").checkpoint(eager=True)  # per day
@@ -236,15 +301,15 @@ class LogStore:
     def vacuum(self, tables=("logs_1m", "logs_1m_freq")) -> list[str]:
         """Delete live batch directories whose every row is already folded into the compacted table
         (each day the batch touches is compacted through that batch or later).  Safe at any point:
-        readers ignore live rows at or below ``through_batch_id`` anyway."""
+        readers ignore live rows at or below ``through_batch_ids`` anyway."""
         removed = []
         for name in tables:
             if not (self.exists(name) and self.exists(name + "_compacted")):
                 continue
-            through = (self._read(name + "_compacted").groupBy("event_date")
-                       .agg(F.max("through_batch_id").alias("_through")))
+            through = _through(self._read(name + "_compacted"))
             # One row per live batch (bounded by the batches since the last vacuum).
-            done = (self._read(name).join(F.broadcast(through), "event_date", "left")
+            done = (self._read(name).withColumn("_ingest", ingest_of(F.col("batch_id")))
+                    .join(F.broadcast(through), ["event_date", "_ingest"], "left")
                     .groupBy("batch_id")
                     .agg(F.bool_and(F.coalesce(F.col("batch_id") <= F.col("_through"), F.lit(False))).alias("ok"))
                     .where("ok").collect())

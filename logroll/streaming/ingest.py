@@ -31,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from logroll.operators.classify import classify, dlq_envelopes, rejections, valid_rows
 from logroll.operators.rollup import latency_frequencies, rollup_1m
 from logroll.schemas import BATCH_SIZE_BOUNDS, INSERT_DURATION_BOUNDS, LOG_TOPIC, RAW_MESSAGE
-from logroll.sources.tables import LogStore
+from logroll.sources.tables import INGEST_SHIFT, LogStore
 
 LINEAGE = ["topic", "partition", "offset"]
 
@@ -170,6 +170,7 @@ class IngestJob:
         self.dlq_topic = dlq_topic
         self.counters = PipelineCounters()
         self._last_duration: float | None = None
+        self.ingest_number = 0            # set from the checkpoint when the stream starts
         self.store = store
         self.sketch_k = sketch_k
         self.fail_after = fail_after
@@ -186,6 +187,7 @@ class IngestJob:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        stream_batch, batch_id = batch_id, (self.ingest_number << INGEST_SHIFT) + batch_id
         classified = classify(batch).persist(StorageLevel.MEMORY_AND_DISK)
         valid = valid_rows(classified, keep=LINEAGE)
         rejected = rejections(classified, keep=LINEAGE)
@@ -224,7 +226,7 @@ class IngestJob:
             def sink(name, write):
                 def go():
                     write()
-                    self._maybe_fail(name, batch_id)   # a failure between sinks: the rest may or may not land
+                    self._maybe_fail(name, stream_batch)   # a failure between sinks: the rest may or may not land
                 return go
 
             # A sink with no rows in this batch has nothing to replace: skip its job (a replay of
@@ -268,16 +270,17 @@ def lag_samples(progress: dict) -> list[tuple]:
     return out
 
 
-def record_lag(store: LogStore, query: StreamingQuery, batch_id: int | None = None) -> int:
+def record_lag(store: LogStore, query: StreamingQuery) -> int:
     """Write the query's current lag samples to ``pipeline_metrics`` (call every few seconds,
-    e.g. from the loop that watches the query).  Returns the number of samples written."""
+    e.g. from the loop that watches the query).  Each poll has a partition of its own (negative,
+    by time), apart from the batches' counters.  Returns the number of samples written."""
     progress = query.lastProgress
     samples = lag_samples(progress) if progress else []
     if samples:
         spark = query.sparkSession
         df = spark.createDataFrame(samples, "metric string, labels map<string,string>, value double") \
             .select(F.current_timestamp().alias("ts"), "metric", "labels", "value")
-        store.write_metrics(df, progress.get("batchId", 0) if batch_id is None else batch_id)
+        store.write_metrics(df, -time.time_ns() // 1_000)
     return len(samples)
 
 
@@ -286,6 +289,7 @@ def start_ingest(source: DataFrame, job: IngestJob, checkpoint: str, available_n
     """Start the pipeline.  Default trigger: a micro-batch every second (flush by time); the
     source's per-trigger cap bounds its size.  ``available_now`` drains what is there and stops
     (replay, backfill, graceful drain)."""
+    job.ingest_number = job.store.ingest_number(checkpoint)
     writer = source.writeStream.foreachBatch(job).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)

@@ -111,7 +111,7 @@ def test_timestamp_vectors(spark, ts, ok, expect):
 LEGAL_JSON = ['{"a":1}', ' {"a":1}\n', '\r\n{"a":1}\t', '{"a":1} ', "null", "1e400", '{"a":1,"a":2}']
 ILLEGAL_JSON = ["  ", '{"a":1} x', '{"a":1}],[2', '{"a":1}},{"b":2', '{"a":1},{"b":2}', "1,2", '{"a":1}}',
                 '{"a":1}]', '{"a":1} // c', '"x" "y"', '{"a":1} ', "{'a':1}", '{"a":1,}', '{"a":01}',
-                '{"a":NaN}', '{"a":"\t"}', "﻿{\"a\":1}", "MALFORMED_RAW_STREAM_GARBAGE_CRASH_TEST_12345",
+                '{"a":NaN}', '{"a":"\t"}', "﻿{\"a\":1}", "plain words, no braces",
                 '"abc', '{"a":"', '{"a":1}\\', '1\n,"\\u0000end"', '{"a":1}\n,"\\u0000end"', "[1", "{", '1\n,"\\u0000end",null']
 
 
@@ -168,3 +168,15 @@ def test_classifier_is_one_codegen_stage_without_python(spark):
     plan = valid_rows(classify(df))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "BatchEvalPython" not in plan
     assert F is not None
+
+
+def test_timestamp_with_a_trailing_line_end_is_a_violation(spark):
+    from logroll.operators.classify import _timestamp_value
+    df = spark.createDataFrame([("2026-07-01T01:02:03.789Z",), ("2026-07-01T01:02:03.789Z\n",)], "t string")
+    assert [r[0] is None for r in df.select(_timestamp_value(F.col("t"))).collect()] == [False, True]
+
+
+def test_window_argument_takes_plain_numerals_only():
+    from logroll.functions.timefn import window_minutes
+    assert [window_minutes(x) for x in ("1_000", "１０", "0x1F", "1e2", " 30 ", "+5", "0b11", "nan")] == [
+        15, 15, 31, 100, 30, 5, 3, 15]

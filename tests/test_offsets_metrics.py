@@ -85,3 +85,12 @@ def test_metric_total_over_labels(spark):
     c = samples(spark, [(0, 100)], metric="other")
     assert M.metric_total(a.unionByName(b).unionByName(c), "pipeline_messages_dlq").collect()[0]["total"] == 5
     assert F is not None
+
+
+def test_ties_and_null_labels_keep_increases(spark):
+    rows = [(T0, "c", None, 7.0), (T0 + dt.timedelta(seconds=5), "c", None, 9.0), (T0 + dt.timedelta(seconds=5), "c", None, 8.0),
+            (None, "c", None, 1.0)]
+    df = spark.createDataFrame(rows, "ts timestamp, metric string, labels map<string,string>, value double")
+    got = M.counter_increase(df).collect()
+    assert len(got) == 4
+    assert sum(r["increase"] for r in got if r["ts"] is not None and r["value"] > 7) == 2.0

@@ -98,3 +98,50 @@ def test_live_rollup_is_one_file_per_batch(spark, scratch):
     store.write_rollup(rollup_1m(logs_over_days(spark)), 7, files=1)
     files = [f for f in store.rollup().inputFiles()]
     assert len(files) == 1 and "batch_id=7" in files[0]
+
+
+def test_two_checkpoints_share_a_store(spark, scratch):
+    """Batch ids of a new checkpoint never meet those of an earlier one, before and after maintenance."""
+    from logroll.sources.tables import INGEST_SHIFT
+    store = LogStore(spark, scratch("two"))
+    first, second = scratch("ck1"), scratch("ck2")
+    assert [store.ingest_number(c) for c in (first, second, first)] == [0, 1, 0]
+    logs = logs_over_days(spark, days=2, per_day=5)
+    total = lambda: store.rollup(merged=True).agg(F.sum("total_count")).first()[0]
+    store.write_rollup(rollup_1m(logs), 0)
+    store.compact(T0 + dt.timedelta(days=5))
+    assert store.vacuum(("logs_1m",)) == ["logs_1m/batch_id=0"]
+    assert total() == 10
+    store.write_rollup(rollup_1m(logs.limit(3)), 1 << INGEST_SHIFT)          # batch 0 of the other checkpoint
+    assert total() == 13
+    store.compact(T0 + dt.timedelta(days=5))
+    assert total() == 13
+    store.write_rollup(rollup_1m(logs.limit(4)), 1)                          # batch 1 of the first, later
+    assert total() == 17
+    store.compact(T0 + dt.timedelta(days=5))
+    assert len(store.vacuum(("logs_1m",))) == 2 and total() == 17
+
+
+def test_compaction_rewrites_only_days_with_new_batches(spark, scratch):
+    store = LogStore(spark, scratch("inc"))
+    store.write_rollup(rollup_1m(logs_over_days(spark, days=3)), 0)
+    store.compact(T0 + dt.timedelta(days=9), ("logs_1m",))
+    files = lambda: {r[0] for r in spark.read.parquet(store.path("logs_1m_compacted"))
+                     .select(F.input_file_name()).distinct().collect()}
+    before = files()
+    store.compact(T0 + dt.timedelta(days=9), ("logs_1m",))
+    assert files() == before
+    store.write_rollup(rollup_1m(logs_over_days(spark, days=1)), 1)
+    store.compact(T0 + dt.timedelta(days=9), ("logs_1m",))
+    assert len(before & files()) == 2
+
+
+def test_readers_of_quiet_tables(spark, scratch):
+    store = LogStore(spark, scratch("quiet"))
+    assert store.dlq().count() == 0 and store.metrics().count() == 0 and store.rollup().count() == 0
+    store.write_rollup(rollup_1m(logs_over_days(spark, days=1)), 0)
+    store.compact(T0 + dt.timedelta(days=5))
+    store.vacuum()
+    assert store.rollup().agg(F.sum("total_count")).first()[0] == 3
+    store.truncate("logs_1m", database=None)
+    assert store.rollup().count() == 0
