@@ -37,6 +37,9 @@ _PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens lon
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(rf"[{_LETTERS}!-&(-/:;=-@\[-`{{-~]+")
 _RUNS = re.compile(rf"[{_LETTERS}]+|[^{_LETTERS}]+")
+# A byte-level vocabulary writes printable bytes as themselves and the others from U+0100 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
 class WordTokens:
@@ -50,29 +53,36 @@ class WordTokens:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.encode = Tokenizer.from_file(path).encode_batch
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.model = tokenizer.encode_batch, tokenizer.model
         self.words: dict[bytes, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
-    def _encoded(self, strings: list[str]) -> dict[str, bytes]:
-        out = {}
-        for i in range(0, len(strings), 4096):
-            lot = strings[i:i + 4096]
-            for s, e in zip(lot, self.encode(lot, add_special_tokens=False)):
-                ids = e.ids
-                out[s] = struct.pack(f"<{len(ids)}I", *ids)
-        return out
-
     def _resolve(self, new: set[bytes]) -> dict[bytes, bytes]:
-        split, runs = {}, self.runs
+        """Ids of words not in the cache: plain words run by run from the vocabulary's merges,
+        others through the whole tokenizer."""
+        runs, got, odd, pack = self.runs, {}, [], struct.pack
         for w in new:
             s = w.decode()
-            split[w] = [r.lower() for r in _RUNS.findall(s)] if _PLAIN.fullmatch(s) else [s]
-        fresh = self._encoded(list({r for parts in split.values() for r in parts if r not in runs}))
-        got = {w: b"".join([fresh[r] if r in fresh else runs[r] for r in parts]) for w, parts in split.items()}
-        for kept, more, room in ((runs, fresh, _CACHE_RUNS), (self.words, got, _CACHE_WORDS)):
-            if len(kept) < room:
-                kept.update(more)
+            if not _PLAIN.fullmatch(s):
+                odd.append((w, s))
+                continue
+            parts = []
+            for r in _RUNS.findall(s.lower()):
+                ids = runs.get(r)
+                if ids is None:
+                    found = [t.id for t in self.model.tokenize(r.encode().decode("latin-1").translate(_BYTES))]
+                    ids = pack(f"<{len(found)}I", *found)
+                    if len(runs) < _CACHE_RUNS:
+                        runs[r] = ids
+                parts.append(ids)
+            got[w] = b"".join(parts)
+        for i in range(0, len(odd), 4096):
+            lot = odd[i:i + 4096]
+            for (w, _), e in zip(lot, self.encode([s for _, s in lot], add_special_tokens=False)):
+                got[w] = pack(f"<{len(e.ids)}I", *e.ids)
+        if len(self.words) < _CACHE_WORDS:
+            self.words.update(got)
         return got
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
