@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from logroll.llm.common import WORD, freeze
+from logroll.llm.common import WORD, freeze, partitions
 from logroll.llm.sharding import prefix_sums
 
 BLOCK, SHARD_SLOTS, CHUNK = 64, 4096, 1 << 16
@@ -115,7 +115,7 @@ def mix(docs: DataFrame, seed: int = 20250611, block: int = BLOCK) -> tuple[Data
            .select("key", "block", "row", "doc_id", "digest", "start", "length"))
     chunks = (plan.where("slots > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1,
                                                                      F.lit(CHUNK).cast("long"))).alias("lo"))
-              .repartition("key", "lo"))
+              .repartition(partitions(plan.sparkSession), "key", "lo"))      # a stated number is not coalesced
     slots = chunks.mapInArrow(lambda it: _slots(it, seed), "key string, block long, epoch int, shard long, slot int")
     # Slots come out of few chunks, so the optimizer takes them for a small table: no broadcast.
     return rows, plan, slots.hint("merge").join(cut.hint("merge"), ["key", "block"]).drop("key", "block")
