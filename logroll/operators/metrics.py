@@ -4,13 +4,13 @@ Dashboard panels are re-expressed as DataFrame work:
 
 * ``counter_rate``      — ``sum(rate(c[step]))``, optionally ``by`` a label (counter resets handled).
 * ``histogram_buckets`` — cumulative ``le`` buckets of observed values (one aggregation pass).
-* ``histogram_quantile``— quantile from cumulative buckets with linear interpolation.
+* ``histogram_quantile``— quantiles from cumulative buckets with linear interpolation.
 * ``histogram_rate_quantile`` — the same over the rates of cumulative bucket counters per step.
 * ``latest``            — instant value of each series (gauges, lag per partition).
 * ``metric_total``      — sum over every series whose name has a prefix (latest values).
 
-Rates divide the increase inside a step by the step length; no extrapolation to the window
-edges is done.
+Rates divide the increase of a step by the time its samples cover; no extrapolation to the
+window edges is done.
 """
 
 from __future__ import annotations
@@ -27,15 +27,20 @@ def series_key(labels: str = "labels") -> Column:
     return F.sort_array(F.map_entries(F.col(labels)))
 
 
+def _increase(prev: Column, value: Column) -> Column:
+    """0 without a previous value, the value itself after a reset (value went down), else the
+    difference."""
+    return (F.when(prev.isNull(), F.lit(0.0))
+            .when(value < prev, value)
+            .otherwise(value - prev))
+
+
 def counter_increase(samples: DataFrame, slice_unit: str = "minute") -> DataFrame:
-    """Add ``increase``: 0 for a series' first sample, the value itself after a reset (value went
-    down), else the difference to the previous sample."""
+    """Add ``increase`` to every sample: 0 for a series' first, the value itself after a reset,
+    else the difference to the previous sample."""
     df = samples.withColumn("_series", series_key())
     df = previous_value(df, ["metric", "_series"], "ts", "value", out="_prev", slice_unit=slice_unit)
-    inc = (F.when(F.col("_prev").isNull(), F.lit(0.0))
-           .when(F.col("value") < F.col("_prev"), F.col("value"))
-           .otherwise(F.col("value") - F.col("_prev")))
-    return df.withColumn("increase", inc).drop("_prev", "_series")
+    return df.withColumn("increase", _increase(F.col("_prev"), F.col("value"))).drop("_prev", "_series")
 
 
 def _step_seconds(step: str) -> int:
@@ -46,11 +51,42 @@ def _step_seconds(step: str) -> int:
 
 def counter_rate(samples: DataFrame, step: str = "1 hour", by: list[str] | None = None) -> DataFrame:
     """Per-second rate per ``step`` bucket, summed over series (and grouped by label names in
-    ``by``): columns ``time``, one per label, ``rate``."""
-    inc = counter_increase(samples)
-    labels = [F.col("labels")[k].alias(k) for k in (by or [])]
-    return (inc.groupBy(F.window("ts", step).start.alias("time"), *labels)
-            .agg((F.sum("increase") / F.lit(float(_step_seconds(step)))).alias("rate")))
+    ``by``): columns ``time``, one per label, ``rate``.
+
+    A series' rate in a step is the increase up to each of the step's samples, divided by the
+    seconds between those samples and their predecessors (which may lie in an earlier step).  A
+    step in which no series has a predecessor has a null rate.  Samples of one series at one
+    instant count as one, the largest; samples without ``ts`` or ``value`` are no samples; null
+    labels are a series of their own.
+
+    Only a summary with one row per series and slice (a minute, or the part of it that divides the
+    step) is ordered by series: a hot series is spread over its slices, and no row is joined back.
+    """
+    unit = math.gcd(_step_seconds(step), 60) * 1_000_000
+    series = ["metric", "_series"]
+    instants = (samples.where("ts IS NOT NULL AND value IS NOT NULL")
+                .groupBy("metric", series_key().alias("_series"),
+                         F.unix_micros(F.col("ts").cast("timestamp")).alias("_us"))
+                .agg(F.max("value").alias("_v"))
+                .withColumn("_slice", F.col("_us") - F.pmod("_us", F.lit(unit))))
+    inside = Window.partitionBy(*series, "_slice").orderBy("_us")
+    at = F.struct("_us", "_v")
+    slices = (instants.withColumn("_p", F.lag(at).over(inside))
+              .groupBy(*series, "_slice")
+              .agg(F.sum(_increase(F.col("_p._v"), F.col("_v"))).alias("_inc"),
+                   F.coalesce(F.sum(F.col("_us") - F.col("_p._us")), F.lit(0)).alias("_covered"),
+                   F.min(at).alias("_first"), F.max(at).alias("_last")))
+    ordered = Window.partitionBy(*series).orderBy("_slice")
+    time = F.window(F.timestamp_micros("_slice"), step).start.cast(samples.schema["ts"].dataType)
+    joined = (slices.withColumn("_p", F.lag("_last").over(ordered))
+              .select(*series, time.alias("time"),
+                      (F.col("_inc") + _increase(F.col("_p._v"), F.col("_first._v"))).alias("_inc"),
+                      (F.col("_covered") + F.coalesce(F.col("_first._us") - F.col("_p._us"), F.lit(0)))
+                      .alias("_covered")))
+    labels = [F.map_from_entries("_series")[k].alias(k) for k in (by or [])]
+    per_series = (joined.groupBy(*series, "time")
+                  .agg(F.try_divide(F.sum("_inc") * F.lit(1e6), F.sum("_covered").cast("double")).alias("_rate")))
+    return per_series.groupBy("time", *labels).agg(F.sum("_rate").alias("rate"))
 
 
 def format_le(bound: float) -> str:
@@ -81,44 +117,57 @@ def le_value(le: Column) -> Column:
     return F.when(le == "+Inf", F.lit(float("inf"))).otherwise(le.cast("double"))
 
 
-def histogram_quantile(buckets: DataFrame, q: float, group: list[str] | None = None,
-                       le: str = "le", count: str = "count", out: str = "quantile") -> DataFrame:
-    """Quantile ``q`` from cumulative buckets (any ``le`` labels, ``+Inf`` last): find the first
-    bucket whose count reaches ``q * total`` and interpolate linearly inside it (from 0 for the
-    first bucket).  If that bucket is ``+Inf`` the largest finite bound is returned.  A group's
-    buckets are few, so the per-group window is small."""
+def _bucket_quantile(buckets: Column, q: float) -> Column:
+    """Quantile ``q`` of a sorted array of ``(le, cnt)`` with cumulative counts."""
+    if not 0 <= q <= 1:
+        raise ValueError(f"a quantile lies between 0 and 1, not at {q}")
+    inf = F.lit(float("inf"))
+    last = F.try_element_at(buckets, F.lit(-1))
+    total = F.when(last["le"] == inf, last["cnt"])
+    rank = F.lit(float(q)) * total
+    hit = F.try_element_at(F.filter(buckets, lambda x: x["cnt"] >= rank), F.lit(1))
+    prev = F.try_element_at(F.filter(buckets, lambda x: x["le"] < hit["le"]), F.lit(-1))
+    top = F.try_element_at(F.filter(buckets, lambda x: x["le"] < inf), F.lit(-1))["le"]
+    low, below = F.coalesce(prev["le"], F.lit(0.0)), F.coalesce(prev["cnt"], F.lit(0.0))
+    frac = F.coalesce(F.try_divide(rank - below, hit["cnt"] - below), F.lit(0.0))
+    return F.when(total > 0, F.when(hit["le"] == inf, top).otherwise(low + (hit["le"] - low) * frac))
+
+
+def histogram_quantile(buckets: DataFrame, q: float | list[float], group: list[str] | None = None,
+                       le: str = "le", count: str = "count", out: str | list[str] = "quantile") -> DataFrame:
+    """Quantiles ``q`` (one or a list, with as many names in ``out``) from cumulative buckets (any
+    ``le`` labels, ``+Inf`` last): find the first bucket whose count reaches ``q * total`` and
+    interpolate linearly inside it (from 0 for the first bucket).  If that bucket is ``+Inf`` the
+    largest finite bound is returned.  A group without observations (total 0 or unknown, no
+    ``+Inf`` bucket) gives null, where the panel shows no number.
+
+    A group's buckets are as few as the bounds, so they are gathered into one small array; all
+    quantiles come from the same aggregation."""
     group = group or []
-    b = buckets.withColumn("_le", le_value(F.col(le))).withColumn("_cnt", F.col(count).cast("double"))
-    w = Window.partitionBy(*group).orderBy("_le")
-    g = Window.partitionBy(*group)
-    b = (b.withColumn("_prev_le", F.coalesce(F.lag("_le").over(w), F.lit(0.0)))
-          .withColumn("_prev_cnt", F.coalesce(F.lag("_cnt").over(w), F.lit(0.0)))
-          .withColumn("_total", F.max(F.when(F.col("_le") == float("inf"), F.col("_cnt"))).over(g))
-          .withColumn("_top", F.max(F.when(F.col("_le") != float("inf"), F.col("_le"))).over(g)))
-    rank = F.lit(float(q)) * F.col("_total")
-    hit = b.where(F.col("_cnt") >= rank)
-    first = hit.groupBy(*group).agg(F.min_by(F.struct("_le", "_prev_le", "_prev_cnt", "_cnt", "_total", "_top"),
-                                             F.col("_le")).alias("h"))
-    h = lambda c: F.col("h")[c]
-    frac = F.coalesce(F.try_divide(F.lit(float(q)) * h("_total") - h("_prev_cnt"), h("_cnt") - h("_prev_cnt")),
-                      F.lit(0.0))
-    val = (F.when(h("_le") == float("inf"), h("_top"))
-           .otherwise(h("_prev_le") + (h("_le") - h("_prev_le")) * frac))
-    return first.select(*group, val.alias(out))
-
-
-def histogram_rate_quantile(samples: DataFrame, bucket_metric: str, q: float, step: str = "5 minutes",
-                            by: list[str] | None = None, out: str = "quantile") -> DataFrame:
+    qs, names = (list(q), list(out)) if isinstance(q, (list, tuple)) else ([q], [out])
+    bucket = F.struct(le_value(F.col(le)).alias("le"), F.col(count).cast("double").alias("cnt"))
+    known = F.col(le).isNotNull() & F.col(count).isNotNull()
+    b = buckets.groupBy(*group).agg(F.sort_array(F.collect_list(F.when(known, bucket))).alias("_b"))
+    return b.select(*group, *[_bucket_quantile(F.col("_b"), x).alias(n) for x, n in zip(qs, names, strict=True)])
+
+
+def histogram_rate_quantile(samples: DataFrame, bucket_metric: str, q: float | list[float], step: str = "5 minutes",
+                            by: list[str] | None = None, out: str | list[str] = "quantile") -> DataFrame:
     """``histogram_quantile(q, sum(rate(<bucket_metric>[step])) by (le))``: per-``le`` rates of the
-    cumulative bucket counters per step, then the quantile of each step's buckets."""
+    cumulative bucket counters per step, then the quantiles of each step's buckets."""
     rates = counter_rate(samples.where(F.col("metric") == bucket_metric), step, by=["le", *(by or [])])
     return histogram_quantile(rates, q, ["time", *(by or [])], le="le", count="rate", out=out)
 
 
+def _newest(value: str, ts: str) -> Column:
+    """Value of the newest sample; the larger value of samples at one instant."""
+    return F.max_by(F.col(value), F.when(F.col(ts).isNotNull(), F.struct(F.col(ts), F.col(value))))
+
+
 def latest(samples: DataFrame, keys: list[str], value: str = "value", ts: str = "ts",
            out: str = "value") -> DataFrame:
     """Instant value: the newest sample's value per key (gauge panels, lag per partition)."""
-    return samples.groupBy(*keys).agg(F.max_by(F.col(value), F.col(ts)).alias(out))
+    return samples.groupBy(*keys).agg(_newest(value, ts).alias(out))
 
 
 def metric_total(samples: DataFrame, prefix: str) -> DataFrame:
@@ -126,5 +175,5 @@ def metric_total(samples: DataFrame, prefix: str) -> DataFrame:
     ``prefix``, across all labels."""
     cur = (samples.where(F.col("metric").startswith(prefix))
            .groupBy("metric", series_key().alias("_series"))
-           .agg(F.max_by("value", "ts").alias("value")))
+           .agg(_newest("value", "ts").alias("value")))
     return cur.agg(F.sum("value").alias("total"))

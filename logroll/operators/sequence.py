@@ -47,8 +47,8 @@ def previous_value(df: DataFrame, series: list[str], ts: str, value: str,
     sliced = df.withColumn("_slice", _slice(ts, slice_unit))
     w = Window.partitionBy(*series, "_slice").orderBy(ts, value)
     # One ordered pass per (series, slice): the previous value inside the slice, and whether the
-    # row is the slice's last.  The slice summary is taken from that same pass, so the input is
-    # shuffled and sorted once.
+    # row is the slice's last.  The slice summary comes from the same pass; as it is joined back,
+    # the pass runs twice.  ``metrics.counter_rate`` needs no rows and works on the summary alone.
     ranked = (sliced.withColumn("_lag", F.lag(F.col(value)).over(w))
               .withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull()))
     edges = (ranked.where("_is_last").select(*series, "_slice", F.col(value).alias("_last"))

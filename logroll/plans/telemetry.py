@@ -17,18 +17,23 @@ from logroll.sources.events import dlq_counter_samples, latency_bucket_samples,
 
 LATENCY_BOUNDS = [50, 100, 250, 500, 1000, 2500, 5000]   # ms
 DLQ_PREFIX = "pipeline_messages_dlq"
+DECIMALS = 9            # rates: engines add the series' doubles in different orders
 
 
 def _counter(spark, sf_dir):
     return dlq_counter_samples(events(spark, sf_dir))
 
 
+def _rounded(df, *cols):
+    return df.withColumns({c: F.round(c, DECIMALS) for c in cols})
+
+
 def q_counter_rate(spark, sf_dir):
-    return ntz(M.counter_rate(_counter(spark, sf_dir), "1 hour"))
+    return ntz(_rounded(M.counter_rate(_counter(spark, sf_dir), "1 hour"), "rate"))
 
 
 def q_dlq_rate(spark, sf_dir):
-    return ntz(M.counter_rate(_counter(spark, sf_dir), "1 hour", by=["reason"]))
+    return ntz(_rounded(M.counter_rate(_counter(spark, sf_dir), "1 hour", by=["reason"]), "rate"))
 
 
 def q_metric_total(spark, sf_dir):
@@ -45,19 +50,15 @@ def q_histogram_buckets(spark, sf_dir):
 
 
 def q_histogram_quantile(spark, sf_dir):
-    b = _latency_buckets(spark, sf_dir)
-    p50 = M.histogram_quantile(b, 0.5, ["service"], out="p50")
-    p95 = M.histogram_quantile(b, 0.95, ["service"], out="p95")
-    return p50.join(p95, "service")
+    return M.histogram_quantile(_latency_buckets(spark, sf_dir), [0.5, 0.95], ["service"], out=["p50", "p95"])
 
 
 def q_histogram_rate_quantile(spark, sf_dir):
     """Dashboard panel: p50 and p95 of latency per hour from the rates of cumulative bucket
     counters (scraped hourly)."""
     samples = latency_bucket_samples(events(spark, sf_dir), LATENCY_BOUNDS)
-    p50 = M.histogram_rate_quantile(samples, "latency_ms_bucket", 0.5, "1 hour", out="p50")
-    p95 = M.histogram_rate_quantile(samples, "latency_ms_bucket", 0.95, "1 hour", out="p95")
-    return ntz(p50.join(p95, "time"))
+    return ntz(_rounded(M.histogram_rate_quantile(samples, "latency_ms_bucket", [0.5, 0.95], "1 hour",
+                                                  out=["p50", "p95"]), "p50", "p95"))
 
 
 def q_gauge_latest(spark, sf_dir):
@@ -77,9 +78,13 @@ WITH s AS (SELECT ts, event_id, event_type AS reason,
                   CAST(row_number() OVER (PARTITION BY event_type, date_trunc('day', ts) ORDER BY ts, event_id)
                        AS DOUBLE) AS value
            FROM events),
-p AS (SELECT *, lag(value) OVER (PARTITION BY reason ORDER BY ts) AS prev FROM s),
-i AS (SELECT ts, reason, CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END AS inc
-      FROM p)"""
+u AS (SELECT ts, reason, max(value) AS value FROM s GROUP BY ts, reason),
+p AS (SELECT *, lag(value) OVER w AS prev, lag(ts) OVER w AS prev_ts FROM u
+      WINDOW w AS (PARTITION BY reason ORDER BY ts)),
+i AS (SELECT date_trunc('hour', ts) AS time, reason,
+             sum(CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END) * 1e6
+             / nullif(CAST(coalesce(sum(epoch_us(ts) - epoch_us(prev_ts)), 0) AS DOUBLE), 0) AS rate
+      FROM p GROUP BY 1, 2)"""
 _BOUNDS = ", ".join(f"('{M.format_le(float(b))}', {float(b)})" for b in LATENCY_BOUNDS) + ", ('+Inf', 'inf'::DOUBLE)"
 _BUCKETS = f"""
 WITH logs AS ({LOGS_SQL}), b(le, bound) AS (VALUES {_BOUNDS}),
@@ -99,7 +104,7 @@ def _quantile_sql(q: float, name: str, group: str = "service", src: str = "h") -
                         max(CASE WHEN le = '+Inf' THEN CAST(count AS DOUBLE) END) OVER (PARTITION BY {group}) AS total,
                         max(CASE WHEN le <> '+Inf' THEN bound END) OVER (PARTITION BY {group}) AS top
                  FROM {src}) w
-           WHERE count >= {q} * total) f
+           WHERE total > 0 AND count >= {q} * total) f
      WHERE rn = 1)"""
 
 
@@ -110,24 +115,26 @@ hb AS (SELECT date_trunc('hour', timestamp) + INTERVAL 1 HOUR AS ts, le, bound,
        FROM logs, b GROUP BY 1, 2, 3),
 c AS (SELECT ts, le, bound, CAST(sum(n) OVER (PARTITION BY le ORDER BY ts ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS value
       FROM hb),
-p AS (SELECT *, lag(value) OVER (PARTITION BY le ORDER BY ts) AS prev FROM c),
+p AS (SELECT *, lag(value) OVER w AS prev, lag(ts) OVER w AS prev_ts FROM c WINDOW w AS (PARTITION BY le ORDER BY ts)),
 r AS (SELECT date_trunc('hour', ts) AS time, le, bound,
-             sum(CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END) / 3600.0 AS count
+             sum(CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END) * 1e6
+             / nullif(CAST(coalesce(sum(epoch_us(ts) - epoch_us(prev_ts)), 0) AS DOUBLE), 0) AS count
       FROM p GROUP BY 1, 2, 3)"""
 
 
 SQL = {
-    "counter_rate": f"{_SAMPLES} SELECT date_trunc('hour', ts) AS time, sum(inc) / 3600.0 AS rate FROM i GROUP BY 1",
-    "dlq_rate": f"""{_SAMPLES} SELECT date_trunc('hour', ts) AS time, reason, sum(inc) / 3600.0 AS rate
-                    FROM i GROUP BY 1, 2""",
+    "counter_rate": f"{_SAMPLES} SELECT time, round(sum(rate), {DECIMALS}) AS rate FROM i GROUP BY 1",
+    "dlq_rate": f"{_SAMPLES} SELECT time, reason, round(sum(rate), {DECIMALS}) AS rate FROM i GROUP BY 1, 2",
     "metric_total": f"""{_SAMPLES} SELECT sum(v) AS total FROM (SELECT reason, arg_max(value, ts) AS v FROM s
                         GROUP BY reason)""",
     "histogram_buckets": f"{_BUCKETS} SELECT service, le, count FROM h",
     "histogram_quantile": f"""{_BUCKETS} SELECT a.service, a.p50, b.p95 FROM {_quantile_sql(0.5, 'p50')} a
                               JOIN {_quantile_sql(0.95, 'p95')} b ON a.service = b.service""",
     "histogram_rate_quantile": f"""{_RATE_BUCKETS}
-        SELECT a.time, a.p50, b.p95 FROM {_quantile_sql(0.5, 'p50', 'time', 'r')} a
-        JOIN {_quantile_sql(0.95, 'p95', 'time', 'r')} b ON a.time = b.time""",
+        SELECT t.time, round(a.p50, {DECIMALS}) AS p50, round(b.p95, {DECIMALS}) AS p95
+        FROM (SELECT DISTINCT time FROM r) t
+        LEFT JOIN {_quantile_sql(0.5, 'p50', 'time', 'r')} a ON a.time = t.time
+        LEFT JOIN {_quantile_sql(0.95, 'p95', 'time', 'r')} b ON b.time = t.time""",
     "gauge_latest": f"""SELECT concat('svc-', CAST(user_id % 4 AS VARCHAR)) AS service,
                                arg_max(CAST(floor(value * 10) AS DOUBLE), ts) AS value
                         FROM events GROUP BY 1""",

@@ -38,8 +38,34 @@ def samples(spark, pts, metric="c", labels=None):
 
 
 def test_counter_rate(spark):
-    r = M.counter_rate(samples(spark, [(0, 0), (30, 300), (60, 600)]), "1 hour").collect()
-    assert r[0]["rate"] * 3600 == 600  # 10/s over the 60 s covered
+    pts = [(0, 0), (30, 300), (60, 600)]
+    for step, n in (("1 hour", 1), ("1 minute", 2), ("45 seconds", 2)):
+        assert [r["rate"] for r in M.counter_rate(samples(spark, pts), step).collect()] == [10.0] * n
+
+
+def test_counter_rate_resets_ties_and_single_samples(spark):
+    assert M.counter_rate(samples(spark, [(0, 100), (30, 400), (60, 50)]), "1 hour").first()["rate"] == 350 / 60
+    tied = samples(spark, [(0, 7), (5, 9), (5, 8)])
+    assert M.counter_rate(tied, "1 minute").first()["rate"] == 2 / 5
+    assert M.counter_rate(samples(spark, [(0, 7)]), "1 minute").first()["rate"] is None
+    unlabelled = tied.withColumn("labels", F.lit(None).cast("map<string,string>"))
+    both = tied.unionByName(unlabelled).unionByName(tied.withColumn("ts", F.lit(None).cast("timestamp")))
+    assert M.counter_rate(both, "1 minute").first()["rate"] == 2 * 2 / 5
+    by = {r["k"]: r["rate"] for r in M.counter_rate(both, "1 minute", by=["k"]).collect()}
+    assert by == {"v": 2 / 5, None: 2 / 5}
+    assert M.counter_rate(both.limit(0), "1 minute").count() == 0
+
+
+def test_counter_rate_equals_row_by_row(spark):
+    pts = [(i * 37 % 9000, (i * 37 % 9000) % 1000) for i in range(300)]
+    df = samples(spark, pts)
+    rows = sorted(set(pts))
+    want = {}
+    for (s0, v0), (s1, v1) in zip(rows, rows[1:]):
+        inc, cov = want.get(s1 // 600, (0.0, 0))
+        want[s1 // 600] = (inc + (v1 if v1 < v0 else v1 - v0), cov + s1 - s0)
+    got = {int((r["time"] - T0).total_seconds()) // 600: r["rate"] for r in M.counter_rate(df, "10 minutes").collect()}
+    assert got == {k: inc / cov for k, (inc, cov) in want.items()}
 
 
 def test_counter_reset(spark):
@@ -68,6 +94,13 @@ def test_histogram_quantile_in_inf_bucket(spark):
     assert M.histogram_quantile(b, 0.95, ["g"]).collect()[0]["quantile"] == 5
 
 
+def test_histogram_quantile_without_observations(spark):
+    idle = buckets(spark, [("5", 0), ("+Inf", 0)])
+    both = M.histogram_quantile(idle, [0.5, 0.95], ["g"], out=["p50", "p95"]).collect()
+    assert [(r["p50"], r["p95"]) for r in both] == [(None, None)]
+    assert M.histogram_quantile(buckets(spark, [("5", 3)]), 0.5, ["g"]).collect()[0]["quantile"] is None
+
+
 def test_histogram_buckets_cumulative(spark):
     df = spark.createDataFrame([(v,) for v in [0.01, 0.07, 0.3, 7.0]], "v double")
     got = {r["le"]: r["count"] for r in M.histogram_buckets(df, "v", [0.05, 0.1, 0.25, 0.5, 1, 2.5, 5]).collect()}
