@@ -10,6 +10,9 @@ from logroll.session import configure, scratch_dir
 
 #: A side is broadcast only when it has at most this many (narrow) rows.
 BROADCAST_ROWS = 200_000
+#: What a Python worker is handed at once: whole texts and blocks of vectors are far wider than the
+#: numbers the default of 10,000 rows is made for.
+ARROW_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 #: Spark's white space of the word contract: blank and tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -21,6 +24,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session options, and the package's folder on the workers' import path (for runs from a
     source tree; harmless where the package is installed)."""
     configure(spark)
+    for name, value in ARROW_BATCH.items():
+        spark.conf.set(name, value)
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, env.get("PYTHONPATH", "")) if x)

@@ -31,7 +31,7 @@ LONGS = HASHES * BITS // 64
 MARGIN = 0.09
 _MULT = 0x9E3779B97F4A7C15
 _CACHE: dict[bytes, int] = {}
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 100_000
 
 
 def _mix64(h: np.ndarray) -> np.ndarray:
