@@ -7,8 +7,9 @@ window that spans all data unless the key says otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from logroll.functions.timefn import window_start
 from logroll.operators import reports as R
 from logroll.operators.rollup import latency_frequencies, merge_rollup, rollup_1m
 from logroll.plans.common import LOGS_SQL, ROLLUP_SQL, events, ntz
@@ -45,13 +46,23 @@ def q_rollup_merged(spark, sf_dir):
     return ntz(merge_rollup(partial).drop("latency_quantiles"))
 
 
-def q_throughput(spark, sf_dir, minutes=ALL_MINUTES):
+def q_throughput(spark, sf_dir):
     lg, r = _rollup(spark, sf_dir)
-    return ntz(R.throughput(r, minutes, as_of(lg)))
+    return ntz(R.throughput(r, ALL_MINUTES, as_of(lg)))
+
+
+def recent_logs(spark, sf_dir, minutes: int) -> tuple[DataFrame, Column]:
+    """(log rows of the trailing window, as_of).  A minute in the window has no row before the
+    window's start, so the start also bounds ``ts``, where the Parquet scan can skip row groups: it
+    is a whole subquery of the column's own type, which the scan gets as a literal."""
+    every, ev = logs(spark, sf_dir), events(spark, sf_dir)
+    start = every.agg(window_start(F.max("timestamp"), minutes).cast(ev.schema["ts"].dataType)).scalar()
+    return logs_from_events(ev.where(F.col("ts") >= start)), as_of(every)
 
 
 def q_throughput_1d(spark, sf_dir):
-    return q_throughput(spark, sf_dir, DAY_MINUTES)
+    lg, newest = recent_logs(spark, sf_dir, DAY_MINUTES)
+    return ntz(R.throughput(rollup_1m(lg, sketch=False), DAY_MINUTES, newest))
 
 
 def q_errors_by_service(spark, sf_dir):
@@ -70,8 +81,8 @@ def q_latency_percentiles(spark, sf_dir):
 
 
 def q_latency_percentiles_1d(spark, sf_dir):
-    lg = logs(spark, sf_dir)
-    return R.split_percentiles(R.latency_percentiles(latency_frequencies(lg), DAY_MINUTES, as_of(lg)), decimals=DECIMALS)
+    lg, newest = recent_logs(spark, sf_dir, DAY_MINUTES)
+    return R.split_percentiles(R.latency_percentiles(latency_frequencies(lg), DAY_MINUTES, newest), decimals=DECIMALS)
 
 
 def q_latency_percentiles_sketch(spark, sf_dir):

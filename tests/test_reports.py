@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from logroll.operators import reports as R
 from logroll.operators.rollup import latency_frequencies, merge_rollup, rollup_1m
 from logroll.schemas import LOGS
 
+SF_SMALL = "/root/testdata/sf0.001"
 NOW = dt.datetime(2026, 7, 31, 12, 30, 0)
 
 
@@ -129,3 +131,15 @@ def test_window_argument_edge_forms():
     assert window_minutes("inf") == 15          # not a JavaScript number literal
     with pytest.raises(ValueError):
         window_minutes("Infinity")              # a number, but no whole-minute interval
+
+
+def test_one_day_scan_is_bounded_by_time(spark):
+    import re
+    from logroll.plans.reports import q_throughput_1d
+    if not os.path.isdir(SF_SMALL):
+        pytest.skip("test data not present")
+    df = q_throughput_1d(spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # the whole subquery is compared with the bare column, so the scan gets its value as a literal
+    assert re.search(r"DataFilters: \[[^\]]*\(ts#\d+ >= [^\]]*[sS]ubquery", plan), plan
