@@ -113,9 +113,12 @@ def test_counters_are_cumulative_and_replay_safe():
 
 def test_rate_over_pipeline_counters(ingested):
     from logroll.operators import metrics as M
-    rates = M.counter_rate(ingested.metrics().where("metric = 'pipeline_messages_consumed_total'"), "1 hour")
+    consumed = ingested.metrics().where("metric = 'pipeline_messages_consumed_total'")
     # increase over the run = last - first sample (the first sample counts as the start)
-    assert rates.agg(F.sum("rate")).first()[0] * 3600 == 6
+    assert M.counter_increase(consumed).agg(F.sum("increase")).first()[0] == 6
+    first, last = consumed.agg(F.min("ts"), F.max("ts")).first()
+    rates = [r["rate"] for r in M.counter_rate(consumed, "30 days").collect() if r["rate"] is not None]
+    assert rates == [pytest.approx(6 / (last - first).total_seconds())]
 
 
 def test_all_rejected_batch_still_commits(spark, scratch):
