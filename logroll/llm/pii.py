@@ -9,7 +9,9 @@ names the gender told by the title and the script.
 *Coreference*: one entity (its canonical form: digits of a number, lower-cased address, ...) has
 one surrogate in all documents.  *Distinctness*: the table of distinct entities is checked; a
 surrogate shared by two entities, or equal to an entity of the corpus, is drawn again with the next
-attempt number until none is left.
+attempt number.  From ``GROW`` attempts on addresses, secrets and names get a keyed label that grows
+with the attempt, so their space is never too small.  Types of a fixed format (numbers, keys) whose
+space is full or nearly full end in a keyed token, ``[ssn-<digest>]``, which is distinct by itself.
 """
 
 from __future__ import annotations
@@ -36,9 +38,14 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _VALUE = r"[A-Za-z0-9+/_.~-]{6,256}$"
-MAX_ATTEMPTS = 40
+MAX_ATTEMPTS, GROW = 40, 2
 
 _LATIN, _CYRILLIC = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшэюя"
+#: Letters without case, by script; letters of any script not listed become Latin ones.
+_CASELESS = {"Han": "安白成达恩方高海江凯林明宁平青荣山天文新", "Hiragana": "あいうえおかきくけこさしすせそたちつてと",
+             "Katakana": "アイウエオカキクケコサシスセソタチツテト", "Hangul": "가나다라마바사아자차카타파하",
+             "Arabic": "ابتثجحخدرزسشصطعغفقكلمنهوي", "Hebrew": "אבגדהוזחטיכלמנסעפצקרשת",
+             "Devanagari": "कखगघचछजझटठडढतथदधनपफबभमयरलवशसह", "Thai": "กขคงจฉชซดตถทนบปผพมยรลวสห"}
 
 
 def _whole(kind: str) -> str:
@@ -124,18 +131,32 @@ def _shaped(value: Column, stream: Column, hexadecimal: Column) -> Column:
                 .when(c.rlike(r"\p{IsCyrillic}") & (F.lower(c) == c), _pick(_CYRILLIC, b))
                 .when(c.rlike(r"\p{IsCyrillic}"), F.upper(_pick(_CYRILLIC, b)))
                 .when(c.rlike(r"\p{Ll}"), _pick("àâçèéêëîïôöùûüñ", b)).when(c.rlike(r"\p{Lu}"), _pick("ÀÂÇÈÉÊËÎÏÔÖÙÛÜÑ", b))
-                .otherwise(c))
+                .otherwise(reduce(lambda out, script: F.when(c.rlike(rf"\p{{Is{script}}}"), _pick(_CASELESS[script], b))
+                                  .otherwise(out), _CASELESS, F.when(c.rlike(r"\p{L}"), _pick(_LATIN, b))
+                                  .when(c.rlike(r"\p{N}"), (b % 10).cast("string")).otherwise(c))))
     return F.array_join(F.transform(F.split(value, ""), swap), "")
 
 
-def _name(canon: Column, kind: Column, stream: Column) -> Column:
-    """An invented name of two or three syllables in the entity's script, ending by gender."""
+def _label(stream: Column, attempt: Column) -> Column:
+    """Letters that widen the space of a type without a fixed length: none before GROW, then two more an attempt."""
+    letters = F.transform(F.sequence(F.lit(0), (attempt - GROW) * 2 + 1), lambda i: _pick(_LATIN, _byte(stream, i + 64)))
+    return F.when(attempt < GROW, F.lit("")).otherwise(F.array_join(letters, ""))
+
+
+def _fallback(key: str, entity: Column) -> Column:
+    """A token no other entity has (128 bits of the keyed digest) and no text of the type equals."""
+    kind = F.regexp_replace(F.substring_index(entity, "|", 1), "^(?:given|family)_.$", "name")
+    return F.concat(F.lit("["), kind, F.lit("-"), F.substr(_stream(key, entity, F.lit("end")), F.lit(1), F.lit(32)), F.lit("]"))
+
+
+def _name(canon: Column, kind: Column, stream: Column, more: Column) -> Column:
+    """An invented name in the entity's script, ending by gender: two or three syllables and ``more``."""
     cyr = canon.rlike(r"\p{IsCyrillic}")
 
     def syllables(consonants, vowels):
         def one(i):
             return F.concat(_pick(consonants, _byte(stream, i * 2)), _pick(vowels, _byte(stream, i * 2 + 1)))
-        return F.array_join(F.transform(F.sequence(F.lit(0), 2 + _byte(stream, F.lit(100)) % 2), one), "")
+        return F.array_join(F.transform(F.sequence(F.lit(0), 2 + _byte(stream, F.lit(100)) % 2 + more), one), "")
 
     ending = lambda m, f, fam: F.when(kind == "given_f", f).when(kind == "given_m", m).when(
         kind == "family_f", fam[1]).otherwise(fam[0])
@@ -150,7 +171,9 @@ def surrogate(key: str, entity: Column, attempt: Column) -> Column:
     stream = _stream(key, entity, attempt)
     b = lambda i: _byte(stream, F.lit(i))
     no = F.lit(False)
-    local = _shaped(F.substring_index(canon, "@", 1), stream, no)
+    said, label = F.substring_index(canon, "@", 1), _label(stream, attempt)
+    local = F.concat(F.when(said.rlike(r"[\p{L}\p{N}]"), _shaped(said, stream, no))
+                     .otherwise(F.concat(*[_pick(_LATIN, b(i)) for i in range(4)])), label)
     domain = F.substring_index(canon, "@", -1)
     ahead = F.regexp_extract(domain, r"^((?:[^.]+\.)*)[^.]+\.[^.]+$", 1)
     email = F.concat(local, F.lit("@"), _shaped(ahead, F.reverse(stream), no), F.lit("example."),
@@ -158,6 +181,7 @@ def surrogate(key: str, entity: Column, attempt: Column) -> Column:
     first = F.when(attempt < 4, F.lit("10")).otherwise((240 + b(3) % 15).cast("string"))
     ip = F.concat_ws(".", first, b(0).cast("string"), b(1).cast("string"), b(2).cast("string"))
     swapped = _shaped(canon, stream, no)
+    hexa = canon.rlike("^[0-9a-f]+$")
     body = F.concat(F.substr(canon, F.lit(1), F.lit(1)), F.substr(swapped, F.lit(2), F.length(canon) - 2))
     total = _luhn_sum(F.concat(body, F.lit("0")), F.length(body))
     card = F.concat(body, ((10 - total % 10) % 10).cast("string"))
@@ -170,8 +194,9 @@ def surrogate(key: str, entity: Column, attempt: Column) -> Column:
             .when(kind == "ssn", F.concat(F.lit("9"), F.substr(swapped, F.lit(2), F.lit(8))))
             .when(kind == "iban", F.concat(F.substr(canon, F.lit(1), F.lit(2)), F.substr(swapped, F.lit(3), F.length(canon))))
             .when(kind == "key", F.concat(F.substr(canon, F.lit(1), F.lit(4)), F.substr(swapped, F.lit(5), F.lit(16))))
-            .when(kind == "secret", _shaped(canon, stream, canon.rlike("^[0-9a-f]+$")))
-            .otherwise(_name(canon, kind, stream)))
+            .when(kind == "secret", F.concat(_shaped(canon, stream, hexa), F.when(hexa, F.translate(
+                label, "ghijklmnopqrstuvwxyz", "abcdefabcdefabcdefab")).otherwise(label)))
+            .otherwise(_name(canon, kind, stream, F.greatest(attempt - GROW + 1, F.lit(0)))))
 
 
 def own_form(entity: Column) -> Column:
@@ -201,9 +226,10 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
             return now.select("entity", F.col("s").alias("surrogate"))
         again = bad.withColumn("redo", F.lit(True))
         attempt = F.when(F.col("redo"), F.lit(i)).otherwise(F.col("attempt"))
+        drawn = surrogate(key, F.col("entity"), F.lit(i)) if i < MAX_ATTEMPTS else _fallback(key, F.col("entity"))
         now = freeze(now.join(again, "entity", "left").select("entity", "kind", attempt.alias("attempt"), F.when(
-            F.col("redo"), surrogate(key, F.col("entity"), F.lit(i))).otherwise(F.col("s")).alias("s")), f"pii-{i}")
-    raise RuntimeError(f"surrogates still collide after {MAX_ATTEMPTS} attempts")
+            F.col("redo"), drawn).otherwise(F.col("s")).alias("s")), f"pii-{i}")
+    return now.select("entity", F.col("s").alias("surrogate"))
 
 
 def _in_format(mention: Column, digits: Column) -> Column:
@@ -230,6 +256,7 @@ def _rendered(m: Column, found: Column) -> Column:
     said = m["said"]
     return (F.when(m["kind"].isNull(), said)
             .when(m["kind"] == "person", F.concat(F.regexp_extract(said, r"^\S+ ", 0), names))
+            .when((m["kind"] != "secret") & one.rlike(r"^\[[a-z]+-[0-9a-f]{32}\]$"), one)
             .when(m["kind"].isin("card", "ssn", "phone"), _in_format(said, one))
             .when(m["kind"] == "iban", _grouped(said, one))
             .when(m["kind"] == "secret", F.concat(F.regexp_replace(said, _VALUE, ""), one))

@@ -103,3 +103,25 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
     e = spark.createDataFrame([(f"ip|10.0.0.{i}",) for i in range(6)], "entity string")
     got = [r["surrogate"] for r in pii.assign(e, "k").collect()]
     assert len(set(got)) == 6 and not any(s.startswith("10.0.0.") for s in got)
+
+
+def test_more_entities_than_surrogates_of_their_shape(spark, monkeypatch):
+    prepare(spark)
+    one = [f"email|{c}@d{i}.com" for c in "abcdefghijklmnopqrstuvwxyz0123456789" for i in range(20)]
+    odd = ["email|王小明@d1.com", "email|محمد@d1.com", "email|_@d1.com", "secret|------", "secret|-----1"]
+    odd += [f"secret|-----{i}" for i in range(2, 10)] + ["secret|-----0"]
+    entities = spark.createDataFrame([(e,) for e in one + odd], "entity string")
+    got = {r["entity"]: r["surrogate"] for r in pii.assign(entities, "k").collect()}
+    assert set(got) == set(one + odd) and len(set(got.values())) == len(got)
+    for e in odd:
+        assert got[e].split("@")[0] != e.split("|")[1].split("@")[0]
+    assert all(re.fullmatch(r"[^@]+@(?:.+\.)?example\.com", s) for e, s in got.items() if e.startswith("email"))
+    assert got["secret|------"] != "------"
+    # A full space of a fixed format: every number of the shape is an entity.
+    monkeypatch.setattr(pii, "MAX_ATTEMPTS", 4)
+    full = spark.createDataFrame([(f"phone|+123:123{i:03d}",) for i in range(1000)], "entity string")
+    made = [r["surrogate"] for r in pii.assign(full, "k").collect()]
+    assert len(set(made)) == 1000 and not any(re.fullmatch(r"\d+", s) for s in made)
+    rows = [(i, f"call +123 {i // 100} {i % 100:02d} 10") for i in range(300)]
+    out = pii.replace_personal_data(docs_frame(spark, rows)).collect()
+    assert len(out) == 300 and len({r["text"] for r in out}) == 300
