@@ -25,19 +25,21 @@ from logroll.llm.common import freeze
 # Detection patterns, one per type, tried in this order at a position.
 _TITLES_M = "Mr|Herr|Monsieur|Señor|Sr|г-н"
 _TITLES_F = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|г-жа"
+# A group of a run of digits: not glued to a letter, nor the start of an address of either sort.
+_GROUP = r"(?:\d{4,}+(?![\p{L}\p{N}])|\d{1,3}+(?![\p{L}\p{N}]|\.\d))(?![\p{L}\p{N}._%+-]{0,63}@)"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}])[\p{L}\p{N}_][\p{L}\p{N}._%+-]{0,63}@(?:[\p{L}\p{N}](?:[\p{L}\p{N}-]{0,61}[\p{L}\p{N}])?\.){1,8}\p{L}{2,24}",
     "ip": r"(?<![\p{L}\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\p{L}\p{N}]|\.\d)",
-    "card": r"(?<![\p{L}\p{N}+-])\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}]|-\d)",
+    "card": rf"(?<![\p{{L}}\p{{N}}+-])(?=\d(?:[ -]?\d){{12}}){_GROUP}(?:[ -]{_GROUP})*+",      # cut up by _run_parts
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)",
     "phone": r"(?<![\p{L}\p{N}])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?![\p{L}\p{N}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z]{4})?(?: ?\d{4}){2,7}(?: ?\d{1,3})?(?![\p{L}\p{N}])",
     "key": r"(?<![\p{L}\p{N}])(?:AKIA|ASIA)[A-Z0-9]{16}(?![\p{L}\p{N}])",
-    "secret": r"(?<![\p{L}\p{N}])(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9+/_.~-]{6,256}",
+    "secret": r"(?<![\p{L}\p{N}])(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9+/_.~-]{6,}",
     "person": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES_M}|{_TITLES_F})\.? \p{{Lu}}\p{{Ll}}{{1,30}}(?: \p{{Lu}}\p{{Ll}}{{1,30}})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-_VALUE = r"[A-Za-z0-9+/_.~-]{6,256}$"
+_VALUE = r"[A-Za-z0-9+/_.~-]{6,}$"
 MAX_ATTEMPTS, GROW = 40, 2
 
 _LATIN, _CYRILLIC = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшэюя"
@@ -70,19 +72,72 @@ def _luhn_sum(digits: Column, upto: Column) -> Column:
 
 
 def kind_of(mention: Column) -> Column:
-    """Type of a mention; a number that fails the card check digit is not personal data (null)."""
-    digits = _digits(mention)
+    """Type of a mention that is no run of digits."""
     out = F.lit(None).cast("string")
-    for kind in reversed(list(PATTERNS)):
-        is_kind = mention.rlike(_whole(kind))
-        if kind == "card":
-            out = F.when(is_kind & (_luhn_sum(digits, F.length(digits)) % 10 == 0), "card").when(
-                is_kind & ~mention.rlike(_whole("phone")), F.lit(None)).otherwise(out)
-        else:
-            out = F.when(is_kind, kind).otherwise(out)
+    for kind in reversed([k for k in PATTERNS if k != "card"]):
+        out = F.when(mention.rlike(_whole(kind)), kind).otherwise(out)
     return out
 
 
+_PART = "array<struct<said:string,kind:string>>"
+
+
+def _part(said: Column, kind: Column) -> Column:
+    return F.struct(said.alias("said"), kind.cast("string").alias("kind"))
+
+
+def _run_parts(run: Column) -> Column:
+    """A run of digit groups, cut into cards and other text (kind null), nothing left out.
+
+    From the first group on, the longest 13 to 19 digits that end at a separator and have a valid
+    check digit are a card; if there are none the search goes on from the next group.  Cards are
+    printed with a first group of four digits or more; a run that starts otherwise is a card as a
+    whole, or by a prefix if all its groups are short.  What is left is searched for other numbers.
+    """
+    lens, digits = F.transform(F.split(run, "[ -]"), F.length), _digits(run)
+    at = F.aggregate(lens, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+
+    def cut(lens, digits, at):
+        count = F.size(lens)
+
+        def step(acc, i):
+            first = F.element_at(at, i + 1)
+            size = lambda e: F.element_at(at, e + 1) - first
+            valid = lambda e: F.when(size(e).between(13, 19), _luhn_sum(
+                F.substr(digits, first + 1, size(e)), size(e)) % 10 == 0).otherwise(F.lit(False))
+            printed = F.element_at(lens, i + 1) >= 4
+            ends = F.when((i == 0) | printed, F.array_max(F.filter(F.sequence(i + 1, F.least(i + 19, count)), lambda e: (
+                printed | (e == count) | ~F.exists(lens, lambda n: n >= 4)) & valid(e))))
+            ahead = F.concat(acc["rest"], F.when(i > 0, F.substr(run, first + i, F.lit(1))).otherwise(F.lit("")))
+
+            def taken(end):
+                card = F.substr(run, first + i + 1, size(end) + end - i - 1)
+                return F.when(end.isNotNull(), F.struct(end.alias("next"), F.lit("").alias("rest"), F.concat(
+                    acc["parts"], F.array(_part(ahead, F.lit(None)), _part(card, F.lit("card")))).alias("parts"))).otherwise(
+                        F.struct(acc["next"].alias("next"), F.concat(ahead, F.substr(
+                            run, first + i + 1, F.element_at(lens, i + 1))).alias("rest"), acc["parts"].alias("parts")))
+            return F.when(i < acc["next"], acc).otherwise(F.element_at(F.transform(F.array(ends), taken), 1))
+
+        start = F.struct(F.lit(0).alias("next"), F.lit("").alias("rest"), F.array().cast(_PART).alias("parts"))
+        return F.aggregate(F.sequence(F.lit(0), count - 1), start, step, lambda acc: F.concat(
+            acc["parts"], F.array(_part(acc["rest"], F.lit(None)))))
+
+    bound = F.transform(F.array(F.struct(lens.alias("lens"), digits.alias("digits"), at.alias("at"))),
+                        lambda x: cut(x["lens"], x["digits"], x["at"]))
+    other = "|".join(f"(?:{PATTERNS[k]})" for k in ("ssn", "phone"))
+    found = lambda said: F.flatten(F.zip_with(
+        F.split(said, other, -1), F.regexp_extract_all(said, F.lit(other), F.lit(0)),
+        lambda gap, m: F.array(_part(gap, F.lit(None)), _part(F.coalesce(m, F.lit("")), F.when(m != "", kind_of(m))))))
+    return F.flatten(F.transform(F.element_at(bound, 1), lambda p: F.when(
+        p["kind"].isNull(), found(p["said"])).otherwise(F.array(p))))
+
+
+def parts_of(mention: Column) -> Column:
+    """(said, kind) of the parts of a mention: one, but for runs of digits."""
+    run = mention.rlike(r"^\d[\d -]*$") & (F.length(_digits(mention)) >= 13)
+    return F.when(run, _run_parts(mention)).otherwise(F.array(_part(mention, kind_of(mention))))
+
+
 def _words(mention: Column) -> Column:
     """Name words of a person mention (its title left out)."""
     return F.split(F.regexp_replace(mention, r"^\S+ ", ""), " ")
@@ -270,24 +325,25 @@ def replace_personal_data(docs: DataFrame, key: str = "rotate-me") -> DataFrame:
     texts without a mention pass unchanged with 0; repeated rows change alike; no row is dropped.
     ``key`` decides all surrogates: reruns agree, another key gives others.
     """
-    # Numbers that only look like cards are found by the pattern too and pass as they are.
+    # Numbers that only look like cards are found by the pattern too and pass as they are.  A match
+    # (found again by the same pattern as the gaps around it) is an array of parts.
     has = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
-    mentions = F.transform(F.regexp_extract_all("text", F.lit(ANY), F.lit(0)), lambda said: F.struct(
-        said.alias("said"), kind_of(said).alias("kind")))
-    keyed = F.transform("__m", lambda m: F.struct(m["said"].alias("said"), m["kind"].alias("kind"), F.when(
-        m["kind"].isNotNull(), keys_of(m["kind"], m["said"])).otherwise(F.array().cast("array<string>")).alias("keys")))
+    mentions = F.transform(F.regexp_extract_all("text", F.lit(ANY), F.lit(0)), parts_of)
+    keyed = F.transform("__m", lambda parts: F.transform(parts, lambda m: F.struct(
+        m["said"].alias("said"), m["kind"].alias("kind"), F.when(m["kind"].isNotNull(), keys_of(
+            m["kind"], m["said"])).otherwise(F.array().cast("array<string>")).alias("keys"))))
     hits = freeze(docs.where(has).withColumn("__m", mentions).withColumn("__m", keyed)
                   .withColumn("__row", F.monotonically_increasing_id()), "pii-hits")
-    uses = hits.select("__row", F.explode(F.array_distinct(F.flatten(F.transform("__m", lambda m: m["keys"])))).alias("entity"))
+    uses = hits.select("__row", F.explode(F.array_distinct(F.flatten(F.transform(F.flatten("__m"), lambda m: m["keys"])))).alias("entity"))
     told = assign(uses.select("entity").distinct(), key)
     found = (uses.join(told, "entity").groupBy("__row")
              .agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("__found")))
     none = F.create_map().cast("map<string,string>")
     gaps = F.split("text", ANY, -1)
-    new = F.array_join(F.zip_with(gaps, F.transform("__m", lambda m: _rendered(m, F.coalesce("__found", none))),
-                                  lambda g, r: F.concat(g, F.coalesce(r, F.lit("")))), "")
+    new = F.array_join(F.zip_with(gaps, F.transform("__m", lambda parts: F.array_join(F.transform(
+        parts, lambda m: _rendered(m, F.coalesce("__found", none))), "")), lambda g, r: F.concat(g, F.coalesce(r, F.lit("")))), "")
     out = (hits.join(found, "__row", "left").withColumn("n_entities", F.size(F.filter(
-        "__m", lambda m: m["kind"].isNotNull())).cast("long")).withColumn("text", new))
+        F.flatten("__m"), lambda m: m["kind"].isNotNull())).cast("long")).withColumn("text", new))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     out = out.select(*docs.columns, "n_entities")

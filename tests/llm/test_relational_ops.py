@@ -125,3 +125,23 @@ def test_more_entities_than_surrogates_of_their_shape(spark, monkeypatch):
     rows = [(i, f"call +123 {i // 100} {i % 100:02d} 10") for i in range(300)]
     out = pii.replace_personal_data(docs_frame(spark, rows)).collect()
     assert len(out) == 300 and len({r["text"] for r in out}) == 300
+
+
+def test_cards_in_longer_runs_and_long_secrets(spark):
+    prepare(spark)
+    card, token = "4111 1111 1111 1111", "Ab9_" * 300
+    runs = [f"{card} 12/27", "4111111111111111 123 CVV", "pay 4111111111111111 5 times", f"{card} 12ab", f"5 {card}",
+            f"1234 {card}", f"{card} 10.0.0.1 end", f"{card} 123-45-6789", f"555-123-4567 {card}", f"{card} 12@x.com",
+            f"{card}-123", f"{card} {card} 7", f"token={token} end"]
+    same = ["1234567890123456 12", "9" * 5000, "1 2 " * 3, "4111111111111112 and 12 345 678"]
+    rows = list(enumerate(runs)) + [(100 + i, t) for i, t in enumerate(same)]
+    got = {r["doc_id"]: r for r in pii.replace_personal_data(docs_frame(spark, rows)).collect()}
+    for i, t in enumerate(runs[:-1]):
+        assert not re.search(r"4111 ?1111 ?1111 ?1111", got[i]["text"]), got[i]["text"]
+        assert not re.search(r"10\.0\.0\.1 |123-45-6789|555-123|12@x", got[i]["text"]), got[i]["text"]
+        assert re.search(r"(?<!\d)4\d{3} ?\d{4} ?\d{4} ?\d{4}(?!\d)", got[i]["text"]), got[i]["text"]
+    assert got[0]["text"].endswith(" 12/27") and got[1]["text"].endswith(" 123 CVV") and got[4]["text"].startswith("5 ")
+    assert [got[i]["n_entities"] for i in (6, 7, 8, 9, 11)] == [2] * 5
+    long = got[len(runs) - 1]["text"]
+    assert re.fullmatch(r"token=[A-Za-z0-9_]{1200} end", long) and token[1000:1012] not in long
+    assert [got[100 + i]["text"] for i in range(len(same))] == same
