@@ -4,7 +4,8 @@ Each tree names a vector by a long bit string (signs of random orthogonal projec
 centred vector) and keeps the strings as sorted arrays.  A query descends every tree to its
 longest prefix match, then all trees ascend together, one bit at a time, until the matches of all
 trees number ``effort`` times the vectors; everything under the prefixes reached is scored exactly
-on the original vectors.
+on the original vectors.  Matches and vectors are counted as distinct vectors, as on the sample that
+sets ``effort``: copies of one vector do not use up the effort.
 
 A tree's sorted array is cut by leading bits into blocks, crowded prefixes by a hash of the id as
 well, so a block is bounded whatever the data.  A query that has to climb above the bits of a
@@ -112,7 +113,6 @@ def _tree_block(key, pdf, width):
     pdf = pdf.sort_values(["s", "vec_id"])
     return pd.DataFrame({"tree": [key[0]], "lead": [key[1]], "salt": [key[2]],
                          "s": [pdf["s"].to_numpy("<i8").tobytes()], "ids": [pdf["vec_id"].to_numpy("<i8").tobytes()],
-                         "weight": [pdf["copies"].to_numpy("<i8").tobytes()],
                          "v": [_padded(pdf["v"], width).astype("<f8").tobytes()]})
 
 
@@ -135,14 +135,13 @@ def _counted(batches, lead):
     for batch in batches:
         for r in batch.to_pylist():
             s = np.frombuffer(r["s"], "<i8")
-            w = np.concatenate([[0], np.cumsum(np.frombuffer(r["weight"], "<i8"))])
             ids, out = np.frombuffer(r["q_ids"], "<i8"), []
             for qid, q in zip(ids.tolist(), np.frombuffer(r["q_s"], "<i8").tolist()):
                 for level in range(lead, BITS + 1):
                     a, b = _range(s, q, level)
                     if a == b:
                         break
-                    out.append((qid, level, int(w[b] - w[a])))
+                    out.append((qid, level, int(b - a)))
             cols = list(zip(*out)) if out else [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64()))],
                                              names=["query_id", "level", "n"])
@@ -210,19 +209,19 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, goal: float = 0.9
     effort = settle_effort(forest, sample, k, goal)
     lead = max(0, min(BITS, int(math.log2(max(1, n / BLOCK)))))
 
-    shape = "vec_id long, copies long, v array<double>, tree int, s long, lead long"
-    hashed = entries.select("vec_id", "copies", "v").mapInPandas(lambda it: _hashed(it, forest, width, lead), shape)
-    crowd = freeze(hashed.groupBy("tree", "lead").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("w")), "ann-crowd")
+    shape = "vec_id long, v array<double>, tree int, s long, lead long"
+    hashed = entries.select("vec_id", "v").mapInPandas(lambda it: _hashed(it, forest, width, lead), shape)
+    crowd = freeze(hashed.groupBy("tree", "lead").agg(F.count(F.lit(1)).alias("n")), "ann-crowd")
     salts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("long")
     blocks = freeze(hashed.join(crowd.select("tree", "lead", salts.alias("salts")), ["tree", "lead"])
                     .withColumn("salt", F.pmod(F.xxhash64("vec_id", F.lit(5)), F.col("salts")))
                     .groupBy("tree", "lead", "salt").applyInPandas(
                         lambda key, pdf: _tree_block(key, pdf, width),
-                        "tree int, lead long, salt long, s binary, ids binary, weight binary, v binary"), "ann-blocks")
+                        "tree int, lead long, salt long, s binary, ids binary, v binary"), "ann-blocks")
 
     asked = all_.where(F.col("vec_id") % every == 0)
     lots = max(1, math.ceil(asked.count() / QUERY_BLOCK))
-    q = freeze(asked.select("vec_id", F.lit(1).cast("long").alias("copies"), "v")
+    q = freeze(asked.select("vec_id", "v")
                .mapInPandas(lambda it: _hashed(it, forest, width, lead), shape), "ann-queries")
     lot_shape = "tree int, lead long, q_s binary, q_ids binary, level binary, q binary"
 
@@ -231,21 +230,20 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, goal: float = 0.9
                 .groupBy("tree", "lead", "lot").applyInPandas(lambda key, pdf: _query_lot(key, pdf, width), lot_shape))
 
     deep = (in_lots(q.withColumn("level", F.lit(lead))).select("tree", "lead", "q_s", "q_ids")
-            .join(blocks.select("tree", "lead", "s", "weight"), ["tree", "lead"])
+            .join(blocks.select("tree", "lead", "s"), ["tree", "lead"])
             .mapInArrow(lambda it: _counted(it, lead), "query_id long, level int, n long"))
     # Levels above a block's leading bits: sums over blocks.
     prefixes = F.explode(F.transform(F.sequence(F.lit(0), F.lit(lead)), lambda i: F.struct(i.alias("level"), F.floor(
         F.col("lead") / F.pow(F.lit(2.0), F.lit(lead) - i)).cast("long").alias("prefix")))).alias("p")
-    tops = (crowd.select("tree", "w", prefixes).groupBy("tree", "p.level", "p.prefix").agg(F.sum("w").alias("n")))
+    tops = (crowd.select("tree", F.col("n").alias("w"), prefixes).groupBy("tree", "p.level", "p.prefix").agg(F.sum("w").alias("n")))
     shallow = (q.select(F.col("vec_id").alias("query_id"), "tree", prefixes)
         .select("query_id", "tree", "p.level", "p.prefix").where(F.col("level") < lead)
         .join(tops, ["tree", "level", "prefix"]).select("query_id", "level", "n"))
-    total = all_.count()
-    goal_n = min(effort, float(TREES)) * total
+    goal_n = min(effort, float(TREES)) * n
     levels = (deep.union(shallow).groupBy("query_id", "level").agg(F.sum("n").alias("n"))
               .where(F.col("n") >= F.lit(goal_n) - 0.5).groupBy("query_id").agg(F.max("level").cast("int").alias("level")))
     climbed = (q.join(levels, F.col("vec_id") == F.col("query_id"), "left")
-               .select("vec_id", "copies", "v", "tree", "s", "lead", F.coalesce("level", F.lit(0)).alias("level")))
+               .select("vec_id", "v", "tree", "s", "lead", F.coalesce("level", F.lit(0)).alias("level")))
     up = F.greatest(F.lit(0), F.lit(lead) - F.col("level"))
     span = F.pow(F.lit(2.0), up).cast("long")
     base = (F.floor(F.col("lead") / span) * span).cast("long")

@@ -118,3 +118,25 @@ def test_weak_view_does_not_harm():
     known[300:450] = -1
     m = quality.co_train(strong, weak, known, held & (known >= 0))
     assert ((m.score(strong[450:], weak[450:]) > 0.5) == (y[450:] == 1)).mean() > 0.95
+
+
+def test_forest_recall_beside_a_vector_with_a_third_of_the_rows(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((60, 64)) * 4
+    x = (centres[np.arange(4500) % 60] + rng.standard_normal((4500, 64))).astype(np.float32)
+    ids = np.arange(4500) * 2 + 1                                        # odd: asked only if made even below
+    near = np.flatnonzero(np.arange(4500) % 60 == 7)[1:61]               # 60 queries in the copied vector's cluster
+    ids[near] = 20 * np.arange(1, 61)
+    hot = [(100_001 + 2 * i, x[7]) for i in range(2250)]
+    rows = [(int(i), v.tolist()) for i, v in [*zip(ids, x), *hot]]
+    prepare(spark)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    got = {}
+    for r in ann.nearest(df, k=10, every=20).collect():
+        got.setdefault(r["query_id"], []).append(r["score"])
+    every = np.array([v for _, v in rows], np.float32).astype(float)
+    recall = []
+    for i in near:
+        d = np.sort(np.sqrt(((every - x[i].astype(float)) ** 2).sum(axis=1)))[1:11]
+        recall.append((np.array(got[int(ids[i])]) <= d[-1] + 1e-9).mean())
+    assert len(recall) == 60 and np.mean(recall) >= 0.9 and min(recall) >= 0.5
