@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logroll.llm.common import connected_components, freeze, small
+from logroll.llm.common import WORD, connected_components, freeze, small
 
 BANDS, ROWS = 24, 5
 HASHES, BITS = 512, 4
@@ -105,8 +105,8 @@ def _signature_batches(batches, k):
         digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays(
             [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()),
-             pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32)), flat)],
-            names=["doc_id", "n_shingles", "digest", "bands"])
+             pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS, dtype=np.int32)), flat), batch.column(2)],
+            names=["doc_id", "n_shingles", "digest", "bands", "th"])
 
 
 def _set_batches(batches, k):
@@ -130,9 +130,9 @@ def _set_batches(batches, k):
 
 
 def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
-    """One row per row of ``docs``: set size, 128-bit digest of the set, band keys."""
-    cols = "doc_id long, n_shingles long, digest binary, bands array<long>"
-    return (docs.select(F.col("doc_id").cast("long"), F.encode("text", "UTF-8").alias("t"))
+    """One row per row of ``docs``: set size, 128-bit digest of the set, band keys, hash of the text."""
+    cols = "doc_id long, n_shingles long, digest binary, bands array<long>, th long"
+    return (docs.select(F.col("doc_id").cast("long"), F.encode("text", "UTF-8").alias("t"), F.xxhash64("text").alias("th"))
             .mapInArrow(lambda it: _signature_batches(it, k), cols))
 
 
@@ -168,31 +168,35 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("i") >= percent * (F.col("n") - F.col("i"))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row of ``docs``.
+def _judged(docs: DataFrame, percent: int, k: int) -> tuple[DataFrame, DataFrame]:
+    """Signatures of the rows, and the class of every distinct set: (digest, component, doc_id, th).
 
-    Links: ``100 * |A ∩ B| >= percent * |A ∪ B|`` on distinct k-word shingle sets.  Null or
-    word-free texts have an empty set and no link.  Repeated rows and equal sets share a class
-    whatever their number.  A row without doc_id takes part in its class but never names it; it
-    is kept only if its class has no id at all.  Other columns of ``docs`` are ignored.
+    A class goes by a number of its own, not by a doc_id, which may be missing or shared by unlike
+    texts.  ``doc_id`` is the smallest of the component (null if it has none); that id and ``th``
+    tell the one text of the component that stays.
     """
     sig = freeze(signatures(docs.select("doc_id", "text"), k), "sig")
     words = [f"w{j}" for j in range(LONGS)]
+    named = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("named")
     classes = freeze(sig.where("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands")),
-        "classes")
+        named, F.min("th").alias("any"), F.first("bands").alias("bands"))
+        .select("digest", "bands", F.col("named.doc_id").alias("doc_id"), F.coalesce("named.th", "any").alias("th"))
+        .withColumn("rep", F.monotonically_increasing_id()), "classes")
 
-    keyed = classes.where("rep is not null").select("rep", F.explode("bands").alias("key"))
+    keyed = classes.select("rep", F.explode("bands").alias("key"))
     salted = lambda s: F.min(F.struct(F.xxhash64("rep", F.lit(s)).alias("h"), "rep"))["rep"]
     heads = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(
         F.min("rep"), salted(1), salted(2), salted(3))).alias("heads")).where("n > 1").select("key", "heads"))
     members = freeze(keyed.join(heads, "key"), "members")
 
-    ids = freeze(members.select(F.col("rep").alias("id")).distinct(), "ids")
-    sets = freeze(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                  .join(small(ids), F.col("doc_id") == ids["id"], "left_semi")
-                  .select("doc_id", F.encode("text", "UTF-8").alias("t"))
+    ids = freeze(classes.join(members.select("rep").distinct(), "rep", "left_semi").select(
+        F.col("rep").alias("id"), F.col("doc_id").alias("of_doc"), F.col("th").alias("of_th")), "ids")
+    sets = freeze(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
+                  .join(small(ids), F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("th") == F.col("of_th")))
+                  .select("id", F.encode("text", "UTF-8").alias("t"))
                   .mapInArrow(lambda it: _set_batches(it, k), "id long, shingles array<long>, " + ", ".join(f"{w} long" for w in words)), "sets")
+    if sets.count() > ids.count():                             # repeated rows of one id (or of none) and text
+        sets = freeze(sets.dropDuplicates(["id"]), "sets-once")
     reps = sets.select(F.col("id").alias("rep"), *words)
 
     limit = max_mismatches(percent / 100)
@@ -210,7 +214,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
              .agg(F.max(F.struct("n", "c"))["c"].alias("top"), F.count(F.lit(1)).alias("cs")).where("cs > 1")
              .select("key", "top"))
     apart = freeze(placed.join(split, "key").join(reps, "rep")
-                   .join(classes.where("rep is not null").select("rep", "bands"), "rep")
+                   .join(classes.select("rep", "bands"), "rep")
                    .select("key", "rep", "c", "top", "bands", F.struct(*words).alias("w")), "apart")
     x, y = apart.where("c != top").alias("x"), apart.alias("y")
     same = (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & (
@@ -222,8 +226,26 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
     more = freeze(_confirm(rest, sets, percent), "more")
     final = connected_components(first.where("node != component").select(F.col("node").alias("a"),
                                                                        F.col("component").alias("b")).union(more))
-    named = (classes.select("digest", "rep").join(final, F.col("rep") == F.col("node"), "left")
-             .select("digest", F.coalesce("component", "rep").alias("component_id")))
+    placed = classes.join(final, F.col("rep") == F.col("node"), "left").select(
+        "digest", F.coalesce("component", "rep").alias("component"), "doc_id", "th")
+    first = F.coalesce(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))),
+                       F.min(F.struct("doc_id", "th")))
+    linked = freeze(placed, "placed")
+    heads = freeze(linked.groupBy("component").agg(first.alias("head")), "heads")
+    return sig, (linked.select("digest", "component").join(small(heads), "component")
+                 .select("digest", "component", F.col("head.doc_id").alias("doc_id"), F.col("head.th").alias("th")))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per row of ``docs``.
+
+    Links: ``100 * |A ∩ B| >= percent * |A ∪ B|`` on distinct k-word shingle sets.  Null or
+    word-free texts have an empty set and no link.  Repeated rows and equal sets share a class
+    whatever their number.  A row without doc_id takes part in its class but never names it; it
+    is kept only if its class has no id at all.  Other columns of ``docs`` are ignored.
+    """
+    sig, classes = _judged(docs, percent, k)
+    named = classes.select("digest", F.col("doc_id").alias("component_id"))
     own = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return (sig.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
             .select("doc_id", "n_shingles", own.alias("component_id"))
@@ -231,6 +253,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85, k: int = 5) -> DataFrame
 
 
 def keep_one(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
-    """Rows of ``docs`` that name their near-duplicate class, one per doc_id, all columns."""
-    gone = near_duplicates(docs, percent, k).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return (docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti").dropDuplicates(["doc_id"]))
+    """One row of each near-duplicate class, all columns.
+
+    It has the smallest doc_id of the class (any of its rows, if none has one), and of that id the
+    text with the least hash.  Word-free texts are in no class: all rows without an id stay, and of
+    repeated rows (doc_id and text) one.
+    """
+    sig, classes = _judged(docs, percent, k)
+    # The texts that stay, by id and hash of the text: never a text because of another one's id.
+    stay = classes.select("component", "doc_id", "th").distinct().select(
+        F.col("doc_id").alias("stay_id"), F.col("th").alias("stay_th"))
+    rows = docs.withColumn("__th", F.xxhash64("text"))
+    worded = F.coalesce(F.regexp_like("text", F.lit(WORD)), F.lit(False))
+    kept = rows.where(worded).join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("stay_id")) & (
+        F.col("__th") == F.col("stay_th")), "left_semi").withColumn("__n", F.lit(0).cast("long"))
+    bare = rows.where(~worded).withColumn("__n", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+                                          .otherwise(F.when(F.col("text").isNull(), F.lit(-1)).otherwise(F.lit(0))).cast("long"))
+    return kept.union(bare).dropDuplicates(["doc_id", "__th", "__n"]).select(*docs.columns)

@@ -91,3 +91,19 @@ def test_estimate_is_close_to_the_resemblance():
     true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
     assert abs((m[0] == m[1]).mean() - true) < 0.08
     assert near_dup.max_mismatches(0.85) > near_dup.HASHES * 0.15
+
+
+def test_rows_without_id_and_shared_ids_are_judged_by_text(spark):
+    prepare(spark)
+    near = lambda seed: sentence(200, seed) + " tail"
+    rows = [(1, sentence(200, 1)), (None, sentence(200, 1)), (2, sentence(200, 2)), (None, near(2)),
+            (None, sentence(200, 3)), (None, near(3)), (None, sentence(200, 4)), (None, sentence(200, 4)),
+            (7, sentence(200, 5)), (7, sentence(200, 6)), (8, near(5)), (9, near(6)), (7, sentence(200, 6)),
+            (None, ""), (None, None), (None, " "), (10, ""), (10, "")]
+    rows += [(None, sentence(60, 50 + i)) for i in range(5)]
+    df = docs_frame(spark, rows).repartition(3)
+    assert Counter(tuple(r) for r in near_dup.near_duplicates(df).collect()) == brute(rows)
+    kept = Counter((r["doc_id"], r["text"]) for r in near_dup.keep_one(df).collect())
+    sure = [rows[i] for i in (0, 2, 6, 8, 9, 13, 14, 15, 16)] + rows[18:]
+    either = [k for k in kept if k in (rows[4], rows[5])]
+    assert len(either) == 1 and kept == Counter(sure + either)
