@@ -2,7 +2,8 @@
 
 A byte goes when a window of ``width`` (100) bytes covering it also starts earlier, in a smaller
 doc_id or earlier in the same document.  Windows never cross documents; all windows are judged on
-the input.  Order is only needed up to ``width`` bytes, so suffixes are named, sorted and compared
+the input.  A document is a pair (id, row): ``row`` is 0 but for rows without doc_id, each a
+document of its own, and for unlike texts that share a doc_id.  Order is only needed up to ``width`` bytes, so suffixes are named, sorted and compared
 to that depth.
 
 1. *Reduction.*  Sorting every suffix of the corpus would move about 80 bytes per byte of text.
@@ -35,7 +36,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from logroll.llm.common import bucket_count, freeze
+from logroll.llm.common import bucket_count, freeze, small
 
 WIDTH, GRAM = 100, 36
 CHUNK = 1 << 20               # bytes of text handled at once
@@ -108,10 +109,19 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
+def _documents(batch) -> np.ndarray:
+    """(documents, 2): id and row; a batch without the column ``row`` has one row an id."""
+    ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    if "row" not in batch.schema.names:
+        return np.stack([ids, np.zeros_like(ids)], axis=1)
+    row = batch.column(batch.schema.get_field_index("row")).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.stack([ids, row], axis=1)
+
+
 def _pieces(batch):
-    """Chunks of a batch: byte buffer, piece starts in it, their doc ids and start positions.
+    """Chunks of a batch: byte buffer, piece starts in it, their documents and start positions.
     Documents longer than a chunk continue in the next one with ``WIDTH - 1`` bytes repeated."""
-    ids = batch.column(0).to_numpy(zero_copy_only=False)
+    ids = _documents(batch)
     texts = batch.column(1).to_pylist()
     parts, starts, docs, base, total = [], [], [], [], 0
     for doc, text in zip(ids, texts):
@@ -161,7 +171,7 @@ def spans(buf, starts, docs, base):
 
 def _later(key: tuple, doc: np.ndarray, pos: np.ndarray):
     """Order by (key, doc, pos); which entries of that order have an earlier equal key, which start a key."""
-    order = np.lexsort((pos, doc, *key[::-1]))
+    order = np.lexsort((pos, doc[:, 1], doc[:, 0], *key[::-1]))
     new = np.ones(len(order), bool)
     same = np.ones(max(len(order) - 1, 0), bool)
     for k in key:
@@ -170,23 +180,35 @@ def _later(key: tuple, doc: np.ndarray, pos: np.ndarray):
     new[1:] = ~same
     head = np.flatnonzero(new)[np.cumsum(new) - 1] if len(order) else np.empty(0, np.int64)
     d, p = doc[order], pos[order]
-    return order, (d != d[head]) | (p != p[head]), new
+    return order, (d != d[head]).any(axis=1) | (p != p[head]), new
 
 
 def _runs(doc, pos, n):
     """Merge adjoining (doc, pos, length) entries."""
     if not len(doc):
         return doc, pos, n
-    o = np.lexsort((pos, doc))
+    o = np.lexsort((pos, doc[:, 1], doc[:, 0]))
     doc, pos, n = doc[o], pos[o], n[o]
     new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (pos[1:] > pos[:-1] + n[:-1])
+    new[1:] = (doc[1:] != doc[:-1]).any(axis=1) | (pos[1:] > pos[:-1] + n[:-1])
     at = np.flatnonzero(new)
     end = np.maximum.reduceat(pos + n, at)
     return doc[at], pos[at], end - pos[at]
 
 
-_KEYED = "bucket long, a binary, b binary, doc binary, pos binary, n binary"
+_KEYED = "bucket long, a binary, b binary, doc binary, pos binary, n binary, row binary"
+
+
+def _row_bytes(doc: np.ndarray) -> bytes:
+    """Rows of documents; empty where all are 0, as is usual."""
+    return doc[:, 1].astype("<i8").tobytes() if doc[:, 1].any() else b""
+
+
+def _documents_of(docs, rows) -> np.ndarray:
+    """Documents from the columns ``doc`` and ``row`` of blocks."""
+    ids = np.frombuffer(b"".join(docs), "<i8")
+    row = np.frombuffer(b"".join(r or bytes(len(d)) for d, r in zip(docs, rows)), "<i8")
+    return np.stack([ids, row], axis=1)
 
 
 def _deal(buckets: int, a, b, doc, pos, n):
@@ -195,8 +217,9 @@ def _deal(buckets: int, a, b, doc, pos, n):
     o = np.argsort(of, kind="stable")
     of = of[o]
     edge = np.concatenate([[0], np.flatnonzero(of[1:] != of[:-1]) + 1, [len(of)]]) if len(of) else [0]
-    cols = [x[o].astype(t) for x, t in ((a, "<u8"), (b, "<u8"), (doc, "<i8"), (pos, "<u4"), (n, "u1"))]
-    rows = [(int(of[i]), *[x[i:j].tobytes() for x in cols]) for i, j in zip(edge[:-1], edge[1:])]
+    doc = doc[o]
+    cols = [x.astype(t) for x, t in ((a[o], "<u8"), (b[o], "<u8"), (doc[:, 0], "<i8"), (pos[o], "<u4"), (n[o], "u1"))]
+    rows = [(int(of[i]), *[x[i:j].tobytes() for x in cols], _row_bytes(doc[i:j])) for i, j in zip(edge[:-1], edge[1:])]
     return rows
 
 
@@ -206,15 +229,15 @@ def _marked(buckets: int, doc, pos, n, seed: int):
     rows = []
     for i in range(0, len(doc), 20_000):
         s = slice(i, i + 20_000)
-        rows.append(((seed + i // 20_000 * 7919) % buckets, b"", b"", doc[s].astype("<i8").tobytes(),
-                     pos[s].astype("<u4").tobytes(), n[s].astype("<u4").tobytes()))
+        rows.append(((seed + i // 20_000 * 7919) % buckets, b"", b"", doc[s, 0].astype("<i8").tobytes(),
+                     pos[s].astype("<u4").tobytes(), n[s].astype("<u4").tobytes(), _row_bytes(doc[s])))
     return rows
 
 
 def _batch(rows):
-    cols = list(zip(*rows)) if rows else [[]] * 6
+    cols = list(zip(*rows)) if rows else [[]] * 7
     return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64())] + [pa.array(c, pa.binary()) for c in cols[1:]],
-                                      names=["bucket", "a", "b", "doc", "pos", "n"])
+                                      names=["bucket", "a", "b", "doc", "pos", "n", "row"])
 
 
 def _combine_spans(buckets, held, seed):
@@ -235,10 +258,10 @@ def _combine_spans(buckets, held, seed):
             d, p, m = doc[crowded], pos[crowded], n[crowded]
             for i in range(0, len(d), 20_000):
                 s = slice(i, i + 20_000)
-                rows.append(((seed + 31 * i) % buckets, b"", b"?", d[s].astype("<i8").tobytes(),
-                             p[s].astype("<u4").tobytes(), m[s].astype("<u4").tobytes()))
+                rows.append(((seed + 31 * i) % buckets, b"", b"?", d[s, 0].astype("<i8").tobytes(),
+                             p[s].astype("<u4").tobytes(), m[s].astype("<u4").tobytes(), _row_bytes(d[s])))
             a, b, doc, pos, n = (x[~crowded] for x in (a, b, doc, pos, n))
-    o = np.lexsort((pos, doc))
+    o = np.lexsort((pos, doc[:, 1], doc[:, 0]))
     return _batch(rows + _deal(buckets, *(x[o] for x in (a, b, doc, pos, n))))
 
 
@@ -259,15 +282,20 @@ def _span_blocks(batches, buckets):
 
 def _unpack(pdf: pd.DataFrame):
     get = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
-    return (get("a", "<u8"), get("b", "<u8"), get("doc", "<i8"), get("pos", "<u4").astype(np.int64),
+    return (get("a", "<u8"), get("b", "<u8"), _documents_of(pdf["doc"], pdf["row"]), get("pos", "<u4").astype(np.int64),
             get("n", "u1").astype(np.int64))
 
 
 def _frame(doc, pos, n, kind):
-    return pd.DataFrame({"id": doc, "pos": pos, "n": n, "kind": np.full(len(doc), kind, np.int32)})
+    return pd.DataFrame({"id": doc[:, 0], "row": doc[:, 1], "pos": pos, "n": n, "kind": np.full(len(doc), kind, np.int32)})
+
 
+def _no_frame():
+    none = np.empty(0, np.int64)
+    return _frame(none.reshape(0, 2), none, none, 0)
 
-_OUT = "id long, pos long, n long, kind int"
+
+_OUT = "id long, row long, pos long, n long, kind int"
 
 
 def _told(pdf: pd.DataFrame):
@@ -275,7 +303,7 @@ def _told(pdf: pd.DataFrame):
     for kind, flag in ((0, b""), (1, b"?")):
         part = pdf[(pdf["a"] == b"") & (pdf["b"] == flag)]
         if len(part):
-            yield _frame(np.frombuffer(b"".join(part["doc"]), "<i8"),
+            yield _frame(_documents_of(part["doc"], part["row"]),
                          np.frombuffer(b"".join(part["pos"]), "<u4").astype(np.int64),
                          np.frombuffer(b"".join(part["n"]), "<u4").astype(np.int64), kind)
 
@@ -298,7 +326,7 @@ def _judge_spans(pdf: pd.DataFrame) -> pd.DataFrame:
         if len(stand):
             shared |= np.isin(a, np.frombuffer(b"".join(stand["a"]), "<u8"))
         out.append(_frame(doc[shared], pos[shared], n[shared], 1))
-    return pd.concat(out) if out else _frame(*[np.empty(0, np.int64)] * 3, 0)
+    return pd.concat(out) if out else _no_frame()
 
 
 def _name_blocks(batches, buckets):
@@ -314,7 +342,7 @@ def _name_blocks(batches, buckets):
         return _batch(rows + _deal(buckets, a[keep], b[keep], doc[keep], pos[keep], np.ones(len(keep), np.int64)))
 
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        ids = _documents(batch)
         parts, doc, pos, n, total = [], [], [], [], 0
 
         def named():
@@ -324,7 +352,7 @@ def _name_blocks(batches, buckets):
             first = np.repeat(start, m + WIDTH - 1)
             take = np.repeat(start - np.concatenate([[0], np.cumsum(m)[:-1]]), m) + np.arange(m.sum())
             a, b = (_mix(_fp(s).names(buf, first)[take]) for s in (2, 3))
-            return a, b, np.repeat(np.array(doc), m), np.repeat(np.array(pos), m) + take - np.repeat(start, m)
+            return a, b, np.repeat(np.array(doc), m, axis=0), np.repeat(np.array(pos), m) + take - np.repeat(start, m)
 
         for d, text, list_ in zip(ids, batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             for s in list_ or ():
@@ -362,31 +390,40 @@ def _judge_names(pdf: pd.DataFrame) -> pd.DataFrame:
         order, later, _ = _later((a, b), doc, pos)
         d, p = doc[order][later], pos[order][later]
         out.append(_frame(*_runs(d, p, np.ones(len(d), np.int64)), 0))
-    return pd.concat(out) if out else _frame(*[np.empty(0, np.int64)] * 3, 0)
+    return pd.concat(out) if out else _no_frame()
 
 
-def repeated_windows(docs: DataFrame) -> DataFrame:
-    """id, pos, n: runs of window starts that have an earlier occurrence (``id``: doc_id, null as NULL_ID)."""
-    src = _bytes(docs)
-    buckets = bucket_count(src)
+def repeated_windows(src: DataFrame, buckets: int) -> DataFrame:
+    """id, row, pos, n: runs of window starts that have an earlier occurrence (``src``: of ``_bytes``)."""
     blocks = src.mapInArrow(lambda it: _span_blocks(it, buckets), _KEYED)
     judged = freeze(blocks.groupBy("bucket").applyInPandas(_judge_spans, _OUT), "spans")
-    left = judged.where("kind = 1").groupBy("id").agg(F.collect_list(F.struct("pos", "n")).alias("spans"))
-    named = (src.join(left, "id").select("id", "t", "spans")
+    left = judged.where("kind = 1").groupBy("id", "row").agg(F.collect_list(F.struct("pos", "n")).alias("spans"))
+    named = (src.join(left, ["id", "row"]).select("id", "t", "spans", "row")
              .mapInArrow(lambda it: _name_blocks(it, buckets), _KEYED))
     windows = named.groupBy("bucket").applyInPandas(_judge_names, _OUT)
-    return judged.where("kind = 0").select("id", "pos", "n").union(windows.select("id", "pos", "n"))
+    return judged.where("kind = 0").select("id", "row", "pos", "n").union(windows.select("id", "row", "pos", "n"))
 
 
 def _bytes(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
-                       F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")).alias("t"))
+    """id, t, row.  Rows without doc_id are frozen with a (negative) number of their own; of a doc_id
+    found in several rows the hash of the text tells the documents apart, so that repeated rows are one."""
+    plain = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")).alias("t"))
+    none = freeze(plain.where("id is null").select(F.lit(NULL_ID).alias("id"), "t", (
+        -1 - F.monotonically_increasing_id()).alias("row")), "null-ids")
+    shared = freeze(plain.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+                    .select(F.col("id").alias("shared_id")), "shared-ids")
+    src, row = plain.where("id is not null"), F.lit(0).cast("long")
+    if shared.limit(1).count():
+        src = src.join(small(shared), F.col("id") == F.col("shared_id"), "left")
+        row = F.when(F.col("shared_id").isNotNull(), F.xxhash64("t").bitwiseAND(F.lit((1 << 63) - 1))).otherwise(row)
+    src = src.select("id", "t", row.alias("row"))
+    return src.union(none) if none.limit(1).count() else src
 
 
 def _removed(batches, with_text):
     for batch in batches:
         out = []
-        for d, t, marks in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for d, t, marks, row in zip(*(batch.column(i).to_pylist() for i in range(4))):
             n = len(t)
             cover = np.zeros(n + 1, np.int64)
             if marks:
@@ -398,7 +435,7 @@ def _removed(batches, with_text):
             edge = np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8))
             lo, hi = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
             kept = np.frombuffer(t, np.uint8)[~gone].tobytes() if len(lo) else t
-            out.append((None if d == NULL_ID else d, n, int((hi - lo).sum()), len(lo), hashlib.sha256(kept).hexdigest(),
+            out.append((None if d == NULL_ID and row < 0 else d, n, int((hi - lo).sum()), len(lo), hashlib.sha256(kept).hexdigest(),
                         [{"start": int(x), "length": int(y - x)} for x, y in zip(lo, hi)], kept if with_text else None))
         cols = list(zip(*out)) if out else [[]] * 7
         span = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
@@ -411,12 +448,14 @@ def remove_repeats(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (removed byte runs), kept (bytes).
 
     Null and empty texts have no bytes and lose nothing, nor do texts under 100 bytes.  A null
-    doc_id sorts before all others.  Rows that repeat a doc_id count as one document: they are not
-    each other's earlier copies.  Other columns are ignored.  ``with_text=False`` leaves ``kept`` null.
+    doc_id sorts before all others, and each row without one is a document.  Rows that repeat both
+    doc_id and text count as one document: they are not each other's earlier copies; unlike texts of
+    one doc_id are documents, in the order of a hash of the text.  Other columns are ignored.  ``with_text=False`` leaves ``kept`` null.
     """
     src = _bytes(docs)
-    marks = repeated_windows(docs).groupBy("id").agg(F.collect_list(F.struct("pos", "n")).alias("marks"))
-    return (src.join(marks, "id", "left").select("id", "t", "marks")
+    buckets = bucket_count(docs.select("doc_id", "text"))
+    marks = repeated_windows(src, buckets).groupBy("id", "row").agg(F.collect_list(F.struct("pos", "n")).alias("marks"))
+    return (src.join(marks, ["id", "row"], "left").select("id", "t", "marks", "row")
             .mapInArrow(lambda it: _removed(it, with_text),
                         "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                         "spans array<struct<start: long, length: long>>, kept binary"))

@@ -99,3 +99,17 @@ def test_crowded_anchors_and_small_chunks(monkeypatch):
 
 def test_empty_table(spark):
     assert run(spark, [], 1) == []
+
+
+def test_rows_without_id_and_shared_ids_are_marked_by_row(spark):
+    one, two, p = sentence(120, 1000), sentence(120, 1001), sentence(40, 1002)
+    rows = [(None, p + one), (None, p + two), (None, sentence(150, 1003) + p), (None, sentence(160, 1004)),
+            (5, sentence(150, 1005) + p), (5, sentence(170, 1006)), (6, one), (-(1 << 63), sentence(90, 1007))]
+    got = run(spark, rows, 3)
+    kept = {bytes(r["kept"]).decode() for r in got if r["doc_id"] is None}
+    assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None) == [-(1 << 63), 5, 5, 6]
+    assert sum(p in k for k in kept) == 1 and sum(r["n_removed"] > 0 for r in got if r["doc_id"] is None) == 2
+    assert all(any(t in k for k in kept) for t in (one[1:], two[1:], sentence(150, 1003)[:-1], sentence(160, 1004)))
+    fives = {bytes(r["kept"]).decode() for r in got if r["doc_id"] == 5}
+    assert sentence(170, 1006) in fives and not any(p in k for k in fives)
+    assert [r["n_removed"] for r in got if r["doc_id"] == 6] == [len(one)]
