@@ -1,4 +1,6 @@
-"""Exact repeated-substring removal: a distributed difference-cover suffix sort of bounded depth.
+"""Exact repeated-substring removal by windowed fingerprints, in place of a suffix sort.
+
+The sampled and the remaining positions below get the same names; there are no ranks and no merge.
 
 A byte goes when a window of ``width`` (100) bytes covering it also starts earlier, in a smaller
 doc_id or earlier in the same document.  Windows never cross documents; all windows are judged on
