@@ -132,3 +132,53 @@ def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_co_training_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logroll.llm.quality import classify
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logroll.llm.manifest import audit_rows
+    return audit_rows(table(spark, sf_dir, "documents"))
+
+
+# Levels by recursion over (group, level, index); then every leaf walks up to its group's root and on.
+SQL["op11_merkle_manifest"] = r"""
+WITH RECURSIVE c AS (
+  SELECT *, list_reduce(list_concat([4294967295::UBIGINT], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda x: [ascii(x) + 1, 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]))),
+    lambda a, x: CASE WHEN x > 0 THEN xor(a, (x - 1)::UBIGINT)
+                      ELSE xor(a >> 1, (3988292384 * (a & 1))::UBIGINT) END) AS crc
+  FROM documents),
+e AS (
+  SELECT *, CASE WHEN n_chars IS NULL OR doc_id IS NULL OR xor(crc, 4294967295::UBIGINT) % 7 <> 0 THEN n_chars
+                 ELSE n_chars + 1 END AS tampered_chars,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+         || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS x,
+         coalesce(strlen(text) || ':' || text, '-') AS z FROM c),
+l AS (
+  SELECT doc_id, sha256(x || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || z) AS leaf,
+         sha256(x || coalesce(strlen(CAST(tampered_chars AS VARCHAR)) || ':' || tampered_chars, '-') || z) AS tampered,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, count(*) OVER (PARTITION BY lang) AS n,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS idx FROM e),
+t(g, lvl, idx, n, h) AS (
+  SELECT g, 0, idx, n, leaf FROM l
+  UNION ALL
+  SELECT a.g, a.lvl + 1, a.idx // 2, (a.n + 1) // 2, sha256(a.h || coalesce(b.h, ''))
+  FROM t a LEFT JOIN t b ON b.g = a.g AND b.idx = a.idx + 1 WHERE a.idx % 2 = 0 AND a.n > 1),
+s AS (SELECT g, h, count(*) OVER () AS m FROM t WHERE n = 1),
+u(g, lvl, idx, n, h) AS (
+  SELECT -1, 0, g, m, h FROM s
+  UNION ALL
+  SELECT -1, a.lvl + 1, a.idx // 2, (a.n + 1) // 2, sha256(a.h || coalesce(b.h, ''))
+  FROM u a LEFT JOIN u b ON b.idx = a.idx + 1 WHERE a.idx % 2 = 0 AND a.n > 1),
+v AS (SELECT * FROM t UNION ALL SELECT * FROM u),
+w(doc_id, leaf, top, m, g, lvl, idx, n, path, f) AS (
+  SELECT doc_id, leaf, l.g, m, l.g, 0, idx, n, '', tampered FROM l JOIN s ON s.g = l.g
+  UNION ALL
+  SELECT w.doc_id, w.leaf, w.top, w.m, CASE WHEN w.n > 1 THEN w.g ELSE -1 END, CASE WHEN w.n > 1 THEN w.lvl + 1 ELSE 0 END,
+         CASE WHEN w.n > 1 THEN w.idx // 2 ELSE w.g END, CASE WHEN w.n > 1 THEN (w.n + 1) // 2 ELSE w.m END,
+         w.path || coalesce(v.h, ''),
+         CASE WHEN w.n = 1 THEN w.f WHEN w.idx % 2 = 0 THEN sha256(w.f || coalesce(v.h, '')) ELSE sha256(v.h || w.f) END
+  FROM w LEFT JOIN v ON w.n > 1 AND v.g = w.g AND v.lvl = w.lvl AND v.idx = xor(w.idx, 1)
+  WHERE NOT (w.g = -1 AND w.n = 1))
+SELECT w.doc_id, w.leaf, s.h AS subroot, r.h AS root, sha256(w.path) AS proof_sha256, w.f AS folded_root, w.f = r.h AS verified
+FROM w JOIN s ON s.g = w.top CROSS JOIN (SELECT h FROM u WHERE n = 1) r WHERE w.g = -1 AND w.n = 1"""
