@@ -182,3 +182,12 @@ w(doc_id, leaf, top, m, g, lvl, idx, n, path, f) AS (
   WHERE NOT (w.g = -1 AND w.n = 1))
 SELECT w.doc_id, w.leaf, s.h AS subroot, r.h AS root, sha256(w.path) AS proof_sha256, w.f AS folded_root, w.f = r.h AS verified
 FROM w JOIN s ON s.g = w.top CROSS JOIN (SELECT h FROM u WHERE n = 1) r WHERE w.g = -1 AND w.n = 1"""
+
+
+@query
+def op12_token_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from logroll.llm.token_store import stored_ids
+    from logroll.session import scratch_dir
+    docs = table(spark, sf_dir, "documents")
+    return stored_ids(docs, scratch_dir(spark, "llm-token-store") + "/store", public_tokenizers.path("byte_bpe_50k.json"))
