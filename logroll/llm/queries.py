@@ -191,3 +191,42 @@ def op12_token_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from logroll.session import scratch_dir
     docs = table(spark, sf_dir, "documents")
     return stored_ids(docs, scratch_dir(spark, "llm-token-store") + "/store", public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from logroll.llm.filter_audit import filter_interactions
+    return filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# Every order is applied to every document.
+SQL["op13_filter_interactions"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+m AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+f AS (
+  SELECT d.part,
+         CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS fails,
+         doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good,
+         doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic
+  FROM d JOIN m USING (t)),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS x, filter_order[1:step - 1] AS earlier
+      FROM o, range(1, 6) r(step)),
+r AS (
+  SELECT part, filter_order, step, x,
+         count(*) FILTER (WHERE translate(fails, earlier || x, '') = fails) AS kept,
+         count(*) FILTER (WHERE contains(fails, x) AND translate(fails, earlier, '') = fails) AS removed,
+         count(*) FILTER (WHERE contains(fails, x) AND translate(fails, earlier, '') <> fails) AS redundant,
+         count(*) FILTER (WHERE fails = x) AS unique_fails,
+         count(*) FILTER (WHERE contains(fails, x) AND translate(fails, earlier, '') = fails AND good) AS good_lost,
+         count(*) FILTER (WHERE contains(fails, x) AND translate(fails, earlier, '') = fails AND toxic) AS toxic_lost
+  FROM f, s GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley FROM r"""
