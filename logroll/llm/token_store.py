@@ -2,14 +2,17 @@
 
 A store is a folder with
 
-* ``payload/shard=N/``  one file: the ids of the shard's documents, ascending by document, as little-endian
-  integers of ``width`` bytes, each document closed by the end id 0.  Spark's text writer writes them:
-  a line is a document's ids and the line separator is the end id, so files land on any file system
-  Spark knows and its commit protocol covers lost executors;
+* ``payload/shard=N/``  one file: a head (MAGIC, width, number of documents; their ids, validity and lengths)
+  and then the raw token ids of the documents, ascending by document, as little-endian integers of
+  ``width`` bytes, each document closed by the end id 0;
 * ``shards/``           a Parquet row per shard: shard, base (ids of all shards before), n_ids, n_docs;
 * ``meta/``             width and number of index parts;
 * ``index/part=N/``     one file: the index of the keys whose digest falls to part N.
 
+Spark's text writer writes the raw files (a row is a file, the zero byte after it its line end), so they
+land on any file system Spark knows and its commit protocol covers lost executors.  Texts are shuffled
+once, into ranges of doc_id; a range is encoded and written in the same task.
+
 A document's key is (doc_id, occurrence): the occurrence tells rows of one id apart.  An index part
 is a minimal perfect hash of its keys in levels: a level's bit array marks the cells that exactly one
 of the remaining keys hashes to, the others go on; a key's slot is the rank of its bit.  A slot holds
@@ -24,22 +27,22 @@ from __future__ import annotations
 import os
 import re
 import struct
-import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from logroll.llm.common import freeze, partitions
+from logroll.llm.common import freeze, partitions, plan_bytes
 from logroll.llm.sharding import prefix_sums
 
 END_ID = 0
 SHARD_IDS = 2_000_000
+RANGE_BYTES = 16 << 20           # of the stored table, per range of documents
 KEYS_PER_PART = 20_000
 LEVELS, LOAD = 48, 2.0
-MAGIC = b"TOKIDX01"
-RECORD = np.dtype([("fp", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("length", "<u8")])
+MAGIC, SHARD_MAGIC = b"TOKIDX01", b"TOKIDS01"
+RECORD = np.dtype([("fp", "<u4"), ("shard", "<u8"), ("offset", "<u8"), ("length", "<u8")])
 _LOT_BYTES = 4 << 20
 _CACHE_PIECES, _CACHE_CHUNKS = 600_000, 100_000
 
@@ -177,21 +180,59 @@ class TextIds:
 _IDS: dict[tuple, TextIds] = {}
 
 
-def _encode_batches(batches, path, width):
-    ids = _IDS.get((path, width)) or _IDS.setdefault((path, width), TextIds(path, width))
+def _shard(number: int, width: int, docs: list, ids: list[bytes]) -> pa.RecordBatch:
+    known = np.array([d is not None for d in docs], "<u1")
+    head = struct.pack("<8sIQ", SHARD_MAGIC, width, len(docs))
+    body = b"".join([head, np.array([d or 0 for d in docs], "<i8").tobytes(), known.tobytes(),
+                     np.array([len(x) // width for x in ids], "<u8").tobytes(), *ids])
+    return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([body], pa.binary())], names=["shard", "raw"])
+
+
+def _head(data) -> tuple[int, list, np.ndarray, int]:
+    """(width, doc_ids, lengths, where the ids begin) of a payload file."""
+    magic, width, n = struct.unpack_from("<8sIQ", data, 0)
+    if magic != SHARD_MAGIC:
+        raise ValueError("no payload file")
+    ids, known = np.frombuffer(data, "<i8", n, 20), np.frombuffer(data, "<u1", n, 20 + 8 * n)
+    return width, [i if k else None for i, k in zip(ids.tolist(), known)], np.frombuffer(data, "<u8", n, 20 + 9 * n), 20 + 17 * n
+
+
+def _shard_batches(batches, path, width, shard_ids):
+    """Payload files of a sorted partition of (doc_id, text); a file is closed at ``shard_ids`` ids."""
+    from pyspark import TaskContext
+    number = TaskContext.get().partitionId() << 20
+    encoder = _IDS.get((path, width)) or _IDS.setdefault((path, width), TextIds(path, width))
+    end = END_ID.to_bytes(width, "little")
+    docs, ids, size = [], [], 0
     for batch in batches:
-        keys, texts = batch.column(0), batch.column(1)
+        keys, texts = batch.column(0).to_pylist(), batch.column(1)
         at, n = 0, batch.num_rows
         while at < n:
-            lot, size, start = [], 0, at
-            while at < n and size < _LOT_BYTES:
+            lot, taken, start = [], 0, at
+            while at < n and taken < _LOT_BYTES:
                 lot.append(texts[at].as_py() or "")
-                size += len(lot[-1])
+                taken += len(lot[-1])
                 at += 1
-            out = ids.lot(lot)
+            for doc, got in zip(keys[start:at], encoder.lot(lot)):
+                docs.append(doc)
+                ids.append(got + end)
+                size += len(ids[-1]) // width
+                if size >= shard_ids:
+                    yield _shard(number, width, docs, ids)
+                    number, docs, ids, size = number + 1, [], [], 0
+    if docs:
+        yield _shard(number, width, docs, ids)
+
+
+def _head_batches(batches):
+    for batch in batches:
+        for shard, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+            _, docs, lengths, _ = _head(content.as_buffer())
+            n, lengths = len(docs), lengths.astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [keys.slice(start, at - start), pa.array([len(x) // width + 1 for x in out], pa.int64()),
-                 pa.array(out, pa.binary())], names=["doc_id", "n_ids", "ids"])
+                [pa.array(docs, pa.int64()), pa.array([shard] * n, pa.int64()), pa.array(np.arange(n)),
+                 pa.array(np.cumsum(lengths) - lengths), pa.array(lengths)],
+                names=["doc_id", "shard", "pos", "offset", "length"])
 
 
 # -- minimal perfect hash ----------------------------------------------------------------------------
@@ -302,11 +343,15 @@ def _part_of(key_hex, parts: int):
 
 # -- store -------------------------------------------------------------------------------------------
 
-def _write_raw(df: DataFrame, path: str, by: str, raw: str, close: str) -> None:
-    """A file per value of ``by``: the column ``raw`` of its rows in the order they come, each followed
-    by ``close``."""
-    (df.select(by, F.col(raw).cast("string").alias("value")).write.partitionBy(by)
-     .option("lineSep", close).option("compression", "none").text(path))
+def _write_raw(df: DataFrame, path: str, by: str) -> None:
+    """A file per row of ``df`` (``by``, raw): the bytes of ``raw`` and a zero byte."""
+    (df.select(by, F.col("raw").cast("string").alias("value")).write.partitionBy(by)
+     .option("lineSep", "\0").option("compression", "none").text(path))
+
+
+def _raw(spark: SparkSession, path: str) -> DataFrame:
+    """(N, content) of the files below ``path``, N as their folders name it."""
+    return spark.read.format("binaryFile").load(path).drop("path", "modificationTime", "length")
 
 
 class TokenStore:
@@ -324,32 +369,34 @@ class TokenStore:
     def write(docs: DataFrame, path: str, tokenizer: str, width: int = 2, shard_ids: int = SHARD_IDS) -> TokenStore:
         """Encode ``docs`` (doc_id, text) and write a store below ``path``.
 
-        Documents ascend by doc_id (null first), rows of one id by their stored order.  A null text is
-        the end id alone.  ``width`` is 2 bytes for vocabularies below 65,536 ids, else 4.
+        Documents ascend by doc_id (null first), rows of one id by where they are stored.  A null text
+        is the end id alone.  ``width`` is 2 bytes for vocabularies below 65,536 ids, else 4.
         """
         spark = docs.sparkSession
-        encoded = freeze(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-            lambda it: _encode_batches(it, tokenizer, width), "doc_id long, n_ids long, ids binary")
-            .withColumn("rid", F.monotonically_increasing_id()), "token-ids")
-        rows = freeze(prefix_sums(encoded.select("doc_id", "rid", "n_ids"), ["doc_id", "rid"], "n_ids", "token-rows"), "token-starts")
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("rid", F.monotonically_increasing_id())
+        ranges = max(partitions(spark), plan_bytes(docs) // RANGE_BYTES)
+        files = (rows.repartitionByRange(ranges, "doc_id", "rid").sortWithinPartitions("doc_id", "rid").select("doc_id", "text")
+                 .mapInArrow(lambda it: _shard_batches(it, tokenizer, width, shard_ids), "shard long, raw binary"))
+        _write_raw(files, f"{path}/payload", "shard")
+
+        empty = not spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/payload").select("length").head(1)
+        heads = "doc_id long, shard long, pos long, offset long, length long"
+        found = freeze(spark.createDataFrame([], heads) if empty else _raw(spark, f"{path}/payload")
+                       .select(F.col("shard").cast("long"), "content").mapInArrow(_head_batches, heads), "token-heads")
+        sums = freeze(found.groupBy("shard").agg(F.sum("length").alias("n_ids"), F.count(F.lit(1)).alias("n_docs")), "token-sums")
+        based = prefix_sums(sums, ["shard"], "n_ids", "token-ids-before").select("shard", F.col("before").alias("base"), "n_ids", "n_docs")
+        ahead = prefix_sums(sums.select("shard", "n_docs"), ["shard"], "n_docs", "token-docs-before").select("shard", F.col("before").alias("docs_before"))
+        based.join(ahead, "shard").write.parquet(f"{path}/shards")
         # Rows of one id count from its first; a hot id is a skewed side that Spark may split.
-        again = rows.groupBy(F.col("doc_id").alias("of")).agg(F.min("row").alias("r0"), F.count(F.lit(1)).alias("c")).where("c > 1")
-        keyed = rows.join(again, F.col("doc_id").eqNullSafe(F.col("of")), "left")
-        placed = freeze(keyed.select("doc_id", "rid", "n_ids", (F.col("row") - F.coalesce("r0", "row")).alias("nth"),
-                                     F.col("before").alias("start"),
-                                     F.expr(f"before div {shard_ids}").cast("int").alias("shard")), "token-placed")
-        shards = placed.groupBy("shard").agg(F.min("start").alias("base"), F.sum("n_ids").alias("n_ids"), F.count(F.lit(1)).alias("n_docs"))
-        shards.write.parquet(f"{path}/shards")
-        shards = spark.read.parquet(f"{path}/shards")
-        count, total = shards.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_docs"), F.lit(0))).first()
-        body = (encoded.select("rid", "ids").join(placed.select("rid", "shard", "start"), "rid")
-                .repartition(max(partitions(spark), count), "shard").sortWithinPartitions("shard", "start"))
-        _write_raw(body, f"{path}/payload", "shard", "ids", "\0" * width)
+        placed = found.join(spark.read.parquet(f"{path}/shards").select("shard", "docs_before"), "shard") \
+            .withColumn("row", F.col("docs_before") + F.col("pos")).drop("docs_before", "pos")
+        again = placed.groupBy(F.col("doc_id").alias("of")).agg(F.min("row").alias("r0"), F.count(F.lit(1)).alias("c")).where("c > 1")
+        keyed = freeze(placed.join(again, F.col("doc_id").eqNullSafe(F.col("of")), "left")
+                       .withColumn("nth", F.col("row") - F.coalesce("r0", "row")).drop("of", "r0", "c", "row"), "token-keys")
 
+        total = keyed.count()
         parts = max(2 * partitions(spark), -(-total // KEYS_PER_PART))
-        located = (placed.join(shards.select("shard", "base"), "shard")
-                   .select(_key_hex(F.col("doc_id"), F.col("nth")).alias("key"), "shard",
-                           (F.col("start") - F.col("base")).alias("offset"), F.col("n_ids").alias("length"))
+        located = (keyed.select(_key_hex(F.col("doc_id"), F.col("nth")).alias("key"), "shard", "offset", "length")
                    .withColumn("part", _part_of(F.col("key"), parts)))
 
         def index(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -360,12 +407,9 @@ class TokenStore:
             return pd.DataFrame({"part": [pdf["part"].iloc[0]], "raw": [build_index(keys, rec)]})
 
         made = located.groupBy("part").applyInPandas(index, "part int, raw binary")
-        _write_raw(made, f"{path}/index", "part", "raw", "\0")
+        _write_raw(made, f"{path}/index", "part")
         spark.range(1).select(F.lit(width).alias("width"), F.lit(parts).cast("int").alias("parts")).write.parquet(f"{path}/meta")
-        return TokenStore(spark, path, width, parts, placed.select("doc_id", "nth"))
-
-    def _raw(self, kind: str) -> DataFrame:
-        return self.spark.read.format("binaryFile").load(f"{self.path}/{kind}").drop("path", "modificationTime", "length")
+        return TokenStore(spark, path, width, parts, keyed.select("doc_id", "nth"))
 
     def shards(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/shards")
@@ -386,8 +430,8 @@ class TokenStore:
                 out[c] = rec[c].astype(np.int64)
             return out[found]
 
-        return (asked.groupBy("part").cogroup(self._raw("index").groupBy("part"))
-                .applyInPandas(look, "doc_id long, nth long, shard int, offset long, length long"))
+        return (asked.groupBy("part").cogroup(_raw(self.spark, f"{self.path}/index").groupBy("part"))
+                .applyInPandas(look, "doc_id long, nth long, shard long, offset long, length long"))
 
     def read(self, keys: DataFrame) -> DataFrame:
         """``locate`` with the ids themselves (binary, little-endian unsigned 32-bit) cut from the payload,
@@ -398,14 +442,16 @@ class TokenStore:
             names = ["doc_id", "nth", "shard", "offset", "length", "ids"]
             if not len(rows) or not len(files):
                 return pd.DataFrame({c: pd.Series(dtype=object if c == "ids" else "Int64") for c in names})
-            ids = np.frombuffer(files["content"].iloc[0], f"<u{width}")
+            data = files["content"].iloc[0]
+            ids = np.frombuffer(data, f"<u{width}", int(_head(data)[2].sum()), _head(data)[3])
             out = rows[names[:-1]].copy()
             out["doc_id"] = out["doc_id"].astype("Int64")
             out["ids"] = [ids[o:o + n].astype("<u4").tobytes() for o, n in zip(rows["offset"], rows["length"])]
             return out
 
-        got = (self.locate(keys).groupBy("shard").cogroup(self._raw("payload").groupBy("shard"))
-               .applyInPandas(cut, "doc_id long, nth long, shard int, offset long, length long, ids binary"))
+        files = _raw(self.spark, f"{self.path}/payload").withColumn("shard", F.col("shard").cast("long"))
+        got = (self.locate(keys).groupBy("shard").cogroup(files.groupBy("shard"))
+               .applyInPandas(cut, "doc_id long, nth long, shard long, offset long, length long, ids binary"))
         return got.join(self.shards().select("shard", "base"), "shard").select(
             "doc_id", "nth", (F.col("base") + F.col("offset")).alias("start"), F.col("length").alias("n_tokens"), "ids")
 
@@ -422,7 +468,9 @@ class TokenStore:
         if not found[0]:
             return None
         r = rec[0]
-        raw = self._bytes(f"{self.path}/payload/shard={r['shard']}", int(r["offset"]) * self.width, int(r["length"]) * self.width)
+        folder = f"{self.path}/payload/shard={r['shard']}"
+        at = 20 + 17 * struct.unpack("<Q", self._bytes(folder, 12, 8))[0]
+        raw = self._bytes(folder, at + int(r["offset"]) * self.width, int(r["length"]) * self.width)
         return np.frombuffer(raw, f"<u{self.width}").tolist()
 
     def _bytes(self, folder: str, at: int = 0, length: int | None = None) -> bytes | None:
@@ -449,4 +497,6 @@ def stored_ids(docs: DataFrame, path: str, tokenizer: str, width: int = 2) -> Da
     """
     docs = docs.select("doc_id", "text")
     store = TokenStore.write(docs, path, tokenizer, width)
+    if not store.keys.head(1):
+        return docs.sparkSession.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     return store.read(store.keys).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
