@@ -6,10 +6,11 @@ pair is read from the bit count of the XOR, corrected for chance collisions of 4
 may reach the threshold within about five standard errors is confirmed on the full sets, so no
 estimate decides a link.
 
-Cost under hot groups: equal sets are collapsed first; a bucket sends each member to four
-leaders chosen by map-side minima (no pairs within a bucket); only members that are still in a
-component other than their bucket's largest one meet the rest of the bucket, in a join whose
-condition holds the bit-count test.
+Cost under hot groups: equal sets are collapsed first; a bucket has one leader, chosen by a map-side
+minimum (no pairs within a bucket), and a member asks its leaders in rounds, one row a round, until
+one is confirmed.  Members of buckets that still hold several components then meet over shared rare
+shingles (prefix filtering, which loses no pair), so documents that share much repeated text, but too
+little to be linked, do not meet all with all.
 
 Two documents at similarity 0.85 share no band with probability (1 - 0.85^5)^24 < 1e-6.
 """
@@ -29,6 +30,7 @@ BANDS, ROWS = 24, 5
 HASHES, BITS = 512, 4
 LONGS = HASHES * BITS // 64
 MARGIN = 0.09
+ROUNDS = 2                      # leaders asked before the rest is settled
 _MULT = 0x9E3779B97F4A7C15
 _CACHE: dict[bytes, int] = {}
 _CACHE_WORDS = 100_000
@@ -168,6 +170,30 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("i") >= percent * (F.col("n") - F.col("i"))).select("a", "b")
 
 
+def _sharing_prefixes(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``apart`` (rep, c) with different c that may reach ``percent``.
+
+    With shingles ordered by how many of these sets hold them, two sets of that similarity share one of
+    their rarest ``n - ceil(percent * n) + 1`` shingles.  Text that many documents repeat is frequent and
+    so stays out of their prefixes: documents that have only that in common never meet.
+    """
+    held = freeze(apart.join(sets.select(F.col("id").alias("rep"), "shingles"), "rep")
+                  .select("rep", "c", F.expr(f"cast(size(shingles) - ceil(size(shingles) * {percent} / 100.0) + 1 as int)").alias("p"),
+                          F.explode("shingles").alias("s")), "apart-shingles")
+    often = held.groupBy("s").agg(F.count(F.lit(1)).alias("f"))
+    prefix = F.slice(F.sort_array(F.collect_list(F.struct("f", "s"))), 1, F.first("p"))
+    met = freeze(held.join(often, "s").groupBy("rep", "c").agg(prefix.alias("l"))
+                 .select("rep", "c", F.inline("l")).where("f > 1").select("rep", "c", "s"), "prefixes")
+    # A shingle's largest component is only met by the others; its own members do not meet each other.
+    top = (met.groupBy("s", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("s")
+           .agg(F.max(F.struct("n", "c"))["c"].alias("top"), F.count(F.lit(1)).alias("cs")).where("cs > 1").select("s", "top"))
+    shared = freeze(met.join(top, "s"), "shared")
+    x, y = shared.where("c != top").alias("x"), shared.alias("y")
+    other = (F.col("x.s") == F.col("y.s")) & (F.col("x.c") != F.col("y.c")) & (
+        (F.col("y.c") == F.col("y.top")) | (F.col("x.rep") < F.col("y.rep")))
+    return x.join(y, other).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+
+
 def _judged(docs: DataFrame, percent: int, k: int) -> tuple[DataFrame, DataFrame]:
     """Signatures of the rows, and the class of every distinct set: (digest, component, doc_id, th).
 
@@ -183,11 +209,15 @@ def _judged(docs: DataFrame, percent: int, k: int) -> tuple[DataFrame, DataFrame
         .select("digest", "bands", F.col("named.doc_id").alias("doc_id"), F.coalesce("named.th", "any").alias("th"))
         .withColumn("rep", F.monotonically_increasing_id()), "classes")
 
+    # A bucket is led by its member of least hash, so the buckets of a large group of near copies mostly
+    # have one leader; a member asks its leaders one by one, the one of most of its buckets first.
     keyed = classes.select("rep", F.explode("bands").alias("key"))
-    salted = lambda s: F.min(F.struct(F.xxhash64("rep", F.lit(s)).alias("h"), "rep"))["rep"]
-    heads = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(
-        F.min("rep"), salted(1), salted(2), salted(3))).alias("heads")).where("n > 1").select("key", "heads"))
+    heads = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("rep"), "rep"))["rep"].alias("head"))
+             .where("n > 1").select("key", "head"))
     members = freeze(keyed.join(heads, "key"), "members")
+    asked = F.sort_array(F.collect_list(F.struct((-F.col("c")).alias("c"), F.xxhash64("head").alias("h"), "head")))
+    leaders = freeze(members.where("rep != head").groupBy("rep", "head").agg(F.count(F.lit(1)).alias("c"))
+                     .groupBy("rep").agg(asked.alias("l")).select("rep", F.col("l.head").alias("heads")), "leaders")
 
     ids = freeze(classes.join(members.select("rep").distinct(), "rep", "left_semi").select(
         F.col("rep").alias("id"), F.col("doc_id").alias("of_doc"), F.col("th").alias("of_th")), "ids")
@@ -200,30 +230,24 @@ def _judged(docs: DataFrame, percent: int, k: int) -> tuple[DataFrame, DataFrame
     reps = sets.select(F.col("id").alias("rep"), *words)
 
     limit = max_mismatches(percent / 100)
-    star = (members.select("rep", F.explode("heads").alias("head")).where("rep != head")
-            .select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct())
-    tested = freeze(star.join(reps.select(F.col("rep").alias("a"), F.struct(*words).alias("x")), "a")
-                    .join(reps.select(F.col("rep").alias("b"), F.struct(*words).alias("y")), "b")
-                    .where(mismatches("x", "y") <= limit).select("a", "b"), "tested")
-    links = freeze(_confirm(tested, sets, percent), "links")
+    likely = lambda pairs: (pairs.join(reps.select(F.col("rep").alias("a"), F.struct(*words).alias("x")), "a")      # noqa: E731
+                            .join(reps.select(F.col("rep").alias("b"), F.struct(*words).alias("y")), "b")
+                            .where(mismatches("x", "y") <= limit).select("a", "b"))
+    links = None
+    for i in range(ROUNDS):
+        still = leaders.where(F.size("heads") > i)
+        if links is not None:
+            still = still.join(links.select(F.col("a").alias("rep")).distinct(), "rep", "left_anti")
+        tested = freeze(likely(still.select(F.col("rep").alias("a"), F.col("heads")[i].alias("b"))), f"tested{i}")
+        found = freeze(_confirm(tested, sets, percent), f"links{i}")
+        links = found if links is None else links.unionByName(found)
     first = freeze(connected_components(links), "first")
 
     placed = (members.select("key", "rep").join(first, F.col("rep") == F.col("node"), "left")
               .select("key", "rep", F.coalesce("component", "rep").alias("c")))
-    split = (placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
-             .agg(F.max(F.struct("n", "c"))["c"].alias("top"), F.count(F.lit(1)).alias("cs")).where("cs > 1")
-             .select("key", "top"))
-    apart = freeze(placed.join(split, "key").join(reps, "rep")
-                   .join(classes.select("rep", "bands"), "rep")
-                   .select("key", "rep", "c", "top", "bands", F.struct(*words).alias("w")), "apart")
-    x, y = apart.where("c != top").alias("x"), apart.alias("y")
-    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & (
-        (F.col("y.c") == F.col("y.top")) | (F.col("x.rep") < F.col("y.rep")))
-    once = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")     # of all buckets they share
-    rest = (x.join(y, same & (mismatches("x.w", "y.w") <= limit) & once)
-            .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-            .join(tested, ["a", "b"], "left_anti"))
-    more = freeze(_confirm(rest, sets, percent), "more")
+    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    apart = freeze(placed.join(split, "key").select("rep", "c").distinct(), "apart")
+    more = freeze(_confirm(freeze(likely(_sharing_prefixes(apart, sets, percent)), "tested"), sets, percent), "more")
     final = connected_components(first.where("node != component").select(F.col("node").alias("a"),
                                                                        F.col("component").alias("b")).union(more))
     placed = classes.join(final, F.col("rep") == F.col("node"), "left").select(
