@@ -7,10 +7,11 @@ may reach the threshold within about five standard errors is confirmed on the fu
 estimate decides a link.
 
 Cost under hot groups: equal sets are collapsed first; a bucket has one leader, chosen by a map-side
-minimum (no pairs within a bucket), and a member asks its leaders in rounds, one row a round, until
-one is confirmed.  Members of buckets that still hold several components then meet over shared rare
-shingles (prefix filtering, which loses no pair), so documents that share much repeated text, but too
-little to be linked, do not meet all with all.
+minimum per round (no pairs within a bucket), and a member asks its leaders in rounds until one is
+confirmed.  Of the buckets that still hold several components, members whose rarest shingles are all
+their own leave (prefix filtering, which loses no pair: documents that share much repeated text, but too
+little to be linked, do not meet all with all); members that are not in a bucket's largest component
+meet the rest of the bucket in a join whose condition holds the bit-count test.
 
 Two documents at similarity 0.85 share no band with probability (1 - 0.85^5)^24 < 1e-6.
 """
@@ -18,6 +19,7 @@ Two documents at similarity 0.85 share no band with probability (1 - 0.85^5)^24
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,6 @@ BANDS, ROWS = 24, 5
 HASHES, BITS = 512, 4
 LONGS = HASHES * BITS // 64
 MARGIN = 0.09
-ROUNDS = 2                      # leaders asked before the rest is settled
 _MULT = 0x9E3779B97F4A7C15
 _CACHE: dict[bytes, int] = {}
 _CACHE_WORDS = 100_000
@@ -122,9 +123,9 @@ def _set_batches(batches, k):
             m = minima([sets[i] for i in full], HASHES, 77)
             low = m ^ (m >> np.uint32(16))
             low = (low * np.uint32(0x85EBCA6B)) >> np.uint32(32 - BITS)      # mixed before bits are kept
-            nib = low.astype(np.uint64).reshape(len(full), LONGS, 64 // BITS)
-            words[full] = (nib << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS))).sum(
-                axis=2, dtype=np.uint64)
+            planes = (low.astype(np.uint8).reshape(len(full), HASHES // 64, 1, 64)
+                      >> np.arange(BITS, dtype=np.uint8).reshape(BITS, 1)) & np.uint8(1)
+            words[full] = np.packbits(planes, axis=3, bitorder="little").reshape(len(full), -1).view(np.uint64)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))]
             + [pa.array(words[:, j].view(np.int64)) for j in range(LONGS)],
@@ -139,13 +140,12 @@ def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
 
 
 def mismatches(left: str, right: str) -> Column:
-    """Number of the 512 positions whose 4-bit values differ."""
+    """Number of the 512 positions whose 4-bit values differ.  A word holds one bit of 64 positions, so
+    64 positions cost four XORs and one bit count."""
     total = F.lit(0)
-    for j in range(LONGS):
-        x = F.col(f"{left}.w{j}").bitwiseXOR(F.col(f"{right}.w{j}"))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    for g in range(0, LONGS, BITS):
+        differ = [F.col(f"{left}.w{j}").bitwiseXOR(F.col(f"{right}.w{j}")) for j in range(g, g + BITS)]
+        total = total + F.bit_count(reduce(Column.bitwiseOR, differ))
     return total
 
 
@@ -170,28 +170,26 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("i") >= percent * (F.col("n") - F.col("i"))).select("a", "b")
 
 
-def _sharing_prefixes(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of ``apart`` (rep, c) with different c that may reach ``percent``.
+def _split(placed: DataFrame) -> DataFrame:
+    """Buckets of ``placed`` (key, rep, c) that hold several components, and the largest one there."""
+    return (placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("key")
+            .agg(F.max(F.struct("n", "c"))["c"].alias("top"), F.count(F.lit(1)).alias("cs")).where("cs > 1").select("key", "top"))
+
+
+def _with_partner(some: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of ``some`` (rep) that may reach ``percent`` with another one.
 
     With shingles ordered by how many of these sets hold them, two sets of that similarity share one of
-    their rarest ``n - ceil(percent * n) + 1`` shingles.  Text that many documents repeat is frequent and
-    so stays out of their prefixes: documents that have only that in common never meet.
+    their rarest ``n - ceil(percent * n) + 1`` shingles; a set whose rarest are all its own has no
+    partner.  Documents that share much repeated text and are otherwise their own go here.
     """
-    held = freeze(apart.join(sets.select(F.col("id").alias("rep"), "shingles"), "rep")
-                  .select("rep", "c", F.expr(f"cast(size(shingles) - ceil(size(shingles) * {percent} / 100.0) + 1 as int)").alias("p"),
-                          F.explode("shingles").alias("s")), "apart-shingles")
-    often = held.groupBy("s").agg(F.count(F.lit(1)).alias("f"))
-    prefix = F.slice(F.sort_array(F.collect_list(F.struct("f", "s"))), 1, F.first("p"))
-    met = freeze(held.join(often, "s").groupBy("rep", "c").agg(prefix.alias("l"))
-                 .select("rep", "c", F.inline("l")).where("f > 1").select("rep", "c", "s"), "prefixes")
-    # A shingle's largest component is only met by the others; its own members do not meet each other.
-    top = (met.groupBy("s", "c").agg(F.count(F.lit(1)).alias("n")).groupBy("s")
-           .agg(F.max(F.struct("n", "c"))["c"].alias("top"), F.count(F.lit(1)).alias("cs")).where("cs > 1").select("s", "top"))
-    shared = freeze(met.join(top, "s"), "shared")
-    x, y = shared.where("c != top").alias("x"), shared.alias("y")
-    other = (F.col("x.s") == F.col("y.s")) & (F.col("x.c") != F.col("y.c")) & (
-        (F.col("y.c") == F.col("y.top")) | (F.col("x.rep") < F.col("y.rep")))
-    return x.join(y, other).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+    held = freeze(some.join(sets.select(F.col("id").alias("rep"), "shingles"), "rep")
+                  .select("rep", F.expr(f"cast(size(shingles) - ceil(size(shingles) * {percent} / 100.0) + 1 as long)").alias("p"),
+                          F.explode("shingles").alias("s")), "held")
+    alone = held.groupBy("s").agg(F.count(F.lit(1)).alias("f"), F.min("rep").alias("rep")).where("f = 1").groupBy("rep").agg(
+        F.count(F.lit(1)).alias("own"))
+    need = held.groupBy("rep").agg(F.first("p").alias("p"))
+    return need.join(alone, "rep", "left").where(F.coalesce("own", F.lit(0)) < F.col("p")).select("rep")
 
 
 def _judged(docs: DataFrame, percent: int, k: int) -> tuple[DataFrame, DataFrame]:
@@ -209,15 +207,19 @@ def _judged(docs: DataFrame, percent: int, k: int) -> tuple[DataFrame, DataFrame
         .select("digest", "bands", F.col("named.doc_id").alias("doc_id"), F.coalesce("named.th", "any").alias("th"))
         .withColumn("rep", F.monotonically_increasing_id()), "classes")
 
-    # A bucket is led by its member of least hash, so the buckets of a large group of near copies mostly
-    # have one leader; a member asks its leaders one by one, the one of most of its buckets first.
+    # A bucket is led by its members of least hash, so the buckets of a large group of near copies mostly
+    # have one leader; a member asks its leaders in rounds, the one of most of its buckets first.
     keyed = classes.select("rep", F.explode("bands").alias("key"))
-    heads = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("rep"), "rep"))["rep"].alias("head"))
-             .where("n > 1").select("key", "head"))
+    least = lambda s: F.min(F.struct(F.xxhash64("rep", F.lit(s)), "rep"))["rep"]            # noqa: E731
+    heads = (keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), least(0).alias("head"), least(1).alias("second"))
+             .where("n > 1").drop("n"))
     members = freeze(keyed.join(heads, "key"), "members")
     asked = F.sort_array(F.collect_list(F.struct((-F.col("c")).alias("c"), F.xxhash64("head").alias("h"), "head")))
     leaders = freeze(members.where("rep != head").groupBy("rep", "head").agg(F.count(F.lit(1)).alias("c"))
-                     .groupBy("rep").agg(asked.alias("l")).select("rep", F.col("l.head").alias("heads")), "leaders")
+                     .groupBy("rep").agg(asked.alias("l")).select(F.col("rep").alias("a"), F.col("l.head").alias("heads")), "leaders")
+    rounds = [leaders.select("a", F.col("heads")[0].alias("b")),
+              leaders.select("a", F.explode(F.slice("heads", 2, BANDS)).alias("b")),
+              members.where("rep != second").select(F.col("rep").alias("a"), F.col("second").alias("b")).distinct()]
 
     ids = freeze(classes.join(members.select("rep").distinct(), "rep", "left_semi").select(
         F.col("rep").alias("id"), F.col("doc_id").alias("of_doc"), F.col("th").alias("of_th")), "ids")
@@ -234,20 +236,26 @@ def _judged(docs: DataFrame, percent: int, k: int) -> tuple[DataFrame, DataFrame
                             .join(reps.select(F.col("rep").alias("b"), F.struct(*words).alias("y")), "b")
                             .where(mismatches("x", "y") <= limit).select("a", "b"))
     links = None
-    for i in range(ROUNDS):
-        still = leaders.where(F.size("heads") > i)
-        if links is not None:
-            still = still.join(links.select(F.col("a").alias("rep")).distinct(), "rep", "left_anti")
-        tested = freeze(likely(still.select(F.col("rep").alias("a"), F.col("heads")[i].alias("b"))), f"tested{i}")
+    for i, asks in enumerate(rounds):                          # who is confirmed by a leader asks no more
+        still = asks if links is None else asks.join(links.select("a").distinct(), "a", "left_anti")
+        tested = freeze(likely(still), f"tested{i}")
         found = freeze(_confirm(tested, sets, percent), f"links{i}")
         links = found if links is None else links.unionByName(found)
     first = freeze(connected_components(links), "first")
 
     placed = (members.select("key", "rep").join(first, F.col("rep") == F.col("node"), "left")
               .select("key", "rep", F.coalesce("component", "rep").alias("c")))
-    split = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    apart = freeze(placed.join(split, "key").select("rep", "c").distinct(), "apart")
-    more = freeze(_confirm(freeze(likely(_sharing_prefixes(apart, sets, percent)), "tested"), sets, percent), "more")
+    mixed = freeze(placed.join(_split(placed), "key").drop("top"), "mixed")
+    placed = mixed.join(_with_partner(mixed.select("rep").distinct(), sets, percent), "rep")
+    apart = freeze(placed.join(_split(placed), "key").join(reps, "rep").join(classes.select("rep", "bands"), "rep")
+                   .select("key", "rep", "c", "top", "bands", F.struct(*words).alias("w")), "apart")
+    x, y = apart.where("c != top").alias("x"), apart.alias("y")
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & (
+        (F.col("y.c") == F.col("y.top")) | (F.col("x.rep") < F.col("y.rep")))
+    once = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")     # of all buckets they share
+    rest = (x.join(y, same & (mismatches("x.w", "y.w") <= limit) & once)
+            .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct())
+    more = freeze(_confirm(rest, sets, percent), "more")
     final = connected_components(first.where("node != component").select(F.col("node").alias("a"),
                                                                        F.col("component").alias("b")).union(more))
     placed = classes.join(final, F.col("rep") == F.col("node"), "left").select(

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -55,6 +56,14 @@ def corpus():
         nid += 1
     rows += [(nid + i, sentence(60, 5)) for i in range(30)]    # equal texts
     rows += [(500 + i, sentence(30 + i, 100 + i)) for i in range(25)]
+    shared = words(120, 9)                                     # alike, but each with 30 words of its own: no links
+    rows += [(600 + i, " ".join(shared + words(30, 300 + i, 10**9))) for i in range(60)]
+    rng = random.Random(4)
+    for i in range(90):                                        # a wide group: most pairs are unlikely, chains link them
+        w = words(100, 11)
+        for _ in range(i % 9):
+            w[rng.randrange(100)] = f"other{rng.randrange(10**9)}"
+        rows.append((700 + i, " ".join(w)))
     rows.append((900, sentence(30000, 77)))                    # a very long text and its near copy
     rows.append((901, sentence(30000, 77) + " tail"))
     rows.append((901, sentence(30000, 77) + " tail"))          # a repeated row
