@@ -3,6 +3,7 @@
 Dashboard panels are re-expressed as DataFrame work:
 
 * ``counter_rate``      — ``sum(rate(c[step]))``, optionally ``by`` a label (counter resets handled).
+* ``sliding_rate``      — the same over a trailing window at every refresh (overlapping windows).
 * ``histogram_buckets`` — cumulative ``le`` buckets of observed values (one aggregation pass).
 * ``histogram_quantile``— quantiles from cumulative buckets with linear interpolation.
 * ``histogram_rate_quantile`` — the same over the rates of cumulative bucket counters per step.
@@ -16,10 +17,11 @@ window edges is done.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from logroll.operators.sequence import previous_value
+from logroll.operators.sequence import previous_value, running_totals
 
 
 def series_key(labels: str = "labels") -> Column:
@@ -49,6 +51,30 @@ def _step_seconds(step: str) -> int:
     return int(n) * mult
 
 
+def _slice_increases(samples: DataFrame, slice_of: Callable[[Column], Column]) -> DataFrame:
+    """(metric, _series, _slice, _inc, _covered): what each series' samples of a slice add to it, and
+    the microseconds between them and their predecessors (in the slice or before it).  ``slice_of``
+    maps a sample's microseconds to its slice, in order."""
+    series = ["metric", "_series"]
+    instants = (samples.where("ts IS NOT NULL AND value IS NOT NULL")
+                .groupBy("metric", series_key().alias("_series"),
+                         F.unix_micros(F.col("ts").cast("timestamp")).alias("_us"))
+                .agg(F.max("value").alias("_v"))
+                .withColumn("_slice", slice_of(F.col("_us"))))
+    inside = Window.partitionBy(*series, "_slice").orderBy("_us")
+    at = F.struct("_us", "_v")
+    slices = (instants.withColumn("_p", F.lag(at).over(inside))
+              .groupBy(*series, "_slice")
+              .agg(F.sum(_increase(F.col("_p._v"), F.col("_v"))).alias("_inc"),
+                   F.coalesce(F.sum(F.col("_us") - F.col("_p._us")), F.lit(0)).alias("_covered"),
+                   F.min(at).alias("_first"), F.max(at).alias("_last")))
+    ordered = Window.partitionBy(*series).orderBy("_slice")
+    return (slices.withColumn("_p", F.lag("_last").over(ordered))
+            .select(*series, "_slice",
+                    (F.col("_inc") + _increase(F.col("_p._v"), F.col("_first._v"))).alias("_inc"),
+                    (F.col("_covered") + F.coalesce(F.col("_first._us") - F.col("_p._us"), F.lit(0))).alias("_covered")))
+
+
 def counter_rate(samples: DataFrame, step: str = "1 hour", by: list[str] | None = None) -> DataFrame:
     """Per-second rate per ``step`` bucket, summed over series (and grouped by label names in
     ``by``): columns ``time``, one per label, ``rate``.
@@ -64,31 +90,52 @@ def counter_rate(samples: DataFrame, step: str = "1 hour", by: list[str] | None
     """
     unit = math.gcd(_step_seconds(step), 60) * 1_000_000
     series = ["metric", "_series"]
-    instants = (samples.where("ts IS NOT NULL AND value IS NOT NULL")
-                .groupBy("metric", series_key().alias("_series"),
-                         F.unix_micros(F.col("ts").cast("timestamp")).alias("_us"))
-                .agg(F.max("value").alias("_v"))
-                .withColumn("_slice", F.col("_us") - F.pmod("_us", F.lit(unit))))
-    inside = Window.partitionBy(*series, "_slice").orderBy("_us")
-    at = F.struct("_us", "_v")
-    slices = (instants.withColumn("_p", F.lag(at).over(inside))
-              .groupBy(*series, "_slice")
-              .agg(F.sum(_increase(F.col("_p._v"), F.col("_v"))).alias("_inc"),
-                   F.coalesce(F.sum(F.col("_us") - F.col("_p._us")), F.lit(0)).alias("_covered"),
-                   F.min(at).alias("_first"), F.max(at).alias("_last")))
-    ordered = Window.partitionBy(*series).orderBy("_slice")
     time = F.window(F.timestamp_micros("_slice"), step).start.cast(samples.schema["ts"].dataType)
-    joined = (slices.withColumn("_p", F.lag("_last").over(ordered))
-              .select(*series, time.alias("time"),
-                      (F.col("_inc") + _increase(F.col("_p._v"), F.col("_first._v"))).alias("_inc"),
-                      (F.col("_covered") + F.coalesce(F.col("_first._us") - F.col("_p._us"), F.lit(0)))
-                      .alias("_covered")))
+    joined = _slice_increases(samples, lambda us: us - F.pmod(us, F.lit(unit))).withColumn("time", time)
     labels = [F.map_from_entries("_series")[k].alias(k) for k in (by or [])]
     per_series = (joined.groupBy(*series, "time")
                   .agg(F.try_divide(F.sum("_inc") * F.lit(1e6), F.sum("_covered").cast("double")).alias("_rate")))
     return per_series.groupBy("time", *labels).agg(F.sum("_rate").alias("rate"))
 
 
+def sliding_rate(samples: DataFrame, window: str = "5 minutes", every: str = "5 seconds",
+                 by: list[str] | None = None) -> DataFrame:
+    """``sum(rate(c[window]))`` at every refresh: columns ``time``, one per label in ``by``, ``rate``.
+
+    Refreshes are the multiples of ``every``; the one at ``t`` sees the samples in ``(t - window, t]``.
+    A series' rate there is the increase up to each of those samples, divided by the seconds between
+    them and their predecessors (which may lie before the window); a reset starts from 0.  A series
+    without a sample in the window has no rate; refreshes at which no series has one are left out, and
+    those whose only samples are the first of their series have a null rate.
+
+    A sample enters the window at its refresh and leaves it ``window`` later, so the window's sums are
+    running totals of what enters minus what leaves: overlapping windows cost two rows per series and
+    refresh with samples, no self-join, and nothing is repeated per window.  Running totals are cut
+    into blocks of a thousand refreshes, so a hot series is spread over tasks.
+    """
+    step, wide = _step_seconds(every) * 1_000_000, _step_seconds(window) * 1_000_000
+    if wide % step:
+        raise ValueError(f"a window of {window} is not a multiple of {every}")
+    series = ["metric", "_series"]
+    unit = math.gcd(step, 60_000_000)
+    up = lambda us, n: us + F.pmod(-us, F.lit(n))                                          # noqa: E731
+    slots = (_slice_increases(samples, lambda us: up(us, unit))
+             .groupBy(*series, up(F.col("_slice"), step).alias("_t"))
+             .agg(F.sum("_inc").alias("_inc"), F.sum("_covered").alias("_covered")))
+    enter = slots.withColumn("_n", F.lit(1).cast("long"))
+    leave = slots.select(*series, (F.col("_t") + wide).alias("_t"), (-F.col("_inc")).alias("_inc"),
+                         (-F.col("_covered")).alias("_covered"), F.lit(-1).cast("long").alias("_n"))
+    sums = ["_inc", "_covered", "_n"]
+    changes = enter.unionByName(leave).groupBy(*series, "_t").agg(*[F.sum(c).alias(c) for c in sums])
+    state = running_totals(changes, series, "_t", sums, 1000 * step, following="_until").where("_n > 0")
+    # Between two changes every refresh has the same sums; what is emitted is the result itself.
+    shown = state.select(*series, F.explode(F.sequence("_t", F.col("_until") - step, F.lit(step).cast("long"))).alias("_at"),
+                         F.try_divide(F.col("_inc") * 1e6, F.when(F.col("_covered") > 0, F.col("_covered")).cast("double")).alias("_rate"))
+    labels = [F.map_from_entries("_series")[k].alias(k) for k in (by or [])]
+    time = F.timestamp_micros("_at").cast(samples.schema["ts"].dataType).alias("time")
+    return shown.groupBy(time, *labels).agg(F.sum("_rate").alias("rate"))
+
+
 def format_le(bound: float) -> str:
     return "+Inf" if math.isinf(bound) else format(bound, "g")
 
@@ -152,10 +199,13 @@ def histogram_quantile(buckets: DataFrame, q: float | list[float], group: list[s
 
 
 def histogram_rate_quantile(samples: DataFrame, bucket_metric: str, q: float | list[float], step: str = "5 minutes",
-                            by: list[str] | None = None, out: str | list[str] = "quantile") -> DataFrame:
+                            by: list[str] | None = None, out: str | list[str] = "quantile",
+                            every: str | None = None) -> DataFrame:
     """``histogram_quantile(q, sum(rate(<bucket_metric>[step])) by (le))``: per-``le`` rates of the
-    cumulative bucket counters per step, then the quantiles of each step's buckets."""
-    rates = counter_rate(samples.where(F.col("metric") == bucket_metric), step, by=["le", *(by or [])])
+    cumulative bucket counters per step, then the quantiles of each step's buckets.  With ``every``
+    the step is a trailing window seen at each refresh (``sliding_rate``)."""
+    rows, labels = samples.where(F.col("metric") == bucket_metric), ["le", *(by or [])]
+    rates = sliding_rate(rows, step, every, labels) if every else counter_rate(rows, step, labels)
     return histogram_quantile(rates, q, ["time", *(by or [])], le="le", count="rate", out=out)
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from logroll.operators.sequence import carried_value
+
 
 def max_offsets(messages: DataFrame, keys=("topic", "partition")) -> DataFrame:
     """Highest offset per partition, whatever the arrival order, and the offset to commit."""
@@ -55,3 +57,22 @@ def lag_series(messages: DataFrame, step: str = "1 hour", keys=("topic", "partit
     return (per.withColumn("head", head)
             .withColumn("lag", F.col("head") - F.coalesce(F.lag("head").over(w), F.lit(0)))
             .drop("_head_in"))
+
+
+def lag_asof(heads: DataFrame, commits: DataFrame, keys=("topic", "partition"), slice_unit: str = "hour") -> DataFrame:
+    """Lag at every head sample: ``head`` minus the newest committed offset at or before it.
+
+    ``heads`` has (keys, ts, head), ``commits`` (keys, ts, committed).  Head samples before the first
+    commit of their partition, or of partitions that never commit, have a null ``committed`` and
+    ``lag``; a commit older than the first head counts; of commits at one instant the largest does, and
+    a commit at a head's own instant is seen by it.  Both kinds of samples are one stream in order of
+    time (a union, no range join), cut into time slices so that a busy partition is many tasks.
+    """
+    keys = list(keys)
+    both = (heads.select(*keys, "ts", F.lit(1).alias("_kind"), F.col("head").cast("bigint").alias("head"),
+                         F.lit(None).cast("bigint").alias("_committed"))
+            .unionByName(commits.select(*keys, "ts", F.lit(0).alias("_kind"), F.lit(None).cast("bigint").alias("head"),
+                                        F.col("committed").cast("bigint").alias("_committed"))))
+    seen = carried_value(both, keys, ["ts", "_kind", "_committed"], "ts", "_committed", "committed", slice_unit)
+    return (seen.where("_kind = 1").drop("_kind", "_committed")
+            .withColumn("lag", F.col("head") - F.col("committed")).select(*keys, "ts", "head", "committed", "lag"))

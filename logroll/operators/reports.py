@@ -8,7 +8,10 @@ Orderings add ``service`` as a tie-break so results are deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from logroll.functions.timefn import window_start
 from logroll.schemas import REPORT_QUANTILES, TOP_SERVICES
@@ -45,15 +48,44 @@ def top_services(rollup: DataFrame, minutes=None, as_of=None, n: int = TOP_SERVI
             .limit(n))
 
 
+def percentiles_by_rank(freq: DataFrame, keys: list[str], value: str = "latency_ms", count: str = "cnt",
+                        quantiles=REPORT_QUANTILES, out: str = "percentiles") -> DataFrame:
+    """Exact, linearly interpolated percentiles of ``value`` weighted by ``count`` per group, as an array.
+
+    Values are cut into ranges a fiftieth wide (by their logarithm, which keeps their order).  Prefix
+    sums of the ranges' totals tell which range holds each wanted rank; only those ranges are ordered by
+    value, each in a task of its own.  A group with most of the rows is thus summed by value, then by
+    range, and never gathered.  Rows without value or with a count below 1 do not take part.
+    """
+    # Same values, same range; larger values, same or later range.
+    of = F.floor(F.signum(F.col(value)) * F.log1p(F.abs(F.col(value).cast("double"))) * 50)
+    sums = (freq.where(F.col(value).isNotNull() & (F.col(count) > 0)).groupBy(*keys, F.col(value).alias("_v"), of.alias("_r"))
+            .agg(F.sum(count).cast("long").alias("_c")))
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = (sums.groupBy(*keys, "_r").agg(F.sum("_c").alias("_n"))
+              .withColumn("_ahead", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_all", F.sum("_n").over(whole)))
+    place = [F.lit(float(q)) * (F.col("_all") - 1) for q in quantiles]
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), side.alias("side"), rank.cast("long").alias("k")) for i, p in enumerate(place)
+                       for side, rank in ((F.lit("lo"), F.floor(p)), (F.lit("hi"), F.ceil(p)))])
+    here = F.filter(wanted, lambda w: (w["k"] >= F.col("_ahead")) & (w["k"] < F.col("_ahead") + F.col("_n")))
+    hits = ranges.withColumn("_w", here).where(F.size("_w") > 0).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_r").alias("_hit"), "_ahead", "_all", "_w")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.col("_r") == F.col("_hit"))
+    inside = Window.partitionBy(*keys, "_r").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = sums.join(hits, same).withColumn("_to", F.col("_ahead") + F.sum("_c").over(inside))
+    picked = ranked.select(*keys, "_v", "_all", "_to", "_c", F.inline("_w")).where("k < _to AND k >= _to - _c")
+    at = lambda i, side: F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col("_v"))).cast("double")
+    both = picked.groupBy(*keys).agg(F.max("_all").alias("_all"), *[at(i, s).alias(f"_{s}{i}") for i in range(len(quantiles)) for s in ("lo", "hi")])
+    share = [p - F.floor(p) for p in place]
+    return both.select(*keys, F.array(*[F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * d for i, d in enumerate(share)]).alias(out))
+
+
 def latency_percentiles(freq: DataFrame, minutes=None, as_of=None,
                         quantiles=REPORT_QUANTILES) -> DataFrame:
     """Exact, linearly interpolated latency percentiles per service from the frequency rows:
     ``service``, ``percentiles`` = [p50, p90, p99] by default."""
-    qs = F.array(*[F.lit(float(q)) for q in quantiles])
-    return (in_window(freq, minutes, as_of)
-            .groupBy("service")
-            .agg(F.percentile("latency_ms", qs, F.col("cnt")).alias("percentiles"))
-            .orderBy("service"))
+    return percentiles_by_rank(in_window(freq, minutes, as_of), ["service"], quantiles=quantiles).orderBy("service")
 
 
 def latency_percentiles_sketch(rollup: DataFrame, minutes=None, as_of=None,
@@ -70,10 +102,7 @@ def latency_percentiles_sketch(rollup: DataFrame, minutes=None, as_of=None,
 
 def service_percentiles(freq: DataFrame, service: str, quantiles=REPORT_QUANTILES) -> DataFrame:
     """Percentiles of one service over the whole rollup (parameter equality filter)."""
-    qs = F.array(*[F.lit(float(q)) for q in quantiles])
-    return (freq.where(F.col("service") == F.lit(service))
-            .groupBy("service")
-            .agg(F.percentile("latency_ms", qs, F.col("cnt")).alias("percentiles")))
+    return percentiles_by_rank(freq.where(F.col("service") == F.lit(service)), ["service"], quantiles=quantiles)
 
 
 def split_percentiles(df: DataFrame, quantiles=REPORT_QUANTILES, col: str = "percentiles",

@@ -60,3 +60,57 @@ def previous_value(df: DataFrame, series: list[str], ts: str, value: str,
     return (ranked.join(edges, same, "inner")
             .withColumn(out, F.coalesce(F.col("_lag"), F.col("_carry")))
             .drop("_slice", "_lag", "_carry", "_is_last", *[f"_e{i}" for i in range(len(keys))]))
+
+
+def _same(left: DataFrame, keys: list[str], prefix: str) -> Column:
+    return reduce(and_, [left[c].eqNullSafe(F.col(f"{prefix}{i}")) for i, c in enumerate(keys)])
+
+
+def _renamed(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+    for i, c in enumerate(keys):
+        df = df.withColumnRenamed(c, f"{prefix}{i}")
+    return df
+
+
+def running_totals(df: DataFrame, series: list[str], at: str, sums: list[str], block: int,
+                   following: str | None = None) -> DataFrame:
+    """Replace each column of ``sums`` by its running total in the series up to the row, and add
+    ``following``: ``at`` of the series' next row (null for the last).
+
+    ``at`` is a whole number, distinct within a series.  Rows are ordered inside blocks of ``block``
+    units of it; what lies before a block, and the row after it, come from the summary of blocks.
+    """
+    keys = [*series, "_block"]
+    cut = df.withColumn("_block", F.col(at) - F.pmod(F.col(at), F.lit(block)))
+    ordered = Window.partitionBy(*series).orderBy("_block")
+    ahead = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (cut.groupBy(*keys).agg(*[F.sum(c).alias(f"_t{i}") for i, c in enumerate(sums)], F.min(at).alias("_first"))
+              .select(*keys, *[F.coalesce(F.sum(f"_t{i}").over(ahead), F.lit(0)).alias(f"_b{i}") for i in range(len(sums))],
+                      F.lead("_first").over(ordered).alias("_after")))
+    inside = Window.partitionBy(*keys).orderBy(at)
+    local = cut.withColumns({c: F.sum(c).over(inside.rowsBetween(Window.unboundedPreceding, 0)) for c in sums}
+                            | {"_next": F.lead(at).over(inside)})
+    out = local.join(_renamed(blocks, keys, "_k"), _same(local, keys, "_k"))
+    out = out.withColumns({c: F.col(c) + F.col(f"_b{i}") for i, c in enumerate(sums)})
+    if following:
+        out = out.withColumn(following, F.coalesce("_next", "_after"))
+    return out.drop("_block", "_next", "_after", *[f"_k{i}" for i in range(len(keys))], *[f"_b{i}" for i in range(len(sums))])
+
+
+def carried_value(df: DataFrame, series: list[str], order: list[str], ts: str, value: str, out: str,
+                  slice_unit: str = "hour") -> DataFrame:
+    """Newest non-null ``value`` at or before each row of its series in ``order`` (which starts with
+    ``ts``); null before the first.
+
+    Rows are ordered inside time slices; what an earlier slice leaves comes from the summary of one
+    row per series and slice."""
+    keys = [*series, "_slice"]
+    sliced = df.withColumn("_slice", _slice(ts, slice_unit))
+    place = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.col(value).alias("v"))
+    left = (sliced.groupBy(*keys).agg(F.max(F.when(F.col(value).isNotNull(), place))["v"].alias("_v"))
+            .select(*keys, F.last("_v", ignorenulls=True).over(
+                Window.partitionBy(*series).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry")))
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = sliced.withColumn("_seen", F.last(value, ignorenulls=True).over(inside))
+    return (local.join(_renamed(left, keys, "_k"), _same(local, keys, "_k"))
+            .withColumn(out, F.coalesce("_seen", "_carry")).drop("_slice", "_seen", "_carry", *[f"_k{i}" for i in range(len(keys))]))

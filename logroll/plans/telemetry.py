@@ -10,13 +10,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from logroll.operators import metrics as M
-from logroll.operators.offsets import lag_series
+from logroll.operators.offsets import lag_asof, lag_series
 from logroll.plans.common import LOGS_SQL, events, ntz
 from logroll.schemas import LOG_TOPIC
-from logroll.sources.events import dlq_counter_samples, latency_bucket_samples, logs_from_events, wire_messages
+from logroll.sources.events import (dlq_counter_samples, latency_bucket_samples, logs_from_events, offset_samples,
+                                    wire_messages)
 
 LATENCY_BOUNDS = [50, 100, 250, 500, 1000, 2500, 5000]   # ms
 DLQ_PREFIX = "pipeline_messages_dlq"
+UNCOMMITTED = 3         # partition of the lag samples that never commits
 DECIMALS = 9            # rates: engines add the series' doubles in different orders
 
 
@@ -61,6 +63,23 @@ def q_histogram_rate_quantile(spark, sf_dir):
                                                   out=["p50", "p95"]), "p50", "p95"))
 
 
+def q_sliding_rate(spark, sf_dir):
+    """Rejections per second by reason over the trailing half hour, refreshed every five minutes."""
+    return ntz(_rounded(M.sliding_rate(_counter(spark, sf_dir), "30 minutes", "5 minutes", by=["reason"]), "rate"))
+
+
+def q_sliding_quantile(spark, sf_dir):
+    """p50 and p95 of latency over the trailing three hours, refreshed every hour."""
+    samples = latency_bucket_samples(events(spark, sf_dir), LATENCY_BOUNDS)
+    return ntz(_rounded(M.histogram_rate_quantile(samples, "latency_ms_bucket", [0.5, 0.95], "3 hours",
+                                                  out=["p50", "p95"], every="1 hour"), "p50", "p95"))
+
+
+def q_lag_asof(spark, sf_dir):
+    """Lag at every head sample (one per minute and partition) from commits of another rhythm."""
+    return ntz(lag_asof(*offset_samples(events(spark, sf_dir), UNCOMMITTED)))
+
+
 def q_gauge_latest(spark, sf_dir):
     lg = logs_from_events(events(spark, sf_dir), keep=[F.col("ts").cast("timestamp").alias("ts")])
     samples = lg.select("ts", F.lit("latency_ms").alias("metric"),
@@ -122,7 +141,30 @@ r AS (SELECT date_trunc('hour', ts) AS time, le, bound,
       FROM p GROUP BY 1, 2, 3)"""
 
 
+_SLIDING = """
+x AS (SELECT ts, reason, prev_ts, CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END AS inc FROM p),
+g AS (SELECT unnest(generate_series((SELECT time_bucket(INTERVAL 5 MINUTE, min(ts)) FROM p),
+                                    (SELECT max(ts) + INTERVAL 1 HOUR FROM p), INTERVAL 5 MINUTE)) AS time)"""
+_SLIDING_BUCKETS = """
+x AS (SELECT ts, le, bound, prev_ts, CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END AS inc FROM p),
+g AS (SELECT unnest(generate_series((SELECT min(ts) FROM p), (SELECT max(ts) + INTERVAL 3 HOUR FROM p), INTERVAL 1 HOUR)) AS time),
+h AS (SELECT time, le, bound, sum(inc) * 1e6 / nullif(CAST(coalesce(sum(epoch_us(ts) - epoch_us(prev_ts)), 0) AS DOUBLE), 0) AS count
+      FROM g JOIN x ON ts > time - INTERVAL 3 HOUR AND ts <= time GROUP BY 1, 2, 3)"""
+_OFFSETS = f"""
+WITH m AS (SELECT '{LOG_TOPIC}' AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id + 1 AS o, ts FROM events),
+heads AS (SELECT topic, partition, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS ts, max(o) AS head FROM m GROUP BY ALL),
+commits AS (SELECT topic, partition, time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 13 MINUTE AS ts, max(o) AS committed
+            FROM m WHERE partition <> {UNCOMMITTED} GROUP BY ALL)"""
+
+
 SQL = {
+    "sliding_rate": f"""{_SAMPLES}, {_SLIDING}
+        SELECT time, reason, round(sum(inc) * 1e6 / nullif(CAST(coalesce(sum(epoch_us(ts) - epoch_us(prev_ts)), 0) AS DOUBLE), 0),
+                                   {DECIMALS}) AS rate
+        FROM g JOIN x ON ts > time - INTERVAL 30 MINUTE AND ts <= time GROUP BY 1, 2""",
+    "lag_asof": f"""{_OFFSETS}
+        SELECT h.topic, h.partition, h.ts, head, committed, head - committed AS lag
+        FROM heads h ASOF LEFT JOIN commits c ON c.topic = h.topic AND c.partition = h.partition AND c.ts <= h.ts""",
     "counter_rate": f"{_SAMPLES} SELECT time, round(sum(rate), {DECIMALS}) AS rate FROM i GROUP BY 1",
     "dlq_rate": f"{_SAMPLES} SELECT time, reason, round(sum(rate), {DECIMALS}) AS rate FROM i GROUP BY 1, 2",
     "metric_total": f"""{_SAMPLES} SELECT sum(v) AS total FROM (SELECT reason, arg_max(value, ts) AS v FROM s
@@ -135,6 +177,11 @@ SQL = {
         FROM (SELECT DISTINCT time FROM r) t
         LEFT JOIN {_quantile_sql(0.5, 'p50', 'time', 'r')} a ON a.time = t.time
         LEFT JOIN {_quantile_sql(0.95, 'p95', 'time', 'r')} b ON b.time = t.time""",
+    "sliding_quantile": f"""{_RATE_BUCKETS[:_RATE_BUCKETS.index("r AS (SELECT date_trunc")]}{_SLIDING_BUCKETS}
+        SELECT t.time, round(a.p50, {DECIMALS}) AS p50, round(b.p95, {DECIMALS}) AS p95
+        FROM (SELECT DISTINCT time FROM h) t
+        LEFT JOIN {_quantile_sql(0.5, 'p50', 'time', 'h')} a ON a.time = t.time
+        LEFT JOIN {_quantile_sql(0.95, 'p95', 'time', 'h')} b ON b.time = t.time""",
     "gauge_latest": f"""SELECT concat('svc-', CAST(user_id % 4 AS VARCHAR)) AS service,
                                arg_max(CAST(floor(value * 10) AS DOUBLE), ts) AS value
                         FROM events GROUP BY 1""",
@@ -158,4 +205,7 @@ QUERIES = {
     "histogram_rate_quantile": q_histogram_rate_quantile,
     "gauge_latest": q_gauge_latest,
     "lag_series": q_lag_series,
+    "sliding_rate": q_sliding_rate,
+    "sliding_quantile": q_sliding_quantile,
+    "lag_asof": q_lag_asof,
 }

@@ -169,3 +169,13 @@ def latency_bucket_samples(events: DataFrame, bounds, metric: str = "latency_ms_
                                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return per_hour.select("ts", F.lit(metric).alias("metric"), F.create_map(F.lit("le"), F.col("le")).alias("labels"),
                            running.cast("double").alias("value"))
+
+
+def offset_samples(events: DataFrame, silent: int) -> tuple[DataFrame, DataFrame]:
+    """Head and commit samples of the simulated topic: heads at the end of each minute with messages,
+    commits three minutes after each ten minutes with messages; partition ``silent`` never commits."""
+    m = wire_messages(events).select("topic", "partition", (F.col("offset") + 1).alias("o"), "timestamp")
+    sampled = lambda step, after, out: (                                                   # noqa: E731
+        m.groupBy("topic", "partition", F.window("timestamp", step).end.alias("ts")).agg(F.max("o").alias(out))
+        .withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {after} MINUTE")))
+    return sampled("1 minute", 0, "head"), sampled("10 minutes", 3, "committed").where(F.col("partition") != silent)
