@@ -16,13 +16,17 @@ from logroll.operators.rollup import latency_frequencies, rollup_1m
 from logroll.plans.common import LOG_COLS_SQL, LOGS_SQL, ROLLUP_SQL, events, ntz
 from logroll.plans.ingest import _REJECTED
 from logroll.plans.reports import as_of, logs
-from logroll.schemas import LOG_TOPIC
+from logroll.schemas import GARBAGE_TEXT, LOG_TOPIC
 from logroll.session import scratch_dir
 from logroll.sources.events import wire_messages
 from logroll.sources.tables import LogStore
 from logroll.streaming.ingest import InjectedFailure, IngestJob, file_source, start_ingest
+from logroll.streaming.replay import replay_dlq
+from logroll.streaming.stateful import first_deliveries, start_window_state
 
 SOURCE_FILES = 4
+RECOVERED = ('{"timestamp":"2024-01-15T00:00:00.000Z","level":"WARN","service":"recovered","host":"host-00",'
+             '"traceId":"trace-recovered","statusCode":202,"latencyMs":7,"message":"mended"}')
 COUNTERS = ["minute", "service", "level", "total_count", "error_count", "latency_sum"]
 
 
@@ -55,11 +59,11 @@ def q_rollup_compacted(spark, sf_dir):
     return ntz(store.rollup(merged=True).select(*COUNTERS))
 
 
-def _drain(spark, base, job, max_files=None):
+def _drain(spark, base, job, max_files=None, prepare=lambda messages: messages):
     """Run the ingest stream over what is in ``source`` (availableNow) until it stops.  After an
     injected failure, restart from the checkpoint: the failed batch replays with its batch_id."""
     def run():
-        start_ingest(file_source(spark, f"{base}/source", max_files_per_trigger=max_files), job,
+        start_ingest(prepare(file_source(spark, f"{base}/source", max_files_per_trigger=max_files)), job,
                      f"{base}/checkpoint", available_now=True).awaitTermination()
     try:
         run()
@@ -137,6 +141,41 @@ def q_stream_metrics(spark, sf_dir):
     return m.groupBy("metric", label.alias("label")).agg(F.max_by("value", "batch_id").alias("value"))
 
 
+def q_stream_redelivery(spark, sf_dir):
+    """Two thirds of the topic arrive, some messages twice; after a restart the whole topic is delivered
+    again, which fills the gaps.  Every message counts once."""
+    base = scratch_dir(spark, "redelivery")
+    msgs = wire_messages(events(spark, sf_dir))
+    job = IngestJob(LogStore(spark, f"{base}/tables"))
+    early = msgs.where(F.col("offset") % 3 != 0)
+    for arrival in (early.unionByName(early.where(F.col("offset") % 5 == 0)), msgs):
+        arrival.write.mode("append").parquet(f"{base}/source")
+        _drain(spark, base, job, prepare=first_deliveries)
+    return ntz(job.store.logs())
+
+
+def q_stream_window_state(spark, sf_dir):
+    """Counts per minute from the state store: the second half of the month first, then, after a
+    restart, the first half."""
+    base = scratch_dir(spark, "window-state")
+    msgs, store = wire_messages(events(spark, sf_dir)), LogStore(spark, f"{base}/tables")
+    mid = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    for cond in (F.col("timestamp") >= mid, F.col("timestamp") < mid):
+        msgs.where(cond).write.mode("append").parquet(f"{base}/source")
+        logs = valid_rows(classify(file_source(spark, f"{base}/source")))
+        start_window_state(logs, store, f"{base}/checkpoint", available_now=True).awaitTermination()
+    return ntz(store.window_state().select(*COUNTERS))
+
+
+def q_dlq_replay(spark, sf_dir):
+    """The stream's dead letters are replayed with a fix for one kind of payload, twice; raw rows after."""
+    store = _run_stream(spark, sf_dir)
+    fix = lambda text: F.when(text == GARBAGE_TEXT, F.lit(RECOVERED)).otherwise(text)       # noqa: E731
+    replay_dlq(store, fix)
+    replay_dlq(store, fix)
+    return ntz(store.logs())
+
+
 def q_dedup_offsets(spark, sf_dir):
     """A backfill that redelivers part of the topic: duplicates by (topic, partition, offset) are
     dropped before classification, so each message counts once."""
@@ -177,6 +216,11 @@ SQL = {
         UNION ALL SELECT 'pipeline_committed_offset', CAST(user_id % 4 AS VARCHAR), CAST(max(event_id) + 1 AS DOUBLE)
                   FROM events GROUP BY 2""",
     "dedup_offsets": _VALID,
+    "stream_redelivery": _VALID,
+    "stream_window_state": _VALID_ROLLUP,
+    "dlq_replay": f"""{_VALID} UNION ALL
+        SELECT TIMESTAMP '2024-01-15 00:00:00', 'WARN', 'recovered', 'host-00', 'trace-recovered', 202, 7, 'mended'
+        FROM events WHERE event_id % 100 = 0""",
 }
 
 QUERIES = {
@@ -190,5 +234,8 @@ QUERIES = {
     "stream_dlq": q_stream_dlq,
     "stream_metrics": q_stream_metrics,
     "dedup_offsets": q_dedup_offsets,
+    "stream_redelivery": q_stream_redelivery,
+    "stream_window_state": q_stream_window_state,
+    "dlq_replay": q_dlq_replay,
 }
 

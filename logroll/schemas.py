@@ -73,6 +73,9 @@ TABLE_DDL = {
                      "event_date DATE, batch_id BIGINT", ["batch_id"]),
     "dlq": ("rejected_at TIMESTAMP, reason STRING, payload STRING, reason_code STRING, topic STRING, "
             "`partition` INT, `offset` BIGINT, batch_id BIGINT", ["batch_id"]),
+    "dlq_replayed": ("topic STRING, `partition` INT, `offset` BIGINT, batch_id BIGINT", ["batch_id"]),
+    "logs_1m_state": ("minute TIMESTAMP, service STRING, level STRING, total_count BIGINT, error_count BIGINT, "
+                      "latency_sum BIGINT, batch_id BIGINT", ["batch_id"]),
     "pipeline_metrics": ("ts TIMESTAMP, metric STRING, labels MAP<STRING, STRING>, value DOUBLE, batch_id BIGINT",
                          ["batch_id"]),
 }

@@ -10,6 +10,8 @@ Tables live under one root (shared storage on a cluster):
 * ``logs_1m_compacted`` merged rollup of closed days, partitioned by ``event_date``; each row
   carries ``through_batch_id``: live rows of that day up to this batch are already inside.
 * ``dlq``             rejections, partitioned by ``batch_id``.
+* ``dlq_replayed``    messages that a dead-letter replay has brought in, partitioned by ``batch_id``.
+* ``logs_1m_state``   versions of the stateful rollup's totals, partitioned by ``batch_id``.
 * ``pipeline_metrics`` metric samples, partitioned by ``batch_id``.
 
 Every write replaces exactly the partitions of its ``batch_id`` (dynamic partition overwrite),
@@ -148,6 +150,20 @@ class LogStore:
         self._write(samples.withColumn("batch_id", F.lit(batch_id).cast("bigint")), "pipeline_metrics",
                     ["batch_id"])
 
+    def write_replayed(self, messages: DataFrame, batch_id: int) -> None:
+        self._write(messages.withColumn("batch_id", F.lit(batch_id).cast("bigint")), "dlq_replayed", ["batch_id"])
+
+    def write_window_state(self, counts: DataFrame, batch_id: int) -> None:
+        """New totals of the (minute, service, level) keys a batch touched."""
+        self._write(counts.withColumn("batch_id", F.lit(batch_id).cast("bigint")), "logs_1m_state", ["batch_id"], ROLLUP_KEY)
+
+    def drop_batch(self, batch_id: int) -> None:
+        """Remove what an unfinished write of a batch left in the pipeline's tables."""
+        for name in ("logs_1m", "logs_1m_freq", "logs/event_date=*"):
+            pattern, fs = _hadoop_fs(self.spark, f"{self.path(name)}/batch_id={batch_id}")
+            for found in fs.globStatus(pattern) or ():
+                fs.delete(found.getPath(), True)
+
     # -- readers -----------------------------------------------------------------------------
     def _read(self, name: str, since=None) -> DataFrame:
         """Read a table.  With a literal ``since``, only the day directories from that date on are
@@ -231,6 +247,28 @@ class LogStore:
     def dlq(self) -> DataFrame:
         return self._read("dlq")
 
+    def replayed(self) -> DataFrame:
+        return self._read("dlq_replayed")
+
+    def window_state(self) -> DataFrame:
+        """The newest totals of every key of the stateful rollup."""
+        counts = ["total_count", "error_count", "latency_sum"]
+        return (self._read("logs_1m_state").groupBy(*ROLLUP_KEY)
+                .agg(F.max_by(F.struct(*counts), "batch_id").alias("c")).select(*ROLLUP_KEY, *[f"c.{c}" for c in counts]))
+
+    def compact_window_state(self) -> None:
+        """Keep only the newest version of each key, under the newest batch.  Safe at any point while the
+        stream is stopped: until the older versions are gone, readers see both and take the newest."""
+        newest = self._read("logs_1m_state").agg(F.max("batch_id")).first()[0]
+        if newest is None:
+            return
+        self.write_window_state(self.window_state().checkpoint(eager=True), newest)
+        root, fs = _hadoop_fs(self.spark, self.path("logs_1m_state"))
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if name.startswith("batch_id=") and int(name.split("=")[1]) < newest:
+                fs.delete(st.getPath(), True)
+
     def metrics(self) -> DataFrame:
         return self._read("pipeline_metrics")
 

@@ -71,8 +71,10 @@ def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str = LOG_T
 
 def kafka_sink_options(df: DataFrame, bootstrap_servers: str, topic: str):
     """Publish rows whose ``value`` is the JSON text (e.g. dead-letter envelopes) to a topic, with
-    all-replica acknowledgement and gzip, as a batch write."""
-    return (df.select(F.col("value").cast("string").alias("value")).write.format("kafka")
+    all-replica acknowledgement and gzip, as a batch write.  A ``key`` column is published as the
+    message key, so messages of one key stay in one partition."""
+    key = [F.col("key").cast("binary")] if "key" in df.columns else []
+    return (df.select(*key, F.col("value").cast("string").alias("value")).write.format("kafka")
             .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic)
             .option("kafka.acks", "all").option("kafka.compression.type", "gzip"))
 
