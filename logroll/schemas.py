@@ -23,7 +23,7 @@ INSERT_DURATION_BOUNDS = [0.05, 0.1, 0.25, 0.5, 1, 2.5, 5]
 BATCH_SIZE_BOUNDS = [100, 500, 1000, 2500, 5000, 10000]
 MAX_SAFE_INTEGER = 9007199254740991     # 2**53 - 1: largest integer a JSON number holds exactly
 # Two garbage payloads used as rejection fixtures.
-GARBAGE_TEXT = "not json at all: {broken"
+GARBAGE_TEXT = "<html><body>504 Gateway Time-out</body></html>"
 GARBAGE_SCHEMA = '{"note":"an object without any log field"}'
 # Wire field names, in order.
 WIRE_FIELDS = ["timestamp", "level", "service", "host", "traceId", "statusCode", "latencyMs", "message"]

@@ -91,8 +91,8 @@ def _member(name: str, value: Column) -> Column:
 def rule_messages(events: DataFrame, topic: str = LOG_TOPIC) -> DataFrame:
     """Messages that each break (or stress) one event rule, chosen by ``event_id % 20``:
 
-    0 timestamp ``31/07/2026 12:00`` · 1 level ``TRACE`` · 2 statusCode 99 · 3 statusCode 600 ·
-    4 statusCode 200.5 · 5 latencyMs -1 · 6 latencyMs 12.5 · 7 latencyMs ``"120"`` · 8 service
+    0 timestamp ``Mon Jan 15 08:30:00 2024`` · 1 level ``NOTICE`` · 2 statusCode 99 · 3 statusCode 600 ·
+    4 statusCode 301.75 · 5 latencyMs -40 · 6 latencyMs 0.125 · 7 latencyMs ``true`` · 8 service
     ``""`` · 9 host ``""`` · 10 traceId ``""`` · 11 no timestamp · 12 no message · 13 message
     null · 14 statusCode ``503.0`` (valid) · 15 extra key (valid) · 16 timestamp with ``+02:00`` ·
     17 statusCode -5.5 · 18 timestamp without seconds (valid) · 19 level given twice, last valid
@@ -111,22 +111,22 @@ def rule_messages(events: DataFrame, topic: str = LOG_TOPIC) -> DataFrame:
         "message": _member("message", f["message"]),
     }
     over = {
-        "timestamp": (F.when(k == 0, F.lit('"timestamp":"31/07/2026 12:00"'))
+        "timestamp": (F.when(k == 0, F.lit('"timestamp":"Mon Jan 15 08:30:00 2024"'))
                       .when(k == 11, F.lit(None).cast("string"))
                       .when(k == 16, F.concat(F.lit('"timestamp":"'), F.substring(ts_text, 1, 23),
                                               F.lit('+02:00"')))
                       .when(k == 18, F.concat(F.lit('"timestamp":"'), F.substring(ts_text, 1, 16),
                                               F.lit('Z"')))),
-        "level": (F.when(k == 1, F.lit('"level":"TRACE"'))
-                  .when(k == 19, F.concat(F.lit('"level":"TRACE",'), base["level"]))),
+        "level": (F.when(k == 1, F.lit('"level":"NOTICE"'))
+                  .when(k == 19, F.concat(F.lit('"level":"NOTICE",'), base["level"]))),
         "service": F.when(k == 8, F.lit('"service":""')),
         "host": F.when(k == 9, F.lit('"host":""')),
         "traceId": F.when(k == 10, F.lit('"traceId":""')),
         "statusCode": (F.when(k == 2, F.lit('"statusCode":99')).when(k == 3, F.lit('"statusCode":600'))
-                       .when(k == 4, F.lit('"statusCode":200.5')).when(k == 14, F.lit('"statusCode":503.0'))
+                       .when(k == 4, F.lit('"statusCode":301.75')).when(k == 14, F.lit('"statusCode":503.0'))
                        .when(k == 17, F.lit('"statusCode":-5.5'))),
-        "latencyMs": (F.when(k == 5, F.lit('"latencyMs":-1')).when(k == 6, F.lit('"latencyMs":12.5'))
-                      .when(k == 7, F.lit('"latencyMs":"120"'))),
+        "latencyMs": (F.when(k == 5, F.lit('"latencyMs":-40')).when(k == 6, F.lit('"latencyMs":0.125'))
+                      .when(k == 7, F.lit('"latencyMs":true'))),
         "message": (F.when(k == 12, F.lit(None).cast("string"))
                     .when(k == 13, F.lit('"message":null'))),
     }

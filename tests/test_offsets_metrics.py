@@ -1,7 +1,9 @@
-"""Offsets, lag and telemetry operators on the reference's small vectors."""
+"""Offsets, lag and telemetry operators on small vectors and against brute force."""
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from logroll.operators import metrics as M
@@ -127,3 +129,62 @@ def test_ties_and_null_labels_keep_increases(spark):
     got = M.counter_increase(df).collect()
     assert len(got) == 4
     assert sum(r["increase"] for r in got if r["ts"] is not None and r["value"] > 7) == 2.0
+
+
+def _samples(spark, rows):
+    t0 = dt.datetime(2026, 1, 1)
+    return spark.createDataFrame([(t0 + dt.timedelta(seconds=s), "c", {"k": k} if k else None, v) for s, k, v in rows],
+                                 "ts timestamp, metric string, labels map<string,string>, value double")
+
+
+def _brute_sliding(rows, window, every):
+    """{(seconds, label): rate} by looking through every window."""
+    series = {}
+    for s, k, v in rows:
+        if s is not None and v is not None:
+            series.setdefault(k, {})[s] = max(v, series.get(k, {}).get(s, v))
+    out = {}
+    for k, at in series.items():
+        points, steps = sorted(at.items()), []
+        for i, (s, v) in enumerate(points):
+            p = points[i - 1] if i else None
+            steps.append((s, 0.0 if p is None else v if v < p[1] else v - p[1], 0 if p is None else s - p[0]))
+        for t in range(0, points[-1][0] + window + every, every):
+            seen = [x for x in steps if t - window < x[0] <= t]
+            if seen:
+                covered = sum(x[2] for x in seen)
+                out[(t, k)] = round(sum(x[1] for x in seen) / covered, 9) if covered else None
+    return out
+
+
+def test_sliding_rate_equals_every_window(spark):
+    rnd = random.Random(8)
+    rows, value = [], 0.0
+    for s in sorted(rnd.sample(range(4000), 160)):
+        value = 0.5 if rnd.random() < 0.1 else value + rnd.random() * 9        # resets anywhere, window edges included
+        rows.append((s, "a", value))
+    rows += [(60, "b", 5.0), (120, "b", 2.0), (120, "b", 1.0), (3000, "b", 9.0), (777, None, 4.0), (840, None, 6.0), (900, "z", 1.0)]
+    got = M.sliding_rate(_samples(spark, rows), "5 minutes", "1 minute", by=["k"]).collect()
+    t0 = dt.datetime(2026, 1, 1)
+    seen = {(int((r["time"].replace(tzinfo=None) - t0).total_seconds()), r["k"]): r["rate"] for r in got}
+    want = _brute_sliding(rows, 300, 60)
+    assert set(seen) == set(want) and all(
+        seen[x] is None if want[x] is None else abs(seen[x] - want[x]) < 1e-8 for x in want)
+
+
+def test_sliding_rate_has_no_self_join_and_rejects_uneven_windows(spark):
+    df = M.sliding_rate(_samples(spark, [(0, "a", 1.0), (30, "a", 4.0)]), "1 minute", "5 seconds")
+    assert df.count() == 18 and M.sliding_rate(_samples(spark, []), "1 minute", "5 seconds").count() == 0
+    with pytest.raises(ValueError):
+        M.sliding_rate(_samples(spark, []), "1 minute", "7 seconds")
+
+
+def test_lag_asof(spark):
+    t = lambda m: dt.datetime(2026, 1, 1, 0, 0) + dt.timedelta(minutes=m)
+    heads = spark.createDataFrame([("x", 0, t(10), 100), ("x", 0, t(130), 180), ("x", 0, t(131), 190), ("x", 1, t(5), 7),
+                                   ("x", 2, t(9), 40)], "topic string, partition int, ts timestamp, head long")
+    commits = spark.createDataFrame([("x", 0, t(1), 90), ("x", 0, t(131), 170), ("x", 0, t(131), 160), ("x", 2, t(10), 41),
+                                     ("x", 3, t(1), 5)], "topic string, partition int, ts timestamp, committed long")
+    got = {(r["partition"], r["head"]): (r["committed"], r["lag"]) for r in O.lag_asof(heads, commits).collect()}
+    # a commit before the first head; one at the head's instant (the largest); partitions without an earlier commit
+    assert got == {(0, 100): (90, 10), (0, 180): (90, 90), (0, 190): (170, 20), (1, 7): (None, None), (2, 40): (None, None)}

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import Window, functions as F
 
-from logroll.operators.sequence import previous_value, running_count
+from logroll.operators.sequence import carried_value, previous_value, running_count, running_totals
 
 
 def fixture(spark, n=3000, seed=7):
@@ -28,3 +28,21 @@ def test_previous_value_matches_lag(spark):
     got = dict(previous_value(df, ["s"], "ts", "v", out="p").select("id", "p").collect())
     want = dict(df.select("id", F.lag("v").over(Window.partitionBy("s").orderBy("ts"))).collect())
     assert got == want and sum(v is None for v in got.values()) == 3
+
+
+def test_running_totals_match_a_window(spark):
+    df = (fixture(spark).groupBy("s", F.unix_seconds("ts").alias("t")).agg(F.sum("v").alias("v"))
+          .withColumn("s", F.when(F.col("s") != "b", F.col("s"))))                    # a null series as well
+    w = Window.partitionBy("s").orderBy("t")
+    got = {(r["s"], r["t"]): (r["v"], r["nxt"]) for r in running_totals(df, ["s"], "t", ["v"], 5000, "nxt").collect()}
+    want = {(r["s"], r["t"]): (r["total"], r["nxt"]) for r in
+            df.select("s", "t", F.sum("v").over(w).alias("total"), F.lead("t").over(w).alias("nxt")).collect()}
+    assert got == want
+
+
+def test_carried_value_matches_last(spark):
+    df = fixture(spark).withColumn("v", F.when(F.col("id") % 7 == 0, F.col("v")))
+    w = Window.partitionBy("s").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
+    got = dict(carried_value(df, ["s"], ["ts", "id"], "ts", "v", "c").select("id", "c").collect())
+    want = dict(df.select("id", F.last("v", ignorenulls=True).over(w)).collect())
+    assert got == want and any(v is None for v in got.values())
