@@ -25,7 +25,6 @@ from logroll.llm.sharding import prefix_sums
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Proof joins are written out after this many levels, so that no plan grows with the tree.
 LEVELS_PER_TABLE = 6
-_NONE = F.lit(b"")
 
 
 def encoded(value: Column) -> Column:
@@ -66,7 +65,7 @@ def with_siblings(nodes: DataFrame, fanout: int) -> DataFrame:
     if fanout == 2:
         shifted = other.withColumn("_i", F.col("_i").bitwiseXOR(F.lit(1).cast("long")))
         return (nodes.join(shifted, (F.col("grp") == F.col("_g")) & (F.col("idx") == F.col("_i")), "left")
-                .withColumn("sibs", F.coalesce("_s", _NONE)).drop("_g", "_i", "_s"))
+                .withColumn("sibs", F.coalesce("_s", F.lit(b""))).drop("_g", "_i", "_s"))
     out, slot = nodes, F.col("idx") % fanout
     for off in range(1, fanout):
         met = other.toDF("_g", f"_i{off}", f"_s{off}")
@@ -75,7 +74,7 @@ def with_siblings(nodes: DataFrame, fanout: int) -> DataFrame:
     run = F.array_sort(F.filter(F.array(*[F.struct(F.col(f"_i{o}").alias("i"), F.col(f"_s{o}").alias("s"))
                                           for o in range(1, fanout)]), lambda x: x["s"].isNotNull()))
     drop = [f"{c}{o}" for o in range(1, fanout) for c in ("_i", "_s")]
-    return out.withColumn("sibs", F.aggregate(run, _NONE, lambda a, x: F.concat(a, x["s"]))).drop(*drop)
+    return out.withColumn("sibs", F.aggregate(run, F.lit(b""), lambda a, x: F.concat(a, x["s"]))).drop(*drop)
 
 
 def parents(level: DataFrame, fanout: int) -> DataFrame:

@@ -374,7 +374,8 @@ class TokenStore:
         """
         spark = docs.sparkSession
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("rid", F.monotonically_increasing_id())
-        ranges = max(partitions(spark), plan_bytes(docs) // RANGE_BYTES)
+        size = plan_bytes(docs)                                    # beyond 2^50 the optimizer knows no size
+        ranges = max(partitions(spark), size // RANGE_BYTES if size < 1 << 50 else 0)
         files = (rows.repartitionByRange(ranges, "doc_id", "rid").sortWithinPartitions("doc_id", "rid").select("doc_id", "text")
                  .mapInArrow(lambda it: _shard_batches(it, tokenizer, width, shard_ids), "shard long, raw binary"))
         _write_raw(files, f"{path}/payload", "shard")

@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not pre
 
 def test_registry():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES}
     assert set(queries.QUERIES) | {"pipeline"} <= names
     assert [s for s, _ in corpus_pipeline.STAGES] == ["quality_classifier", "near_dedup", "personal_data",
                                                       "source_mixture", "packing"]
