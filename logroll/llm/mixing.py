@@ -90,29 +90,32 @@ def _slots(batches, seed):
                 names=["key", "block", "epoch", "shard", "slot"])
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, key (source, null last), size (words), digest of the text."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+def sized(docs: DataFrame, carry: str | None = None) -> DataFrame:
+    """doc_id, key (source, null last), size (words), digest of the text; ``carry`` as it is."""
+    return docs.select(*([carry] if carry else []),F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("t")).alias("key"),
                        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
                        F.md5(F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))).alias("digest"))
 
 
-def mix(docs: DataFrame, seed: int = 20250611, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
+def mix(docs: DataFrame, seed: int = 20250611, block: int = BLOCK,
+        carry: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, plan, pieces): documents with their place, the source plan, the mixture.
 
-    ``pieces``: shard, slot, epoch, row, doc_id, digest, start, length in words.  Null or word-free
+    ``pieces``: shard, slot, epoch, row, doc_id, digest, start, length in words, and a column ``carry`` of
+    ``docs`` if named.  Null or word-free
     texts have size 0 and are never taken; repeated rows count each; a null source is one source.
     """
-    rows = freeze(prefix_sums(sized(docs), ["key", "doc_id", "digest"], "size", "mix-sized"), "mix-rows")
+    rows = freeze(prefix_sums(sized(docs, carry), ["key", "doc_id", "digest"], "size", "mix-sized"), "mix-rows")
     plan = freeze(source_plan(rows, block), "mix-plan")
     of = F.broadcast(plan) if plan.limit(100_001).count() <= 100_000 else plan
     placed = rows.join(of.select("key", "base"), "key").where("size > 0").withColumn("at", F.col("before") - F.col("base"))
     first, last = F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block)
-    cut = (placed.select("key", "row", "doc_id", "digest", "size", "at", F.explode(F.sequence(first, last)).alias("block"))
+    own = [carry] if carry else []
+    cut = (placed.select(*own, "key", "row", "doc_id", "digest", "size", "at", F.explode(F.sequence(first, last)).alias("block"))
            .withColumn("start", F.greatest(F.lit(0), F.col("block") * block - F.col("at")))
            .withColumn("length", F.least("size", (F.col("block") + 1) * block - F.col("at")) - F.col("start"))
-           .select("key", "block", "row", "doc_id", "digest", "start", "length"))
+           .select(*own, "key", "block", "row", "doc_id", "digest", "start", "length"))
     chunks = (plan.where("slots > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1,
                                                                      F.lit(CHUNK).cast("long"))).alias("lo"))
               .repartition(partitions(plan.sparkSession), "key", "lo"))      # a stated number is not coalesced
@@ -164,12 +167,11 @@ def _cut(frames, columns):
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mixture as documents, in the columns of ``docs``: one row per document and pass, with
-    the words that pass took (the text itself where it took all)."""
-    _, _, pieces = mix(docs)
-    marks = pieces.groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).agg(
-        F.collect_set(F.struct("epoch", "start", "length")).alias("__marks"))
-    src = docs.withColumns({"__d": F.md5(F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))),
-                            "__size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))})
-    both = src.join(marks, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__digest")))
+    the words that pass took (the text itself where it took all).  Repeated rows and rows without doc_id
+    each come with their own words."""
+    kept = freeze(docs.withColumn("__rid", F.monotonically_increasing_id()), "mix-docs")      # rows by number: copies are apart
+    _, _, pieces = mix(kept, carry="__rid")
+    marks = pieces.groupBy("__rid").agg(F.collect_set(F.struct("epoch", "start", "length")).alias("__marks"))
+    both = kept.withColumn("__size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))).join(marks, "__rid")
     columns = docs.columns
-    return both.drop("__id", "__digest", "__d").mapInPandas(lambda it: _cut(it, columns), docs.schema)
+    return both.drop("__rid").mapInPandas(lambda it: _cut(it, columns), docs.schema)

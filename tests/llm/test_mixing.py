@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 
 from logroll.llm import mixing
@@ -70,16 +72,18 @@ def test_permutations_are_bijections():
 
 def test_mixed_documents(spark):
     prepare(spark)
-    df = docs_frame(spark, [r for r in corpus() if r[0] != 500])
+    rows = corpus()
+    assert max(Counter(r[0] for r in rows).values()) > 1
+    df = docs_frame(spark, [*rows, (None, sentence(300, 8), "en", "web"), (None, sentence(500, 9), "en", "web")])
     out = mixing.mixed_documents(df)
     assert out.columns == df.columns
-    words = {}
+    words, wanted = Counter(), Counter()
     for r in out.collect():
-        words[r["doc_id"]] = words.get(r["doc_id"], 0) + len(r["text"].encode().split())
+        words[r["doc_id"]] += len(r["text"].encode().split())
         assert r["n_chars"] == len(r["text"])
     for r in mixing.taken(df).collect():
-        if r["doc_id"] is not None:
-            assert words.get(r["doc_id"], 0) == r["taken"]
+        wanted[r["doc_id"]] += r["taken"]
+    assert +words == +wanted                                   # repeated rows and rows without id included
 
 
 def test_empty_table(spark):
