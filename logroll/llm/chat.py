@@ -9,7 +9,7 @@ marks, ``</s>`` or ``[INST]``, and unescaping restores every text exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 TURN, END = "<|turn|>", "<|end|>\n"
 PART = "struct<kind: string, text: string, ref: string, units: bigint>"
@@ -50,15 +50,18 @@ def format_chats(turns: DataFrame) -> DataFrame:
     ``loss``: spans (start, length) in code points of ``formatted`` that hold assistant texts.
     ``parts``: array of (kind, text, ref, units); null means no part; a null text is empty; an
     unknown kind is treated as a document.  Turns sort by turn (null first), then role and parts,
-    so ties and repeated rows keep a fixed order; all are kept.  A null conv_id is a conversation.
+    so ties and repeated rows keep a fixed order; all are kept.  A null conv_id is a conversation.  Other
+    columns are ignored.
     """
     known = F.transform(F.coalesce("parts", F.array().cast(f"array<{PART}>")), lambda p: F.struct(
         F.when(p["kind"].isin("text", *RATES), p["kind"]).otherwise("document").alias("kind"),
         F.coalesce(p["text"], F.lit("")).alias("text"), p["ref"].alias("ref"),
         F.coalesce(p["units"], F.lit(0)).alias("units")))
-    chats = (turns.select("conv_id", F.struct(F.col("turn").cast("long").alias("turn"),
-                                              F.coalesce("role", F.lit("")).alias("role"), known.alias("parts")).alias("t"))
-             .groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns")))
+    said = turns.select("conv_id", F.struct(F.col("turn").cast("long").alias("turn"),
+                                            F.coalesce("role", F.lit("")).alias("role"), known.alias("parts")).alias("t"))
+    # Turns are numbered and placed by one ordered pass over the rows, so no array grows turn by turn.
+    order = W.partitionBy("conv_id").orderBy("t")
+    said = said.withColumn("j", F.row_number().over(order) - 1)
 
     def pieces(t, j):
         said = F.transform(t["parts"], lambda p, i: F.when(
@@ -80,10 +83,9 @@ def format_chats(turns: DataFrame) -> DataFrame:
             expanded(p).cast("bigint").alias("tokens")))
         return F.filter(all_, lambda a: a["kind"] != "text")
 
-    flat = chats.select("conv_id", F.flatten(F.transform("turns", pieces)).alias("p"),
-                        F.flatten(F.transform("turns", attached)).alias("attachments"))
+    t, j = F.col("t"), F.col("j")
     empty = F.array().cast("array<struct<start: bigint, length: bigint>>")
-    walk = F.aggregate(
+    inside = F.aggregate(
         "p", F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("spans")),
         lambda acc, x: F.struct(
             (acc["at"] + F.length(x["s"])).alias("at"),
@@ -91,8 +93,14 @@ def format_chats(turns: DataFrame) -> DataFrame:
                 acc["at"].alias("start"), F.length(x["s"]).cast("bigint").alias("length"))))
             .otherwise(acc["spans"]).alias("spans")),
         lambda acc: acc["spans"])
-    return flat.select("conv_id", F.array_join(F.transform("p", lambda x: x["s"]), "").alias("formatted"),
-                       walk.alias("loss"), "attachments")
+    written = (said.select("conv_id", "t", "j", pieces(t, j).alias("p"), attached(t, j).alias("a"))
+               .select("conv_id", "t", "j", "a", inside.alias("spans"), F.array_join(F.transform("p", lambda x: x["s"]), "").alias("s")))
+    before = F.coalesce(F.sum(F.length("s")).over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    moved = F.transform("spans", lambda x: F.struct((x["start"] + F.col("at")).alias("start"), x["length"].alias("length")))
+    placed = written.withColumn("at", before).select("conv_id", F.struct("j", "s", moved.alias("spans"), "a").alias("t"))
+    whole = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("t"))
+    return whole.select("conv_id", F.array_join("t.s", "").alias("formatted"), F.flatten("t.spans").alias("loss"),
+                        F.flatten("t.a").alias("attachments"))
 
 
 def read_back(chats: DataFrame) -> DataFrame:

@@ -145,3 +145,15 @@ def test_cards_in_longer_runs_and_long_secrets(spark):
     long = got[len(runs) - 1]["text"]
     assert re.fullmatch(r"token=[A-Za-z0-9_]{1200} end", long) and token[1000:1012] not in long
     assert [got[100 + i]["text"] for i in range(len(same))] == same
+
+
+def test_long_conversations_and_extra_columns(spark):
+    """16,000 turns in one conversation are formatted in one ordered pass."""
+    import time
+    prepare(spark)
+    turns = spark.range(16_000).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role",
+                                           "concat('turn <', id) AS text", "'x' AS t", "'x' AS s", "'x' AS spans", "'x' AS formatted")
+    began = time.time()
+    (r,) = chat.digest(chat.format_chats(turns.withColumn("parts", chat.text_part(F.col("text"))))).collect()
+    assert r["n_turns"] == 16_000 and r["loss_chars"] == sum(len(f"turn <{i}") for i in range(1, 16_000, 2))
+    assert time.time() - began < 60
