@@ -247,6 +247,16 @@ def _judged(docs: DataFrame, percent: int, k: int) -> tuple[DataFrame, DataFrame
               .select("key", "rep", F.coalesce("component", "rep").alias("c")))
     mixed = freeze(placed.join(_split(placed), "key").drop("top"), "mixed")
     placed = mixed.join(_with_partner(mixed.select("rep").distinct(), sets, percent), "rep")
+    rooms = freeze(placed.join(_split(placed), "key"), "rooms")
+    # Once more, who is not in a bucket's largest component asks two members of that.
+    picks = (rooms.where("c = top").groupBy("key").agg(least(2).alias("p"), least(3).alias("q"))
+             .select("key", F.explode(F.array("p", "q")).alias("b")))
+    asks = rooms.where("c != top").join(picks, "key").select(F.col("rep").alias("a"), "b").distinct()
+    late = freeze(_confirm(freeze(likely(asks), "tested-late"), sets, percent), "late")
+    first = freeze(connected_components(first.where("node != component").select(
+        F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late)), "second")
+    placed = (rooms.select("key", "rep").join(first, F.col("rep") == F.col("node"), "left")
+              .select("key", "rep", F.coalesce("component", "rep").alias("c")))
     apart = freeze(placed.join(_split(placed), "key").join(reps, "rep").join(classes.select("rep", "bands"), "rep")
                    .select("key", "rep", "c", "top", "bands", F.struct(*words).alias("w")), "apart")
     x, y = apart.where("c != top").alias("x"), apart.alias("y")
