@@ -2,13 +2,18 @@
 
 View 1 reads the text (shares of character classes and of their trigrams, repetition, word
 shape), view 2 the page's metadata (language, source, length).  Both are logistic regressions.
-In each round a view labels the pool documents it is surest of for the *other* view; a view may
-do so only where its labels were at least ``SURE`` precise on held-out labelled rows, per class.
-Each view is calibrated on held-out rows (Platt), and all documents are scored by the sum of the
-calibrated log-odds over the prior.
-
-The fit uses bounded samples, taken by hash of doc_id: at most ``LABELLED`` labelled and ``POOL``
-unlabelled documents, whatever the input; features and scores are computed by Spark over all rows.
+In each round a view labels the unlabelled documents it is surest of for the *other* view: those
+above a threshold that holds for the whole corpus, the stricter of the one at which its labels were
+at least ``SURE`` precise on held-out labelled rows and the one that the surest ``SHARE`` of all
+unlabelled documents pass.  Each view is calibrated on held-out rows (Platt), and all documents are
+scored by the sum of the calibrated log-odds over the prior.
+
+Only the labelled rows are bounded: at most ``LABELLED`` of them, by hash of doc_id, are on the
+driver.  The unlabelled documents take part in full: their features are written once (sparse, half
+precision), and every round reads them for a histogram of scores and for the sums of gradient and
+Hessian, added up per partition and then per piece.  A document's pseudo-label is a function of its
+features and of the models so far, so no label table is kept and a lost task is simply run again.
+Pseudo-labels weigh at most as much as the labelled rows in total, at any size of the corpus.
 """
 
 from __future__ import annotations
@@ -21,8 +26,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from logroll.llm.common import freeze, table
 
-LABELLED, POOL, ROUNDS, SURE, PER_ROUND = 4_000, 4_000, 4, 0.95, 500
+LABELLED, ROUNDS, SURE, SHARE, STEPS = 4_000, 4, 0.95, 1 / 8, 2
 REJECT_BELOW = 0.5
+#: Bins of the score histograms (log-odds from -EDGE to EDGE) and pieces that long sums are cut into.
+EDGE, BINS, PIECES = 32.0, 1_280, 16
 
 # Character classes of bytes: lower, upper, digit, blank, line end, stop or comma, other punctuation, beyond ASCII.
 _CLASSES = 8
@@ -69,20 +76,33 @@ def meta_features(lang, source, n_chars) -> np.ndarray:
 class View:
     """Logistic regression on standardised features, then Platt scaling on held-out rows."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 3.0):
-        self.mean, self.scale = x.mean(0), x.std(0) + 1e-3
+    def __init__(self, mean: np.ndarray, scale: np.ndarray, ridge: float = 3.0):
+        self.mean, self.scale = mean, scale
+        self.w, self.a, self.b = np.zeros(len(mean) + 1), 1.0, 0.0
+        self.penalty = np.full(len(mean) + 1, ridge)
+        self.penalty[-1] = 1e-6
+
+    def sums(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Rows, gradient and Hessian of the rows given, in one vector."""
         z = np.hstack([(x - self.mean) / self.scale, np.ones((len(x), 1))])
-        w, penalty = np.zeros(z.shape[1]), np.full(z.shape[1], ridge)
-        penalty[-1] = 1e-6
-        for _ in range(12):
-            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            g = z.T @ (p - y) + penalty * w
-            h = (z * (p * (1 - p) + 1e-6)[:, None]).T @ z + np.diag(penalty)
-            step = np.linalg.solve(h, g)
-            w -= step
-            if np.abs(step).max() < 1e-6:
-                break
-        self.w, self.a, self.b = w, 1.0, 0.0
+        p = 1 / (1 + np.exp(-np.clip(z @ self.w, -30, 30)))
+        half = (z * np.sqrt(p * (1 - p) + 1e-6)[:, None]).astype(np.float32)
+        return np.concatenate([[len(x)], z.T @ (p - y), (half.T @ half).astype(float).ravel()])
+
+    def step(self, told: np.ndarray, taught: np.ndarray | None = None) -> float:
+        """One Newton step from the sums over labelled and pseudo-labelled rows; its greatest change."""
+        total = told
+        if taught is not None and taught[0] > 0:
+            total = told + taught * min(1.0, told[0] / taught[0])
+        n = len(self.w)
+        move = np.linalg.solve(total[1 + n:].reshape(n, n) + np.diag(self.penalty), total[1:1 + n] + self.penalty * self.w)
+        self.w = self.w - move
+        return float(np.abs(move).max())
+
+    def copy(self) -> "View":
+        other = View(self.mean, self.scale)
+        other.w, other.a, other.b = self.w, self.a, self.b
+        return other
 
     def raw(self, x):
         return ((x - self.mean) / self.scale) @ self.w[:-1] + self.w[-1]
@@ -119,47 +139,143 @@ class CoTrained:
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndarray) -> CoTrained:
-    """``y``: 1, 0, or -1 for pool rows; ``held``: labelled rows kept for calibration."""
+def pseudo_labels(x: tuple, rules: list) -> list:
+    """Labels (1, 0 or -1) that each view has been taught for rows ``x``, by the rounds so far."""
+    labels = [np.full(len(v), -1) for v in x]
+    for teachers, cuts in rules:
+        for i, teacher in enumerate(teachers):
+            odds = teacher.logit(x[i])
+            for label, sign in ((0, -1), (1, 1)):
+                if cuts[i][label] is not None:
+                    labels[1 - i][(labels[1 - i] < 0) & (sign * odds >= cuts[i][label])] = label
+    return labels
+
+
+def _moments(x: tuple) -> np.ndarray:
+    return np.concatenate([[len(x[0])], *[part for v in x for part in (v.sum(0), (v * v).sum(0))]])
+
+
+def _odds_bins(x: tuple, views: list, rules: list) -> np.ndarray:
+    """Histograms of both views' log-odds over the rows that the other view has no label for yet."""
+    labels = pseudo_labels(x, rules)
+    bins = [((np.clip(v.logit(x[i]), -EDGE, EDGE - 1e-6) + EDGE) * (BINS / (2 * EDGE))).astype(int) for i, v in enumerate(views)]
+    return np.concatenate([np.bincount(b[labels[1 - i] < 0], minlength=BINS) for i, b in enumerate(bins)]).astype(float)
+
+
+def _taught_sums(x: tuple, views: list, rules: list) -> np.ndarray:
+    labels = pseudo_labels(x, rules)
+    return np.concatenate([v.sums(x[i][labels[i] >= 0], labels[i][labels[i] >= 0]) for i, v in enumerate(views)])
+
+
+def _cuts(held_odds: np.ndarray, held_y: np.ndarray, bins: np.ndarray, wanted: float) -> list:
+    """Per label the least certainty at which a view may teach, None where it may not."""
+    cuts = []
+    for label, sign in ((0, -1), (1, 1)):
+        order = np.argsort(-sign * held_odds, kind="stable")
+        right = np.cumsum(held_y[order] == label) / np.arange(1, len(order) + 1)
+        enough = np.flatnonzero(right >= SURE)
+        enough = enough[enough >= 19]                           # precision of fewer rows says little
+        if not len(enough):
+            cuts.append(None)
+            continue
+        upward = np.cumsum(bins[::-1] if sign > 0 else bins)    # rows from the surest bin on
+        last = min(int(np.searchsorted(upward, wanted)), BINS - 1)
+        cuts.append(max(sign * held_odds[order[enough.max()]], EDGE - (last + 1) * (2 * EDGE / BINS)))
+    return cuts
+
+
+def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndarray, over=None) -> CoTrained:
+    """``y``: 1, 0, or -1 for unlabelled rows; ``held``: labelled rows kept for calibration.
+
+    ``over(work)`` adds up ``work((text, meta))`` over the unlabelled rows (None without any); by
+    default those among the rows given.
+    """
     known, fit = y >= 0, (y >= 0) & ~held
     if len(set(y[fit])) < 2 or len(set(y[held & known])) < 2:
         return CoTrained(None, 0.0)
     x = (text, meta)
-    pool = np.flatnonzero(~known)
-    labels = [np.where(fit, y, -1) for _ in x]                  # each view's own training labels
-    views = []
-    for rounds in range(ROUNDS + 1):
-        views = [View(x[i][labels[i] >= 0], labels[i][labels[i] >= 0].astype(float)) for i in (0, 1)]
-        for i in (0, 1):
-            views[i].calibrate(x[i][held], y[held].astype(float))
-        if rounds == ROUNDS or not len(pool):
-            break
-        for i in (0, 1):                                        # view i teaches the other
-            other = 1 - i
-            h, p = views[i].logit(x[i][held]), views[i].logit(x[i][pool])
-            for label in (0, 1):
-                sign = 1 if label else -1
-                order = np.argsort(-sign * h)
-                right = np.cumsum(y[held][order] == label) / np.arange(1, len(order) + 1)
-                enough = np.flatnonzero(right >= SURE)
-                enough = enough[enough >= 19]                   # precision of fewer rows says little
-                if not len(enough):
-                    continue
-                cut = sign * h[order[enough.max()]]
-                sure = pool[(sign * p >= cut) & (labels[other][pool] < 0)]
-                strength = sign * views[i].logit(x[i][sure])
-                labels[other][sure[np.argsort(-strength, kind="stable")[:PER_ROUND]]] = label
+    if over is None:
+        rest = tuple(v[~known] for v in x)
+        over = lambda work: work(rest) if len(rest[0]) else None
+    seen = over(_moments)
+    moments = _moments(tuple(v[fit] for v in x)) + (0 if seen is None else seen)
+    n, at, views = moments[0], 1, []
+    for v in x:
+        mean, square = moments[at:at + v.shape[1]] / n, moments[at + v.shape[1]:at + 2 * v.shape[1]] / n
+        at += 2 * v.shape[1]
+        views.append(View(mean, np.sqrt(np.maximum(square - mean * mean, 0.0)) + 1e-3))
+    told = lambda i: views[i].sums(x[i][fit], y[fit])
+    for i, v in enumerate(views):
+        for _ in range(12):
+            if v.step(told(i)) < 1e-6:
+                break
+        v.calibrate(x[i][held], y[held].astype(float))
+    rules = []
+    for _ in range(ROUNDS if seen is not None else 0):
+        bins = over(lambda part: _odds_bins(part, views, rules)).reshape(2, BINS)
+        rules.append(([v.copy() for v in views],
+                      [_cuts(v.logit(x[i][held]), y[held], bins[i], SHARE * seen[0]) for i, v in enumerate(views)]))
+        for _ in range(STEPS):
+            both = over(lambda part: _taught_sums(part, views, rules))
+            parts = np.split(both, [1 + len(views[0].w) + len(views[0].w) ** 2])
+            for i, v in enumerate(views):
+                v.step(told(i), parts[i])
+        for i, v in enumerate(views):
+            v.calibrate(x[i][held], y[held].astype(float))
     good = y[held].mean()
     return CoTrained(views, float(np.log((good + 1e-6) / (1 - good + 1e-6))))
 
 
 def _feature_rows(batches):
+    """doc_id and the nonzero features: positions (two bytes each) and values (half precision)."""
     for batch in batches:
-        ids, texts, langs, sources, sizes, labels = (batch.column(i).to_pylist() for i in range(6))
-        rows = [np.concatenate([text_features(t), meta_features(la, s, n)]).astype("<f4").tobytes()
-                for t, la, s, n in zip(texts, langs, sources, sizes)]
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(labels, pa.int32()),
-                                          pa.array(rows, pa.binary())], ["doc_id", "label", "x"])
+        ids, texts, langs, sources, sizes = (batch.column(i).to_pylist() for i in range(5))
+        at, values = [], []
+        for t, la, s, n in zip(texts, langs, sources, sizes):
+            x = np.concatenate([text_features(t), meta_features(la, s, n)])
+            at.append(np.flatnonzero(x).astype("<u2"))
+            values.append(x[at[-1]].astype("<f2").tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([v.tobytes() for v in at], pa.binary()),
+                                          pa.array(values, pa.binary())], ["doc_id", "at", "val"])
+
+
+def _dense(at: list, values: list) -> tuple:
+    """Both views' features of rows written by ``_feature_rows``."""
+    x = np.zeros((len(at), TEXT_WIDTH + META_WIDTH))
+    rows = np.repeat(np.arange(len(at)), [len(v) // 2 for v in at])
+    x[rows, np.frombuffer(b"".join(at), "<u2")] = np.frombuffer(b"".join(values), "<f2")
+    return x[:, :TEXT_WIDTH], x[:, TEXT_WIDTH:]
+
+
+def _summed(rows: DataFrame, work) -> np.ndarray | None:
+    """``work`` of all rows' features, added up: per partition, then per piece of the vector, so
+    that neither the driver nor a task meets more than one vector whatever the partitions."""
+    shape = "piece int, sums binary"
+
+    def out(sums: dict):
+        return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()),
+                                           pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["piece", "sums"])
+
+    def part(batches):
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                value = work(_dense(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+                total = value if total is None else total + value
+        if total is not None:
+            yield out(dict(enumerate(np.array_split(total, PIECES))))
+
+    def add(batches):
+        sums = {}
+        for batch in batches:
+            for piece, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                value = np.frombuffer(raw)
+                sums[piece] = sums[piece] + value if piece in sums else value
+        if sums:
+            yield out(sums)
+
+    got = rows.select("at", "val").mapInArrow(part, shape).repartition(PIECES, "piece").mapInArrow(add, shape).collect()
+    return np.concatenate([np.frombuffer(r["sums"]) for r in sorted(got, key=lambda r: r["piece"])]) if got else None
 
 
 def _inputs(docs: DataFrame) -> list:
@@ -171,27 +287,25 @@ def _inputs(docs: DataFrame) -> list:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> CoTrained:
-    """Co-trained model from bounded samples of labelled and unlabelled documents."""
-    told = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
-            .where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label")))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
-    lot = F.xxhash64("doc_id", F.lit(17))
-    known = ids.join(told, "doc_id").orderBy(lot, "doc_id").limit(LABELLED)
-    pool = (ids.join(told, "doc_id", "left_anti").orderBy(lot, "doc_id").limit(POOL)
-            .select("doc_id", F.lit(-1).alias("label")))
-    sample = freeze(known.union(pool).select(F.col("doc_id").alias("__id"), F.col("label").alias("__label")), "quality-ids")
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_inputs(docs))
-            .join(F.broadcast(sample), F.col("doc_id") == F.col("__id"))       # at most LABELLED + POOL rows
-            .select("doc_id", "text", "lang", "source", "n_chars", "__label")
-            .mapInArrow(_feature_rows, "doc_id long, label int, x binary")
-            .groupBy("doc_id").agg(F.first("label").alias("label"), F.min("x").alias("x")).collect())
-    if not rows:
+    """Co-trained model from at most ``LABELLED`` labelled and all unlabelled rows of ``docs``."""
+    told = (labels.select(F.col("doc_id").cast("long").alias("__id"), F.col("quality").cast("int").alias("label"))
+            .where("__id is not null and label in (0, 1)").groupBy("__id").agg(F.max("label").alias("label")))
+    features = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_inputs(docs))
+                .mapInArrow(_feature_rows, "doc_id long, at binary, val binary"))
+    rows = freeze(features.join(told, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "label", "at", "val"),
+                  "quality-features")
+    known = rows.where("label is not null")
+    ids = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(LABELLED)
+    sample = (known.join(F.broadcast(ids), "doc_id", "left_semi")                  # at most LABELLED ids
+              .groupBy("doc_id").agg(F.max("label").alias("label"), F.min(F.struct("at", "val")).alias("x")).collect())
+    if not sample:
         return CoTrained(None, 0.0)
-    rows.sort(key=lambda r: r["doc_id"])
-    x = np.stack([np.frombuffer(r["x"], "<f4") for r in rows]).astype(np.float64)
-    y = np.array([r["label"] for r in rows])
-    held = np.array([xxhash.xxh32_intdigest(str(r["doc_id"])) % 4 == 0 for r in rows]) & (y >= 0)
-    return co_train(x[:, :TEXT_WIDTH], x[:, TEXT_WIDTH:], y, held)
+    sample.sort(key=lambda r: r["doc_id"])
+    text, meta = _dense([bytes(r["x"]["at"]) for r in sample], [bytes(r["x"]["val"]) for r in sample])
+    y = np.array([r["label"] for r in sample])
+    held = np.array([xxhash.xxh32_intdigest(str(r["doc_id"])) % 4 == 0 for r in sample])
+    unlabelled = rows.where("label is null")
+    return co_train(text, meta, y, held, lambda work: _summed(unlabelled, work))
 
 
 def with_scores(docs: DataFrame, model: CoTrained, column: str = "quality_score") -> DataFrame:

@@ -140,3 +140,28 @@ def test_forest_recall_beside_a_vector_with_a_third_of_the_rows(spark):
         d = np.sort(np.sqrt(((every - x[i].astype(float)) ** 2).sum(axis=1)))[1:11]
         recall.append((np.array(got[int(ids[i])]) <= d[-1] + 1e-9).mean())
     assert len(recall) == 60 and np.mean(recall) >= 0.9 and min(recall) >= 0.5
+
+
+def test_unlabelled_rows_teach_in_full_and_sums_match(spark):
+    prepare(spark)
+    rows, labels = labelled(500, 4000)
+    # A source that only unlabelled documents have, all of them bad: only the exchange can tell.
+    fresh = [(1000 + i, sentence(60, 9000 + i).upper().replace(" ", "!! "), "en", "onlyhere") for i in range(300)]
+    df = docs_frame(spark, rows + fresh).repartition(5)
+    told = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = quality.fit(df, told)
+    # Uncalibrated: on held-out rows this view tells nothing, so calibration rightly flattens it.
+    new, old = (model.views[1].raw(np.array([quality.meta_features("en", s, 400)]))[0] for s in ("onlyhere", "src1"))
+    assert new < old - 1
+
+    every = [(r["at"], r["val"]) for r in df.select("doc_id", *quality._inputs(df)).mapInArrow(
+        quality._feature_rows, "doc_id long, at binary, val binary").orderBy("doc_id").collect()]
+    x = quality._dense([bytes(a) for a, _ in every], [bytes(v) for _, v in every])
+    y = np.array([q for _, q, _ in labels] + [-1] * len(fresh))
+    held = (np.arange(len(y)) % 5 == 1) & (y >= 0)
+    stored = spark.createDataFrame(every[500:], "at binary, val binary").repartition(7)
+    near = quality.co_train(*x, y, held)
+    far = quality.co_train(*x, y, held, lambda work: quality._summed(stored, work))
+    assert all(np.allclose(a.w, b.w, atol=1e-4) for a, b in zip(near.views, far.views))
+    assert np.array_equal(near.score(*x) >= 0.5, far.score(*x) >= 0.5)
+    assert quality._summed(stored.limit(0), quality._moments) is None
