@@ -27,7 +27,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data get keyed surrogates."""
     prepare(spark)
-    return pii.replace_personal_data(docs).drop("n_entities")
+    return pii.replace_personal_data(docs, count=None)
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

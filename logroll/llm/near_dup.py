@@ -304,11 +304,11 @@ def keep_one(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     sig, classes = _judged(docs, percent, k)
     # The texts that stay, by id and hash of the text: never a text because of another one's id.
     stay = classes.select("component", "doc_id", "th").distinct().select(
-        F.col("doc_id").alias("stay_id"), F.col("th").alias("stay_th"))
+        F.col("doc_id").alias("__stay_id"), F.col("th").alias("__stay_th"))
     rows = docs.withColumn("__th", F.xxhash64("text"))
     worded = F.coalesce(F.regexp_like("text", F.lit(WORD)), F.lit(False))
-    kept = rows.where(worded).join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("stay_id")) & (
-        F.col("__th") == F.col("stay_th")), "left_semi").withColumn("__n", F.lit(0).cast("long"))
+    kept = rows.where(worded).join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__stay_id")) & (
+        F.col("__th") == F.col("__stay_th")), "left_semi").withColumn("__n", F.lit(0).cast("long"))
     bare = rows.where(~worded).withColumn("__n", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
                                           .otherwise(F.when(F.col("text").isNull(), F.lit(-1)).otherwise(F.lit(0))).cast("long"))
     return kept.union(bare).dropDuplicates(["doc_id", "__th", "__n"]).select(*docs.columns)

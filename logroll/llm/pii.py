@@ -318,15 +318,21 @@ def _rendered(m: Column, found: Column) -> Column:
             .otherwise(one))
 
 
-def replace_personal_data(docs: DataFrame, key: str = "rotate-me") -> DataFrame:
-    """``docs`` (all columns) with personal data in ``text`` replaced, and ``n_entities`` (mentions).
+def replace_personal_data(docs: DataFrame, key: str = "rotate-me", count: str | None = "n_entities") -> DataFrame:
+    """``docs`` (all columns) with personal data in ``text`` replaced, and the mentions as ``count``.
 
+    With None there is no such column; where ``docs`` has one of that name (in any case), its own
+    column stays as it is and the mentions get the name with underscores added until it is free.
     ``n_chars``, where it exists, is counted anew for changed texts.  Null and empty texts and
     texts without a mention pass unchanged with 0; repeated rows change alike; no row is dropped.
     ``key`` decides all surrogates: reruns agree, another key gives others.
     """
     # Numbers that only look like cards are found by the pattern too and pass as they are.  A match
     # (found again by the same pattern as the gaps around it) is an array of parts.
+    taken = {c.lower() for c in docs.columns}
+    while count is not None and count.lower() in taken:
+        count += "_"
+    columns = [*docs.columns, *([count] if count else [])]
     has = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
     mentions = F.transform(F.regexp_extract_all("text", F.lit(ANY), F.lit(0)), parts_of)
     keyed = F.transform("__m", lambda parts: F.transform(parts, lambda m: F.struct(
@@ -342,9 +348,11 @@ def replace_personal_data(docs: DataFrame, key: str = "rotate-me") -> DataFrame:
     gaps = F.split("text", ANY, -1)
     new = F.array_join(F.zip_with(gaps, F.transform("__m", lambda parts: F.array_join(F.transform(
         parts, lambda m: _rendered(m, F.coalesce("__found", none))), "")), lambda g, r: F.concat(g, F.coalesce(r, F.lit("")))), "")
-    out = (hits.join(found, "__row", "left").withColumn("n_entities", F.size(F.filter(
-        F.flatten("__m"), lambda m: m["kind"].isNotNull())).cast("long")).withColumn("text", new))
+    out = hits.join(found, "__row", "left").withColumn("text", new)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    out = out.select(*docs.columns, "n_entities")
-    return docs.where(~has).withColumn("n_entities", F.lit(0).cast("long")).select(*docs.columns, "n_entities").union(out)
+    rest = docs.where(~has)
+    if count:
+        out = out.withColumn(count, F.size(F.filter(F.flatten("__m"), lambda m: m["kind"].isNotNull())).cast("long"))
+        rest = rest.withColumn(count, F.lit(0).cast("long"))
+    return rest.select(*columns).union(out.select(*columns))

@@ -116,3 +116,14 @@ def test_rows_without_id_and_shared_ids_are_judged_by_text(spark):
     sure = [rows[i] for i in (0, 2, 6, 8, 9, 13, 14, 15, 16)] + rows[18:]
     either = [k for k in kept if k in (rows[4], rows[5])]
     assert len(either) == 1 and kept == Counter(sure + either)
+
+
+def test_keep_one_with_clashing_columns(spark):
+    prepare(spark)
+    text = " ".join(words(40, 3))
+    df = docs_frame(spark, [(1, text), (2, text), (3, " ".join(words(40, 4)))])
+    df = df.selectExpr("*", "'a' as stay_id", "'b' as stay_th", "'c' as th", "'d' as component")
+    got = near_dup.keep_one(df)
+    assert got.columns == df.columns
+    assert sorted((r["doc_id"], r["stay_id"], r["stay_th"], r["component"]) for r in got.collect()) == [
+        (1, "a", "b", "d"), (3, "a", "b", "d")]

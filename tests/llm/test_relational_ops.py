@@ -157,3 +157,14 @@ def test_long_conversations_and_extra_columns(spark):
     (r,) = chat.digest(chat.format_chats(turns.withColumn("parts", chat.text_part(F.col("text"))))).collect()
     assert r["n_turns"] == 16_000 and r["loss_chars"] == sum(len(f"turn <{i}") for i in range(1, 16_000, 2))
     assert time.time() - began < 60
+
+
+def test_personal_data_beside_a_count_of_the_tables_own(spark):
+    prepare(spark)
+    df = docs_frame(spark, [(1, TEXTS[0][1]), (2, "nothing to see"), (3, None)]).selectExpr("*", "'own' as N_Entities")
+    out = pii.replace_personal_data(df)
+    assert out.columns == [*df.columns, "n_entities_"]
+    got = {r["doc_id"]: (r["N_Entities"], r["n_entities_"]) for r in out.collect()}
+    assert got[1][0] == "own" and got[1][1] > 0 and got[2] == got[3] == ("own", 0)
+    bare = pii.replace_personal_data(df, count=None)
+    assert bare.columns == df.columns and {r["N_Entities"] for r in bare.collect()} == {"own"}
