@@ -4,8 +4,9 @@ View 1 reads the text (shares of character classes and of their trigrams, repeti
 shape), view 2 the page's metadata (language, source, length).  Both are logistic regressions.
 In each round a view labels the unlabelled documents it is surest of for the *other* view: those
 above a threshold that holds for the whole corpus, the stricter of the one at which its labels were
-at least ``SURE`` precise on held-out labelled rows and the one that the surest ``SHARE`` of all
-unlabelled documents pass.  Each view is calibrated on held-out rows (Platt), and all documents are
+at least ``SURE`` precise on held-out labelled rows and the one that the surest ``SHARE`` of the
+unlabelled documents of that class pass (all of them times the class's held-out share), and never one
+that the calibrated teacher itself holds for less than ``SURE``.  Each view is calibrated on held-out rows (Platt), and all documents are
 scored by the sum of the calibrated log-odds over the prior.
 
 Only the labelled rows are bounded: at most ``LABELLED`` of them, by hash of doc_id, are on the
@@ -30,6 +31,8 @@ LABELLED, ROUNDS, SURE, SHARE, STEPS = 4_000, 4, 0.95, 1 / 8, 2
 REJECT_BELOW = 0.5
 #: Bins of the score histograms (log-odds from -EDGE to EDGE) and pieces that long sums are cut into.
 EDGE, BINS, PIECES = 32.0, 1_280, 16
+#: Lengths a Newton step is tried at, and rows that are worked on at once.
+TRIES, ROWS = np.array([1, 1 / 2, 1 / 4, 1 / 8, 1 / 16, 1 / 64, 0]), 512
 
 # Character classes of bytes: lower, upper, digit, blank, line end, stop or comma, other punctuation, beyond ASCII.
 _CLASSES = 8
@@ -89,15 +92,23 @@ class View:
         half = (z * np.sqrt(p * (1 - p) + 1e-6)[:, None]).astype(np.float32)
         return np.concatenate([[len(x)], z.T @ (p - y), (half.T @ half).astype(float).ravel()])
 
-    def step(self, told: np.ndarray, taught: np.ndarray | None = None) -> float:
-        """One Newton step from the sums over labelled and pseudo-labelled rows; its greatest change."""
-        total = told
-        if taught is not None and taught[0] > 0:
-            total = told + taught * min(1.0, told[0] / taught[0])
-        n = len(self.w)
-        move = np.linalg.solve(total[1 + n:].reshape(n, n) + np.diag(self.penalty), total[1:1 + n] + self.penalty * self.w)
-        self.w = self.w - move
-        return float(np.abs(move).max())
+    def losses(self, x: np.ndarray, y: np.ndarray, move: np.ndarray) -> np.ndarray:
+        """Summed loss of the rows given, for every length of a step along ``move``."""
+        odds = ((x - self.mean) / self.scale) @ (self.w[:-1] - TRIES[:, None] * move[:-1]).T + (self.w[-1] - TRIES * move[-1])
+        return np.logaddexp(0, np.where(y[:, None] > 0, -odds, odds)).sum(0)
+
+    def move(self, told: np.ndarray, taught: np.ndarray) -> tuple:
+        """Newton direction from the sums over labelled and pseudo-labelled rows, and the latters' weight."""
+        weight = min(1.0, told[0] / taught[0]) if taught[0] else 0.0
+        total, n = told + taught * weight, len(self.w)
+        return np.linalg.solve(total[1 + n:].reshape(n, n) + np.diag(self.penalty), total[1:1 + n] + self.penalty * self.w), weight
+
+    def step(self, move: np.ndarray, losses: np.ndarray) -> float:
+        """Goes the length with the least penalised loss, never uphill; the greatest change."""
+        at = self.w - TRIES[:, None] * move
+        best = at[np.argmin(losses + (self.penalty * at * at).sum(1) / 2)]
+        change, self.w = float(np.abs(best - self.w).max()), best
+        return change
 
     def copy(self) -> "View":
         other = View(self.mean, self.scale)
@@ -110,17 +121,20 @@ class View:
     def calibrate(self, x, y):
         """Two-parameter fit on held-out rows; a view that tells nothing shrinks to the prior."""
         r = np.clip(self.raw(x), -30, 30)
-        a, b = 0.5, float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+        z, sign = np.stack([r, np.ones(len(r))], 1), np.where(y > 0, 1, -1)
+        prior = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+        at = np.array([0.5, prior])
+        loss = lambda w: np.logaddexp(0, -sign * (z @ w)).sum() + 1e-2 / 2 * w[0] ** 2
         for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(a * r + b, -30, 30)))
-            g = np.array([(r * (p - y)).sum() + 1e-2 * a, (p - y).sum()])
-            s = p * (1 - p) + 1e-9
-            h = np.array([[(s * r * r).sum() + 1e-2, (s * r).sum()], [(s * r).sum(), s.sum() + 1e-9]])
-            d = np.linalg.solve(h, g)
-            a, b = a - d[0], b - d[1]
-            if np.abs(d).max() < 1e-8:
+            p = 1 / (1 + np.exp(-np.clip(z @ at, -30, 30)))
+            g = z.T @ (p - y) + np.array([1e-2 * at[0], 0.0])
+            h = (z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag([1e-2, 1e-9])
+            tries = [at - t * np.linalg.solve(h, g) for t in TRIES]
+            best = min(tries, key=loss)
+            done, at = np.abs(best - at).max() < 1e-8, best
+            if done:
                 break
-        self.a, self.b = max(0.0, float(a)), float(b) if a > 0 else float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+        self.a, self.b = (float(at[0]), float(at[1])) if at[0] > 0 else (0.0, prior)
 
     def logit(self, x):
         return self.a * np.clip(self.raw(x), -30, 30) + self.b
@@ -167,8 +181,13 @@ def _taught_sums(x: tuple, views: list, rules: list) -> np.ndarray:
     return np.concatenate([v.sums(x[i][labels[i] >= 0], labels[i][labels[i] >= 0]) for i, v in enumerate(views)])
 
 
+def _taught_losses(x: tuple, views: list, rules: list, moves: list) -> np.ndarray:
+    labels = pseudo_labels(x, rules)
+    return np.concatenate([v.losses(x[i][labels[i] >= 0], labels[i][labels[i] >= 0], moves[i]) for i, v in enumerate(views)])
+
+
 def _cuts(held_odds: np.ndarray, held_y: np.ndarray, bins: np.ndarray, wanted: float) -> list:
-    """Per label the least certainty at which a view may teach, None where it may not."""
+    """Per label the least certainty at which a view may teach, None where it may not; ``wanted`` rows of both."""
     cuts = []
     for label, sign in ((0, -1), (1, 1)):
         order = np.argsort(-sign * held_odds, kind="stable")
@@ -179,8 +198,8 @@ def _cuts(held_odds: np.ndarray, held_y: np.ndarray, bins: np.ndarray, wanted: f
             cuts.append(None)
             continue
         upward = np.cumsum(bins[::-1] if sign > 0 else bins)    # rows from the surest bin on
-        last = min(int(np.searchsorted(upward, wanted)), BINS - 1)
-        cuts.append(max(sign * held_odds[order[enough.max()]], EDGE - (last + 1) * (2 * EDGE / BINS)))
+        last = min(int(np.searchsorted(upward, wanted * (held_y == label).mean())), BINS - 1)
+        cuts.append(max(np.log(SURE / (1 - SURE)), sign * held_odds[order[enough.max()]], EDGE - (last + 1) * (2 * EDGE / BINS)))
     return cuts
 
 
@@ -204,24 +223,31 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndarray
         mean, square = moments[at:at + v.shape[1]] / n, moments[at + v.shape[1]:at + 2 * v.shape[1]] / n
         at += 2 * v.shape[1]
         views.append(View(mean, np.sqrt(np.maximum(square - mean * mean, 0.0)) + 1e-3))
-    told = lambda i: views[i].sums(x[i][fit], y[fit])
-    for i, v in enumerate(views):
-        for _ in range(12):
-            if v.step(told(i)) < 1e-6:
-                break
-        v.calibrate(x[i][held], y[held].astype(float))
-    rules = []
+    sizes, rules = [1 + len(v.w) + len(v.w) ** 2 for v in views], []
+
+    def improve(taught: bool) -> float:
+        """One step of both views; its pseudo-labelled rows are read once for the direction and once for the length."""
+        none = np.zeros(sum(sizes))
+        sums = np.split(over(lambda part: _taught_sums(part, views, rules)) if taught else none, [sizes[0]])
+        moves, weights = zip(*[v.move(v.sums(x[i][fit], y[fit]), sums[i]) for i, v in enumerate(views)])
+        lost = np.split(over(lambda part: _taught_losses(part, views, rules, moves)) if taught else none[:2 * len(TRIES)], 2)
+        return max([v.step(moves[i], v.losses(x[i][fit], y[fit], moves[i]) + weights[i] * lost[i]) for i, v in enumerate(views)])
+
+    def calibrate():
+        for i, v in enumerate(views):
+            v.calibrate(x[i][held], y[held].astype(float))
+
+    for _ in range(12):
+        if improve(False) < 1e-6:
+            break
+    calibrate()
     for _ in range(ROUNDS if seen is not None else 0):
         bins = over(lambda part: _odds_bins(part, views, rules)).reshape(2, BINS)
         rules.append(([v.copy() for v in views],
                       [_cuts(v.logit(x[i][held]), y[held], bins[i], SHARE * seen[0]) for i, v in enumerate(views)]))
         for _ in range(STEPS):
-            both = over(lambda part: _taught_sums(part, views, rules))
-            parts = np.split(both, [1 + len(views[0].w) + len(views[0].w) ** 2])
-            for i, v in enumerate(views):
-                v.step(told(i), parts[i])
-        for i, v in enumerate(views):
-            v.calibrate(x[i][held], y[held].astype(float))
+            improve(True)
+        calibrate()
     good = y[held].mean()
     return CoTrained(views, float(np.log((good + 1e-6) / (1 - good + 1e-6))))
 
@@ -259,8 +285,9 @@ def _summed(rows: DataFrame, work) -> np.ndarray | None:
     def part(batches):
         total = None
         for batch in batches:
-            if batch.num_rows:
-                value = work(_dense(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            for at in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(at, ROWS)
+                value = work(_dense(rows.column(0).to_pylist(), rows.column(1).to_pylist()))
                 total = value if total is None else total + value
         if total is not None:
             yield out(dict(enumerate(np.array_split(total, PIECES))))
@@ -310,11 +337,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> CoTrained:
 
 def with_scores(docs: DataFrame, model: CoTrained, column: str = "quality_score") -> DataFrame:
     """``docs`` with the probability of good quality; every row is scored on its whole text."""
+    def some(rows):
+        return model.score(np.stack([text_features(r[0]) for r in rows]), np.stack([meta_features(*r[1:]) for r in rows]))
+
     def score(parts):
-        for text, lang, source, n in parts:
-            t = np.stack([text_features(v) for v in text]) if len(text) else np.zeros((0, TEXT_WIDTH))
-            m = np.stack([meta_features(*v) for v in zip(lang, source, n)]) if len(text) else np.zeros((0, META_WIDTH))
-            yield pd.Series(model.score(t, m))
+        for part in parts:
+            rows = list(zip(*part))
+            yield pd.Series(np.concatenate([np.zeros(0), *[some(rows[at:at + ROWS]) for at in range(0, len(rows), ROWS)]]))
 
     from pyspark.sql.pandas.functions import PandasUDFType, pandas_udf
     udf = pandas_udf(score, T.DoubleType(), PandasUDFType.SCALAR_ITER)

@@ -165,3 +165,14 @@ def test_unlabelled_rows_teach_in_full_and_sums_match(spark):
     assert all(np.allclose(a.w, b.w, atol=1e-4) for a, b in zip(near.views, far.views))
     assert np.array_equal(near.score(*x) >= 0.5, far.score(*x) >= 0.5)
     assert quality._summed(stored.limit(0), quality._moments) is None
+
+
+def test_exchange_with_many_unlabelled_rows_settles():
+    rng = np.random.default_rng(5)
+    y = (rng.random(6000) < 0.87).astype(int)
+    strong = np.c_[y[:, None] * 4.0 + rng.normal(0, 0.4, (6000, 8)), rng.normal(size=(6000, 30))]
+    weak = np.c_[rng.integers(0, 4, 6000) == 2, rng.normal(size=6000) + 0.3 * y]
+    known = np.where(np.arange(6000) < 800, y, -1)
+    model = quality.co_train(strong, weak, known, (np.arange(6000) % 4 == 0) & (known >= 0))
+    assert ((model.score(strong, weak) >= 0.5) == (y == 1))[800:].mean() > 0.995
+    assert all(np.isfinite(v.w).all() and np.abs(v.w).max() < 100 for v in model.views)
