@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from logroll.llm.common import freeze
+from logroll.llm.common import freeze, release
 
 LENGTH, WINDOWS, MAX_GAP, MERGE, END_ID = 4096, 32, 32, 64, 2
 _CACHE_WORDS, _CACHE_RUNS = 300_000, 500_000
@@ -186,6 +186,8 @@ def _pack_partition(batches, path, with_ids):
     left = [(doc, start, n, zlib.crc32(ids), total, None, None, ids, part)
             for w in packer.open for doc, start, n, total, ids in w[1]]
     yield _arrow(left, kinds, names)
+    del tokens, packer, left
+    release()
 
 
 def _merge_group(key, pdf, with_ids):

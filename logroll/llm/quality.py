@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from logroll.llm.common import freeze, table
+from logroll.llm.common import freeze, release, table
 
 LABELLED, ROUNDS, SURE, SHARE, STEPS = 4_000, 4, 0.95, 1 / 8, 2
 REJECT_BELOW = 0.5
@@ -291,6 +291,7 @@ def _summed(rows: DataFrame, work) -> np.ndarray | None:
                 total = value if total is None else total + value
         if total is not None:
             yield out(dict(enumerate(np.array_split(total, PIECES))))
+        release()
 
     def add(batches):
         sums = {}
