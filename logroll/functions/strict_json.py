@@ -7,6 +7,11 @@ value only if that array has two elements and the second is the sentinel — tra
 the value either breaks the parse, adds elements, or ends the array early (and the parser then
 ignores the sentinel).  A string or escape left open by the text cannot swallow the sentinel,
 because a raw newline is illegal inside a JSON string.  One parse per message.
+
+The parser has limits of its own (numbers of 1,000 digits, strings of 20 million characters) that are no rule
+of JSON.  A message it refuses is parsed once more with these limits raised, if it is long enough to have met
+one and at most 40 MB, which no way of writing swells beyond what a VARIANT holds.  The limit of 1,000 levels stays:
+reading a VARIANT goes down its levels by recursion, and at 1,500 a task's stack overflows, which ends the executor.
 """
 
 from __future__ import annotations
@@ -22,9 +27,17 @@ def decode_payload(value: Column) -> Column:
 _SENTINEL = "\u0000end"
 
 
+# Messages of this many bytes may have met a limit of the first parser; longer ones are not tried again.
+_RETRY_BYTES = (1_000, 40_000_000)
+_RETRY_LIMITS = {"maxNumLen": "40000000", "maxStringLen": "40000000"}
+
+
 def parse_wrapped(text: Column) -> Column:
-    """The single parse: ``[<text>\n,"<sentinel>"]`` as VARIANT (null if it is not JSON)."""
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit('\n,"\\u0000end"]')))
+    """``[<text>\n,"<sentinel>"]`` as VARIANT (null if it is not JSON); messages beyond the first parser's
+    limits are parsed again with higher ones."""
+    wrapped = F.concat(F.lit("["), text, F.lit('\n,"\\u0000end"]'))
+    again = F.when(F.octet_length(text).between(*_RETRY_BYTES), F.from_json(wrapped, "variant", _RETRY_LIMITS))
+    return F.coalesce(F.try_parse_json(wrapped), again)
 
 
 def strict_ok(wrapped: Column) -> Column:

@@ -73,9 +73,9 @@ def _renamed(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
 
 
 def running_totals(df: DataFrame, series: list[str], at: str, sums: list[str], block: int,
-                   following: str | None = None) -> DataFrame:
-    """Replace each column of ``sums`` by its running total in the series up to the row, and add
-    ``following``: ``at`` of the series' next row (null for the last).
+                   following: str | None = None, maxima: tuple[str, ...] = ()) -> DataFrame:
+    """Replace each column of ``sums`` by its running total in the series up to the row, each of ``maxima`` by
+    its running maximum, and add ``following``: ``at`` of the series' next row (null for the last).
 
     ``at`` is a whole number, distinct within a series.  Rows are ordered inside blocks of ``block``
     units of it; what lies before a block, and the row after it, come from the summary of blocks.
@@ -84,17 +84,22 @@ def running_totals(df: DataFrame, series: list[str], at: str, sums: list[str], b
     cut = df.withColumn("_block", F.col(at) - F.pmod(F.col(at), F.lit(block)))
     ordered = Window.partitionBy(*series).orderBy("_block")
     ahead = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (cut.groupBy(*keys).agg(*[F.sum(c).alias(f"_t{i}") for i, c in enumerate(sums)], F.min(at).alias("_first"))
+    blocks = (cut.groupBy(*keys).agg(*[F.sum(c).alias(f"_t{i}") for i, c in enumerate(sums)],
+                                     *[F.max(c).alias(f"_m{i}") for i, c in enumerate(maxima)], F.min(at).alias("_first"))
               .select(*keys, *[F.coalesce(F.sum(f"_t{i}").over(ahead), F.lit(0)).alias(f"_b{i}") for i in range(len(sums))],
+                      *[F.max(f"_m{i}").over(ahead).alias(f"_h{i}") for i in range(len(maxima))],
                       F.lead("_first").over(ordered).alias("_after")))
     inside = Window.partitionBy(*keys).orderBy(at)
-    local = cut.withColumns({c: F.sum(c).over(inside.rowsBetween(Window.unboundedPreceding, 0)) for c in sums}
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    local = cut.withColumns({c: F.sum(c).over(upto) for c in sums} | {c: F.max(c).over(upto) for c in maxima}
                             | {"_next": F.lead(at).over(inside)})
     out = local.join(_renamed(blocks, keys, "_k"), _same(local, keys, "_k"))
-    out = out.withColumns({c: F.col(c) + F.col(f"_b{i}") for i, c in enumerate(sums)})
+    out = out.withColumns({c: F.col(c) + F.col(f"_b{i}") for i, c in enumerate(sums)}
+                          | {c: F.greatest(c, f"_h{i}") for i, c in enumerate(maxima)})
     if following:
         out = out.withColumn(following, F.coalesce("_next", "_after"))
-    return out.drop("_block", "_next", "_after", *[f"_k{i}" for i in range(len(keys))], *[f"_b{i}" for i in range(len(sums))])
+    return out.drop("_block", "_next", "_after", *[f"_k{i}" for i in range(len(keys))], *[f"_b{i}" for i in range(len(sums))],
+                    *[f"_h{i}" for i in range(len(maxima))])
 
 
 def carried_value(df: DataFrame, series: list[str], order: list[str], ts: str, value: str, out: str,

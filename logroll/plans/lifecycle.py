@@ -8,11 +8,13 @@ folder below the shared checkpoint root.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from logroll.operators.classify import classify, valid_rows
 from logroll.operators.retention import daily_counts, retain
-from logroll.operators.rollup import latency_frequencies, rollup_1m
+from logroll.operators.rollup import latency_frequencies, merge_rollup, rollup_1m
 from logroll.plans.common import LOG_COLS_SQL, LOGS_SQL, ROLLUP_SQL, events, ntz
 from logroll.plans.ingest import _REJECTED
 from logroll.plans.reports import as_of, logs
@@ -59,6 +61,23 @@ def q_rollup_compacted(spark, sf_dir):
     return ntz(store.rollup(merged=True).select(*COUNTERS))
 
 
+def q_rollup_catalog(spark, sf_dir):
+    """What SQL users read: the catalog's view over compacted and live rows, after batches, a compaction whose
+    folded batches are deleted, a late batch, and a second compaction that is not vacuumed."""
+    store, db = LogStore(spark, scratch_dir(spark, "catalog")), f"logs_{uuid.uuid4().hex[:12]}"
+    store.create_tables(db)
+    lg = logs(spark, sf_dir, ["event_id"])
+    newest = lg.agg(F.max("timestamp")).first()[0]
+    mid = lg.agg(F.percentile_approx("timestamp", 0.5)).first()[0]
+    for b in range(3):
+        store.write_rollup(rollup_1m(lg.where(F.col("event_id") % 4 == b)), b)
+    store.compact(mid, ("logs_1m",))
+    store.write_rollup(rollup_1m(lg.where(F.col("event_id") % 4 == 3)), 3)      # late rows of compacted days too
+    store.compact(newest, ("logs_1m",))
+    store.vacuum(("logs_1m",), database=db)
+    return ntz(merge_rollup(spark.table(f"{db}.logs_1m_all").drop("latency_quantiles")).select(*COUNTERS))
+
+
 def _drain(spark, base, job, max_files=None, prepare=lambda messages: messages):
     """Run the ingest stream over what is in ``source`` (availableNow) until it stops.  After an
     injected failure, restart from the checkpoint: the failed batch replays with its batch_id."""
@@ -196,6 +215,7 @@ SQL = {
     "daily_partition_counts": f"""WITH logs AS ({LOGS_SQL})
         SELECT CAST(timestamp AS DATE) AS event_date, count(*) AS rows FROM logs GROUP BY 1""",
     "rollup_compacted": f"WITH logs AS ({LOGS_SQL}), rollup AS ({ROLLUP_SQL}) SELECT * FROM rollup",
+    "rollup_catalog": f"WITH logs AS ({LOGS_SQL}), rollup AS ({ROLLUP_SQL}) SELECT * FROM rollup",
     "stream_rollup": _VALID_ROLLUP,
     "stream_replay": _VALID,
     "stream_late": _VALID_ROLLUP,
@@ -227,6 +247,7 @@ QUERIES = {
     "retention_survivors": q_retention_survivors,
     "daily_partition_counts": q_daily_partition_counts,
     "rollup_compacted": q_rollup_compacted,
+    "rollup_catalog": q_rollup_catalog,
     "stream_rollup": q_stream_rollup,
     "stream_replay": q_stream_replay,
     "stream_late": q_stream_late,

@@ -7,8 +7,9 @@ window that spans all data unless the key says otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from logroll.functions.text import clock_text, grouped_number
 from logroll.functions.timefn import window_start
 from logroll.operators import reports as R
 from logroll.operators.rollup import latency_frequencies, merge_rollup, rollup_1m
@@ -86,8 +87,11 @@ def q_latency_percentiles_1d(spark, sf_dir):
 
 
 def q_latency_percentiles_sketch(spark, sf_dir):
+    """The sketch's percentiles against exact ranks.  Their values vary from run to run (a sketch draws which
+    values it keeps), so the rows tell whether each is within its bound."""
     lg, r = _rollup(spark, sf_dir, sketch=True)
-    return R.latency_percentiles_sketch(r, ALL_MINUTES, as_of(lg))
+    ranks = R.sketch_ranks(r, latency_frequencies(lg), ALL_MINUTES, as_of(lg))
+    return ranks.select("service", "rows", *[F.col("within")[i].alias(f"{n}_within") for i, n in enumerate(("p50", "p90", "p99"))])
 
 
 def q_service_filter(spark, sf_dir):
@@ -117,6 +121,19 @@ def q_latest_minutes(spark, sf_dir):
     return ntz(R.latest_minutes(r, 6, ALL_MINUTES, as_of(lg)))
 
 
+def q_latest_minutes_text(spark, sf_dir):
+    """The newest minutes as the dashboard writes them; ``place`` keeps their order."""
+    lg, r = _rollup(spark, sf_dir)
+    newest = R.latest_minutes(r, 6, ALL_MINUTES, as_of(lg))
+    place = F.row_number().over(Window.orderBy(F.desc("time"))).cast("bigint")        # six rows
+    return newest.select(place.alias("place"), clock_text("time").alias("time"), grouped_number("count").alias("count"))
+
+
+def q_top_services_text(spark, sf_dir):
+    lg, r = _rollup(spark, sf_dir)
+    return R.top_services(r, ALL_MINUTES, as_of(lg)).select("service", grouped_number("volume").alias("volume"))
+
+
 _W = "(SELECT max(timestamp) FROM logs) - INTERVAL {m} MINUTE"
 _PCT = ", ".join(f"round(quantile_cont(latency_ms, {q}), {DECIMALS}) AS {n}"
                  for q, n in [(0.5, "p50"), (0.9, "p90"), (0.99, "p99")])
@@ -156,6 +173,16 @@ SQL = {
     "latest_minutes": f"""WITH logs AS ({LOGS_SQL}), rollup AS ({ROLLUP_SQL})
         SELECT minute AS time, CAST(sum(total_count) AS BIGINT) AS count FROM rollup
         WHERE minute >= {_W.format(m=ALL_MINUTES)} GROUP BY minute ORDER BY time DESC LIMIT 6""",
+    "latency_percentiles_sketch": f"""WITH logs AS ({LOGS_SQL})
+        SELECT service, count(*) AS rows, true AS p50_within, true AS p90_within, true AS p99_within
+        FROM logs WHERE date_trunc('minute', timestamp) >= {_W.format(m=ALL_MINUTES)} GROUP BY service""",
+    "latest_minutes_text": f"""WITH logs AS ({LOGS_SQL}), rollup AS ({ROLLUP_SQL})
+        SELECT row_number() OVER (ORDER BY minute DESC) AS place, strftime(minute, '%-I:%M:%S %p') AS time,
+               format('{{:,}}', CAST(sum(total_count) AS BIGINT)) AS count
+        FROM rollup WHERE minute >= {_W.format(m=ALL_MINUTES)} GROUP BY minute ORDER BY minute DESC LIMIT 6""",
+    "top_services_text": f"""WITH logs AS ({LOGS_SQL}), rollup AS ({ROLLUP_SQL})
+        SELECT service, format('{{:,}}', CAST(sum(total_count) AS BIGINT)) AS volume FROM rollup
+        WHERE minute >= {_W.format(m=ALL_MINUTES)} GROUP BY service ORDER BY sum(total_count) DESC, service LIMIT 10""",
 }
 
 QUERIES = {
@@ -174,4 +201,6 @@ QUERIES = {
     "rollup_total": q_rollup_total,
     "raw_count": q_raw_count,
     "latest_minutes": q_latest_minutes,
+    "latest_minutes_text": q_latest_minutes_text,
+    "top_services_text": q_top_services_text,
 }

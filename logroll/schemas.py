@@ -76,6 +76,14 @@ TABLE_DDL = {
     "dlq_replayed": ("topic STRING, `partition` INT, `offset` BIGINT, batch_id BIGINT", ["batch_id"]),
     "logs_1m_state": ("minute TIMESTAMP, service STRING, level STRING, total_count BIGINT, error_count BIGINT, "
                       "latency_sum BIGINT, batch_id BIGINT", ["batch_id"]),
-    "pipeline_metrics": ("ts TIMESTAMP, metric STRING, labels MAP<STRING, STRING>, value DOUBLE, batch_id BIGINT",
-                         ["batch_id"]),
+    "pipeline_counts": ("ts TIMESTAMP, topic STRING, `partition` INT, reason_code STRING, n BIGINT, max_offset BIGINT, "
+                        "insert_seconds DOUBLE, batch_id BIGINT", ["batch_id"]),
+    "pipeline_lag": ("ts TIMESTAMP, metric STRING, labels MAP<STRING, STRING>, value DOUBLE, event_date DATE",
+                     ["event_date"]),
 }
+
+# Merged copies of closed days: the live table's columns, and the batches already inside.
+COMPACTABLE = ["logs_1m", "logs_1m_freq"]
+TABLE_DDL |= {f"{name}_compacted": (TABLE_DDL[name][0].replace(", event_date DATE, batch_id BIGINT",
+                                                               ", through_batch_ids ARRAY<BIGINT>, event_date DATE"),
+                                    ["event_date"]) for name in COMPACTABLE}

@@ -8,11 +8,16 @@ Tables live under one root (shared storage on a cluster):
   files: a batch writes one file however many days it touches.
 * ``logs_1m_freq``    exact latency frequencies, same layout.
 * ``logs_1m_compacted`` merged rollup of closed days, partitioned by ``event_date``; each row
-  carries ``through_batch_id``: live rows of that day up to this batch are already inside.
+  carries ``through_batch_ids``: live rows of that day up to these batches are already inside.
+* ``logs_1m_freq_compacted`` the same for the frequencies.
 * ``dlq``             rejections, partitioned by ``batch_id``.
 * ``dlq_replayed``    messages that a dead-letter replay has brought in, partitioned by ``batch_id``.
 * ``logs_1m_state``   versions of the stateful rollup's totals, partitioned by ``batch_id``.
-* ``pipeline_metrics`` metric samples, partitioned by ``batch_id``.
+* ``pipeline_counts`` what each batch alone counted, partitioned by ``batch_id``; totals are running sums.
+* ``pipeline_lag``    lag samples of the query listener, one file a minute, partitioned by ``event_date``.
+
+For SQL users the catalog has all of them and the views ``logs_1m_all`` and ``logs_1m_freq_all``: compacted days and
+the live rows not yet inside them, as the readers below see them.
 
 Every write replaces exactly the partitions of its ``batch_id`` (dynamic partition overwrite),
 so replaying a micro-batch after a failure replaces instead of duplicating.
@@ -27,8 +32,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.util import inheritable_thread_target
 
 from logroll.functions.timefn import as_timestamp
+from logroll.operators.counters import pipeline_samples
 from logroll.operators.rollup import merge_frequencies, merge_rollup
-from logroll.schemas import LOG_COLUMNS, RETENTION_DAYS, ROLLUP_KEY, TABLE_DDL
+from logroll.schemas import COMPACTABLE, LOG_COLUMNS, METRICS, RETENTION_DAYS, ROLLUP_KEY, TABLE_DDL
 
 TABLE_NAMES = list(TABLE_DDL)
 
@@ -66,10 +72,6 @@ def ingest_of(batch_id: Column) -> Column:
     return F.shiftright(batch_id, INGEST_SHIFT)
 
 
-def _compacted_columns(cols: str) -> str:
-    return cols.replace(", batch_id BIGINT", ", through_batch_ids ARRAY<BIGINT>")
-
-
 def _through(compacted: DataFrame) -> DataFrame:
     """(event_date, _ingest, _through): newest batch of each ingest folded into a compacted day."""
     return (compacted.groupBy("event_date").agg(F.first("through_batch_ids").alias("t"))
@@ -88,30 +90,52 @@ class LogStore:
 
     # -- DDL ---------------------------------------------------------------------------------
     def create_tables(self, database: str = "log_pipeline") -> None:
-        """Register every table in the catalog (``CREATE ... USING parquet PARTITIONED BY``)."""
+        """Register every table in the catalog (``CREATE ... USING parquet PARTITIONED BY``), and a view
+        over live and compacted rows of each table that is compacted."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         for name, (cols, parts) in TABLE_DDL.items():
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({cols}) USING parquet "
                            f"PARTITIONED BY ({', '.join(parts)}) LOCATION '{self.path(name)}'")
-
-    def sync_catalog(self, database: str = "log_pipeline") -> None:
-        """Make catalog tables see partitions written by path (``MSCK REPAIR TABLE``).  Readers in
-        this package read by path and do not need it; run it for SQL users after ingest."""
-        for name, (_, parts) in TABLE_DDL.items():
-            if parts and self.spark.catalog.tableExists(f"{database}.{name}") and self.exists(name):
-                self.spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+        for name in COMPACTABLE:
+            t = f"{database}.{name}"
+            cols = ", ".join(c for c in self.spark.table(t).columns if c != "batch_id")
+            # A live row is inside the compacted day if its ingest's newest folded batch is not older.
+            self.spark.sql(f"""
+                CREATE OR REPLACE VIEW {t}_all AS
+                SELECT {cols} FROM {t}_compacted
+                UNION ALL
+                SELECT {cols} FROM {t} AS live
+                LEFT ANTI JOIN (SELECT event_date AS day, explode(batches) AS through
+                                FROM (SELECT event_date, first(through_batch_ids) AS batches
+                                      FROM {t}_compacted GROUP BY event_date)) AS folded
+                ON live.event_date = folded.day AND live.batch_id <= folded.through
+                   AND shiftright(live.batch_id, {INGEST_SHIFT}) = shiftright(folded.through, {INGEST_SHIFT})""")
+
+    def sync_catalog(self, database: str = "log_pipeline", tables=None) -> None:
+        """Make catalog tables see partitions written by path and forget those deleted (``MSCK REPAIR
+        TABLE ... SYNC PARTITIONS``).  Readers in this package read by path and do not need it; run it for SQL
+        users after ingest and after compaction.  Compacted tables come first, so that in between a
+        reader of the views meets no gap."""
+        names = [n for n in TABLE_DDL if tables is None or n in tables]
+        for name in sorted(names, key=lambda n: not n.endswith("_compacted")):
+            if self.spark.catalog.tableExists(f"{database}.{name}"):
+                p, fs = _hadoop_fs(self.spark, self.path(name))
+                if not fs.exists(p):
+                    fs.mkdirs(p)
+                self.spark.sql(f"MSCK REPAIR TABLE {database}.{name} SYNC PARTITIONS")
+                self.spark.catalog.refreshTable(f"{database}.{name}")
 
     def truncate(self, name: str, database: str | None = "log_pipeline") -> None:
         """Remove every row of a table (the tables are external, so the files are deleted), its
-        compacted copy included."""
+        compacted copy included, and the catalog's partitions of both."""
         p, fs = _hadoop_fs(self.spark, self.path(name))
         compacted, _ = _hadoop_fs(self.spark, self.path(name + "_compacted"))
         for old in (p, compacted):
             if fs.exists(old):
                 fs.delete(old, True)
         fs.mkdirs(p)
-        if database and self.spark.catalog.tableExists(f"{database}.{name}"):
-            self.spark.catalog.refreshTable(f"{database}.{name}")
+        if database:
+            self.sync_catalog(database, (name, name + "_compacted"))
 
     # -- writers -----------------------------------------------------------------------------
     def _write(self, df: DataFrame, name: str, partition_by: list[str], sort_by: list[str] | None = None):
@@ -146,9 +170,21 @@ class LogStore:
     def write_dlq(self, envelopes: DataFrame, batch_id: int) -> None:
         self._write(envelopes.withColumn("batch_id", F.lit(batch_id).cast("bigint")), "dlq", ["batch_id"])
 
-    def write_metrics(self, samples: DataFrame, batch_id: int) -> None:
-        self._write(samples.withColumn("batch_id", F.lit(batch_id).cast("bigint")), "pipeline_metrics",
-                    ["batch_id"])
+    def write_counts(self, counts: DataFrame, batch_id: int) -> None:
+        """What one batch counted: a row per topic, partition and outcome, so one file."""
+        self._write(counts.withColumn("batch_id", F.lit(batch_id).cast("bigint")).coalesce(1), "pipeline_counts", ["batch_id"])
+
+    def insert_seconds(self, batch_id: int) -> float | None:
+        """The sink duration stored with a batch; None if the batch is new or had none."""
+        part, fs = _hadoop_fs(self.spark, f"{self.path('pipeline_counts')}/batch_id={batch_id}")
+        if not fs.exists(part):
+            return None
+        return self.spark.read.schema(TABLE_DDL["pipeline_counts"][0]).parquet(part.toString()).agg(F.max("insert_seconds")).first()[0]
+
+    def append_lag(self, samples: list[tuple]) -> None:
+        """One file of lag samples ``(ts, metric, labels, value)`` in the partition of their day."""
+        df = self.spark.createDataFrame(samples, METRICS).withColumn("event_date", F.to_date("ts")).coalesce(1)
+        df.write.mode("append").partitionBy("event_date").parquet(self.path("pipeline_lag"))
 
     def write_replayed(self, messages: DataFrame, batch_id: int) -> None:
         self._write(messages.withColumn("batch_id", F.lit(batch_id).cast("bigint")), "dlq_replayed", ["batch_id"])
@@ -170,11 +206,10 @@ class LogStore:
         handed to the reader (one listing of the table root), so reports over a recent window do
         not discover every partition of a table that never expires."""
         day = _literal_date(since)
-        base = name.removesuffix("_compacted")
-        by_day = name.endswith("_compacted") or "event_date" in TABLE_DDL[base][1]
+        cols, parts = TABLE_DDL[name]
+        by_day = "event_date" in parts
         if not self._has_files(name):                # a quiet stream, or everything vacuumed
-            cols = TABLE_DDL[base][0]
-            return self.spark.createDataFrame([], _compacted_columns(cols) if name.endswith("_compacted") else cols)
+            return self.spark.createDataFrame([], cols)
         if day is None or not by_day:
             return _typed(self.spark.read.option("basePath", self.path(name)).parquet(self.path(name)))
         root, fs = _hadoop_fs(self.spark, self.path(name))
@@ -182,9 +217,6 @@ class LogStore:
                  if st.isDirectory() and st.getPath().getName().startswith("event_date=")
                  and st.getPath().getName().split("=", 1)[1] >= day]
         if not paths:
-            cols, _ = TABLE_DDL[base]
-            if name.endswith("_compacted"):
-                cols = _compacted_columns(cols)
             return self.spark.createDataFrame([], cols)
         return _typed(self.spark.read.option("basePath", self.path(name)).parquet(*paths))
 
@@ -270,7 +302,10 @@ class LogStore:
                 fs.delete(st.getPath(), True)
 
     def metrics(self) -> DataFrame:
-        return self._read("pipeline_metrics")
+        """Samples of the pipeline's own series: totals after every batch, and the recorded lag
+        (without ``batch_id``)."""
+        lag = self._read("pipeline_lag").select(*METRICS.names, F.lit(None).cast("bigint").alias("batch_id"))
+        return pipeline_samples(self._read("pipeline_counts")).unionByName(lag)
 
     def ingest_number(self, checkpoint: str) -> int:
         """Number of the ingest that owns ``checkpoint``: allocated once in the store (exclusive
@@ -336,10 +371,13 @@ class LogStore:
         out = merged.join(F.broadcast(through), "event_date", "inner").checkpoint(eager=True)  # per day
         self._write(out, name + "_compacted", ["event_date"], ROLLUP_KEY)
 
-    def vacuum(self, tables=("logs_1m", "logs_1m_freq")) -> list[str]:
+    def vacuum(self, tables=("logs_1m", "logs_1m_freq"), database: str | None = None) -> list[str]:
         """Delete live batch directories whose every row is already folded into the compacted table
         (each day the batch touches is compacted through that batch or later).  Safe at any point:
-        readers ignore live rows at or below ``through_batch_ids`` anyway."""
+        readers ignore live rows at or below ``through_batch_ids`` anyway.  With ``database`` the catalog learns
+        of the compacted days before and of the deleted batches after."""
+        if database:
+            self.sync_catalog(database, [t + "_compacted" for t in tables])
         removed = []
         for name in tables:
             if not (self.exists(name) and self.exists(name + "_compacted")):
@@ -357,6 +395,8 @@ class LogStore:
                 part = jvm.org.apache.hadoop.fs.Path(root, f"batch_id={r['batch_id']}")
                 if fs.delete(part, True):
                     removed.append(f"{name}/batch_id={r['batch_id']}")
+        if database:
+            self.sync_catalog(database, tables)
         return removed
 
     def drop_expired(self, as_of=None, days: int = RETENTION_DAYS) -> list[str]:

@@ -2,12 +2,12 @@
 
     source (Kafka, or files with the same columns)
       └─ foreachBatch(batch, batch_id):
-           classify once, persist
+           classify once, persist (filled by the batch's counts)
            ├─ logs            valid rows + lineage          (overwrite partitions of batch_id)
            ├─ logs_1m         partial rollup with sketches   (same)
            ├─ logs_1m_freq    exact latency frequencies      (same)
            ├─ dlq             rejection envelopes            (same)
-           └─ pipeline_metrics batch counters               (same)
+           └─ pipeline_counts counts of the batch alone     (same; accumulated at read)
 
 Offsets are committed by the checkpoint only after the function returns, so a failure in any sink
 replays the batch with the same ``batch_id``; each sink then replaces its own partitions: the
@@ -17,26 +17,30 @@ minute's partial rows, never dropped.  An all-rejected batch still commits and t
 
 from __future__ import annotations
 
-import copy
+import datetime as dt
 import json
-import math
+import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.util import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from logroll.operators.classify import classify, dlq_envelopes, rejections, valid_rows
 from logroll.operators.rollup import latency_frequencies, rollup_1m
-from logroll.schemas import BATCH_SIZE_BOUNDS, INSERT_DURATION_BOUNDS, LOG_TOPIC, RAW_MESSAGE
+from logroll.schemas import LOG_TOPIC, RAW_MESSAGE
 from logroll.sources.tables import INGEST_SHIFT, LogStore
 
 LINEAGE = ["topic", "partition", "offset"]
 
+#: Bounds of a micro-batch unless the caller sets others: messages of a topic, files of a folder.
+MAX_OFFSETS = 5_000_000
+MAX_FILES = 1_000
 
-def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+
+def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = MAX_FILES) -> DataFrame:
     """Test double of a topic: Parquet files with the message columns, read as a stream."""
     reader = spark.readStream.schema(RAW_MESSAGE).format("parquet")
     if max_files_per_trigger:
@@ -45,11 +49,11 @@ def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str = LOG_TOPIC,
-                 starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None,
+                 starting_offsets: str = "latest", max_offsets_per_trigger: int | None = MAX_OFFSETS,
                  min_offsets_per_trigger: int | None = None, max_trigger_delay: str | None = None,
                  min_partitions: int | None = None) -> DataFrame:
     """Topic subscription.  A new query starts at the latest offset; a restarted one resumes from
-    its checkpoint.  ``max_offsets_per_trigger`` bounds a batch (back-pressure); with
+    its checkpoint.  ``max_offsets_per_trigger`` bounds a batch (back-pressure; None: no bound); with
     ``min_offsets_per_trigger`` + ``max_trigger_delay`` a batch waits for size or time, whichever
     comes first.  ``min_partitions`` splits offset ranges so a batch uses every core even when the
     topic has few partitions.  Needs the Kafka connector on the classpath (not available offline)."""
@@ -79,77 +83,14 @@ def kafka_sink_options(df: DataFrame, bootstrap_servers: str, topic: str):
             .option("kafka.acks", "all").option("kafka.compression.type", "gzip"))
 
 
-def batch_counts(classified: DataFrame) -> DataFrame:
+def batch_counts(classified: DataFrame, insert_seconds: float | None = None) -> DataFrame:
     """One aggregation over the batch: messages and max offset per (topic, partition, reason code).
-    Its size is bounded by topics × partitions × reason codes, not by rows."""
+    Its size is bounded by topics × partitions × reason codes, not by rows.  ``insert_seconds`` is what
+    the sinks of the batch before took."""
     return (classified.groupBy("topic", "partition", "reason_code")
-            .agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("max_offset")))
-
-
-class PipelineCounters:
-    """The pipeline's own telemetry as cumulative series, one set of samples per batch:
-
-    * ``pipeline_messages_consumed_total{topic}`` and ``pipeline_messages_dlq_total{reason}``
-      (reason code, so the label set stays bounded) — counters;
-    * ``pipeline_batch_size_records`` and ``pipeline_insert_duration_seconds`` — histograms
-      (``_bucket{le}``, ``_sum``, ``_count``); a batch's sink duration is reported with the next
-      batch, once it is known;
-    * ``pipeline_committed_offset{topic,partition}`` — gauge, the next offset to read.
-
-    Totals live in the driver and start at zero when the job starts, like a process's counters,
-    so rate operators see a counter reset after a restart.  A batch replayed in the same process
-    gets the same samples again (state is kept per batch id), so its metrics partition is
-    replaced, never double counted."""
-
-    def __init__(self):
-        self._after: dict[int, dict] = {}
-
-    @staticmethod
-    def _empty() -> dict:
-        return {"consumed": {}, "dlq": {}, "committed": {},
-                "size": [0] * (len(BATCH_SIZE_BOUNDS) + 1), "size_sum": 0.0,
-                "dur": [0] * (len(INSERT_DURATION_BOUNDS) + 1), "dur_sum": 0.0}
-
-    def update(self, batch_id: int, counts: list, last_duration: float | None) -> list[tuple]:
-        before = [b for b in self._after if b < batch_id]
-        state = copy.deepcopy(self._after[max(before)]) if before else self._empty()
-        valid = 0
-        for r in counts:
-            state["consumed"][r["topic"]] = state["consumed"].get(r["topic"], 0) + r["n"]
-            if r["reason_code"] is None:
-                valid += r["n"]
-            else:
-                state["dlq"][r["reason_code"]] = state["dlq"].get(r["reason_code"], 0) + r["n"]
-            key = (r["topic"], str(r["partition"]))
-            state["committed"][key] = max(state["committed"].get(key, 0), r["max_offset"] + 1)
-        _observe(state["size"], BATCH_SIZE_BOUNDS, valid)
-        state["size_sum"] += valid
-        if last_duration is not None:
-            _observe(state["dur"], INSERT_DURATION_BOUNDS, last_duration)
-            state["dur_sum"] += last_duration
-        self._after = {b: v for b, v in self._after.items() if b < batch_id and b >= batch_id - 1}
-        self._after[batch_id] = state
-        out = [("pipeline_messages_consumed_total", {"topic": t}, float(v)) for t, v in state["consumed"].items()]
-        out += [("pipeline_messages_dlq_total", {"reason": k}, float(v)) for k, v in state["dlq"].items()]
-        out += [("pipeline_committed_offset", {"topic": t, "partition": p}, float(v))
-                for (t, p), v in state["committed"].items()]
-        out += _histogram("pipeline_batch_size_records", BATCH_SIZE_BOUNDS, state["size"], state["size_sum"])
-        out += _histogram("pipeline_insert_duration_seconds", INSERT_DURATION_BOUNDS, state["dur"], state["dur_sum"])
-        return out
-
-
-def _observe(buckets: list, bounds, v: float) -> None:
-    """Add one observation to cumulative buckets (last slot is +Inf)."""
-    for i, b in enumerate(bounds):
-        if v <= b:
-            buckets[i] += 1
-    buckets[-1] += 1
-
-
-def _histogram(name: str, bounds, buckets: list, total: float) -> list[tuple]:
-    les = [format(float(b), "g") for b in bounds] + ["+Inf"]
-    return ([(f"{name}_bucket", {"le": le}, float(c)) for le, c in zip(les, buckets)]
-            + [(f"{name}_sum", {}, float(total)), (f"{name}_count", {}, float(buckets[-1]))])
+            .agg(F.count(F.lit(1)).alias("n"), F.max("offset").alias("max_offset"))
+            .select(F.current_timestamp().alias("ts"), "topic", "partition", "reason_code", "n", "max_offset",
+                    F.lit(insert_seconds).cast("double").alias("insert_seconds")))
 
 
 class InjectedFailure(RuntimeError):
@@ -159,41 +100,36 @@ class InjectedFailure(RuntimeError):
 class IngestJob:
     """The ``foreachBatch`` function.
 
-    The classified batch is cached once (filled by the batch-counter job), then the five sinks run
-    as concurrent Spark jobs over it: they are independent, and each replaces only its own
-    partitions.  If any sink fails the batch fails and is replayed whole.
+    The classified batch is cached once (filled by the job that writes the batch's counts), then the other
+    sinks run as concurrent Spark jobs over it: they are independent, and each replaces only its own
+    partitions.  Nothing is accumulated in the driver: totals are running sums over the stored counts.  If any sink fails the batch fails and is replayed whole.
     ``fail_after=(sink, batch_id)`` raises once right after that sink has been written (the other
     concurrent sinks may or may not have landed), to exercise replay."""
 
     def __init__(self, store: LogStore, sketch_k: int | None = None, fail_after: tuple[str, int] | None = None,
-                 parallel: bool = True, rows_per_file: int = 1_000_000, dlq_topic: dict | None = None):
+                 parallel: bool = True, dlq_topic: dict | None = None):
         """``dlq_topic={"bootstrap_servers": ..., "topic": ...}`` also publishes each envelope to a
         dead-letter topic (batch write, acks=all, gzip)."""
         self.dlq_topic = dlq_topic
-        self.counters = PipelineCounters()
         self._last_duration: float | None = None
         self.ingest_number = 0            # set from the checkpoint when the stream starts
         self.store = store
         self.sketch_k = sketch_k
         self.fail_after = fail_after
         self.parallel = parallel
-        self.rows_per_file = rows_per_file
 
     def _maybe_fail(self, sink: str, batch_id: int) -> None:
         if self.fail_after and self.fail_after == (sink, batch_id):
             self.fail_after = None
             raise InjectedFailure(f"injected failure after {sink} in batch {batch_id}")
 
-    def _files(self, rows: float) -> int:
-        return max(1, math.ceil(rows / self.rows_per_file))
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stream_batch, batch_id = batch_id, (self.ingest_number << INGEST_SHIFT) + batch_id
         classified = classify(batch).persist(StorageLevel.MEMORY_AND_DISK)
         valid = valid_rows(classified, keep=LINEAGE)
         rejected = rejections(classified, keep=LINEAGE)
-        pool = ThreadPoolExecutor(max_workers=6) if self.parallel else None
+        pool = ThreadPoolExecutor(max_workers=5) if self.parallel else None
 
         def submit(fn):
             if pool is None:
@@ -203,26 +139,25 @@ class IngestJob:
 
         try:
             started = time.perf_counter()
-            # First job: the batch counters (a few dozen rows: topics × partitions × reasons).  It
+            if self._last_duration is None:
+                # First batch of this process: a replay keeps what its first run knew of the batch before.
+                self._last_duration = self.store.insert_seconds(batch_id)
+            # First job: the batch's counts (a few dozen rows: topics × partitions × reasons).  It
             # fills the cache, so the sinks below read classified rows instead of classifying again
             # (on a cluster, concurrent first readers of an uncached partition would each compute
-            # it), and its counts size the raw-row writes so a batch writes few, large files.
-            counts = batch_counts(classified).collect()
-            n_valid = sum(r["n"] for r in counts if r["reason_code"] is None)
-            n_rejected = sum(r["n"] for r in counts if r["reason_code"] is not None)
-            samples = self.counters.update(batch_id, counts, self._last_duration)
-            metrics = spark.createDataFrame(samples, "metric string, labels map<string,string>, value double") \
-                .select(F.current_timestamp().alias("ts"), "metric", "labels", "value")
+            # it), and the same pass observes whether there is anything for them to write.
+            seen, ok = Observation("batch"), F.col("reason_code").isNull()
+            self.store.write_counts(batch_counts(classified, self._last_duration).observe(
+                seen, F.sum(F.when(ok, F.col("n"))).alias("valid"), F.sum(F.when(~ok, F.col("n"))).alias("rejected")), batch_id)
+            n_valid, n_rejected = seen.get["valid"] or 0, seen.get["rejected"] or 0
+            self._maybe_fail("pipeline_counts", stream_batch)
+            # Rows are rebalanced by their bytes, so each sink writes files of the advisory partition size
+            # in as many tasks as the batch needs, one for a small batch.
             writes = {
-                # Rollup rows ≤ valid rows: the same bound sizes their files (no single-task write).
-                "logs_1m": lambda: self.store.write_rollup(rollup_1m(valid, k=self.sketch_k), batch_id,
-                                                           self._files(n_valid)),
-                "logs_1m_freq": lambda: self.store.write_frequencies(latency_frequencies(valid), batch_id,
-                                                                     self._files(n_valid)),
-                "logs": lambda: self.store.write_logs(valid.coalesce(self._files(n_valid)), batch_id),
-                "dlq": lambda: self.store.write_dlq(dlq_envelopes(rejected.coalesce(self._files(n_rejected))),
-                                                    batch_id),
-                "pipeline_metrics": lambda: self.store.write_metrics(metrics, batch_id),
+                "logs_1m": lambda: self.store.write_rollup(rollup_1m(valid, k=self.sketch_k).hint("rebalance"), batch_id),
+                "logs_1m_freq": lambda: self.store.write_frequencies(latency_frequencies(valid).hint("rebalance"), batch_id),
+                "logs": lambda: self.store.write_logs(valid.hint("rebalance"), batch_id),
+                "dlq": lambda: self.store.write_dlq(dlq_envelopes(rejected.hint("rebalance")), batch_id),
             }
 
             def sink(name, write):
@@ -272,18 +207,70 @@ def lag_samples(progress: dict) -> list[tuple]:
     return out
 
 
-def record_lag(store: LogStore, query: StreamingQuery) -> int:
-    """Write the query's current lag samples to ``pipeline_metrics`` (call every few seconds,
-    e.g. from the loop that watches the query).  Each poll has a partition of its own (negative,
-    by time), apart from the batches' counters.  Returns the number of samples written."""
-    progress = query.lastProgress
-    samples = lag_samples(progress) if progress else []
-    if samples:
-        spark = query.sparkSession
-        df = spark.createDataFrame(samples, "metric string, labels map<string,string>, value double") \
-            .select(F.current_timestamp().alias("ts"), "metric", "labels", "value")
-        store.write_metrics(df, -time.time_ns() // 1_000)
-    return len(samples)
+class LagRecorder(StreamingQueryListener):
+    """Records the consumer lag of a session's queries (``spark.streams.addListener(LagRecorder(store))``).
+
+    Of each query's progress events, one every ``every_seconds`` gives its samples.  They are kept for a minute
+    of event time, at most one row per topic partition and sample, and then written as one file of the day's
+    partition, in a thread of its own so that no event waits for it.  The end of a query, or ``close``, writes
+    what is kept.  A driver that dies loses at most that minute; lag is a gauge, nothing is derived from its sum.
+    """
+
+    def __init__(self, store: LogStore, every_seconds: float = 5.0):
+        self.store = store
+        self.every = dt.timedelta(seconds=every_seconds)
+        self._last: dict[str, dt.datetime] = {}
+        self._kept: list[tuple] = []
+        self._minute: dt.datetime | None = None
+        self._lock = threading.Lock()
+        self._writer = ThreadPoolExecutor(max_workers=1)
+        self._pending: list = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.observe(json.loads(event.progress.json))
+
+    def onQueryTerminated(self, event) -> None:
+        self.flush()
+
+    def observe(self, progress: dict) -> None:
+        """Take the samples of one progress event (as a dict)."""
+        at = dt.datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00"))
+        query = progress.get("id", "")
+        with self._lock:
+            if query in self._last and at - self._last[query] < self.every:
+                return
+            samples = lag_samples(progress)
+            if not samples:
+                return
+            self._last[query] = at
+            minute = at.replace(second=0, microsecond=0)
+            if self._minute is not None and minute != self._minute:
+                self._hand_over()
+            self._minute = minute
+            self._kept += [(at, *s) for s in samples]
+
+    def _hand_over(self) -> None:
+        rows, self._kept = self._kept, []
+        if rows:
+            self._pending = [f for f in self._pending if not f.done() or f.exception()]
+            self._pending.append(self._writer.submit(self.store.append_lag, rows))
+
+    def flush(self) -> None:
+        with self._lock:
+            self._hand_over()
+
+    def close(self) -> None:
+        """Write what is kept and wait for it; raises if a write failed."""
+        self.flush()
+        pending, self._pending = self._pending, []
+        for f in pending:
+            f.result()
 
 
 def start_ingest(source: DataFrame, job: IngestJob, checkpoint: str, available_now: bool = False,

@@ -174,3 +174,30 @@ def test_window_argument_takes_plain_numerals_only():
     from logroll.functions.timefn import window_minutes
     assert [window_minutes(x) for x in ("1_000", "１０", "0x1F", "1e2", " 30 ", "+5", "0b11", "nan")] == [
         15, 15, 31, 100, 30, 5, 3, 15]
+
+
+def test_json_beyond_the_first_parsers_limits(spark):
+    """Numbers and strings of any ordinary size are JSON, and so are 990 levels; faults in such messages are
+    still faults, and what nests far deeper ends as one without harm to the task."""
+    base = json.dumps(SAMPLE)[:-1]
+    deep = lambda n: f'{base}, "x": {"[" * n}{"]" * n}}}'
+    long_text = "y" * 20_500_000
+    cases = {
+        "digits": f'{base}, "x": {"7" * 1201}}}', "fraction": f'{base}, "x": 0.{"7" * 1201}}}', "deep": deep(990),
+        "text": json.dumps({**SAMPLE, "message": long_text}),
+        "huge status": json.dumps({**SAMPLE, "statusCode": 0}).replace('"statusCode": 0', '"statusCode": ' + "9" * 1201),
+        "open": deep(990)[:-2], "trailing": deep(990) + " x", "leading zero": f'{base}, "x": 0{"7" * 1201}}}',
+        "two values": deep(990) + "," + deep(990), "two objects": deep(500) + ',{"a":' * 800 + "1" + "}" * 800,
+        "deep level": json.dumps({**SAMPLE, "level": 0}).replace('"level": 0', '"level": ' + "[" * 990 + "]" * 990),
+        "deep host": json.dumps({**SAMPLE, "host": 0}).replace('"host": 0', '"host": ' + '{"a":' * 990 + "1" + "}" * 990),
+        "far too deep": deep(60_000),
+    }
+    raw = spark.createDataFrame([(n, t.encode()) for n, t in cases.items()], "name string, value binary")
+    got = {r["name"]: (r["reason"], r["n"]) for r in classify(raw).select("name", "reason", F.length("message").alias("n")).collect()}
+    for name in ("digits", "fraction", "deep"):
+        assert got[name] == (None, len(SAMPLE["message"])), name
+    assert got["text"] == (None, len(long_text))
+    assert got["huge status"][0].startswith("SCHEMA_VIOLATION: statusCode:")
+    assert (got["deep level"][0], got["deep host"][0]) == ("SCHEMA_VIOLATION: level:type", "SCHEMA_VIOLATION: host:type")
+    for name in ("open", "trailing", "leading zero", "two values", "two objects", "far too deep"):
+        assert got[name][0] == "INVALID_JSON_STRING_FORMAT", name

@@ -155,3 +155,20 @@ def test_one_day_scan_is_bounded_by_time(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # the whole subquery is compared with the bare column, so the scan gets its value as a literal
     assert re.search(r"DataFilters: \[[^\]]*\(ts#\d+ >= [^\]]*[sS]ubquery", plan), plan
+
+
+def test_values_as_text(spark):
+    from logroll.functions.text import clock_text, grouped_number
+    rows = [(0, "2026-07-31 00:05:09"), (999, "2026-07-31 12:00:00"), (-1234567, "2026-07-31 13:59:59"), (None, None)]
+    df = spark.createDataFrame(rows, "n bigint, t string").select(grouped_number("n"), clock_text(F.col("t").cast("timestamp")))
+    assert [tuple(r) for r in df.collect()] == [("0", "12:05:09 AM"), ("999", "12:00:00 PM"), ("-1,234,567", "1:59:59 PM"), (None, None)]
+
+
+def test_sketch_ranks_tell_good_from_bad(spark):
+    """Answers of the data's own sketch are within the bound; those of another data's sketch are not."""
+    one = spark.range(5_000).select(F.lit(NOW).cast("timestamp").alias("timestamp"), F.lit("INFO").alias("level"), F.lit("s").alias("service"),
+                                    F.lit(200).alias("status_code"), F.col("id").alias("latency_ms"))
+    other = one.withColumn("latency_ms", F.col("latency_ms") * 2)
+    within = lambda rollup: R.sketch_ranks(rollup, latency_frequencies(one), 15, NOW).first()
+    assert within(rollup_1m(one))["rows"] == 5_000 and within(rollup_1m(one))["within"] == [True] * 3
+    assert within(rollup_1m(other))["within"] == [False] * 3

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,17 +99,47 @@ def test_pipeline_counters(ingested):
     assert last[("pipeline_insert_duration_seconds_count", ())] == 1
 
 
-def test_counters_are_cumulative_and_replay_safe():
-    from logroll.streaming.ingest import PipelineCounters
-    c = PipelineCounters()
-    row = lambda n, code=None: {"topic": "t", "partition": 0, "reason_code": code, "n": n, "max_offset": n}
-    first = dict(((m, tuple(l.items())), v) for m, l, v in c.update(0, [row(5), row(1, "X")], None))
-    again = dict(((m, tuple(l.items())), v) for m, l, v in c.update(0, [row(5), row(1, "X")], None))
-    assert first == again
-    second = dict(((m, tuple(l.items())), v) for m, l, v in c.update(1, [row(3)], 0.2))
-    assert second[("pipeline_messages_consumed_total", (("topic", "t"),))] == 9
-    assert second[("pipeline_insert_duration_seconds_bucket", (("le", "0.25"),))] == 1
-    assert second[("pipeline_insert_duration_seconds_bucket", (("le", "0.1"),))] == 0
+def counts_of(spark, rows):
+    """Stored counts from (batch, reason code, n, max offset, sink seconds of the batch before)."""
+    cols = "ts timestamp, topic string, partition int, reason_code string, n bigint, max_offset bigint, insert_seconds double, batch_id bigint"
+    return spark.createDataFrame([(NOW + dt.timedelta(seconds=b % 1000), "t", 0, code, n, top, sec, b) for b, code, n, top, sec in rows], cols)
+
+
+def test_counters_are_running_sums_of_the_batches(spark):
+    from logroll.operators.counters import pipeline_samples
+    rows = [(0, None, 5, 5, None), (0, "EMPTY_KAFKA_PAYLOAD", 1, 6, None), (1, None, 3, 4, 0.2), (2, None, 150, 200, 7.0),
+            (1 << 40, None, 2, 300, None)]                              # a second checkpoint on the store
+    for block in (1, 2, 4096):
+        got = {(r["metric"], *sorted(r["labels"].values()), r["batch_id"]): r["value"]
+               for r in pipeline_samples(counts_of(spark, rows), block).collect()}
+        assert [got["pipeline_messages_consumed_total", "t", b] for b in (0, 1, 2, 1 << 40)] == [6, 9, 159, 161]
+        assert [got["pipeline_messages_dlq_total", "EMPTY_KAFKA_PAYLOAD", b] for b in (0, 1, 2)] == [1, 1, 1]
+        assert got["pipeline_messages_dlq_total", "SCHEMA_VIOLATION", 0] == 0
+        assert [got["pipeline_committed_offset", "0", "t", b] for b in (0, 1, 2)] == [7, 7, 201]       # never goes back
+        assert [got["pipeline_insert_duration_seconds_bucket", "0.25", b] for b in (0, 1, 2)] == [0, 1, 1]
+        assert [got["pipeline_insert_duration_seconds_bucket", "+Inf", b] for b in (0, 1, 2, 1 << 40)] == [0, 1, 2, 2]
+        assert got["pipeline_insert_duration_seconds_sum", 2] == pytest.approx(7.2)
+        assert [got["pipeline_batch_size_records_bucket", "100", b] for b in (0, 1, 2)] == [1, 2, 2]
+        assert got["pipeline_batch_size_records_sum", 2] == 158
+
+
+def test_replay_in_a_new_process_changes_no_total(spark, scratch):
+    """Batch 1 fails after its counts; a new job (nothing remembered) replays it: same totals, and what the
+    first run knew of batch 0's duration is kept."""
+    base = scratch("counts")
+    write_files(spark, base, [INGEST_SET[:4], INGEST_SET[4:8], INGEST_SET[8:]])
+    store = LogStore(spark, f"{base}/tables")
+    with pytest.raises(Exception):
+        run(spark, base, IngestJob(store, fail_after=("pipeline_counts", 1)))
+    first = store.insert_seconds(1)
+    assert first > 0
+    totals = lambda: {(r["metric"], *sorted(r["labels"].items())): r["v"] for r in store.metrics().where("batch_id = 1")
+                      .groupBy("metric", "labels").agg(F.max("value").alias("v")).collect()}
+    before = totals()
+    run(spark, base, IngestJob(store))
+    assert store.insert_seconds(1) == first and totals() == before
+    last = store.metrics().where("metric = 'pipeline_messages_consumed_total'").agg(F.max("value")).first()[0]
+    assert last == len(INGEST_SET)
 
 
 def test_rate_over_pipeline_counters(ingested):
@@ -136,7 +167,7 @@ def test_all_rejected_batch_still_commits(spark, scratch):
 
 
 @pytest.mark.parametrize("sink,batch", [("logs", 0), ("logs_1m", 0), ("logs_1m_freq", 1), ("dlq", 1),
-                                        ("pipeline_metrics", 1)])
+                                        ("pipeline_counts", 1)])
 def test_crash_replay_leaves_no_duplicates(spark, scratch, sink, batch):
     """Fail right after one sink of one batch (batch 1 holds the two rejected messages), restart."""
     base = scratch("replay")
@@ -184,6 +215,77 @@ def test_lag_from_progress():
     assert lag_samples({"sources": [{"endOffset": '{"logOffset":1}', "latestOffset": '{"logOffset":2}'}]}) == []
 
 
+def progress(at, end, head, query="q"):
+    return {"id": query, "timestamp": at.strftime("%Y-%m-%dT%H:%M:%S.000Z"), "sources": [
+        {"endOffset": json.dumps({"log-events": {"0": end}}), "latestOffset": json.dumps({"log-events": {"0": head}})}]}
+
+
+def test_lag_listener_writes_one_file_a_minute(spark, scratch):
+    from logroll.streaming.ingest import LagRecorder
+    store = LogStore(spark, scratch("lag"))
+    recorder = LagRecorder(store)
+    start = dt.datetime(2026, 7, 31, 23, 58, 0)
+    for second in range(180):                              # a progress event a second, over midnight
+        recorder.observe(progress(start + dt.timedelta(seconds=second), second, 200))
+    recorder.observe({"timestamp": "2026-08-01T00:01:00.000Z", "sources": []})
+    recorder.close()
+    lag = store.metrics().where("metric = 'pipeline_consumer_lag_records'")
+    assert lag.count() == 36 and lag.where("batch_id IS NOT NULL").count() == 0        # one sample every five seconds
+    newest = lag.orderBy(F.desc("ts")).first()
+    assert (newest["value"], newest["labels"]) == (25.0, {"topic": "log-events", "partition": "0"})
+    files = [f for f in spark.read.parquet(store.path("pipeline_lag")).inputFiles()]
+    assert len(files) == 3 and sum("event_date=2026-08-01" in f for f in files) == 1
+    recorder.close()                                       # nothing kept, nothing written
+
+
+def test_lag_listener_hears_a_query_without_user_code(spark, scratch):
+    from logroll.streaming.ingest import LagRecorder
+    base = scratch("heard")
+    write_files(spark, base, [INGEST_SET[:4]])
+    heard = []
+
+    class Recorder(LagRecorder):
+        def observe(self, progress):
+            heard.append(progress["batchId"])
+            super().observe(progress)
+
+    recorder = Recorder(LogStore(spark, f"{base}/tables"))
+    spark.streams.addListener(recorder)
+    try:
+        run(spark, base, IngestJob(recorder.store))
+        for _ in range(100):
+            if heard:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(recorder)
+    recorder.close()                                       # a folder has no offsets per partition: no samples
+    assert 0 in heard and not recorder.store.exists("pipeline_lag")
+
+
+def test_a_large_batch_is_written_by_many_tasks(spark, scratch):
+    """Files follow bytes: a batch far beyond the advisory size becomes several, a small one a single file."""
+    base = scratch("bytes")
+    msgs = spark.range(6_000).select(
+        F.lit(None).cast("binary").alias("key"),
+        F.to_json(F.struct(F.lit("2026-07-31T12:00:00.000Z").alias("timestamp"), F.lit("INFO").alias("level"), F.lit("s").alias("service"),
+                           F.lit("h").alias("host"), F.col("id").cast("string").alias("traceId"), F.lit(200).alias("statusCode"),
+                           F.lit(3).alias("latencyMs"), F.concat(*[F.md5((F.col("id") * 40 + i).cast("string")) for i in range(40)]).alias("message")))
+        .cast("binary").alias("value"), F.lit("log-events").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
+        F.lit(NOW).cast("timestamp").alias("timestamp"))
+    msgs.coalesce(1).write.parquet(f"{base}/source")
+    store = LogStore(spark, f"{base}/tables")
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        run(spark, base, IngestJob(store))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = lambda name: len(spark.read.parquet(store.path(name)).inputFiles())
+    assert store.logs().count() == 6_000
+    assert files("logs") > 1 and files("logs_1m") == 1 and files("pipeline_counts") == 1
+
+
 def test_redelivered_messages_count_once_across_batches_and_runs(spark):
     from logroll.session import scratch_dir
     from logroll.streaming.stateful import first_deliveries

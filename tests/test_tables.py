@@ -145,3 +145,51 @@ def test_readers_of_quiet_tables(spark, scratch):
     assert store.rollup().agg(F.sum("total_count")).first()[0] == 3
     store.truncate("logs_1m", database=None)
     assert store.rollup().count() == 0
+
+
+def test_view_equals_the_reader_before_and_after_vacuum(spark, scratch):
+    """Live, compacted, late and deleted batches: the catalog's view and the reader give the same rows."""
+    from logroll.operators.rollup import latency_frequencies
+    from logroll.sources.tables import INGEST_SHIFT
+    store, db = LogStore(spark, scratch("view")), "lp_view"
+    store.create_tables(db)
+    logs = logs_over_days(spark, days=5, per_day=4)
+
+    def same():
+        store.sync_catalog(db)
+        for name, mine in (("logs_1m_all", store.rollup()), ("logs_1m_freq_all", store.frequencies())):
+            cols = [c for c in mine.columns if c != "latency_quantiles"]
+            rows = sorted(map(tuple, mine.select(*cols).collect()))
+            assert sorted(map(tuple, spark.table(f"{db}.{name}").select(*cols).collect())) == rows
+        return spark.sql(f"SELECT sum(total_count) FROM {db}.logs_1m_all").first()[0]
+
+    def batch(rows, b):
+        store.write_rollup(rollup_1m(rows), b)
+        store.write_frequencies(latency_frequencies(rows), b)
+
+    assert same() is None
+    batch(logs, 0)
+    assert same() == 20
+    store.compact(T0 + dt.timedelta(days=3))
+    assert same() == 20
+    batch(logs.limit(3), 1)                                   # late, for compacted days
+    batch(logs.limit(2), 1 << INGEST_SHIFT)                   # another ingest's first batch
+    assert same() == 25
+    store.compact(T0 + dt.timedelta(days=9))
+    assert same() == 25
+    assert store.vacuum(database=db) and spark.table(f"{db}.logs_1m").count() == 0
+    assert spark.sql(f"SELECT sum(total_count) FROM {db}.logs_1m_all").first()[0] == 25      # no sync by hand
+    assert same() == 25
+    store.truncate("logs_1m", db)
+    assert spark.table(f"{db}.logs_1m_all").count() == 0
+
+
+def test_catalog_forgets_deleted_days(spark, scratch):
+    store, db = LogStore(spark, scratch("forget")), "lp_forget"
+    store.create_tables(db)
+    store.write_logs(logs_over_days(spark), 0)
+    store.sync_catalog(db)
+    store.drop_expired(T0 + dt.timedelta(days=9, hours=1))
+    store.sync_catalog(db)
+    assert spark.sql(f"SHOW PARTITIONS {db}.logs").count() == 8
+    assert spark.table(f"{db}.logs").count() == store.logs().count() == 24
