@@ -12,6 +12,47 @@ from logroll.llm.common import prepare
 from tests.llm.helpers import AWKWARD, docs_frame, sentence
 
 
+def brute_shards(rows, shards, overhead=16, snap=0.1):
+    """(doc_id, size, crc, shard, slot) of every row, by one sorted pass."""
+    raw = [(d, (t or "").encode()) for d, t in rows]
+    order = sorted(((hashlib.md5(b).hexdigest(), d is not None, d or 0, d, len(b) + overhead, zlib.crc32(b)) for d, b in raw))
+    target = sum(r[4] for r in order) / shards
+    group, n = Counter(), Counter()
+    for r in order:
+        group[r[0]] += r[4]
+        n[r[0]] += 1
+    out, before, start, slots = [], 0, {}, Counter()
+    for digest, _, _, doc_id, size, crc in order:
+        start.setdefault(digest, before)
+        together = n[digest] > 1 and group[digest] <= snap * target
+        middle = start[digest] + group[digest] / 2 if together else before + size / 2
+        shard = min(shards - 1, int(middle // target))
+        out.append((doc_id, size, crc, shard, slots[shard]))
+        slots[shard] += 1
+        before += size
+    return out
+
+
+def test_shards_equal_brute_force(spark):
+    """Every column of every row, with one text that is a third of all rows and groups that move together."""
+    prepare(spark)
+    rows = [(i, sentence(20 + i % 50, i)) for i in range(300)] + [(500 + i, "a hot text of some length") for i in range(200)]
+    rows += [(800 + i, f"pair {i // 2}") for i in range(60)] + [(900, sentence(3000, 9)), (901, "again"), (901, "again"), *AWKWARD]
+    for shards in (1, 7, 40):
+        got = sharding.shard_by_bytes(docs_frame(spark, rows).repartition(5), shards=shards)
+        cols = got.select("doc_id", "size", "text_crc32", "shard", "slot").collect()
+        assert Counter(map(tuple, cols)) == Counter(brute_shards(rows, shards))
+
+
+def test_shard_query_equals_brute_force(spark):
+    """The registered query over its whole table."""
+    from logroll.llm.queries import op6_byte_sharding
+    sf_dir = "/root/testdata/sf0.001"
+    got = op6_byte_sharding(spark, sf_dir).select("doc_id", "size", "text_crc32", "shard", "slot").collect()
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    assert Counter(map(tuple, got)) == Counter(brute_shards(rows, 40))
+
+
 def test_shards(spark):
     prepare(spark)
     rows = [(i, sentence(20 + i % 50, i)) for i in range(400)] + [(500 + i, "same text") for i in range(150)]
