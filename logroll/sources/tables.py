@@ -145,12 +145,14 @@ class LogStore:
          .partitionBy(*partition_by).parquet(self.path(name)))
 
     def write_logs(self, rows: DataFrame, batch_id: int) -> None:
-        """Valid rows (eight columns plus lineage) of one batch.  Files are sorted by
-        (service, level, timestamp) so Parquet min/max statistics skip row groups."""
+        """Valid rows (eight columns plus lineage) of one batch.  Rows of a day and service stay together as far
+        as their bytes allow (a hot service is split, small ones share a file), and files are sorted by
+        (service, level, timestamp), so Parquet min/max statistics skip files and row groups."""
         lineage = [c for c in ("topic", "partition", "offset") if c in rows.columns]
         df = rows.select(*LOG_COLUMNS, *lineage,
                          F.to_date("timestamp").alias("event_date"), F.lit(batch_id).cast("bigint").alias("batch_id"))
-        self._write(df, "logs", ["event_date", "batch_id"], ["service", "level", "timestamp"])
+        self._write(df.hint("rebalance", "event_date", "service"), "logs", ["event_date", "batch_id"],
+                    ["service", "level", "timestamp"])
 
     def write_rollup(self, partial: DataFrame, batch_id: int, files: int | None = None) -> None:
         """Partial rollup of one batch (one row per key the batch touched), sorted by (event_date,

@@ -156,7 +156,7 @@ class IngestJob:
             writes = {
                 "logs_1m": lambda: self.store.write_rollup(rollup_1m(valid, k=self.sketch_k).hint("rebalance"), batch_id),
                 "logs_1m_freq": lambda: self.store.write_frequencies(latency_frequencies(valid).hint("rebalance"), batch_id),
-                "logs": lambda: self.store.write_logs(valid.hint("rebalance"), batch_id),
+                "logs": lambda: self.store.write_logs(valid, batch_id),
                 "dlq": lambda: self.store.write_dlq(dlq_envelopes(rejected.hint("rebalance")), batch_id),
             }
 

@@ -263,27 +263,44 @@ def test_lag_listener_hears_a_query_without_user_code(spark, scratch):
     assert 0 in heard and not recorder.store.exists("pipeline_lag")
 
 
-def test_a_large_batch_is_written_by_many_tasks(spark, scratch):
-    """Files follow bytes: a batch far beyond the advisory size becomes several, a small one a single file."""
-    base = scratch("bytes")
-    msgs = spark.range(6_000).select(
-        F.lit(None).cast("binary").alias("key"),
-        F.to_json(F.struct(F.lit("2026-07-31T12:00:00.000Z").alias("timestamp"), F.lit("INFO").alias("level"), F.lit("s").alias("service"),
-                           F.lit("h").alias("host"), F.col("id").cast("string").alias("traceId"), F.lit(200).alias("statusCode"),
-                           F.lit(3).alias("latencyMs"), F.concat(*[F.md5((F.col("id") * 40 + i).cast("string")) for i in range(40)]).alias("message")))
-        .cast("binary").alias("value"), F.lit("log-events").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
-        F.lit(NOW).cast("timestamp").alias("timestamp"))
-    msgs.coalesce(1).write.parquet(f"{base}/source")
+def one_large_batch(spark, base, services, advisory):
+    """6,000 messages of 1.3 KB, of eight files and so eight tasks, ingested as one batch; the store's files of a table."""
+    text = F.concat(*[F.md5((F.col("id") * 40 + i).cast("string")) for i in range(40)])
+    value = F.to_json(F.struct(F.lit("2026-07-31T12:00:00.000Z").alias("timestamp"), F.lit("INFO").alias("level"),
+                               F.format_string("svc-%02d", F.col("id") % services).alias("service"), F.lit("h").alias("host"),
+                               F.col("id").cast("string").alias("traceId"), F.lit(200).alias("statusCode"),
+                               F.lit(3).alias("latencyMs"), text.alias("message")))
+    spark.range(0, 6_000, 1, 8).select(
+        F.lit(None).cast("binary").alias("key"), value.cast("binary").alias("value"), F.lit("log-events").alias("topic"),
+        F.lit(0).alias("partition"), F.col("id").alias("offset"), F.lit(NOW).cast("timestamp").alias("timestamp"),
+    ).write.parquet(f"{base}/source")
     store = LogStore(spark, f"{base}/tables")
     old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
     try:
-        run(spark, base, IngestJob(store))
+        start_ingest(file_source(spark, f"{base}/source"), IngestJob(store), f"{base}/ckpt", available_now=True).awaitTermination()
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
-    files = lambda name: len(spark.read.parquet(store.path(name)).inputFiles())
     assert store.logs().count() == 6_000
-    assert files("logs") > 1 and files("logs_1m") == 1 and files("pipeline_counts") == 1
+    return lambda name: spark.read.parquet(store.path(name)).inputFiles()
+
+
+def test_a_large_batch_is_written_by_many_tasks(spark, scratch):
+    """Files follow bytes: many times the advisory size becomes several files, though of one service and minute."""
+    files = one_large_batch(spark, scratch("bytes"), 1, "1m")
+    assert len(files("logs")) > 1 and len(files("logs_1m")) == 1 and len(files("pipeline_counts")) == 1
+
+
+def test_a_service_filter_skips_most_files_of_a_large_batch(spark, scratch):
+    """A service's rows lie in few files, by the minima and maxima that a scan reads."""
+    import pyarrow.parquet as pq
+    files = [pq.ParquetFile(f.removeprefix("file://")) for f in one_large_batch(spark, scratch("clustered"), 24, "1m")("logs")]
+    at = files[0].schema_arrow.names.index("service")
+    ranges = [(s.min, s.max) for f in files for g in range(f.metadata.num_row_groups) for s in [f.metadata.row_group(g).column(at).statistics]]
+    holding = [len(set(f.read(columns=["service"])["service"].to_pylist())) for f in files]
+    assert len(files) >= 4 and sum(holding) < 2 * 24               # hardly a service is in two files; at random all are in all
+    read = [sum(lo <= f"svc-{k:02d}" <= hi for lo, hi in ranges) for k in range(24)]
+    assert sum(read) < 24 * len(ranges)
 
 
 def test_redelivered_messages_count_once_across_batches_and_runs(spark):
