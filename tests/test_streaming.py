@@ -371,3 +371,21 @@ def test_window_state_upserts_and_survives_compaction(spark):
     messages(spark, [json.dumps(event(9))], 50).coalesce(1).write.mode("append").parquet(f"{base}/source")   # a late row, after a restart
     go()
     assert got() == want(7)
+
+
+def test_a_batch_keeps_only_what_its_sinks_read(spark):
+    """The cached batch holds no message keys and no text of accepted messages."""
+    from logroll.streaming.ingest import LINEAGE, sink_columns
+    from logroll.schemas import LOG_COLUMNS
+    kept = sink_columns(classify(messages(spark, INGEST_SET)))
+    assert kept.columns == [*LINEAGE, "reason", "reason_code", "payload", *LOG_COLUMNS]
+    rows = kept.orderBy("offset").collect()
+    assert [r["payload"] for r in rows] == [None] * 10 + [GARBAGE_TEXT, GARBAGE_SCHEMA]
+    assert [r["reason"] is None for r in rows] == [True] * 10 + [False] * 2
+
+
+def test_classification_is_not_one_method_too_large_to_compile(spark):
+    """HotSpot interprets methods beyond 8,000 bytes; the plan then has whole-stage code only where it fits."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    classify(messages(spark, INGEST_SET))
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
