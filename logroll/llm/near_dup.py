@@ -11,7 +11,8 @@ minimum per round (no pairs within a bucket), and a member asks its leaders in r
 confirmed.  Of the buckets that still hold several components, members whose rarest shingles are all
 their own leave (prefix filtering, which loses no pair: documents that share much repeated text, but too
 little to be linked, do not meet all with all); members that are not in a bucket's largest component
-meet the rest of the bucket in a join whose condition holds the bit-count test.
+meet the rest of the bucket in a join whose condition holds the bit-count test and a bound on the
+symmetric difference from parity bitmaps, which loses no pair: what comes out of it is close to the links.
 
 Two documents at similarity 0.85 share no band with probability (1 - 0.85^5)^24 < 1e-6.
 """
@@ -26,12 +27,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logroll.llm.common import WORD, connected_components, freeze, small
+from logroll.llm.common import WORD, connected_components, freeze, small, tidy_driver
 
 BANDS, ROWS = 24, 5
 HASHES, BITS = 512, 4
 LONGS = HASHES * BITS // 64
+PARITY = 16                     # longs of the parity bitmap
 MARGIN = 0.09
+WORDS = [f"w{j}" for j in range(LONGS)] + [f"p{j}" for j in range(PARITY)]
 _MULT = 0x9E3779B97F4A7C15
 _CACHE: dict[bytes, int] = {}
 _CACHE_WORDS = 100_000
@@ -126,10 +129,13 @@ def _set_batches(batches, k):
             planes = (low.astype(np.uint8).reshape(len(full), HASHES // 64, 1, 64)
                       >> np.arange(BITS, dtype=np.uint8).reshape(BITS, 1)) & np.uint8(1)
             words[full] = np.packbits(planes, axis=3, bitorder="little").reshape(len(full), -1).view(np.uint64)
+        odd = [np.bincount((s >> np.uint64(54)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) & 1 for s in sets]
+        parity = np.packbits(np.array(odd, np.uint8).reshape(len(sets), 64 * PARITY), axis=1, bitorder="little").view(np.uint64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.ListArray.from_arrays(pa.array(at), pa.array(flat))]
-            + [pa.array(words[:, j].view(np.int64)) for j in range(LONGS)],
-            names=["id", "shingles"] + [f"w{j}" for j in range(LONGS)])
+            [batch.column(0), pa.ListArray.from_arrays(pa.array(at), pa.array(flat)), pa.array([len(s) for s in sets], pa.int64())]
+            + [pa.array(words[:, j].view(np.int64)) for j in range(LONGS)]
+            + [pa.array(parity[:, j].view(np.int64)) for j in range(PARITY)],
+            names=["id", "shingles", "n"] + WORDS)
 
 
 def signatures(docs: DataFrame, k: int = 5) -> DataFrame:
@@ -160,6 +166,17 @@ def max_mismatches(threshold: float) -> int:
     return int(HASHES * (1 - (max(threshold - MARGIN, 0.0) * (1 - chance) + chance)))
 
 
+def within(left: str, right: str, percent: int) -> Column:
+    """False only for pairs that cannot reach ``percent``, whatever the estimate says.
+
+    A bit of the parity bitmap tells whether an odd number of the set's shingles fall on it, so bits that
+    differ number at most the shingles that only one set has; and similarity is at least ``percent``
+    exactly if these number at most (100 - percent) / (100 + percent) of both sizes together.
+    """
+    apart = reduce(Column.__add__, [F.bit_count(F.col(f"{left}.p{j}").bitwiseXOR(F.col(f"{right}.p{j}"))) for j in range(PARITY)])
+    return (100 + percent) * apart <= (100 - percent) * (F.col(f"{left}.n") + F.col(f"{right}.n"))
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) with 100 * intersection >= percent * union on the full sets."""
     sa = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
@@ -199,8 +216,8 @@ def _judged(docs: DataFrame, percent: int, k: int) -> tuple[DataFrame, DataFrame
     texts.  ``doc_id`` is the smallest of the component (null if it has none); that id and ``th``
     tell the one text of the component that stays.
     """
+    tidy_driver(docs.sparkSession)
     sig = freeze(signatures(docs.select("doc_id", "text"), k), "sig")
-    words = [f"w{j}" for j in range(LONGS)]
     named = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "th"))).alias("named")
     classes = freeze(sig.where("digest is not null").groupBy("digest").agg(
         named, F.min("th").alias("any"), F.first("bands").alias("bands"))
@@ -217,24 +234,27 @@ def _judged(docs: DataFrame, percent: int, k: int) -> tuple[DataFrame, DataFrame
     asked = F.sort_array(F.collect_list(F.struct((-F.col("c")).alias("c"), F.xxhash64("head").alias("h"), "head")))
     leaders = freeze(members.where("rep != head").groupBy("rep", "head").agg(F.count(F.lit(1)).alias("c"))
                      .groupBy("rep").agg(asked.alias("l")).select(F.col("rep").alias("a"), F.col("l.head").alias("heads")), "leaders")
-    rounds = [leaders.select("a", F.col("heads")[0].alias("b")),
-              leaders.select("a", F.explode(F.slice("heads", 2, BANDS)).alias("b")),
-              members.where("rep != second").select(F.col("rep").alias("a"), F.col("second").alias("b")).distinct()]
+    rounds = [leaders.select("a", F.slice("heads", 1, 1).alias("heads")),
+              leaders.select("a", F.slice("heads", 2, BANDS).alias("heads")).where(F.size("heads") > 0),
+              members.where("rep != second").groupBy(F.col("rep").alias("a")).agg(F.collect_set("second").alias("heads"))]
 
     ids = freeze(classes.join(members.select("rep").distinct(), "rep", "left_semi").select(
         F.col("rep").alias("id"), F.col("doc_id").alias("of_doc"), F.col("th").alias("of_th")), "ids")
     sets = freeze(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
                   .join(small(ids), F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("th") == F.col("of_th")))
                   .select("id", F.encode("text", "UTF-8").alias("t"))
-                  .mapInArrow(lambda it: _set_batches(it, k), "id long, shingles array<long>, " + ", ".join(f"{w} long" for w in words)), "sets")
+                  .mapInArrow(lambda it: _set_batches(it, k), "id long, shingles array<long>, n long, " + ", ".join(f"{w} long" for w in WORDS)), "sets")
     if sets.count() > ids.count():                             # repeated rows of one id (or of none) and text
         sets = freeze(sets.dropDuplicates(["id"]), "sets-once")
-    reps = sets.select(F.col("id").alias("rep"), *words)
+    reps = sets.select(F.col("id").alias("rep"), F.struct("n", *WORDS).alias("w"))
 
     limit = max_mismatches(percent / 100)
-    likely = lambda pairs: (pairs.join(reps.select(F.col("rep").alias("a"), F.struct(*words).alias("x")), "a")      # noqa: E731
-                            .join(reps.select(F.col("rep").alias("b"), F.struct(*words).alias("y")), "b")
-                            .where(mismatches("x", "y") <= limit).select("a", "b"))
+    may = lambda x, y: (mismatches(x, y) <= limit) & within(x, y, percent)                   # noqa: E731
+    # (a, heads): one row per asking set meets its words, and only then one per leader it asks.
+    likely = lambda asks: (asks.join(reps.select(F.col("rep").alias("a"), F.col("w").alias("x")), "a")      # noqa: E731
+                           .select("a", "x", F.explode("heads").alias("b"))
+                           .join(reps.select(F.col("rep").alias("b"), F.col("w").alias("y")), "b")
+                           .where(may("x", "y")).select("a", "b"))
     links = None
     for i, asks in enumerate(rounds):                          # who is confirmed by a leader asks no more
         still = asks if links is None else asks.join(links.select("a").distinct(), "a", "left_anti")
@@ -251,19 +271,19 @@ def _judged(docs: DataFrame, percent: int, k: int) -> tuple[DataFrame, DataFrame
     # Once more, who is not in a bucket's largest component asks two members of that.
     picks = (rooms.where("c = top").groupBy("key").agg(least(2).alias("p"), least(3).alias("q"))
              .select("key", F.explode(F.array("p", "q")).alias("b")))
-    asks = rooms.where("c != top").join(picks, "key").select(F.col("rep").alias("a"), "b").distinct()
+    asks = rooms.where("c != top").join(picks, "key").groupBy(F.col("rep").alias("a")).agg(F.collect_set("b").alias("heads"))
     late = freeze(_confirm(freeze(likely(asks), "tested-late"), sets, percent), "late")
     first = freeze(connected_components(first.where("node != component").select(
         F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late)), "second")
     placed = (rooms.select("key", "rep").join(first, F.col("rep") == F.col("node"), "left")
               .select("key", "rep", F.coalesce("component", "rep").alias("c")))
     apart = freeze(placed.join(_split(placed), "key").join(reps, "rep").join(classes.select("rep", "bands"), "rep")
-                   .select("key", "rep", "c", "top", "bands", F.struct(*words).alias("w")), "apart")
+                   .select("key", "rep", "c", "top", "bands", "w"), "apart")
     x, y = apart.where("c != top").alias("x"), apart.alias("y")
     same = (F.col("x.key") == F.col("y.key")) & (F.col("x.c") != F.col("y.c")) & (
         (F.col("y.c") == F.col("y.top")) | (F.col("x.rep") < F.col("y.rep")))
     once = F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.key")     # of all buckets they share
-    rest = (x.join(y, same & (mismatches("x.w", "y.w") <= limit) & once)
+    rest = (x.join(y, same & may("x.w", "y.w") & once)
             .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct())
     more = freeze(_confirm(rest, sets, percent), "more")
     final = connected_components(first.where("node != component").select(F.col("node").alias("a"),

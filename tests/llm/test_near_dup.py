@@ -127,3 +127,27 @@ def test_keep_one_with_clashing_columns(spark):
     assert got.columns == df.columns
     assert sorted((r["doc_id"], r["stay_id"], r["stay_th"], r["component"]) for r in got.collect()) == [
         (1, "a", "b", "d"), (3, "a", "b", "d")]
+
+
+def test_parity_bound_loses_no_pair_and_drops_near_misses(spark):
+    """Near copies of one text that are all a little below the threshold do not come out of the pair tests."""
+    from pyspark.sql import functions as F
+    prepare(spark)
+    base, texts = words(300, 900), []
+    for i in range(12):
+        copy, rng = list(base), random.Random(i)
+        for j in range(5 if i < 8 else 1):
+            copy[rng.randrange(300)] = f"own{i}x{j}"
+        texts.append(" ".join(copy))
+    raw = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(texts)], "id long, t binary")
+    shape = "id long, shingles array<long>, n long, " + ", ".join(f"{w} long" for w in near_dup.WORDS)
+    sets = raw.mapInArrow(lambda it: near_dup._set_batches(it, 5), shape)
+    x, y = sets.alias("x"), sets.alias("y")
+    got = {tuple(r) for r in x.join(y, (F.col("x.id") < F.col("y.id")) & near_dup.within("x", "y", 85)).select("x.id", "y.id").collect()}
+    full = [brute_set(t) for t in texts]
+    near = {(i, j) for i in range(12) for j in range(i + 1, 12)
+            if 100 * len(full[i] & full[j]) >= 85 * len(full[i] | full[j])}
+    assert near and near <= got and len(got - near) <= 3
+    likely = {(i, j) for i in range(12) for j in range(i + 1, 12)
+              if len(full[i] & full[j]) / len(full[i] | full[j]) >= 0.79}
+    assert len(likely) > len(got) + 5                   # the estimate alone lets those through
