@@ -19,12 +19,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from logroll.llm.common import freeze
-from logroll.llm.vectors import usable, width_of
+from logroll.llm.common import freeze, release
+from logroll.llm.vectors import matrix, usable, width_of
 
 TREES, BITS, BLOCK, QUERY_BLOCK, SAMPLE = 16, 32, 4096, 256, 4096
 EFFORTS = (0.05, 0.1, 0.2, 0.4, 0.7, 1.0, 1.4, 2.0, 3.0, 5.0, 8.0, float(TREES))
@@ -88,39 +87,42 @@ def settle_effort(forest: Forest, x: np.ndarray, k: int, goal: float, probes: in
     return EFFORTS[good[0]] if len(good) else float(TREES)
 
 
-def _padded(values, width):
-    out = np.zeros((len(values), width))
-    for i, v in enumerate(values):
-        out[i, :len(v)] = v
-    return out
+def _hashed(batches, forest, width, lead, vectors=True):
+    """One row per vector and tree: string, its leading bits, the vector.  A batch per tree, so what goes to
+    the JVM at once is no larger than what came, and the vectors are not copied."""
+    for batch in batches:
+        ids, v = batch.column(0), batch.column(1)
+        s = forest.strings(matrix(v, width, "<f8"))
+        for tree in range(TREES):
+            own = s[:, tree]
+            head = (own >> np.uint64(BITS - lead)).astype(np.int64) if lead else np.zeros(len(own), np.int64)
+            cols = {"vec_id": ids, "tree": pa.array(np.full(len(own), tree, np.int32)), "s": pa.array(own.astype(np.int64)),
+                    "lead": pa.array(head)}
+            yield pa.RecordBatch.from_pydict({**cols, "v": v} if vectors else cols)
+    release()
 
 
-def _hashed(batches, forest, width, lead):
-    """One row per vector and tree: string, its leading bits, the vector."""
-    for pdf in batches:
-        x = _padded(pdf["v"], width)
-        s = forest.strings(x)
-        rep = np.repeat(np.arange(len(pdf)), TREES)
-        out = pdf.iloc[rep].reset_index(drop=True)
-        out["tree"] = np.tile(np.arange(TREES, dtype=np.int32), len(pdf))
-        out["s"] = s.reshape(-1).astype(np.int64)
-        out["lead"] = (s.reshape(-1) >> np.uint64(BITS - lead)).astype(np.int64) if lead else 0
-        yield out
+def _packed(table, name, kind):
+    return table.column(name).to_numpy().astype(kind, copy=False)
 
 
-def _tree_block(key, pdf, width):
+def _tree_block(key, table, width):
     """A sorted array: strings, ids (the smallest of each group of equal vectors), vectors."""
-    pdf = pdf.sort_values(["s", "vec_id"])
-    return pd.DataFrame({"tree": [key[0]], "lead": [key[1]], "salt": [key[2]],
-                         "s": [pdf["s"].to_numpy("<i8").tobytes()], "ids": [pdf["vec_id"].to_numpy("<i8").tobytes()],
-                         "v": [_padded(pdf["v"], width).astype("<f8").tobytes()]})
+    s, ids = _packed(table, "s", "<i8"), _packed(table, "vec_id", "<i8")
+    o = np.lexsort((ids, s))
+    v = matrix(table.column("v").combine_chunks(), width, "<f8")[o]
+    tree, lead, salt = (k.as_py() for k in key)
+    return pa.table({"tree": pa.array([tree], pa.int32()), "lead": pa.array([lead], pa.int64()),
+                     "salt": pa.array([salt], pa.int64()), "s": [s[o].tobytes()], "ids": [ids[o].tobytes()],
+                     "v": [v.tobytes()]})
 
 
-def _query_lot(key, pdf, width):
-    return pd.DataFrame({"tree": [key[0]], "lead": [key[1]], "q_s": [pdf["s"].to_numpy("<i8").tobytes()],
-                         "q_ids": [pdf["vec_id"].to_numpy("<i8").tobytes()],
-                         "level": [pdf["level"].to_numpy("<i4").tobytes()],
-                         "q": [_padded(pdf["v"], width).astype("<f8").tobytes()]})
+def _query_lot(key, table, width):
+    tree, lead = key[0].as_py(), key[1].as_py()
+    v = matrix(table.column("v").combine_chunks(), width, "<f8")
+    return pa.table({"tree": pa.array([tree], pa.int32()), "lead": pa.array([lead], pa.int64()),
+                     "q_s": [_packed(table, "s", "<i8").tobytes()], "q_ids": [_packed(table, "vec_id", "<i8").tobytes()],
+                     "level": [_packed(table, "level", "<i4").tobytes()], "q": [v.tobytes()]})
 
 
 def _range(s, q, level):
@@ -145,6 +147,7 @@ def _counted(batches, lead):
             cols = list(zip(*out)) if out else [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64()))],
                                              names=["query_id", "level", "n"])
+    release()
 
 
 def _scored(batches, width, k):
@@ -170,6 +173,7 @@ def _scored(batches, width, k):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out_q, pa.int64()), pa.array(np.concatenate([none, *out_i]).astype(np.int64)),
                  pa.array(np.concatenate([none, *out_d]))], ["query_id", "rep", "score"])
+    release()
 
 
 def nearest(vectors: DataFrame, k: int = 10, every: int = 100, goal: float = 0.97) -> DataFrame:
@@ -209,25 +213,27 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, goal: float = 0.9
     effort = settle_effort(forest, sample, k, goal)
     lead = max(0, min(BITS, int(math.log2(max(1, n / BLOCK)))))
 
-    shape = "vec_id long, v array<double>, tree int, s long, lead long"
-    hashed = entries.select("vec_id", "v").mapInPandas(lambda it: _hashed(it, forest, width, lead), shape)
-    crowd = freeze(hashed.groupBy("tree", "lead").agg(F.count(F.lit(1)).alias("n")), "ann-crowd")
+    places = "vec_id long, tree int, s long, lead long"
+    shape = places + ", v array<double>"
+    hashed = entries.select("vec_id", "v").mapInArrow(lambda it: _hashed(it, forest, width, lead), shape)
+    placed = entries.select("vec_id", "v").mapInArrow(lambda it: _hashed(it, forest, width, lead, vectors=False), places)
+    crowd = freeze(placed.groupBy("tree", "lead").agg(F.count(F.lit(1)).alias("n")), "ann-crowd")
     salts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("long")
     blocks = freeze(hashed.join(crowd.select("tree", "lead", salts.alias("salts")), ["tree", "lead"])
                     .withColumn("salt", F.pmod(F.xxhash64("vec_id", F.lit(5)), F.col("salts")))
-                    .groupBy("tree", "lead", "salt").applyInPandas(
-                        lambda key, pdf: _tree_block(key, pdf, width),
+                    .groupBy("tree", "lead", "salt").applyInArrow(
+                        lambda key, table: _tree_block(key, table, width),
                         "tree int, lead long, salt long, s binary, ids binary, v binary"), "ann-blocks")
 
     asked = all_.where(F.col("vec_id") % every == 0)
     lots = max(1, math.ceil(asked.count() / QUERY_BLOCK))
     q = freeze(asked.select("vec_id", "v")
-               .mapInPandas(lambda it: _hashed(it, forest, width, lead), shape), "ann-queries")
+               .mapInArrow(lambda it: _hashed(it, forest, width, lead), shape), "ann-queries")
     lot_shape = "tree int, lead long, q_s binary, q_ids binary, level binary, q binary"
 
     def in_lots(rows):
         return (rows.withColumn("lot", F.pmod(F.xxhash64("vec_id", F.lit(9)), F.lit(lots)))
-                .groupBy("tree", "lead", "lot").applyInPandas(lambda key, pdf: _query_lot(key, pdf, width), lot_shape))
+                .groupBy("tree", "lead", "lot").applyInArrow(lambda key, table: _query_lot(key, table, width), lot_shape))
 
     deep = (in_lots(q.withColumn("level", F.lit(lead))).select("tree", "lead", "q_s", "q_ids")
             .join(blocks.select("tree", "lead", "s"), ["tree", "lead"])

@@ -176,3 +176,21 @@ def test_exchange_with_many_unlabelled_rows_settles():
     model = quality.co_train(strong, weak, known, (np.arange(6000) % 4 == 0) & (known >= 0))
     assert ((model.score(strong, weak) >= 0.5) == (y == 1))[800:].mean() > 0.995
     assert all(np.isfinite(v.w).all() and np.abs(v.w).max() < 100 for v in model.views)
+
+
+def test_hashing_hands_over_no_more_rows_at_once_than_it_got():
+    """A batch of vectors comes back as one batch per tree, not as one of all trees."""
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((50, 12))
+    forest = ann.Forest(12, np.zeros(12))
+    batch = pa.RecordBatch.from_pydict({"vec_id": pa.array(range(50), pa.int64()), "v": pa.array(x.tolist())})
+    out = list(ann._hashed([batch], forest, 12, 3))
+    assert [b.num_rows for b in out] == [50] * ann.TREES
+    want = forest.strings(x)
+    for tree, b in enumerate(out):
+        assert b.column("s").to_pylist() == want[:, tree].tolist() and set(b.column("tree").to_pylist()) == {tree}
+        assert b.column("lead").to_pylist() == (want[:, tree] >> np.uint64(ann.BITS - 3)).tolist()
+        assert np.array(b.column("v").to_pylist()).tobytes() == x.tobytes()
+    bare = list(ann._hashed([batch], forest, 12, 0, vectors=False))
+    assert bare[0].schema.names == ["vec_id", "tree", "s", "lead"] and set(bare[0].column("lead").to_pylist()) == {0}
