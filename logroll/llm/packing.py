@@ -16,6 +16,7 @@ import os
 import re
 import struct
 import zlib
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
@@ -42,6 +43,23 @@ _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
 
 
+_PACKS = [struct.Struct(f"<{n}I").pack for n in range(33)]
+
+
+def _pack(ids: list[int]) -> bytes:
+    """Little-endian 32-bit ids."""
+    return _PACKS[len(ids)](*ids) if len(ids) < len(_PACKS) else struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Known(dict):
+    """Ids by word; ``extra`` has those of the present texts that found no room."""
+
+    extra: dict[bytes, bytes] = {}
+
+    def __missing__(self, word):
+        return self.extra[word]
+
+
 class WordTokens:
     """Token ids, as little-endian 32-bit bytes, by white-space-separated word.
 
@@ -55,32 +73,36 @@ class WordTokens:
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
         self.encode, self.model = tokenizer.encode_batch, tokenizer.model
-        self.words: dict[bytes, bytes] = {}
+        self.words = _Known()
         self.runs: dict[str, bytes] = {}
 
     def _resolve(self, new: set[bytes]) -> dict[bytes, bytes]:
         """Ids of words not in the cache: plain words run by run from the vocabulary's merges,
         others through the whole tokenizer."""
-        runs, got, odd, pack = self.runs, {}, [], struct.pack
+        runs, got, odd, tokenize = self.runs, {}, [], self.model.tokenize
         for w in new:
             s = w.decode()
-            if not _PLAIN.fullmatch(s):
+            if s.isalpha() and s.isascii():
+                found = (s.lower(),)
+            elif _PLAIN.fullmatch(s):
+                found = _RUNS.findall(s.lower())
+            else:
                 odd.append((w, s))
                 continue
             parts = []
-            for r in _RUNS.findall(s.lower()):
+            for r in found:
                 ids = runs.get(r)
                 if ids is None:
-                    found = [t.id for t in self.model.tokenize(r.encode().decode("latin-1").translate(_BYTES))]
-                    ids = pack(f"<{len(found)}I", *found)
+                    text = r if r.isascii() else r.encode().decode("latin-1").translate(_BYTES)    # ASCII is itself
+                    ids = _pack([t.id for t in tokenize(text)])
                     if len(runs) < _CACHE_RUNS:
                         runs[r] = ids
                 parts.append(ids)
-            got[w] = b"".join(parts)
+            got[w] = parts[0] if len(parts) == 1 else b"".join(parts)
         for i in range(0, len(odd), 4096):
             lot = odd[i:i + 4096]
             for (w, _), e in zip(lot, self.encode([s for _, s in lot], add_special_tokens=False)):
-                got[w] = pack(f"<{len(e.ids)}I", *e.ids)
+                got[w] = _pack(e.ids)
         if len(self.words) < _CACHE_WORDS:
             self.words.update(got)
         return got
@@ -88,10 +110,10 @@ class WordTokens:
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
         known = self.words
-        new = {w for words in split for w in words if w not in known}
-        got = self._resolve(new) if new else {}
+        new = set(chain.from_iterable(split)).difference(known)
+        known.extra = self._resolve(new) if new else {}
         end = struct.pack("<I", END_ID)
-        return [b"".join([known[w] if w in known else got[w] for w in words]) + end for words in split]
+        return [b"".join(map(known.__getitem__, words)) + end for words in split]
 
 
 class Packer:

@@ -65,3 +65,16 @@ def test_without_ids_and_empty(spark):
     got = packing.pack(docs_frame(spark, [(1, None), (2, "")]), P.path("word_bpe_49k.json"), with_ids=False).collect()
     assert sorted((r["doc_id"], r["length"], r["ids"]) for r in got) == [(1, 1, None), (2, 1, None)]
     assert packing.pack(docs_frame(spark, []), P.path("word_bpe_49k.json")).collect() == []
+
+
+@pytest.mark.parametrize("room", [0, 3, 1000])
+def test_ids_of_words_that_found_no_room(monkeypatch, room):
+    """Words beyond a full cache are looked up beside it, and plain words take the short way to the same ids."""
+    monkeypatch.setattr(packing, "_CACHE_WORDS", room)
+    monkeypatch.setattr(packing, "_CACHE_RUNS", room)
+    tokens = packing.WordTokens(P.path("word_bpe_49k.json"))
+    texts = ["Plain WORDS here, Здесь naïve ÀÉ a,b... x1 (ok) <s> it's " + "z" * 300, "", "Plain again, words! naïve", "𝔘 ﬁ K İ"]
+    for _ in range(2):
+        got = tokens([t.encode() for t in texts])
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids_of(t) for t in texts]
+    assert room or not isinstance(tokens.words.extra.get(b"again,"), type(None))
