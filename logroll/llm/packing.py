@@ -16,17 +16,18 @@ import os
 import re
 import struct
 import zlib
-from itertools import chain
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from logroll.llm.common import freeze, release
 
 LENGTH, WINDOWS, MAX_GAP, MERGE, END_ID = 4096, 32, 32, 64, 2
 _CACHE_WORDS, _CACHE_RUNS = 300_000, 500_000
-_LOT_BYTES = 1 << 20            # text tokenized at once
+_LOT_BYTES = 4 << 20            # text tokenized at once
 _COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 _KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 _PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -52,13 +53,10 @@ def _pack(ids: list[int]) -> bytes:
 
 
 class _Known(dict):
-    """Ids by word; ``extra`` has those of the present texts that found no room."""
+    """Ids by word; ``extra`` has those found last, of which there may be no room for."""
 
     extra: dict[bytes, bytes] = {}
 
-    def __missing__(self, word):
-        return self.extra[word]
-
 
 class WordTokens:
     """Token ids, as little-endian 32-bit bytes, by white-space-separated word.
@@ -73,10 +71,10 @@ class WordTokens:
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
         self.encode, self.model = tokenizer.encode_batch, tokenizer.model
-        self.words = _Known()
+        self.words = _Known({b"": b""})
         self.runs: dict[str, bytes] = {}
 
-    def _resolve(self, new: set[bytes]) -> dict[bytes, bytes]:
+    def _resolve(self, new: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words not in the cache: plain words run by run from the vocabulary's merges,
         others through the whole tokenizer."""
         runs, got, odd, tokenize = self.runs, {}, [], self.model.tokenize
@@ -108,12 +106,23 @@ class WordTokens:
         return got
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        known = self.words
-        new = set(chain.from_iterable(split)).difference(known)
-        known.extra = self._resolve(new) if new else {}
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        coded = split.flatten().dictionary_encode()             # each word is looked up once a lot
+        words = coded.dictionary.view(pa.large_binary()).to_pylist()
+        ids = [*map(self.words.get, words)]
+        new = [w for w, x in zip(words, ids) if x is None]
+        self.words.extra = got = self._resolve(new) if new else {}
+        if new:
+            ids = [got[w] if x is None else x for w, x in zip(words, ids)]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first, flat = np.cumsum(size) - size, np.frombuffer(b"".join(ids), "<u4")
+        word = coded.indices.to_numpy()
+        n = size[word]
+        ends = np.concatenate([[0], np.cumsum(n)])              # of the words, in the lot's ids
+        lot = flat[np.repeat(first[word] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+        cut = (4 * ends[split.offsets.to_numpy() - split.offsets[0].as_py()]).tolist()
         end = struct.pack("<I", END_ID)
-        return [b"".join(map(known.__getitem__, words)) + end for words in split]
+        return [lot[i:j] + end for i, j in zip(cut, cut[1:])]
 
 
 class Packer:

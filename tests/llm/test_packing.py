@@ -78,3 +78,21 @@ def test_ids_of_words_that_found_no_room(monkeypatch, room):
         got = tokens([t.encode() for t in texts])
         assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids_of(t) for t in texts]
     assert room or not isinstance(tokens.words.extra.get(b"again,"), type(None))
+
+
+def test_a_lot_looks_each_word_up_once():
+    class Counted(packing._Known):
+        asked = 0
+
+        def get(self, word):
+            self.asked += 1
+            return super().get(word)
+
+    tokens = packing.WordTokens(P.path("word_bpe_49k.json"))
+    tokens.words = Counted(tokens.words)
+    texts = ["the cat, " * 400, "\x0b cat,\x0c\x1cthe the\x85x  ", "", "the"]
+    for _ in range(2):
+        got = tokens([t.encode() for t in texts])
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [ids_of(t) for t in texts]
+    assert 0 < tokens.words.asked <= 2 * 5          # the; cat,; two odd ones; nothing, beside white space
+    assert tokens([]) == []
