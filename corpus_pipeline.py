@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from logroll.llm import mixing, near_dup, packing, pii, quality
-from logroll.llm.common import freeze, prepare, table
+from logroll.llm.common import freeze, prepare, table, tidy_driver
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,12 +27,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data get keyed surrogates."""
     prepare(spark)
+    tidy_driver(spark)
     return pii.replace_personal_data(docs, count=None)
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of each source near its target; a row per document and pass with the words taken."""
     prepare(spark)
+    tidy_driver(spark)
     return mixing.mixed_documents(docs)
 
 
@@ -40,6 +42,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences with their token ids; every row of the mixture is a document."""
     import public_tokenizers
     prepare(spark)
+    tidy_driver(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
 
 

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 from logroll.llm import near_dup
-from logroll.llm.common import prepare
+from logroll.llm.common import prepare, tidy_driver, trim_jvm
 from tests.llm.helpers import AWKWARD, docs_frame, sentence, words
 
 
@@ -151,3 +151,21 @@ def test_parity_bound_loses_no_pair_and_drops_near_misses(spark):
     likely = {(i, j) for i in range(12) for j in range(i + 1, 12)
               if len(full[i] & full[j]) / len(full[i] | full[j]) >= 0.79}
     assert len(likely) > len(got) + 5                   # the estimate alone lets those through
+
+
+def _jvm_mb(pid):
+    rollup = open(f"/proc/{pid}/smaps_rollup").read()
+    return sum(map(int, re.findall(r"\nPss_(?:Anon|Shmem):\s+(\d+)", rollup))) / 1024
+
+
+def test_the_driver_hands_back_what_its_plans_took_outside_the_heap(spark):
+    from pyspark.sql import functions as F
+    pid = spark._jvm.java.lang.ProcessHandle.current().pid()
+    for k in range(12):             # wide plans, each compiled anew
+        wide = spark.range(2000).select((F.col("id") * k).alias("a"), *[(F.col("id") + i * k).alias(f"c{i}") for i in range(30)])
+        sums = wide.groupBy((F.col("a") % 7).alias("g")).agg(*[F.sum(f"c{i}") for i in range(30)])
+        sums.join(wide, F.col("g") == F.col("a")).count()
+    spark._jvm.System.gc()
+    before, after = _jvm_mb(pid), (tidy_driver(spark), _jvm_mb(pid))[1]
+    said = trim_jvm(spark)
+    assert said is None or after < before - 20      # None: a JVM that cannot trim
