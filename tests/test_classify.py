@@ -201,3 +201,42 @@ def test_json_beyond_the_first_parsers_limits(spark):
     assert (got["deep level"][0], got["deep host"][0]) == ("SCHEMA_VIOLATION: level:type", "SCHEMA_VIOLATION: host:type")
     for name in ("open", "trailing", "leading zero", "two values", "two objects", "far too deep"):
         assert got[name][0] == "INVALID_JSON_STRING_FORMAT", name
+
+
+def test_messages_just_beside_the_usual_one(spark):
+    """An extra key, the sentinel as a second value, members given twice, other number forms: the rules say how
+    these end, and values are the last given."""
+    text = json.dumps(SAMPLE)
+    cases = {
+        "usual": text, "extra": text[:-1] + ', "zone": {"a": [1, null]}}',
+        "none": '{"Timestamp": 1}',
+        "sentinel": text + ', "\\u0000end"', "sentinel spelled otherwise": text + ',"\\u0000\\u0065nd"',
+        "sentinel inside": json.dumps({**SAMPLE, "message": "\0end"}),
+        "twice": text[:-1] + ', "message": 5, "service": "last", "message": "m2"}',
+        "twice, last wrong": text[:-1] + ', "service": 7}',
+        "number texts": json.dumps({**SAMPLE, "statusCode": "200", "latencyMs": "5"}),
+        "forms": json.dumps({**SAMPLE, "statusCode": 0}).replace('"statusCode": 0', '"statusCode": 2.03e2'),
+        "escapes": json.dumps({**SAMPLE, "message": 'a"\\\né\U0001f600'}),
+        "array": f"[{text}]", "single quotes": text.replace('"', "'"),
+    }
+    raw = spark.createDataFrame([(n, t.encode()) for n, t in cases.items()], "name string, value binary")
+    got = {r["name"]: r for r in classify(raw).collect()}
+    for name in ("usual", "extra", "sentinel inside", "twice", "forms", "escapes"):
+        assert got[name]["reason"] is None, name
+    assert (got["twice"]["service"], got["twice"]["message"]) == ("last", "m2")
+    assert got["forms"]["status_code"] == 203 and got["sentinel inside"]["message"] == "\0end"
+    assert got["escapes"]["message"] == 'a"\\\né\U0001f600'
+    assert got["none"]["reason"].startswith("SCHEMA_VIOLATION: timestamp:required, level:required")
+    assert got["twice, last wrong"]["reason"] == "SCHEMA_VIOLATION: service:type"
+    assert got["number texts"]["reason"] == "SCHEMA_VIOLATION: statusCode:type, latencyMs:type"
+    assert got["array"]["reason"] == "SCHEMA_VIOLATION: root:object"
+    for name in ("sentinel", "sentinel spelled otherwise", "single quotes"):
+        assert got[name]["reason"] == "INVALID_JSON_STRING_FORMAT", name
+
+
+def test_classification_looks_up_no_path_per_member(spark):
+    """A typed value or a missing path out of a VARIANT costs more than the parse of the message: the plan has
+    no path per member and looks behind the sentinel only where the text spells it."""
+    df = spark.createDataFrame([(0, b"{}")], "offset long, value binary")
+    plan = classify(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "$.message" not in plan and "DoubleType" not in plan and plan.count("try_variant_get") <= 3
